@@ -28,3 +28,15 @@ def py_lstrip(col: Column) -> Column:
 def is_blank(col: Column) -> Column:
     """``not line.strip()`` (F1)."""
     return col.rlike(_BLANK_RE)
+
+
+def compute_once(df, keep: list[str], **exprs: Column):
+    """Project ``exprs`` once per row behind a Generate node.
+
+    Spark pushes a filter on a derived column below the projection by inlining the
+    column's expression, so a costly expression (regex rewrite, JSON parse) would
+    run twice: in the filter and in the projection. A one-element ``inline`` is a
+    boundary the optimizer does not push filters through.
+    """
+    fields = [e.alias(name) for name, e in exprs.items()]
+    return df.select(*keep, F.inline(F.array(F.struct(*fields))))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomkit.functions import chat, markup
+from loomkit.functions.text import compute_once
 from loomkit.operators import records as R
 from loomkit.plans import duck as D
 from loomkit.plans.registry import register
@@ -36,7 +37,8 @@ def corpus_report_df(spark, sf):
     """Flagship: JSONL lines -> trainer scan -> length cap -> X1 -> X3 -> chat text
     -> rows, characters and bytes per source. Narrow until the final aggregate."""
     rows = trainer_rows(spark, sf).where(R.under_length_cap(F.col("svg")))
-    rows = rows.withColumn("svg", markup.round_numbers(F.col("svg"))).where(F.col("svg").isNotNull())
+    rows = compute_once(rows, ["doc_id", "caption", "source"], svg=markup.round_numbers(F.col("svg")))
+    rows = rows.where(F.col("svg").isNotNull())
     text = rows.select("doc_id", "source",
                        chat.chat_text(F.col("caption"), markup.sort_attributes(F.col("svg"))).alias("text"))
     return R.size_report(text, "text", ["source"])

@@ -1 +1,176 @@
-"""Queries (filled in as operators land)."""
+"""Queries for the vocabulary stage: histograms, pairs, merges, vocabulary ops."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from loomkit.functions import chat
+from loomkit.operators import tokens as T
+from loomkit.plans import duck as D
+from loomkit.plans.q_records import record_lines
+from loomkit.plans.q_split import _CHAR_IDS
+from loomkit.plans.registry import register
+from loomkit.sources.jsonl import kept, read_jsonl, vocab_json
+from loomkit.sources.tables import table
+
+N_MERGES = 12
+
+_DOC_WORDS = f"""words AS (SELECT unnest(regexp_extract_all(text, {D.q(T.PRETOKEN)})) AS word FROM documents),
+hist AS (SELECT word, count(*) AS n FROM words GROUP BY word)"""
+
+_PAIRS = _DOC_WORDS + """,
+syms AS (SELECT word, n, regexp_extract_all(word, '(?s).') AS s FROM hist),
+pairs AS (
+  SELECT s[i] AS a, s[i + 1] AS b, n FROM (SELECT s, n, unnest(range(1, len(s))) AS i FROM syms WHERE len(s) > 1)),
+pc AS (SELECT a, b, sum(n) AS c FROM pairs GROUP BY a, b)"""
+
+
+def _doc_hist(spark, sf):
+    return T.word_histogram(table(spark, sf, "documents"), "text")
+
+
+@register("word_histogram", "WITH " + _DOC_WORDS + "\nSELECT word, n FROM hist")
+def word_histogram(spark, sf):
+    """A4 + T1: pre-token histogram of every document."""
+    return _doc_hist(spark, sf)
+
+
+@register("pair_counts", "WITH " + _PAIRS + "\nSELECT a, b, CAST(c AS BIGINT) AS c FROM pc")
+def pair_counts(spark, sf):
+    """A5: adjacent character pairs weighted by word counts."""
+    return T.pair_counts(T.initial_words(_doc_hist(spark, sf)))
+
+
+@register("top_pair", "WITH " + _PAIRS + "\nSELECT a, b, CAST(c AS BIGINT) AS c FROM pc ORDER BY c DESC, a, b LIMIT 10")
+def top_pair(spark, sf):
+    """The ten most frequent pairs (the first is the first merge)."""
+    return T.top_pairs(T.pair_counts(T.initial_words(_doc_hist(spark, sf))), 10)
+
+
+def chat_corpus(spark, sf):
+    """The vocabulary trainer's corpus: chat text of every parsable object line."""
+    rows = kept(read_jsonl(record_lines(spark, sf), "bpe"))
+    return rows.select("doc_id", chat.chat_text(F.col("caption"), F.col("svg")).alias("text"))
+
+
+def svg_corpus(spark, sf):
+    """The token analysis corpus: the ``svg`` value of lines that have one."""
+    return kept(read_jsonl(record_lines(spark, sf), "tokens")).select("doc_id", F.col("svg").alias("text"))
+
+
+_ALT = T._special_alternation(T.BPE_SPECIALS)
+_SPECIAL_SQL = "WITH " + D.LINES + ",\n" + D.parsed_cte() + f""",
+c AS (SELECT doc_id, {D.chat_text(
+    "CASE caption_type WHEN 'missing' THEN '' WHEN 'null' THEN 'None' ELSE j_caption END",
+    "CASE svg_type WHEN 'missing' THEN '' WHEN 'null' THEN 'None' ELSE j_svg END")} AS text
+  FROM parsed WHERE valid AND kind = 'object')
+SELECT doc_id, CAST(len(regexp_extract_all(text, {D.q(_ALT)})) AS INTEGER) AS n_special,
+  CAST(len(regexp_extract_all(regexp_replace(text, {D.q(_ALT)}, ' ', 'g'), {D.q(T.PRETOKEN)})) AS INTEGER) AS n_plain
+FROM c"""
+
+
+@register("special_split", _SPECIAL_SQL)
+def special_split(spark, sf):
+    """Special tokens kept whole (longest first), the rest pre-tokenised."""
+    corpus = chat_corpus(spark, sf)
+    parts = T.special_split(F.col("text"), T.BPE_SPECIALS)
+    plain = F.flatten(F.transform(F.filter(parts, lambda p: ~p["special"]), lambda p: T.pretokenize(p["piece"])))
+    return corpus.select("doc_id", F.size(F.filter(parts, lambda p: p["special"])).alias("n_special"),
+                         F.size(plain).alias("n_plain"))
+
+
+def _trained(spark, sf, n_merges=N_MERGES):
+    corpus = chat_corpus(spark, sf)
+    hist = T.word_histogram(corpus, "text", T.BPE_SPECIALS)
+    merges, words = T.train_bpe(hist, n_merges, T.BPE_SPECIALS)
+    base = T.base_vocab(words, T.BPE_SPECIALS)
+    vocab = T.vocab_from_merges(base, merges, T.VOCAB_SIZES["chat"])
+    return merges, vocab, words
+
+
+@register("train_bpe")
+def train_bpe(spark, sf):
+    """Exact byte-pair merges over the chat corpus (one merge per round)."""
+    merges, _, _ = _trained(spark, sf)
+    return merges
+
+
+@register("vocab_filter_sort")
+def vocab_filter_sort(spark, sf):
+    """T9 = F7 + L1: learned tokens longer than one character, by id."""
+    _, vocab, _ = _trained(spark, sf)
+    return T.long_tokens(vocab, T.MIN_TOKEN_CHARS["chat"])
+
+
+@register("vocab_export")
+def vocab_export(spark, sf):
+    """K3: the filtered vocabulary as one JSON array in id order."""
+    _, vocab, _ = _trained(spark, sf)
+    return vocab_json(T.long_tokens(vocab, T.MIN_TOKEN_CHARS["chat"]))
+
+
+@register("vocab_last_50")
+def vocab_last_50(spark, sf):
+    """L2: the last 50 tokens by id."""
+    _, vocab, _ = _trained(spark, sf)
+    return T.last_tokens(vocab, 50)
+
+
+@register("compression_ratio")
+def compression_ratio(spark, sf):
+    """Characters per token after the learned merges, per row and overall."""
+    merges, vocab, words = _trained(spark, sf)
+    corpus = chat_corpus(spark, sf)
+    toks = corpus.select("doc_id", F.posexplode(T.pretokenize_with_specials(F.col("text"), T.BPE_SPECIALS))
+                         .alias("pos", "word"))
+    # every word of the corpus is in the trained word table (same histogram)
+    sizes = words.select("word", F.size("symbols").alias("n_after"),
+                         F.when(F.col("word").isin(*T.BPE_SPECIALS), 1)
+                         .otherwise(F.size(F.regexp_extract_all("word", F.lit(T.CHAR), 0))).alias("n_before"))
+    per_doc = (toks.join(sizes, "word").groupBy("doc_id")
+               .agg(F.sum("n_before").alias("n_before"), F.sum("n_after").alias("n_after")))
+    return per_doc.withColumn("ratio", F.round(T.compression(F.col("n_before"), F.col("n_after")), 6))
+
+
+_ADDED = "added(pos, token) AS (VALUES " + ", ".join(f"({i}, {D.q(t)})" for i, t in enumerate(T.TRAINER_TOKENS)) + ")"
+
+_UNION_SQL = "WITH " + _CHAR_IDS + ",\n" + _ADDED + """,
+fresh AS (SELECT token, min(pos) AS pos FROM added WHERE token NOT IN (SELECT token FROM vocab) GROUP BY token)
+SELECT id, token FROM vocab
+UNION ALL
+SELECT CAST((SELECT max(id) + 1 FROM vocab) + row_number() OVER (ORDER BY pos) - 1 AS INTEGER), token FROM fresh"""
+
+
+def _char_vocab(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return T.base_vocab(T.initial_words(T.word_histogram(docs, "text")), T.BPE_SPECIALS)
+
+
+def _added(spark):
+    return spark.createDataFrame(list(enumerate(T.TRAINER_TOKENS)), "pos int, token string")
+
+
+@register("vocab_union", _UNION_SQL)
+def vocab_union(spark, sf):
+    """The trainer's tokens added to a base vocabulary; known tokens keep their id."""
+    return T.vocab_union(_char_vocab(spark, sf), _added(spark))
+
+
+_ADDED_SQL = "WITH " + _CHAR_IDS + ",\n" + _ADDED + """
+SELECT (SELECT count(*) FROM vocab) AS n_base, (SELECT count(*) FROM added) AS n_list,
+  (SELECT count(DISTINCT token) FROM added WHERE token NOT IN (SELECT token FROM vocab)) AS n_added,
+  (SELECT count(*) FROM vocab) + (SELECT count(DISTINCT token) FROM added WHERE token NOT IN (SELECT token FROM vocab)) AS n_final"""
+
+
+@register("vocab_added_count", _ADDED_SQL)
+def vocab_added_count(spark, sf):
+    """J4 + A2: how many listed tokens are really new, and the final size."""
+    base = _char_vocab(spark, sf)
+    added = _added(spark)
+    fresh = added.select("token").distinct().join(base.select("token"), "token", "left_anti")
+    b = base.agg(F.count(F.lit(1)).alias("n_base"))
+    a = added.agg(F.count(F.lit(1)).alias("n_list"))
+    f = fresh.agg(F.count(F.lit(1)).alias("n_added"))
+    out = b.join(a, how="cross").join(f, how="cross") if False else b.crossJoin(a).crossJoin(f)
+    return out.select("n_base", "n_list", "n_added", (F.col("n_base") + F.col("n_added")).alias("n_final"))

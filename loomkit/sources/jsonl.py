@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomkit.functions.markup import clean_markup
-from loomkit.functions.text import is_blank, py_strip
+from loomkit.functions.text import compute_once, is_blank, py_strip
 
 POLICIES = ("cleaner", "trainer", "bpe", "tokens")
 
@@ -51,15 +51,16 @@ def _field_type(v: Column, key: str) -> Column:
 
 
 def parse(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Adds ``blank``, ``v`` (VARIANT or NULL), ``kind`` and field types."""
+    """Adds ``blank``, ``v`` (VARIANT or NULL), ``kind`` and field types, once per line."""
     line = F.col(line_col)
-    v = F.try_parse_json(line)
-    return (lines
-            .withColumn("blank", is_blank(line))
-            .withColumn("v", v)
-            .withColumn("kind", F.when(v.isNotNull(), _kind(line)))
-            .withColumn("caption_type", F.when(F.col("kind") == "object", _field_type(F.col("v"), "caption")))
-            .withColumn("svg_type", F.when(F.col("kind") == "object", _field_type(F.col("v"), "svg"))))
+    base = compute_once(lines, lines.columns, blank=is_blank(line), v=F.try_parse_json(line))
+    v = F.col("v")
+    kind = F.when(v.isNotNull(), _kind(line))
+    typed = compute_once(base, base.columns, kind=kind)
+    obj = F.col("kind") == "object"
+    return compute_once(typed, typed.columns,
+                        caption_type=F.when(obj, _field_type(v, "caption")),
+                        svg_type=F.when(obj, _field_type(v, "svg")))
 
 
 def _get_string(key: str) -> Column:
@@ -98,7 +99,9 @@ def read_jsonl(lines: DataFrame, policy: str = "trainer", line_col: str = "line"
     if policy == "cleaner":
         obj = kind == "object"
         has_svg = obj & (st != "missing")
-        cleaned = clean_markup(_get_string("svg"), ndigits, mode, rounding)
+        p = compute_once(p, p.columns, cleaned=F.when(has_svg & (st == "string"),
+                                                       clean_markup(_get_string("svg"), ndigits, mode, rounding)))
+        cleaned = F.col("cleaned")
         reject = (F.when(invalid, "invalid_json")
                   .when(kind.isin("number", "null", "boolean"), "not_a_container")
                   .when((kind == "array") & _contains_svg_element(F.col("v")), "svg_index_on_list")
@@ -130,8 +133,7 @@ def read_jsonl(lines: DataFrame, policy: str = "trainer", line_col: str = "line"
                   .when(st != "string", "svg_not_string"))
         caption, svg, source = F.lit(None).cast("string"), _get_string("svg"), _get_string("source")
 
-    return p.select(*keys, kind.alias("kind"), caption.alias("caption"), svg.alias("svg"),
-                    source.alias("source"), reject.alias("reject"))
+    return compute_once(p, keys, kind=kind, caption=caption, svg=svg, source=source, reject=reject)
 
 
 def _get_string_top() -> Column:
