@@ -173,13 +173,21 @@ def image_dims(px: DataFrame) -> DataFrame:
     return px.groupBy("image_id").agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h"))
 
 
-def downscale_box(px: DataFrame, max_dim: int) -> DataFrame:
+def downscale_box(px: DataFrame, max_dim) -> DataFrame:
     """I6 + X14: shrink only; each target pixel is the rounded mean of the source
-    pixels that map onto it (``floor(x * w' / w)``), channel by channel."""
+    pixels that map onto it (``floor(x * w' / w)``), channel by channel.
+
+    ``max_dim`` is an int or the name of a per-image column (one size per preset).
+    """
     d = image_dims(px)
-    nw, nh = scaled_size(F.col("w"), F.col("h"), F.lit(max_dim))
+    if isinstance(max_dim, str):
+        d = d.join(px.select("image_id", max_dim).distinct(), "image_id")
+        md = F.col(max_dim)
+    else:
+        md = F.lit(max_dim)
+    nw, nh = scaled_size(F.col("w"), F.col("h"), md)
     d = d.select("image_id", "w", "h", nw.alias("nw"), nh.alias("nh"))
-    j = px.join(d, "image_id")
+    j = px.select("image_id", "y", "x", "r", "g", "b", "a").join(d, "image_id")
     tx = F.floor(F.col("x") * F.col("nw") / F.col("w")).cast("int")
     ty = F.floor(F.col("y") * F.col("nh") / F.col("h")).cast("int")
     j = j.withColumn("tx", tx).withColumn("ty", ty)
@@ -267,9 +275,21 @@ def _hex2(v: Column) -> Column:
     return F.lpad(F.lower(F.hex(v)), 2, "0")
 
 
-def trace_runs(px: DataFrame, tone_col: str = "r", min_run: int = 1) -> DataFrame:
+def rgb_tone(r: Column, g: Column, b: Column) -> Column:
+    """One integer per colour (r << 16 | g << 8 | b), the key of a run."""
+    return (r * 65536 + g * 256 + b).cast("int")
+
+
+def trace_runs(px: DataFrame, tone_col: str = "r", min_run: int = 1, rgb: bool = False) -> DataFrame:
     """One ``<path>`` per tone, each run a rectangle ``M x y h n v1 h -n z``;
-    tones ascending, runs by (y, x0). Returns ``(image_id, svg, n_runs)``."""
+    tones ascending, runs by (y, x0). Returns ``(image_id, svg, n_runs)``.
+
+    With ``rgb=True`` the tone is ``rgb_tone(r, g, b)`` and the fill its six hex
+    digits; otherwise the gray tone is repeated three times.
+    """
+    if rgb:
+        px = px.withColumn("_tone", rgb_tone(F.col("r"), F.col("g"), F.col("b")))
+        tone_col = "_tone"
     r = runs(px, tone_col, min_run)
     seg = F.concat(F.lit("M"), F.col("x0").cast("string"), F.lit(" "), F.col("y").cast("string"), F.lit("h"),
                    (F.col("x1") - F.col("x0") + 1).cast("string"), F.lit("v1h-"),
@@ -278,8 +298,9 @@ def trace_runs(px: DataFrame, tone_col: str = "r", min_run: int = 1) -> DataFram
                 .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y", "x0", "seg"))),
                                               lambda s: s["seg"]), "").alias("d"),
                      F.count(F.lit(1)).alias("n")))
-    path = F.concat(F.lit('<path fill="#'), _hex2(F.col("tone")), _hex2(F.col("tone")), _hex2(F.col("tone")),
-                    F.lit('" d="'), F.col("d"), F.lit('"/>'))
+    t = F.col("tone")
+    fill = (F.lpad(F.lower(F.hex(t)), 6, "0") if rgb else F.concat(_hex2(t), _hex2(t), _hex2(t)))
+    path = F.concat(F.lit('<path fill="#'), fill, F.lit('" d="'), F.col("d"), F.lit('"/>'))
     d = image_dims(px)
     per_img = (per_tone.groupBy("image_id")
                .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tone", path.alias("p")))),
@@ -292,6 +313,16 @@ def trace_runs(px: DataFrame, tone_col: str = "r", min_run: int = 1) -> DataFram
     return j.select("image_id", svg.alias("svg"), F.coalesce(F.col("n_runs"), F.lit(0)).cast("bigint").alias("n_runs"))
 
 
+def quantize(px: DataFrame, bits: Column) -> DataFrame:
+    """Keep the top ``bits`` bits of each channel (colour precision of a preset)."""
+    shift = F.lit(8) - bits
+    step = F.pow(F.lit(2.0), shift)
+
+    def q(c: str) -> Column:
+        return (F.floor(F.col(c) / step) * step).cast("int")
+    return px.select("image_id", "y", "x", q("r").alias("r"), q("g").alias("g"), q("b").alias("b"), "a")
+
+
 def rasterize_runs(rn: DataFrame) -> DataFrame:
     """Runs back to foreground pixels ``(image_id, y, x, tone)``."""
     return rn.select("image_id", "y", F.explode(F.sequence("x0", "x1")).alias("x"), "tone")

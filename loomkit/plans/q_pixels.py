@@ -228,3 +228,21 @@ def rasterize_runs_q(spark, sf):
     px = P.rasterize_runs(r)
     return px.groupBy("image_id", "tone").agg(F.count(F.lit(1)).alias("n_pixels"),
                                               F.sum(F.col("x") + 8 * F.col("y")).cast("bigint").alias("pos_sum"))
+
+
+@register("convert_tiles")
+def convert_tiles(spark, sf):
+    """Cut-out, 3-level posterising, tracing, minify and preset choice per tile."""
+    from loomkit.plans.convert import convert
+    out = convert(tiles(spark, sf))
+    return out.select("image_id", "idx", "size", F.round("score", 6).alias("score"), "fallback",
+                      "n_candidates", "n_considered", "svg")
+
+
+@register("build_corpus")
+def build_corpus_q(spark, sf):
+    """Tiles -> markup -> class-name captions -> corpus rows (first 100 by id)."""
+    from loomkit.plans.convert import build_corpus
+    emb = table(spark, sf, "embeddings")
+    return build_corpus(tiles(spark, sf), FX.labelled_rows(emb), FX.class_names(table(spark, sf, "nation")),
+                        "tiles", 100)

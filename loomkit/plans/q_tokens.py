@@ -169,8 +169,8 @@ def vocab_added_count(spark, sf):
     base = _char_vocab(spark, sf)
     added = _added(spark)
     fresh = added.select("token").distinct().join(base.select("token"), "token", "left_anti")
-    b = base.agg(F.count(F.lit(1)).alias("n_base"))
-    a = added.agg(F.count(F.lit(1)).alias("n_list"))
-    f = fresh.agg(F.count(F.lit(1)).alias("n_added"))
-    out = b.join(a, how="cross").join(f, how="cross") if False else b.crossJoin(a).crossJoin(f)
+    tagged = (base.select(F.lit("base").alias("k")).unionByName(added.select(F.lit("list").alias("k")))
+              .unionByName(fresh.select(F.lit("added").alias("k"))))
+    n = lambda k: F.sum(F.when(F.col("k") == k, 1).otherwise(0)).cast("bigint")
+    out = tagged.agg(n("base").alias("n_base"), n("list").alias("n_list"), n("added").alias("n_added"))
     return out.select("n_base", "n_list", "n_added", (F.col("n_base") + F.col("n_added")).alias("n_final"))

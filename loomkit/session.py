@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "loomkit",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, driver_memory: str | None = "16g") -> SparkSession:
     """A session with AQE on; the local defaults only apply when nothing is set."""
     builder = SparkSession.builder.appName(app)
     if master:
@@ -20,6 +20,9 @@ def build_session(master: str | None = None, app: str = "loomkit",
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.ui.enabled", "false"))
+    if driver_memory:
+        # only takes effect when this call starts the JVM (local runs, tests)
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
