@@ -190,8 +190,8 @@ def apply_merges(words: DataFrame, merges: DataFrame, max_rounds: int = 64) -> D
     for _ in range(max_rounds):
         pairs = state.select("word", F.explode(F.transform(
             F.sequence(F.lit(1), F.greatest(F.size("symbols") - 1, F.lit(1))),
-            lambda i: F.struct(F.element_at("symbols", i).alias("a"),
-                               F.element_at("symbols", i + 1).alias("b")))).alias("p"))
+            lambda i: F.struct(F.try_element_at("symbols", i).alias("a"),
+                               F.try_element_at("symbols", i + 1).alias("b")))).alias("p"))
         pairs = pairs.select("word", F.col("p.a").alias("a"), F.col("p.b").alias("b")).where(F.col("b").isNotNull())
         best = (pairs.join(m, ["a", "b"]).groupBy("word")
                 .agg(F.min_by(F.struct("a", "b"), F.col("rank")).alias("best")))
