@@ -107,18 +107,60 @@ def round_literal(m: Column, ndigits: int = 2, rounding: str = "binary") -> Colu
             .otherwise(_exact_integer_text(x)))
 
 
-def _substitute(text: Column, pattern: str, fn) -> Column:
-    """``re.sub(pattern, fn, text)`` where ``fn`` maps a match Column to a Column."""
+def _fast_text(x: Column, sd: Column, n: int) -> Column:
+    """Text of round(|x| * 10^n) / 10^n with x's sign, for literals away from a tie.
+
+    ``sd = |x| * 10^n`` as a double; with |x| < 1e6 its error is far below the
+    1e-6 distance to the tie that the caller checked, so ``floor(sd + 0.5)`` is
+    the correctly rounded unit count.
+    """
+    units = F.floor(sd + 0.5).cast("bigint")
+    digits = units.cast("string")
+    if n == 0:
+        body = digits
+    else:
+        padded = F.when(F.length(digits) <= n, F.lpad(digits, n + 1, "0")).otherwise(digits)
+        cut = F.length(padded) - n
+        int_part = F.substring(padded, F.lit(1), cut)
+        frac_part = F.regexp_replace(F.substring(padded, cut + 1, F.lit(n)), "0+$", "")
+        body = F.when(frac_part == "", int_part).otherwise(F.concat(int_part, F.lit("."), frac_part))
+    return F.when((x < 0) & (units != 0), F.concat(F.lit("-"), body)).otherwise(body)
+
+
+def round_literals(matches: Column, ndigits: int = 2, rounding: str = "binary") -> Column:
+    """``array<string>`` of literals -> their rounded texts (NULL on overflow).
+
+    Staged transforms keep each intermediate value computed once per literal.
+    Literals with |x| < 1e6 that are more than 1e-6 away from a tie take the
+    double path; the rest take the exact path of ``round_literal``.
+    """
+    if rounding != "binary":
+        return F.transform(matches, lambda s: round_literal(s, ndigits, rounding))
+    scale = float(10 ** ndigits)
+    st = F.transform(matches, lambda s: F.struct(s.alias("s"), s.cast("double").alias("x")))
+    st = F.transform(st, lambda e: F.struct(e["s"].alias("s"), e["x"].alias("x"),
+                                            (F.abs(e["x"]) * scale).alias("sd")))
+    st = F.transform(st, lambda e: F.struct(e["s"].alias("s"), e["x"].alias("x"), e["sd"].alias("sd"),
+                                            (e["sd"] - F.floor(e["sd"])).alias("fr")))
+    fast = lambda e: (F.abs(e["x"]) < 1e6) & (F.abs(e["fr"] - 0.5) > 1e-6)
+    return F.transform(st, lambda e: F.when(fast(e), _fast_text(e["x"], e["sd"], ndigits))
+                       .otherwise(round_literal(e["s"], ndigits, rounding)))
+
+
+def _assemble(text: Column, pattern: str, replaced: Column) -> Column:
+    """Text between the matches zipped with the replacement texts."""
     pieces = F.split(text, pattern, -1)
-    matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
-    replaced = F.transform(matches, fn)
     tail = F.concat(replaced, F.array(F.lit("")))
     return F.array_join(F.zip_with(pieces, tail, lambda p, r: F.concat(p, r)), "")
 
 
-def _overflows(text: Column, pattern: str) -> Column:
-    matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
-    return F.exists(matches, lambda s: F.abs(s.cast("double")) == F.lit(float("inf")))
+def _matches(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"({pattern})"), 1)
+
+
+def _substitute(text: Column, pattern: str, fn) -> Column:
+    """``re.sub(pattern, fn, text)`` where ``fn`` maps a match Column to a Column."""
+    return _assemble(text, pattern, F.transform(_matches(text, pattern), fn))
 
 
 def round_numbers(text: Column, ndigits: int = 2, mode: str = "faithful",
@@ -131,27 +173,30 @@ def round_numbers(text: Column, ndigits: int = 2, mode: str = "faithful",
     NULL when a literal overflows a double: such a row is rejected (F9).
     """
     if mode == "faithful":
-        out = _substitute(text, NUMBER_ANY, lambda s: round_literal(s, ndigits, rounding))
-        return F.when(_overflows(text, NUMBER_ANY), F.lit(None).cast("string")).otherwise(out)
+        replaced = round_literals(_matches(text, NUMBER_ANY), ndigits, rounding)
+        return F.when(F.exists(replaced, lambda r: r.isNull()), F.lit(None).cast("string")) \
+            .otherwise(_assemble(text, NUMBER_ANY, replaced))
     if mode != "safe":
         raise ValueError(f"unknown mode {mode!r}")
     # Hex colours are shielded by matching them first and returning them unchanged.
     pattern = f"{HEX_COLOUR}|{NUMBER_ANY}"
+    found = _matches(text, pattern)
+    numbers = F.transform(found, lambda m: F.when(m.startswith("#"), F.lit("0")).otherwise(m))
+    rounded = round_literals(numbers, ndigits, rounding)
 
-    def fn(s: Column) -> Column:
-        lit = round_literal(s, ndigits, rounding)
+    def fn(s: Column, lit: Column) -> Column:
         signed_zero = s.startswith("-") & (lit == F.lit("0"))
         return (F.when(s.startswith("#"), s)
                 .when(signed_zero, F.lit(" 0"))
-                .when(s.startswith("+"), lit)
                 .otherwise(lit))
-    out = _substitute(text, pattern, fn)
-    return F.when(_overflows(text, NUMBER_ANY), F.lit(None).cast("string")).otherwise(out)
+    replaced = F.zip_with(found, rounded, fn)
+    return F.when(F.exists(replaced, lambda r: r.isNull()), F.lit(None).cast("string")) \
+        .otherwise(_assemble(text, pattern, replaced))
 
 
 def round_decimals(text: Column, ndigits: int = 2, rounding: str = "binary") -> Column:
     """Only ``-?\\d+\\.\\d+`` literals are rounded; exponents stay as they are."""
-    return _substitute(text, NUMBER_DECIMAL, lambda s: round_literal(s, ndigits, rounding))
+    return _assemble(text, NUMBER_DECIMAL, round_literals(_matches(text, NUMBER_DECIMAL), ndigits, rounding))
 
 
 def _priority(name: Column) -> Column:

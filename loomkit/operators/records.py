@@ -26,6 +26,16 @@ def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast a side whose row count is checked (one small action) to be at
+    most ``max_rows``; beyond it the join shuffles both sides (AQE splits skew).
+
+    For tables bounded by construction (a vocabulary, a class list) the optimizer's
+    estimate is often far above the real size, so the rows are counted instead.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def resolve_caption(rows: DataFrame, labels: DataFrame, label_col: str = "label",
                     out_col: str = "caption") -> DataFrame:
     """P1 + J1: integer label -> class name, else the number as text.

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomkit.operators.records import small_side
+from loomkit.operators.records import bounded_broadcast, small_side
 from loomkit.session import cut_lineage
 
 # Unicode White_Space (the pre-tokenizer's \s).
@@ -34,6 +34,7 @@ TRAINER_TOKENS = ["<svg>", "</svg>", "<path", "/>", "<g>", "</g>", "<rect",
                   "m", "l", "c", "s", "q", "t", "z"]
 VOCAB_SIZES = {"chat": 16384, "svg": 3000, "default": 2000}
 MIN_TOKEN_CHARS = {"chat": 1, "svg": 2}   # kept when len(token) > k
+MAX_BROADCAST_VOCAB = 1_000_000          # rows of a vocabulary that may be broadcast
 
 
 def pretokenize(text: Column) -> Column:
@@ -185,7 +186,7 @@ def apply_merges(words: DataFrame, merges: DataFrame, max_rounds: int = 64) -> D
     size and size-checked before the broadcast. Each round only rewrites words
     that still have a mergeable pair; rounds are bounded by the longest word.
     """
-    m = small_side(merges.select("a", "b", "rank"))
+    m = bounded_broadcast(merges.select("a", "b", "rank"), MAX_BROADCAST_VOCAB)
     state = words.select("word", "symbols")
     for _ in range(max_rounds):
         pairs = state.select("word", F.explode(F.transform(
@@ -208,10 +209,11 @@ def apply_merges(words: DataFrame, merges: DataFrame, max_rounds: int = 64) -> D
 def encode_words(words: DataFrame, vocab: DataFrame, unk_id: int = 0) -> DataFrame:
     """J3 + T8: ``(doc_key..., pos, word)`` -> ids by a hash join on the token.
 
-    The vocabulary is bounded by its ``vocab_size`` and its size is checked before
-    it is broadcast; hot words then never meet in one task.
+    The vocabulary is bounded by its ``vocab_size``; its row count is checked
+    before it is broadcast, so hot words never meet in one task.
     """
-    joined = words.join(small_side(vocab.select(F.col("token").alias("word"), "id")), "word", "left")
+    side = bounded_broadcast(vocab.select(F.col("token").alias("word"), "id"), MAX_BROADCAST_VOCAB)
+    joined = words.join(side, "word", "left")
     return joined.withColumn("id", F.coalesce(F.col("id"), F.lit(unk_id)))
 
 

@@ -12,6 +12,7 @@ from loomkit.plans.q_records import record_lines
 from loomkit.plans.q_split import _CHAR_IDS
 from loomkit.plans.registry import register
 from loomkit.sources.jsonl import kept, read_jsonl, vocab_json
+from loomkit.session import cut_lineage
 from loomkit.sources.tables import table
 
 N_MERGES = 12
@@ -80,13 +81,22 @@ def special_split(spark, sf):
                          F.size(plain).alias("n_plain"))
 
 
+_TRAINED: dict = {}
+
+
 def _trained(spark, sf, n_merges=N_MERGES):
-    corpus = chat_corpus(spark, sf)
-    hist = T.word_histogram(corpus, "text", T.BPE_SPECIALS)
-    merges, words = T.train_bpe(hist, n_merges, T.BPE_SPECIALS)
-    base = T.base_vocab(words, T.BPE_SPECIALS)
-    vocab = T.vocab_from_merges(base, merges, T.VOCAB_SIZES["chat"])
-    return merges, vocab, words
+    """Train once per session and scale: the vocabulary queries share the result
+    (the word table is checkpointed, the merges are a small local table)."""
+    key = (id(spark), sf, n_merges)
+    if key not in _TRAINED:
+        corpus = chat_corpus(spark, sf)
+        hist = T.word_histogram(corpus, "text", T.BPE_SPECIALS)
+        merges, words = T.train_bpe(hist, n_merges, T.BPE_SPECIALS)
+        words = cut_lineage(words)
+        base = T.base_vocab(words, T.BPE_SPECIALS)
+        vocab = cut_lineage(T.vocab_from_merges(base, merges, T.VOCAB_SIZES["chat"]))
+        _TRAINED[key] = (merges, vocab, words)
+    return _TRAINED[key]
 
 
 @register("train_bpe")
