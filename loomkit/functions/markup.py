@@ -8,6 +8,8 @@ Everything stays inside the JVM: no Python worker is involved.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -107,44 +109,36 @@ def round_literal(m: Column, ndigits: int = 2, rounding: str = "binary") -> Colu
             .otherwise(_exact_integer_text(x)))
 
 
-def _fast_text(x: Column, sd: Column, n: int) -> Column:
-    """Text of round(|x| * 10^n) / 10^n with x's sign, for literals away from a tie.
-
-    ``sd = |x| * 10^n`` as a double; with |x| < 1e6 its error is far below the
-    1e-6 distance to the tie that the caller checked, so ``floor(sd + 0.5)`` is
-    the correctly rounded unit count.
-    """
-    units = F.floor(sd + 0.5).cast("bigint")
-    digits = units.cast("string")
+def _units_text(x: Column, units: Column, n: int) -> Column:
+    """Text of ``units / 10^n`` with the sign of ``x``: exact decimal scaling, then
+    trailing zeros and a bare dot trimmed (``2.50`` -> ``2.5``, ``3.00`` -> ``3``)."""
     if n == 0:
-        body = digits
+        body = units.cast("string")
     else:
-        padded = F.when(F.length(digits) <= n, F.lpad(digits, n + 1, "0")).otherwise(digits)
-        cut = F.length(padded) - n
-        int_part = F.substring(padded, F.lit(1), cut)
-        frac_part = F.regexp_replace(F.substring(padded, cut + 1, F.lit(n)), "0+$", "")
-        body = F.when(frac_part == "", int_part).otherwise(F.concat(int_part, F.lit("."), frac_part))
+        scaled = units.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-n))
+        body = F.rtrim(F.rtrim(scaled.cast("string"), F.lit("0")), F.lit("."))
     return F.when((x < 0) & (units != 0), F.concat(F.lit("-"), body)).otherwise(body)
 
 
 def round_literals(matches: Column, ndigits: int = 2, rounding: str = "binary") -> Column:
     """``array<string>`` of literals -> their rounded texts (NULL on overflow).
 
-    Staged transforms keep each intermediate value computed once per literal.
-    Literals with |x| < 1e6 that are more than 1e-6 away from a tie take the
-    double path; the rest take the exact path of ``round_literal``.
+    Literals with |x| < 1e6 that are more than 1e-6 away from a tie take a double
+    path: ``sd = |x| * 10^n`` is then within far less than the distance to the tie,
+    so ``floor(sd + 0.5)`` is the correctly rounded unit count. The rest (near a
+    tie, or large) take the exact path of ``round_literal``.
     """
     if rounding != "binary":
         return F.transform(matches, lambda s: round_literal(s, ndigits, rounding))
     scale = float(10 ** ndigits)
-    st = F.transform(matches, lambda s: F.struct(s.alias("s"), s.cast("double").alias("x")))
-    st = F.transform(st, lambda e: F.struct(e["s"].alias("s"), e["x"].alias("x"),
-                                            (F.abs(e["x"]) * scale).alias("sd")))
-    st = F.transform(st, lambda e: F.struct(e["s"].alias("s"), e["x"].alias("x"), e["sd"].alias("sd"),
-                                            (e["sd"] - F.floor(e["sd"])).alias("fr")))
-    fast = lambda e: (F.abs(e["x"]) < 1e6) & (F.abs(e["fr"] - 0.5) > 1e-6)
-    return F.transform(st, lambda e: F.when(fast(e), _fast_text(e["x"], e["sd"], ndigits))
-                       .otherwise(round_literal(e["s"], ndigits, rounding)))
+
+    def one(s: Column) -> Column:
+        x = s.cast("double")
+        sd = F.abs(x) * scale
+        fast = (F.abs(x) < 1e6) & (F.abs(sd - F.floor(sd) - 0.5) > 1e-6)
+        units = F.floor(sd + 0.5).cast("bigint")
+        return F.when(fast, _units_text(x, units, ndigits)).otherwise(round_literal(s, ndigits, rounding))
+    return F.transform(matches, one)
 
 
 def _assemble(text: Column, pattern: str, replaced: Column) -> Column:
@@ -172,10 +166,10 @@ def round_numbers(text: Column, ndigits: int = 2, mode: str = "faithful",
     separator where a signed number collapses onto its neighbour. The result is
     NULL when a literal overflows a double: such a row is rejected (F9).
     """
+    overflow = F.exists(_matches(text, NUMBER_ANY), lambda m: F.abs(m.cast("double")) == F.lit(float("inf")))
     if mode == "faithful":
         replaced = round_literals(_matches(text, NUMBER_ANY), ndigits, rounding)
-        return F.when(F.exists(replaced, lambda r: r.isNull()), F.lit(None).cast("string")) \
-            .otherwise(_assemble(text, NUMBER_ANY, replaced))
+        return F.when(overflow, F.lit(None).cast("string")).otherwise(_assemble(text, NUMBER_ANY, replaced))
     if mode != "safe":
         raise ValueError(f"unknown mode {mode!r}")
     # Hex colours are shielded by matching them first and returning them unchanged.
@@ -190,8 +184,7 @@ def round_numbers(text: Column, ndigits: int = 2, mode: str = "faithful",
                 .when(signed_zero, F.lit(" 0"))
                 .otherwise(lit))
     replaced = F.zip_with(found, rounded, fn)
-    return F.when(F.exists(replaced, lambda r: r.isNull()), F.lit(None).cast("string")) \
-        .otherwise(_assemble(text, pattern, replaced))
+    return F.when(overflow, F.lit(None).cast("string")).otherwise(_assemble(text, pattern, replaced))
 
 
 def round_decimals(text: Column, ndigits: int = 2, rounding: str = "binary") -> Column:

@@ -136,3 +136,17 @@ def observe_counts(df: DataFrame, name: str, reject_col: str = "reject") -> tupl
                      F.sum(F.when(F.col(reject_col).isNull(), 1).otherwise(0)).alias("kept"),
                      F.sum(F.when(F.col(reject_col).isNotNull(), 1).otherwise(0)).alias("rejected"))
     return out, obs
+
+
+def rate_report(runs: DataFrame, by: list[str], tokens: Column, seconds: Column) -> DataFrame:
+    """A10: tokens per second over a run log, per group (``sum(tokens) / sum(seconds)``).
+
+    Seconds are summed as decimals so the total does not depend on the order in
+    which partial sums meet; the ratio is taken once per group.
+    """
+    agg = runs.groupBy(*by).agg(F.count(F.lit(1)).alias("n_runs"),
+                                F.sum(tokens).cast("bigint").alias("tokens"),
+                                F.sum(seconds.cast("decimal(18,2)")).alias("seconds"))
+    rate = F.col("tokens").cast("double") / F.col("seconds").cast("double")
+    return agg.select(*by, "n_runs", "tokens", F.col("seconds").cast("double").alias("seconds"),
+                      F.round(F.when(F.col("seconds") > 0, rate), 6).alias("tokens_per_s"))

@@ -81,14 +81,18 @@ def initial_words(hist: DataFrame, specials: list[str] | None = None) -> DataFra
     return hist.select("word", "n", sym.alias("symbols"))
 
 
+def adjacent_pairs(words: DataFrame, keep: list[str]) -> DataFrame:
+    """Adjacent symbol pairs ``(keep..., a, b)``: a position explode followed by a
+    plain projection, so the pair building stays in generated code."""
+    multi = words.where(F.size("symbols") > 1)
+    pos = multi.select(*keep, "symbols", F.posexplode("symbols").alias("i", "a"))
+    pairs = pos.select(*keep, "a", F.try_element_at("symbols", F.col("i") + 2).alias("b"))
+    return pairs.where(F.col("b").isNotNull())
+
+
 def pair_counts(words: DataFrame) -> DataFrame:
     """A5: adjacent symbol pairs weighted by the word count: ``(a, b, c)``."""
-    pairs = F.transform(F.sequence(F.lit(1), F.size("symbols") - 1),
-                        lambda i: F.struct(F.element_at("symbols", i).alias("a"),
-                                           F.element_at("symbols", i + 1).alias("b")))
-    multi = words.where(F.size("symbols") > 1)
-    return (multi.select("n", F.explode(pairs).alias("p"))
-            .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("n").alias("c")))
+    return adjacent_pairs(words, ["n"]).groupBy("a", "b").agg(F.sum("n").alias("c"))
 
 
 def top_pairs(counts: DataFrame, k: int = 1) -> DataFrame:
@@ -189,11 +193,7 @@ def apply_merges(words: DataFrame, merges: DataFrame, max_rounds: int = 64) -> D
     m = bounded_broadcast(merges.select("a", "b", "rank"), MAX_BROADCAST_VOCAB)
     state = words.select("word", "symbols")
     for _ in range(max_rounds):
-        pairs = state.select("word", F.explode(F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size("symbols") - 1, F.lit(1))),
-            lambda i: F.struct(F.try_element_at("symbols", i).alias("a"),
-                               F.try_element_at("symbols", i + 1).alias("b")))).alias("p"))
-        pairs = pairs.select("word", F.col("p.a").alias("a"), F.col("p.b").alias("b")).where(F.col("b").isNotNull())
+        pairs = adjacent_pairs(state, ["word"])
         best = (pairs.join(m, ["a", "b"]).groupBy("word")
                 .agg(F.min_by(F.struct("a", "b"), F.col("rank")).alias("best")))
         if best.limit(1).count() == 0:

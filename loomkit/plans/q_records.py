@@ -282,3 +282,17 @@ def extract_svg_q(spark, sf):
     comp = FX.completions(table(spark, sf, "documents"))
     return comp.select("doc_id", chat.extract_svg(F.col("response")).alias("svg"),
                        chat.file_name(F.col("prompt")).alias("file_name"))
+
+
+_RATE_SQL = """SELECT event_type, count(*) AS n_runs, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS tokens,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS seconds,
+  round(CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS DOUBLE) / CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE), 6) AS tokens_per_s
+FROM events GROUP BY event_type"""
+
+
+@register("tokens_per_second", _RATE_SQL)
+def tokens_per_second(spark, sf):
+    """A10 over ``events`` read as a run log: engine = event_type, tokens = props.k,
+    seconds = value."""
+    ev = table(spark, sf, "events")
+    return R.rate_report(ev, ["event_type"], F.get_json_object("props", "$.k").cast("bigint"), F.col("value"))

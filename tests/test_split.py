@@ -44,3 +44,13 @@ def test_batch_plan(spark):
     out = {r.mode: r for r in df.select(F.explode(F.array(*SP.batch_plan(F.col("n")))).alias("m")).select("m.*").collect()}
     assert out["colab_fast"].total_steps == 18 and out["colab_fast"].configured_max_steps == 200
     assert out["local"].steps_per_epoch == 12
+
+
+def test_write_tokenised(spark, tmp_path):
+    from loomkit.sources.sinks import write_tokenised
+    df = spark.createDataFrame([("train", "t1", [1, 2], [1, 1]), ("test", "t2", [3], [1])],
+                               "split string, text string, input_ids array<int>, attention_mask array<int>")
+    out = str(tmp_path / "tok")
+    write_tokenised(df, out)
+    back = spark.read.parquet(out)
+    assert "text" not in back.columns and sorted(r.split for r in back.collect()) == ["test", "train"]
