@@ -27,13 +27,17 @@ def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a side whose row count is checked (one small action) to be at
-    most ``max_rows``; beyond it the join shuffles both sides (AQE splits skew).
+    """Broadcast a side whose row count is checked to be at most ``max_rows``;
+    beyond it the join shuffles both sides (AQE splits skewed partitions).
 
-    For tables bounded by construction (a vocabulary, a class list) the optimizer's
-    estimate is often far above the real size, so the rows are counted instead.
+    The side is checkpointed first, so the count and the join read the same
+    materialised rows (no second evaluation of its lineage). For tables bounded by
+    construction (a vocabulary, a class list) the optimizer's estimate is often
+    far above the real size, which is why the rows are counted instead.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    from loomkit.session import cut_lineage
+    side = cut_lineage(df)
+    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
 
 
 def resolve_caption(rows: DataFrame, labels: DataFrame, label_col: str = "label",

@@ -220,3 +220,33 @@ def encode_words(words: DataFrame, vocab: DataFrame, unk_id: int = 0) -> DataFra
 def compression(before: Column, after: Column) -> Column:
     """Token count before / after."""
     return before.cast("double") / F.greatest(after, F.lit(1)).cast("double")
+
+
+MAX_BROADCAST_WORDS = 2_000_000         # distinct encoded words that may be broadcast
+
+
+def encode_documents(docs: DataFrame, key: str, text_col: str, vocab: DataFrame,
+                     merges: DataFrame | None = None, specials: list[str] | None = None,
+                     unk_id: int = 0, distinct_words: DataFrame | None = None) -> DataFrame:
+    """T4 + J3 + T8: ``(key, input_ids)`` for every document.
+
+    Each *distinct* word is encoded once (merges applied, symbols looked up in the
+    count-checked broadcast vocabulary); word occurrences then join the encoded
+    words and are gathered back per document in position order. Hot words are
+    handled by the broadcast, or by AQE's skew split when the word table is large.
+    """
+    toks = (pretokenize_with_specials(F.col(text_col), specials) if specials
+            else pretokenize(F.col(text_col)))
+    occ = docs.select(key, F.posexplode(toks).alias("pos", "word"))
+    distinct = (distinct_words.select("word") if distinct_words is not None
+                else occ.select("word").distinct())
+    words = initial_words(distinct.withColumn("n", F.lit(1)), specials).select("word", "symbols")
+    if merges is not None:
+        words = apply_merges(words, merges)
+    sym = words.select("word", F.posexplode("symbols").alias("i", "sym"))
+    ids = encode_words(sym.withColumnRenamed("word", "w").withColumnRenamed("sym", "word"), vocab, unk_id)
+    per_word = (ids.groupBy(F.col("w").alias("word"))
+                .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "id"))), lambda s: s["id"]).alias("ids")))
+    joined = occ.join(bounded_broadcast(per_word, MAX_BROADCAST_WORDS), "word")
+    return joined.groupBy(key).agg(F.flatten(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda s: s["ids"])).alias("input_ids"))

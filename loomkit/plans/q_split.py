@@ -9,6 +9,7 @@ from loomkit.operators import tokens as T
 from loomkit.plans import duck as D
 from loomkit.plans.q_records import trainer_rows
 from loomkit.plans.registry import register
+from loomkit.session import cut_lineage
 from loomkit.sources.tables import table
 
 SEED = "loomkit"
@@ -90,16 +91,12 @@ enc AS (
 
 def encoded_documents(spark, sf):
     """``(doc_id, input_ids)``: every non-blank character through the base vocabulary
-    (specials, then characters by code point). Characters are exploded with their
-    position, looked up with a broadcast of the bounded vocabulary, and gathered
-    back per document."""
+    (specials, then characters by code point), encoded once per distinct word and
+    joined back to the word occurrences of each document."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    hist = T.word_histogram(docs, "text")
+    hist = cut_lineage(T.word_histogram(docs, "text"))
     vocab = T.base_vocab(T.initial_words(hist), T.BPE_SPECIALS)
-    chars = docs.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(_NOSPACE), 0)).alias("pos", "word"))
-    ids = T.encode_words(chars, vocab)
-    return ids.groupBy("doc_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda s: s["id"]).alias("input_ids"))
+    return T.encode_documents(docs, "doc_id", "text", vocab, distinct_words=hist)
 
 
 @register("encode_lookup", "WITH " + _CHAR_IDS + """
