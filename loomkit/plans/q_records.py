@@ -28,7 +28,7 @@ cleaned AS (
   SELECT doc_id, caption, source, {D.round_numbers('svg')} AS svg1 FROM trainer WHERE length(svg) < 64000),
 chat AS (
   SELECT doc_id, source, {D.chat_text('caption', D.sort_attributes('svg1'))} AS text FROM cleaned WHERE svg1 IS NOT NULL)
-SELECT source, count(*) AS n_rows, sum(length(text)) AS total_chars, sum(strlen(text)) AS total_bytes,
+SELECT source, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS total_chars, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes,
        max(length(text)) AS max_chars, min(length(text)) AS min_chars
 FROM chat GROUP BY source"""
 
@@ -203,7 +203,7 @@ def filter_nonempty(spark, sf):
 _UNION_SQL = "WITH " + D.TRAINER + """,
 u AS (SELECT caption, svg, 'records' AS source FROM trainer
       UNION ALL SELECT substring(url, 1, 40), html, 'pages' FROM pages)
-SELECT source, count(*) AS n_rows, sum(length(svg)) AS total_chars FROM u GROUP BY source"""
+SELECT source, count(*) AS n_rows, CAST(sum(length(svg)) AS BIGINT) AS total_chars FROM u GROUP BY source"""
 
 
 @register("union_corpora", _UNION_SQL)
@@ -237,7 +237,7 @@ def first_row_q(spark, sf):
     return R.first_row(trainer_rows(spark, sf), ["doc_id"]).select("doc_id", "svg")
 
 
-_SIZE_SQL = """SELECT source, count(*) AS n_rows, sum(length(text)) AS total_chars, sum(strlen(text)) AS total_bytes,
+_SIZE_SQL = """SELECT source, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS total_chars, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes,
   max(length(text)) AS max_chars, min(length(text)) AS min_chars FROM documents GROUP BY source"""
 
 

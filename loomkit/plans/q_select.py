@@ -46,8 +46,8 @@ best AS (
 last AS (
   SELECT image_id, idx, size, score, row_number() OVER (PARTITION BY image_id ORDER BY idx DESC) AS rn FROM cands),
 counts AS (
-  SELECT image_id, sum(CASE WHEN considered AND fits THEN 1 ELSE 0 END) AS n_candidates,
-    sum(CASE WHEN considered THEN 1 ELSE 0 END) AS n_considered FROM walked GROUP BY image_id)
+  SELECT image_id, CAST(sum(CASE WHEN considered AND fits THEN 1 ELSE 0 END) AS BIGINT) AS n_candidates,
+    CAST(sum(CASE WHEN considered THEN 1 ELSE 0 END) AS BIGINT) AS n_considered FROM walked GROUP BY image_id)
 SELECT c.image_id, coalesce(b.idx, l.idx) AS idx, coalesce(b.size, l.size) AS size,
   CASE WHEN b.idx IS NULL THEN l.score ELSE b.score END AS score, b.idx IS NULL AS fallback,
   c.n_candidates, c.n_considered
