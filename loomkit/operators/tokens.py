@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomkit.functions.text import compute_once
 from loomkit.operators.records import bounded_broadcast, small_side
 from loomkit.session import cut_lineage
 
@@ -132,8 +133,10 @@ def train_bpe(hist: DataFrame, n_merges: int, specials: list[str] | None = None,
         merges.append((r, a, b, a + b, c))
         la, lb = F.lit(a), F.lit(b)
         touched = F.array_contains("symbols", a) & F.array_contains("symbols", b)
-        words = words.withColumn("symbols", F.when(touched, merge_symbols(F.col("symbols"), la, lb))
-                                 .otherwise(F.col("symbols")))
+        # behind a Generate boundary: stacked rewrites must not be collapsed into
+        # one expression that re-evaluates every earlier round several times
+        words = compute_once(words, ["word", "n"], symbols=F.when(touched, merge_symbols(F.col("symbols"), la, lb))
+                             .otherwise(F.col("symbols")))
         if (r + 1) % checkpoint_every == 0:
             words = cut_lineage(words)
     schema = "rank int, a string, b string, token string, c bigint"
