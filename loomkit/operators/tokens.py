@@ -230,8 +230,14 @@ MAX_BROADCAST_WORDS = 2_000_000         # distinct encoded words that may be bro
 
 def encode_documents(docs: DataFrame, key: str, text_col: str, vocab: DataFrame,
                      merges: DataFrame | None = None, specials: list[str] | None = None,
-                     unk_id: int = 0, distinct_words: DataFrame | None = None) -> DataFrame:
-    """T4 + J3 + T8: ``(key, input_ids)`` for every document.
+                     unk_id: int = 0, distinct_words: DataFrame | None = None,
+                     max_tokens: int | None = None) -> DataFrame:
+    """T4 + J3 + T8: ``(key, input_ids, n_ids)`` for every document.
+
+    With ``max_tokens`` (T5) only the first ``max_tokens`` word occurrences are
+    gathered (every word yields at least one token), so the collected array per
+    document is bounded however long the document is; ``n_ids`` still counts all
+    tokens, from a plain sum.
 
     Each *distinct* word is encoded once (merges applied, symbols looked up in the
     count-checked broadcast vocabulary); word occurrences then join the encoded
@@ -251,5 +257,10 @@ def encode_documents(docs: DataFrame, key: str, text_col: str, vocab: DataFrame,
     per_word = (ids.groupBy(F.col("w").alias("word"))
                 .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "id"))), lambda s: s["id"]).alias("ids")))
     joined = occ.join(bounded_broadcast(per_word, MAX_BROADCAST_WORDS), "word")
-    return joined.groupBy(key).agg(F.flatten(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda s: s["ids"])).alias("input_ids"))
+    item = F.struct("pos", "ids")
+    if max_tokens is not None:
+        item = F.when(F.col("pos") < max_tokens, item)
+    ids_all = F.flatten(F.transform(F.array_sort(F.collect_list(item)), lambda s: s["ids"]))
+    if max_tokens is not None:
+        ids_all = F.slice(ids_all, 1, max_tokens)
+    return joined.groupBy(key).agg(ids_all.alias("input_ids"), F.sum(F.size("ids")).cast("int").alias("n_ids"))

@@ -89,14 +89,14 @@ enc AS (
   FROM exploded e LEFT JOIN vocab v ON v.token = e.ch GROUP BY e.doc_id)"""
 
 
-def encoded_documents(spark, sf):
+def encoded_documents(spark, sf, max_tokens=None):
     """``(doc_id, input_ids)``: every non-blank character through the base vocabulary
     (specials, then characters by code point), encoded once per distinct word and
     joined back to the word occurrences of each document."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     hist = cut_lineage(T.word_histogram(docs, "text"))
     vocab = T.base_vocab(T.initial_words(hist), T.BPE_SPECIALS)
-    return T.encode_documents(docs, "doc_id", "text", vocab, distinct_words=hist)
+    return T.encode_documents(docs, "doc_id", "text", vocab, distinct_words=hist, max_tokens=max_tokens)
 
 
 @register("encode_lookup", "WITH " + _CHAR_IDS + """
@@ -115,10 +115,11 @@ def encode_lookup(spark, sf):
 SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, len(ids) > {MAX_LEN} AS truncated,
   CAST(least(len(ids), {MAX_LEN}) AS INTEGER) AS n_kept, CAST(list_sum(ids[1:{MAX_LEN}]) AS BIGINT) AS kept_sum FROM enc""")
 def truncate_ids(spark, sf):
-    """T5: ids cut at 2048 (colab-fast cap) and a flag for cut rows."""
-    enc = encoded_documents(spark, sf)
-    kept, cut = SP.truncate(F.col("input_ids"), MAX_LEN)
-    return enc.select("doc_id", F.size("input_ids").alias("n_ids"), cut.alias("truncated"),
+    """T5: ids cut at 2048 (colab-fast cap) and a flag for cut rows; only the
+    first 2048 words of a document are gathered."""
+    enc = encoded_documents(spark, sf, max_tokens=MAX_LEN)
+    kept = F.col("input_ids")
+    return enc.select("doc_id", "n_ids", (F.col("n_ids") > MAX_LEN).alias("truncated"),
                       F.size(kept).alias("n_kept"),
                       F.aggregate(kept, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("kept_sum"))
 
@@ -138,9 +139,7 @@ FROM m"""
 @register("pad_batch", _PAD_SQL)
 def pad_batch(spark, sf):
     """Documents split and batched by two, padded to the longest row of the batch."""
-    enc = encoded_documents(spark, sf)
-    kept, _ = SP.truncate(F.col("input_ids"), MAX_LEN)
-    enc = enc.select("doc_id", kept.alias("input_ids"))
+    enc = encoded_documents(spark, sf, max_tokens=MAX_LEN).select("doc_id", "input_ids")
     b = SP.batch_ids(SP.split_exact(enc, "doc_id", seed=SEED), BATCH)
     p = SP.pad_batches(b)
     s = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
