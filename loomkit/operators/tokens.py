@@ -85,8 +85,10 @@ def initial_words(hist: DataFrame, specials: list[str] | None = None) -> DataFra
 def adjacent_pairs(words: DataFrame, keep: list[str]) -> DataFrame:
     """Adjacent symbol pairs ``(keep..., a, b)``: a position explode followed by a
     plain projection, so the pair building stays in generated code."""
-    multi = words.where(F.size("symbols") > 1)
-    pos = multi.select(*keep, "symbols", F.posexplode("symbols").alias("i", "a"))
+    # posexplode_outer: a plain explode lets the optimizer infer size(symbols) > 0
+    # and push it below the word aggregation, where it would run the symbol
+    # regex once per word occurrence instead of once per distinct word
+    pos = words.select(*keep, "symbols", F.posexplode_outer("symbols").alias("i", "a"))
     pairs = pos.select(*keep, "a", F.try_element_at("symbols", F.col("i") + 2).alias("b"))
     return pairs.where(F.col("b").isNotNull())
 
@@ -252,7 +254,8 @@ def encode_documents(docs: DataFrame, key: str, text_col: str, vocab: DataFrame,
     words = initial_words(distinct.withColumn("n", F.lit(1)), specials).select("word", "symbols")
     if merges is not None:
         words = apply_merges(words, merges)
-    sym = words.select("word", F.posexplode("symbols").alias("i", "sym"))
+    sym = (words.select("word", F.posexplode_outer("symbols").alias("i", "sym"))
+           .where(F.col("sym").isNotNull()))  # _outer: no inferred filter below the distinct
     ids = encode_words(sym.withColumnRenamed("word", "w").withColumnRenamed("sym", "word"), vocab, unk_id)
     per_word = (ids.groupBy(F.col("w").alias("word"))
                 .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "id"))), lambda s: s["id"]).alias("ids")))
