@@ -19,7 +19,9 @@ def build_session(master: str | None = None, app: str = "loomkit",
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
-               .config("spark.ui.enabled", "false"))
+               .config("spark.ui.enabled", "false")
+               # checkpoint files of iterative jobs are removed once unreferenced
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if driver_memory:
         # only takes effect when this call starts the JVM (local runs, tests)
         builder = builder.config("spark.driver.memory", driver_memory)
