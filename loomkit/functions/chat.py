@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomkit.functions.markup import let
 from loomkit.functions.text import py_lstrip, py_strip
 
 # Chat markers, the user instruction and the generation primer.
@@ -39,19 +40,23 @@ def extract_svg(response: Column, mode: str = "faithful") -> Column:
     a later ``<svg`` stays), cut after the first ``</svg>`` or ``\\n</svg>`` appended.
     Safe: cut at the first ``<svg`` before prepending.
     """
+    if mode not in ("faithful", "safe"):
+        raise ValueError(f"unknown mode {mode!r}")
     s = response
     for fence in FENCES:
         s = F.replace(s, F.lit(fence), F.lit(""))
-    s = py_strip(s)
-    if mode == "faithful":
-        s = F.when(s.startswith("<svg"), s).otherwise(F.concat(F.lit("<svg "), py_lstrip(s)))
-    elif mode == "safe":
-        at = F.locate("<svg", s)
-        s = F.when(at > 0, s.substr(at, F.length(s) + 1)).otherwise(F.concat(F.lit("<svg "), py_lstrip(s)))
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
-    end = F.locate("</svg>", s)
-    return F.when(end > 0, F.substring(s, F.lit(1), end + 5)).otherwise(F.concat(s, F.lit("\n</svg>")))
+
+    def prefixed(t: Column) -> Column:
+        if mode == "faithful":
+            return F.when(t.startswith("<svg"), t).otherwise(F.concat(F.lit("<svg "), py_lstrip(t)))
+        at = F.locate("<svg", t)
+        return F.when(at > 0, t.substr(at, F.length(t) + 1)).otherwise(F.concat(F.lit("<svg "), py_lstrip(t)))
+
+    def closed(t: Column) -> Column:
+        end = F.locate("</svg>", t)
+        return F.when(end > 0, F.substring(t, F.lit(1), end + 5)).otherwise(F.concat(t, F.lit("\n</svg>")))
+    # each stage is bound once (let), so the strip regex runs once per response
+    return let(let(py_strip(s), prefixed), closed)
 
 
 def file_name(prompt: Column) -> Column:

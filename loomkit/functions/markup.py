@@ -32,6 +32,16 @@ OTHER_PRIORITY = 100
 _DEC = "decimal(38,18)"
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    A one-element ``transform`` is a let-binding inside an expression: a column
+    function that reads its input several times (split + extract + extract)
+    would otherwise re-evaluate a costly input expression for every reference.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _pow2(k: Column) -> Column:
     """2^k as an exact decimal(38,0) for 0 <= k <= 124."""
     one = F.lit(1).cast("bigint")
@@ -166,6 +176,10 @@ def round_numbers(text: Column, ndigits: int = 2, mode: str = "faithful",
     separator where a signed number collapses onto its neighbour. The result is
     NULL when a literal overflows a double: such a row is rejected (F9).
     """
+    return let(text, lambda t: _round_numbers(t, ndigits, mode, rounding))
+
+
+def _round_numbers(text: Column, ndigits: int, mode: str, rounding: str) -> Column:
     overflow = F.exists(_matches(text, NUMBER_ANY), lambda m: F.abs(m.cast("double")) == F.lit(float("inf")))
     if mode == "faithful":
         replaced = round_literals(_matches(text, NUMBER_ANY), ndigits, rounding)
@@ -189,7 +203,8 @@ def round_numbers(text: Column, ndigits: int = 2, mode: str = "faithful",
 
 def round_decimals(text: Column, ndigits: int = 2, rounding: str = "binary") -> Column:
     """Only ``-?\\d+\\.\\d+`` literals are rounded; exponents stay as they are."""
-    return _assemble(text, NUMBER_DECIMAL, round_literals(_matches(text, NUMBER_DECIMAL), ndigits, rounding))
+    return let(text, lambda t: _assemble(t, NUMBER_DECIMAL, round_literals(_matches(t, NUMBER_DECIMAL), ndigits,
+                                                                          rounding)))
 
 
 def _priority(name: Column) -> Column:
@@ -216,6 +231,10 @@ def sort_attributes(text: Column) -> Column:
 
     Ordering is stable: equal (priority, name) keep their input position.
     """
+    return let(text, _sort_attributes)
+
+
+def _sort_attributes(text: Column) -> Column:
     pieces = F.split(text, TAG, -1)
     tags = F.arrays_zip(
         F.regexp_extract_all(text, F.lit(TAG), 1).alias("name"),
