@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomkit.functions.text import compute_once
-from loomkit.operators.records import bounded_broadcast, small_side
+from loomkit.operators.records import bounded_broadcast
 from loomkit.session import cut_lineage
 
 # Unicode White_Space (the pre-tokenizer's \s).

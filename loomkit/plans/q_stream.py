@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from loomkit.plans import duck as D
 from loomkit.plans.q_records import _CLEANER_SQL, record_lines
