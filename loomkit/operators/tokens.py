@@ -117,29 +117,47 @@ def merge_symbols(symbols: Column, a: Column, b: Column) -> Column:
 
 
 def train_bpe(hist: DataFrame, n_merges: int, specials: list[str] | None = None,
-              checkpoint_every: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Exact byte-pair training, one merge per round.
+              checkpoint_every: int = 8, batch: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Byte-pair training over the distinct-word table.
 
     Returns ``(merges(rank, a, b, token, c), words)``. Each round: pair counts over
-    the distinct-word table, the top pair (one row reaches the driver), and a
-    rewrite of only the words that contain both symbols.
+    the distinct-word table, the top pairs (a few rows reach the driver), and a
+    rewrite of only the words that contain both symbols of a chosen pair.
+
+    ``batch=1`` (default) is exact: one merge per round. ``batch=k`` is the
+    approximate mode: up to k top pairs whose symbols are pairwise disjoint are
+    applied in one rewrite, in count order. Disjoint pairs do not change each
+    other's counts, but a pair formed in the round could outrank a later pick.
     """
     spark = hist.sparkSession
     words = cut_lineage(initial_words(hist, specials))
     merges = []
-    for r in range(n_merges):
-        top = top_pairs(pair_counts(words)).collect()
-        if not top:
+    rounds = 0
+    while len(merges) < n_merges:
+        want = min(batch, n_merges - len(merges))
+        cands = top_pairs(pair_counts(words), 1 if want == 1 else 4 * want).collect()
+        if not cands:
             break
-        a, b, c = top[0]["a"], top[0]["b"], int(top[0]["c"])
-        merges.append((r, a, b, a + b, c))
-        la, lb = F.lit(a), F.lit(b)
-        touched = F.array_contains("symbols", a) & F.array_contains("symbols", b)
+        chosen, used = [], set()
+        for row in cands:
+            if len(chosen) == want:
+                break
+            if row["a"] in used or row["b"] in used:
+                continue
+            chosen.append(row)
+            used |= {row["a"], row["b"]}
+        rewrite, touched = F.col("symbols"), F.lit(False)
+        for row in chosen:
+            a, b = row["a"], row["b"]
+            merges.append((len(merges), a, b, a + b, int(row["c"])))
+            rewrite = merge_symbols(rewrite, F.lit(a), F.lit(b))
+            touched = touched | (F.array_contains("symbols", a) & F.array_contains("symbols", b))
         # behind a Generate boundary: stacked rewrites must not be collapsed into
         # one expression that re-evaluates every earlier round several times
-        words = compute_once(words, ["word", "n"], symbols=F.when(touched, merge_symbols(F.col("symbols"), la, lb))
-                             .otherwise(F.col("symbols")))
-        if (r + 1) % checkpoint_every == 0:
+        words = compute_once(words, ["word", "n"],
+                             symbols=F.when(touched, rewrite).otherwise(F.col("symbols")))
+        rounds += 1
+        if rounds % checkpoint_every == 0:
             words = cut_lineage(words)
     schema = "rank int, a string, b string, token string, c bigint"
     return spark.createDataFrame(merges, schema), words

@@ -96,3 +96,15 @@ def test_vocab_ops(spark):
     u = T.vocab_union(vocab, added)
     assert u.count() == vocab.count() + (0 if vocab.where("token = 'aa'").count() else 1) + 1
     assert u.where("token = 'zz'").first().id == u.agg(F.max("id")).first()[0]
+
+
+def test_batched_bpe_is_labelled_approximation(spark):
+    df = spark.createDataFrame([(t,) for t in TEXT], "text string")
+    hist = T.word_histogram(df, "text")
+    exact, _ = T.train_bpe(hist, 6)
+    approx, words = T.train_bpe(hist, 6, batch=3)
+    e = [(r.a, r.b) for r in exact.orderBy("rank").collect()]
+    a = [(r.a, r.b) for r in approx.orderBy("rank").collect()]
+    assert len(a) == 6 and a[0] == e[0]
+    for r in words.collect():  # merges never lose characters
+        assert "".join(r.symbols) == r.word
