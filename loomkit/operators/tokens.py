@@ -284,4 +284,6 @@ def encode_documents(docs: DataFrame, key: str, text_col: str, vocab: DataFrame,
     ids_all = F.flatten(F.transform(F.array_sort(F.collect_list(item)), lambda s: s["ids"]))
     if max_tokens is not None:
         ids_all = F.slice(ids_all, 1, max_tokens)
-    return joined.groupBy(key).agg(ids_all.alias("input_ids"), F.sum(F.size("ids")).cast("int").alias("n_ids"))
+    id_sum = F.sum(F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x))
+    return joined.groupBy(key).agg(ids_all.alias("input_ids"), F.sum(F.size("ids")).cast("int").alias("n_ids"),
+                                   id_sum.alias("id_sum"))

@@ -103,12 +103,12 @@ def encoded_documents(spark, sf, max_tokens=None):
 SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, CAST(list_sum(ids) AS BIGINT) AS id_sum,
   array_to_string(ids[1:16], ' ') AS ids_head FROM enc""")
 def encode_lookup(spark, sf):
-    """J3 + T8: token -> id lookup (unknown -> <unk> = 0) over whole documents."""
-    enc = encoded_documents(spark, sf)
-    ids = F.col("input_ids")
-    return enc.select("doc_id", F.size(ids).alias("n_ids"),
-                      F.aggregate(ids, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"),
-                      F.array_join(F.slice(ids, 1, 16), " ").alias("ids_head"))
+    """J3 + T8: token -> id lookup (unknown -> <unk> = 0) over whole documents.
+
+    Count and id sum are plain aggregates over every word; only the first 16
+    words of a document are gathered for the head."""
+    enc = encoded_documents(spark, sf, max_tokens=16)
+    return enc.select("doc_id", "n_ids", "id_sum", F.array_join("input_ids", " ").alias("ids_head"))
 
 
 @register("truncate_ids", "WITH " + _CHAR_IDS + f"""
