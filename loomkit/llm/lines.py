@@ -32,42 +32,39 @@ GRAM = 5
 SMALL = 1_000_000
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 1) and size of segment ``i`` (from 0); longer segments come last."""
-    size = F.floor(length / parts).cast("int")
-    longer = length - size * parts  # the last so many segments hold one character more
-    short = F.lit(parts) - longer
-    start = 1 + i * size + F.greatest(F.lit(0), F.lit(i) - short)
-    return start, size + F.when(F.lit(i) >= short, 1).otherwise(0)
+def _segment(length: str, i: int, parts: int) -> tuple[Column, Column]:
+    """Start (from 1) and size of segment ``i`` (from 0) of a line with ``length`` (SQL)
+    characters; longer segments come last."""
+    size = f"int(({length}) div {parts})"
+    longer = f"int(({length}) % {parts})"  # the last so many segments hold one character more
+    short = f"({parts} - {longer})"
+    return (F.expr(f"1 + {i} * {size} + greatest(0, {i} - {short})"),
+            F.expr(f"{size} + if({i} >= {short}, 1, 0)"))
 
 
-def _key(length: Column, i: int, part: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), part)
-
-
-def own_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
+def own_keys(line: str = "line", length: str = "length", edits: int = EDITS) -> list[Column]:
     out = []
     for i in range(edits + 1):
         start, size = _segment(length, i, edits + 1)
-        out.append(_key(length, i, F.substring(line, start, size)))
-    return F.array(*out)
+        out.append(F.xxhash64(F.col(length), F.lit(i), F.substring(F.col(line), start, size)))
+    return out
 
 
-def lookup_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
+def lookup_keys(line: str = "line", length: str = "length", edits: int = EDITS) -> list[Column]:
     """Keys at which equally long or shorter lines may share a segment, without the own
-    ones.  With ``d`` characters less on the other side, segment ``i`` (from 0) can stand
-    ``s`` places further right here only if ``|s| <= i`` and ``|s - d| <= edits - i``."""
+    ones; null where no such place is.  With ``d`` characters less on the other side,
+    segment ``i`` (from 0) can stand ``s`` places further right here only if ``|s| <= i``
+    and ``|s - d| <= edits - i``."""
     out = []
     for d in range(edits + 1):
-        other = length - d
         for i in range(edits + 1):
-            start, size = _segment(other, i, edits + 1)
+            start, size = _segment(f"{length} - {d}", i, edits + 1)
             for s in range(-i, i + 1):
                 if abs(s - d) <= edits - i and (d or s):
                     at = start + s
-                    out.append(F.when((at >= 1) & (at + size - 1 <= length),
-                                      _key(other, i, F.substring(line, at, size))))
-    return F.filter(F.array(*out), lambda k: k.isNotNull())
+                    out.append(F.when((at >= 1) & (at + size - 1 <= F.col(length)), F.xxhash64(
+                        F.col(length) - d, F.lit(i), F.substring(F.col(line), at, size))))
+    return out
 
 
 def edit_distance(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -123,14 +120,15 @@ def grams(chars: Column) -> Column:
 def _lines(docs: DataFrame, least: int) -> DataFrame:
     """``(doc_id, text_key, place, line, length)`` of the lines of ``least`` characters or more.
 
-    The length leaves the Generate with its line, so no later expression counts it again.
+    The length leaves the Generate with its line, so no later expression counts it again;
+    the outer form keeps the optimizer from evaluating the array once more in a filter.
     """
     text = F.col("text").cast("string")
-    lines = F.filter(F.transform(F.split(text, "\n"), lambda line, i: F.struct(
-        i.alias("place"), F.length(line).alias("length"), line.alias("line"))), lambda x: x["length"] >= least)
+    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(
+        i.alias("place"), F.length(line).alias("length"), line.alias("line")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"),
-                       F.explode(lines).alias("x"))
-    return rows.select("doc_id", "text_key", "x.place", "x.line", "x.length")
+                       F.explode_outer(lines).alias("x"))
+    return rows.select("doc_id", "text_key", "x.place", "x.line", "x.length").where(F.col("length") >= least)
 
 
 def _digest(line: Column) -> Column:
@@ -141,31 +139,29 @@ def earlier_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -
     """``(digest, first, leader)``: each distinct line's first place and, where an
     earlier line lies within ``edits``, the earliest such line's first place."""
     lines = _lines(docs, max(least, edits + 1))
-    length = F.col("length")
     keyed = lines.select(_digest(F.col("line")).alias("digest"), F.struct("doc_id", "place").alias("at"),
-                         own_keys(F.col("line"), length, edits).alias("own"),
-                         lookup_keys(F.col("line"), length, edits).alias("lookup"))
-    distinct = keyed.groupBy("digest").agg(F.min("at").alias("first"), F.any_value("own").alias("own"),
-                                           F.any_value("lookup").alias("lookup"))
-    distinct = cut_lineage(distinct)
-    probes = distinct.select("digest", F.explode(F.concat(
-        F.transform("own", lambda k: F.struct(k.alias("key"), F.lit(True).alias("own"))),
-        F.transform("lookup", lambda k: F.struct(k.alias("key"), F.lit(False).alias("own"))))).alias("p"))
-    probes = probes.select(F.col("p.key").alias("key"), F.col("p.own").alias("own"), "digest")
+                         F.array(*own_keys(edits=edits), *lookup_keys(edits=edits)).alias("keys"))
+    distinct = keyed.groupBy("digest").agg(F.min("at").alias("first"), F.any_value("keys").alias("keys"))
+    # the number a line goes by from here on is stable: it is read from the checkpoint
+    distinct = cut_lineage(distinct.withColumn("id", F.monotonically_increasing_id()))
+    # the lowest bit of a mark says that the key is an own segment
+    probes = distinct.select("id", F.posexplode_outer("keys").alias("nth", "key")).where("key IS NOT NULL").select(
+        "key", (F.col("id") * 2 + F.when(F.col("nth") <= edits, 1).otherwise(0)).alias("mark"))
     # a key is of use when a segment of one line is met by another line
-    shared = probes.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("owned"),
-                                       F.min("digest").alias("low"), F.max("digest").alias("high")) \
-        .where("owned AND low <> high").select("key", "n")
-    members = cut_lineage(probes.join(bounded_broadcast(shared, SMALL), "key").distinct())
-    wanted = cut_lineage(members.select("digest").distinct().join(distinct.select("digest", "first"), "digest"))
+    shared = probes.groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("mark") % 2).alias("owned"),
+                                       F.min("mark").alias("low"), F.max("mark").alias("high")) \
+        .where("owned = 1 AND shiftright(low, 1) <> shiftright(high, 1)").select("key", "n")
+    members = probes.join(bounded_broadcast(shared, SMALL), "key").groupBy(
+        "key", F.shiftright("mark", 1).alias("id")).agg(F.max(F.col("mark") % 2 == 1).alias("own"), F.max("n").alias("n"))
+    members = cut_lineage(members)
+    wanted = cut_lineage(distinct.select("id", "digest", "first").join(
+        bounded_broadcast(members.select("id").distinct(), SMALL), "id"))
     texts = lines.select(_digest(F.col("line")).alias("digest"), "line").join(
-        bounded_broadcast(wanted.select("digest"), SMALL), "digest").groupBy("digest").agg(F.any_value("line").alias("line"))
-    texts = cut_lineage(texts.select("digest", F.split("line", "").alias("chars")).select(
-        "digest", "chars", grams(F.col("chars")).alias("grams")))
-    full = members.join(wanted.join(texts, "digest"), "digest").select(
-        "key", "own", F.pmod(F.hash("digest"), F.ceil(F.col("n") / BLOCK)).alias("block"),
-        F.struct("first", "digest", "own", "chars", "grams").alias("m"))
-    full = cut_lineage(full)
+        bounded_broadcast(wanted.select("digest"), SMALL), "digest").groupBy("digest").agg(
+            F.any_value("line").alias("line"))
+    full = cut_lineage(members.join(texts.join(wanted, "digest"), "id").select(
+        "key", "own", F.pmod(F.hash("id"), F.ceil(F.col("n") / BLOCK)).alias("block"),
+        F.struct("first", "digest", "own", "line").alias("m")))
     left = full.where("own").groupBy("key", "block").agg(F.collect_list("m").alias("left")) \
         .withColumnRenamed("block", "left_block")
     right = full.groupBy("key", "block").agg(F.collect_list("m").alias("right"))
@@ -177,11 +173,19 @@ def earlier_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -
                         & (edit_distance(mine["chars"], o["chars"], edits) <= edits))
         return F.struct(mine["digest"].alias("digest"), F.array_min(F.transform(near, lambda o: o["first"])).alias("leader"))
 
+    def open_lines(block: Column) -> Column:
+        return F.transform(F.transform(block, lambda m: F.struct(
+            m["first"].alias("first"), m["digest"].alias("digest"), m["own"].alias("own"),
+            F.split(m["line"], "").alias("chars"))), lambda m: F.struct(
+                m["first"].alias("first"), m["digest"].alias("digest"), m["own"].alias("own"),
+                m["chars"].alias("chars"), grams(m["chars"]).alias("grams")))
+
     # a lookup meets a segment in one direction only, two segments meet in both
-    pairs = left.join(right, "key").select(F.explode(F.filter(F.concat(
-        F.transform("left", lambda m: earliest(m, F.col("right"))),
-        F.transform(F.filter("right", lambda m: ~m["own"]), lambda m: earliest(m, F.col("left")))),
-        lambda x: x["leader"].isNotNull())).alias("x")).select("x.*")
+    opened = F.struct(open_lines(F.col("left")).alias("left"), open_lines(F.col("right")).alias("right"))
+    pairs = left.join(right, "key").select(F.explode_outer(let(opened, lambda z: F.filter(F.concat(
+        F.transform(z["left"], lambda m: earliest(m, z["right"])),
+        F.transform(F.filter(z["right"], lambda m: ~m["own"]), lambda m: earliest(m, z["left"]))),
+        lambda x: x["leader"].isNotNull()))).alias("x")).select("x.*").where("digest IS NOT NULL")
     leaders = pairs.groupBy("digest").agg(F.min("leader").alias("leader"))
     return distinct.select("digest", "first").join(leaders, "digest", "left")
 
