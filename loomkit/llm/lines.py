@@ -136,12 +136,13 @@ def _digest(line: Column) -> Column:
 
 
 def earlier_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
-    """``(digest, first, leader)``: each distinct line's first place and, where an
-    earlier line lies within ``edits``, the earliest such line's first place."""
+    """``(digest, first, leader)`` of the distinct lines that occur twice or more or have an
+    earlier line within ``edits``: first place, and the earliest such line's first place."""
     lines = _lines(docs, max(least, edits + 1))
     keyed = lines.select(_digest(F.col("line")).alias("digest"), F.struct("doc_id", "place").alias("at"),
                          F.array(*own_keys(edits=edits), *lookup_keys(edits=edits)).alias("keys"))
-    distinct = keyed.groupBy("digest").agg(F.min("at").alias("first"), F.any_value("keys").alias("keys"))
+    distinct = keyed.groupBy("digest").agg(F.min("at").alias("first"), F.count("*").alias("often"),
+                                           F.any_value("keys").alias("keys"))
     # the number a line goes by from here on is stable: it is read from the checkpoint
     distinct = cut_lineage(distinct.withColumn("id", F.monotonically_increasing_id()))
     # the lowest bit of a mark says that the key is an own segment
@@ -187,13 +188,14 @@ def earlier_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -
         F.transform(F.filter(z["right"], lambda m: ~m["own"]), lambda m: earliest(m, z["left"]))),
         lambda x: x["leader"].isNotNull()))).alias("x")).select("x.*").where("digest IS NOT NULL")
     leaders = pairs.groupBy("digest").agg(F.min("leader").alias("leader"))
-    return distinct.select("digest", "first").join(leaders, "digest", "left")
+    return distinct.select("digest", "first", "often").join(leaders, "digest", "left") \
+        .where("often > 1 OR leader IS NOT NULL").select("digest", "first", "leader")
 
 
 def repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
     """``(doc_id, text_key, removed)``: per document with repeated lines their
     ``(place, exact, leader)``, in order."""
-    found = cut_lineage(earlier_lines(docs, edits, least))
+    found = bounded_broadcast(earlier_lines(docs, edits, least), SMALL // 4)  # rows of 48 bytes
     places = _lines(docs, max(least, edits + 1)).select(
         "doc_id", "text_key", "place", _digest(F.col("line")).alias("digest"))
     at = F.struct("doc_id", "place")
