@@ -9,8 +9,10 @@
    count on the packed signatures) is high enough is confirmed on the full shingle sets.
 4. Buckets whose members are not all connected by then are compared in blocks: members
    outside the bucket's largest component against all members, pairs inside one component
-   left out.  So every pair that shares a bucket is either connected or was compared; a
-   group of many near copies never gives all its pairs.
+   left out.  A bucket of up to ``SMALL`` members gives its close pairs for confirmation;
+   the blocks of a larger one carry the full sets and confirm in place, so that only links
+   leave it.  So every pair that shares a bucket is either connected or was compared, and
+   a group of many near copies never gives all its pairs.
 5. Components of the confirmed links, carried back from classes to documents.
 
 With 48 bands of 5 rows a pair at similarity 0.75 shares a bucket with probability
@@ -30,7 +32,9 @@ from loomkit.llm.components import connected_components
 from loomkit.llm.words import distinct_per_row, mix, shingles, word_hashes
 from loomkit.session import cut_lineage
 
-BANDS, ROWS, BITS, BLOCK = 48, 5, 4, 256
+BANDS, ROWS, BITS = 48, 5, 4
+#: members of a bucket that may give pairs, and of a block of a larger one
+SMALL, BLOCK = 64, 64
 HASHES = BANDS * ROWS
 _rng = np.random.default_rng(75)
 _A = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -133,26 +137,69 @@ def _near(threshold: float):
     return run
 
 
-def _blocks(threshold: float):
-    """Compare a block of members with another; pairs inside one component are left out."""
+def _pairs(threshold: float):
+    """Close pairs of a small bucket across its components."""
     low = cut(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                left, right = row["left"], row["right"]
-                ids = [np.array([m["id"] for m in side]) for side in (left, right)]
-                comp = [np.array([m["comp"] for m in side]) for side in (left, right)]
-                minor = [np.array([m["minor"] for m in side]) for side in (left, right)]
-                lanes = [_lanes(pa.array([m["sig"] for m in side])) for side in (left, right)]
+            a, b = [], []
+            for members in batch.column("members").to_pylist():
+                ids = np.array([m["id"] for m in members])
+                comp = np.array([m["comp"] for m in members])
+                lanes = _lanes(pa.array([m["sig"] for m in members]))
+                for i in range(len(members) - 1):
+                    near = (comp[i + 1:] != comp[i]) & (estimate(lanes[i], lanes[i + 1:]) >= low)
+                    hit = ids[i + 1:][near]
+                    a.append(np.minimum(hit, ids[i]))
+                    b.append(np.maximum(hit, ids[i]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+    return run
+
+
+def similar(x: np.ndarray, y: np.ndarray, numerator: int, denominator: int) -> bool:
+    """Similarity test on two sorted sets of distinct values."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x) or denominator * len(x) < numerator * len(y):
+        return False
+    at = np.searchsorted(y, x)
+    shared = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return denominator * shared >= numerator * (len(x) + len(y) - shared)
+
+
+def _links(numerator: int, denominator: int):
+    """Links between two blocks of a large bucket, confirmed on the full sets.
+
+    A pair is compared in its first shared band.  Components joined by a link are one from
+    then on inside the pair of blocks, so a link between them is not looked for again.
+    """
+    low = cut(numerator / denominator)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                key, left, right = (batch.column(c)[row].as_py() for c in ("key", "left", "right"))
+                ids, comp, sets, lanes, keys = ([
+                    [np.array([m["id"] for m in side]), np.array([m["comp"] for m in side]),
+                     [np.frombuffer(m["own"], np.uint64) for m in side],
+                     _lanes(pa.array([m["sig"] for m in side])), np.array([m["keys"] for m in side])][k]
+                    for side in (left, right)] for k in range(5))
+                a, b = [], []
                 for i in range(len(left)):
-                    # both minor: the pair comes from both sides, keep one
-                    other = (comp[1] != comp[0][i]) & (~minor[1] | (ids[0][i] < ids[1]))
-                    near = other & (estimate(lanes[0][i], lanes[1]) >= low)
-                    if near.any():
-                        hit = ids[1][near]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(hit, ids[0][i])), pa.array(np.maximum(hit, ids[0][i]))], ["a", "b"])
+                    same = keys[0][i] == keys[1]
+                    first = same.argmax(axis=1) == int((keys[0][i] == key).argmax())
+                    near = first & (comp[1] != comp[0][i])
+                    near[near] = estimate(lanes[0][i], lanes[1][near]) >= low
+                    for j in np.flatnonzero(near):
+                        if comp[1][j] != comp[0][i] and similar(sets[0][i], sets[1][j], numerator, denominator):
+                            a.append(min(ids[0][i], ids[1][j]))
+                            b.append(max(ids[0][i], ids[1][j]))
+                            was = comp[1][j]
+                            for side in comp:
+                                side[side == was] = comp[0][i]
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     return run
 
 
@@ -161,9 +208,8 @@ def _confirm(numerator: int, denominator: int):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(denominator * shared >= numerator * (len(x) + len(y) - shared))
+                keep.append(similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64),
+                                    numerator, denominator))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
                 .filter(pa.array(keep, pa.bool_()))
     return run
@@ -178,11 +224,15 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([sets[a:a + n].tobytes() for a, n in zip(at, number)], pa.binary())], ["id", "own"])
 
 
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(id, own)``: the sorted shingle hashes of the documents in ``ids(doc_id)``."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_full_sets, "id long, own binary")
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, numerator: int = 75, denominator: int = 100) -> DataFrame:
     """Of ``pairs(a, b)`` those whose full shingle sets reach the similarity."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    full = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets, "id long, own binary")
+    full = full_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     return (pairs.join(full.select(F.col("id").alias("a"), F.col("own").alias("set_a")), "a")
             .join(full.select(F.col("id").alias("b"), F.col("own").alias("set_b")), "b")
             .select("a", "b", "set_a", "set_b").mapInArrow(_confirm(numerator, denominator), "a long, b long"))
@@ -219,15 +269,22 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
     sizes = placed.where("n > 2").groupBy("key", "comp").agg(F.count("*").alias("size"), F.max("n").alias("n"))
     mixed = sizes.groupBy("key").agg(F.max_by("comp", F.struct("size", "comp")).alias("major"),
                                      F.count("*").alias("comps")).where("comps > 1").select("key", "major")
-    rest = cut_lineage(placed.join(mixed, "key").join(sig, "id").select(
-        "key", F.struct("id", "comp", (F.col("comp") != F.col("major")).alias("minor"), "sig").alias("m"),
+    rest = cut_lineage(placed.join(mixed, "key").select(
+        "key", "id", "comp", "n", (F.col("comp") != F.col("major")).alias("minor")))
+    small = rest.where(F.col("n") <= SMALL).join(sig, "id").groupBy("key").agg(
+        F.collect_list(F.struct("id", "comp", "sig")).alias("members"))
+    more = small.select("members").mapInArrow(_pairs(threshold), "a long, b long").distinct()
+    more = cut_lineage(more.join(star, ["a", "b"], "left_anti"))
+    large = rest.where(F.col("n") > SMALL)
+    sets = full_sets(docs, large.select(F.col("id").alias("doc_id")).distinct())
+    large = cut_lineage(large.join(sets.join(reps, "id"), "id").select(
+        "key", "minor", F.struct("id", "comp", "own", "sig", "keys").alias("m"),
         F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block")))
-    right = rest.groupBy("key", "block").agg(F.collect_list("m").alias("right"))
-    left = rest.where("m.minor").groupBy("key", "block").agg(F.collect_list("m").alias("left")) \
-        .withColumnRenamed("block", "block_left")
-    more = left.join(right, "key").select("left", "right").mapInArrow(_blocks(threshold), "a long, b long").distinct()
-    more = more.join(star, ["a", "b"], "left_anti")
-    links = links.unionByName(confirmed(docs, cut_lineage(more), numerator, denominator))
+    left = large.where("minor").groupBy("key", F.col("block").alias("from")).agg(F.collect_list("m").alias("left"))
+    right = large.groupBy("key", "block").agg(F.collect_list("m").alias("right"))
+    within = left.join(right, "key").select("key", "left", "right").mapInArrow(
+        _links(numerator, denominator), "a long, b long")
+    links = links.unionByName(confirmed(docs, more, numerator, denominator)).unionByName(within)
     of = connected_components(links)
 
     named = classes.join(of.withColumnRenamed("id", "rep"), "rep", "left").select(
