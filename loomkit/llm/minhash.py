@@ -34,7 +34,7 @@ from loomkit.session import cut_lineage
 
 BANDS, ROWS, BITS = 48, 5, 4
 #: members of a bucket that may give pairs, and of a block of a larger one
-SMALL, BLOCK = 64, 64
+SMALL, BLOCK = 64, 256
 HASHES = BANDS * ROWS
 _rng = np.random.default_rng(75)
 _A = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -169,6 +169,28 @@ def similar(x: np.ndarray, y: np.ndarray, numerator: int, denominator: int) -> b
     return denominator * shared >= numerator * (len(x) + len(y) - shared)
 
 
+class _Members:
+    """A column of blocks as numpy views: members of row ``r`` are ``at[r]:at[r + 1]``."""
+
+    def __init__(self, column: pa.ListArray):
+        self.at = column.offsets.to_numpy()
+        rows = column.values
+        self.id, self.comp = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("id", "comp"))
+        keys = rows.field("keys")
+        self.keys = keys.values.to_numpy(zero_copy_only=False)[keys.offsets[0].as_py():].reshape(-1, BANDS)[:len(rows)]
+        self.lanes = self._bytes(rows.field("sig"), 0, len(rows)).reshape(len(rows), -1)
+        self.own = rows.field("own")
+
+    @staticmethod
+    def _bytes(column: pa.Array, first: int, last: int) -> np.ndarray:
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset:]
+        data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
+        return np.frombuffer(data[offsets[first]:offsets[last]].tobytes(), dtype=np.uint64)
+
+    def set(self, i: int) -> np.ndarray:
+        return self._bytes(self.own, i, i + 1)
+
+
 def _links(numerator: int, denominator: int):
     """Links between two blocks of a large bucket, confirmed on the full sets.
 
@@ -179,26 +201,27 @@ def _links(numerator: int, denominator: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                key, left, right = (batch.column(c)[row].as_py() for c in ("key", "left", "right"))
-                ids, comp, sets, lanes, keys = ([
-                    [np.array([m["id"] for m in side]), np.array([m["comp"] for m in side]),
-                     [np.frombuffer(m["own"], np.uint64) for m in side],
-                     _lanes(pa.array([m["sig"] for m in side])), np.array([m["keys"] for m in side])][k]
-                    for side in (left, right)] for k in range(5))
+            left, right = _Members(batch.column("left")), _Members(batch.column("right"))
+            for row, key in enumerate(batch.column("key").to_pylist()):
+                mine = range(left.at[row], left.at[row + 1])
+                them = slice(right.at[row], right.at[row + 1])
+                ids, keys, lanes = right.id[them], right.keys[them], right.lanes[them]
+                joined = {c: c for c in {*left.comp[mine.start:mine.stop].tolist(), *right.comp[them].tolist()}}
+                comp = right.comp[them].copy()
                 a, b = [], []
-                for i in range(len(left)):
-                    same = keys[0][i] == keys[1]
-                    first = same.argmax(axis=1) == int((keys[0][i] == key).argmax())
-                    near = first & (comp[1] != comp[0][i])
-                    near[near] = estimate(lanes[0][i], lanes[1][near]) >= low
-                    for j in np.flatnonzero(near):
-                        if comp[1][j] != comp[0][i] and similar(sets[0][i], sets[1][j], numerator, denominator):
-                            a.append(min(ids[0][i], ids[1][j]))
-                            b.append(max(ids[0][i], ids[1][j]))
-                            was = comp[1][j]
-                            for side in comp:
-                                side[side == was] = comp[0][i]
+                for i in mine:
+                    own = joined[int(left.comp[i])]
+                    first = (left.keys[i] == keys).argmax(axis=1) == int((left.keys[i] == key).argmax())
+                    near = np.flatnonzero(first & (comp != own))
+                    near = near[estimate(left.lanes[i], lanes[near]) >= low]
+                    x = left.set(i) if len(near) else None
+                    for j in near.tolist():
+                        if comp[j] != own and similar(x, right.set(them.start + j), numerator, denominator):
+                            a.append(min(left.id[i], ids[j]))
+                            b.append(max(left.id[i], ids[j]))
+                            was = int(comp[j])
+                            comp[comp == was] = own
+                            joined.update({c: own for c, now in joined.items() if now == was})
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     return run
 
@@ -263,14 +286,15 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
             .select("a", "b", "sig_a", "sig_b").mapInArrow(_near(threshold), "a long, b long"))
     star = cut_lineage(star)
     links = cut_lineage(confirmed(docs, star, numerator, denominator))
-    labels = connected_components(links)
+    labels = connected_components(links, rounds=2)
 
     placed = members.join(labels, "id", "left").select("key", "id", "n", F.coalesce("label", "id").alias("comp"))
     sizes = placed.where("n > 2").groupBy("key", "comp").agg(F.count("*").alias("size"), F.max("n").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max_by("comp", F.struct("size", "comp")).alias("major"),
-                                     F.count("*").alias("comps")).where("comps > 1").select("key", "major")
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("major"), F.count("*").alias("comps")) \
+        .where("comps > 1").select("key", F.col("major.comp").alias("major"), F.col("major.size").alias("major_size"))
     rest = cut_lineage(placed.join(mixed, "key").select(
-        "key", "id", "comp", "n", (F.col("comp") != F.col("major")).alias("minor")))
+        "key", "id", "comp", "n", (F.col("n") - F.col("major_size")).alias("minors"),
+        (F.col("comp") != F.col("major")).alias("minor")))
     small = rest.where(F.col("n") <= SMALL).join(sig, "id").groupBy("key").agg(
         F.collect_list(F.struct("id", "comp", "sig")).alias("members"))
     more = small.select("members").mapInArrow(_pairs(threshold), "a long, b long").distinct()
@@ -279,8 +303,9 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
     sets = full_sets(docs, large.select(F.col("id").alias("doc_id")).distinct())
     large = cut_lineage(large.join(sets.join(reps, "id"), "id").select(
         "key", "minor", F.struct("id", "comp", "own", "sig", "keys").alias("m"),
-        F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block")))
-    left = large.where("minor").groupBy("key", F.col("block").alias("from")).agg(F.collect_list("m").alias("left"))
+        F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block"),
+        F.pmod(F.xxhash64("id"), F.ceil(F.col("minors") / BLOCK)).alias("from")))
+    left = large.where("minor").groupBy("key", "from").agg(F.collect_list("m").alias("left"))
     right = large.groupBy("key", "block").agg(F.collect_list("m").alias("right"))
     within = left.join(right, "key").select("key", "left", "right").mapInArrow(
         _links(numerator, denominator), "a long, b long")
