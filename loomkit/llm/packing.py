@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame, functions as F
 from loomkit.session import cut_lineage
 
 CAPACITY, END_ID, GROUP = 4096, 1, 50_000
-#: entries of a worker's word cache; emptied when full
-CACHE = 500_000
+#: entries of a worker's two caches, emptied when full: chunks as they stand, bare words
+CHUNKS, WORDS = 500_000, 1_200_000
+#: words encoded in one call
+RUN = 200
 #: characters of one text worked on at once
 SPAN = 1 << 20
 _TOKENIZERS: dict[str, "Encoder"] = {}
@@ -54,7 +56,7 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, need: set[str]) -> None:
-        if len(self.chunks) + len(need) > CACHE:
+        if len(self.chunks) + len(need) > CHUNKS:
             self.chunks.clear()
         easy, hard = [], []
         for c in need:
@@ -65,11 +67,13 @@ class Encoder:
             else:
                 hard.append(c)
         new = list({s for _, s, _ in easy} - self.stems.keys())
-        if len(self.stems) + len(new) > CACHE:
+        if len(self.stems) + len(new) > WORDS:
             self.stems.clear()
             new = list({s for _, s, _ in easy})
         if new:
-            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
+            runs = [" ".join(new[i:i + RUN]) for i in range(0, len(new), RUN)]
+            ids = np.array([i for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
+                            for i in e.ids], dtype="<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(cuts) == len(new):
                 raw, at = ids.tobytes(), 0
@@ -88,7 +92,7 @@ class Encoder:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         need = set().union(*split) - self.chunks.keys()
         if need:
-            if len(self.chunks) + len(need) > CACHE:
+            if len(self.chunks) + len(need) > CHUNKS:
                 need = set().union(*split)
             self._learn(need)
         get = self.chunks.__getitem__
