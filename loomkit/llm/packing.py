@@ -9,8 +9,10 @@ becomes smallest; opening a new sequence is one of the choices.  Only piece leng
 
 from __future__ import annotations
 
+import gc
 import math
 import os
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -21,8 +23,11 @@ from pyspark.sql import DataFrame, functions as F
 from loomkit.session import cut_lineage
 
 CAPACITY, END_ID, GROUP = 4096, 1, 50_000
-#: entries of a worker's two caches, emptied when full: chunks as they stand, bare words
-CHUNKS, WORDS = 500_000, 1_200_000
+#: entries of a worker's two caches, emptied when full (about 0.5 GB then): chunks as they
+#: stand, bare words
+CHUNKS, WORDS = 1_500_000, 1_200_000
+#: marks that may follow a word; inside a word they join or split others
+MARKS = string.punctuation
 #: words encoded in one call
 RUN = 200
 #: characters of one text worked on at once
@@ -35,8 +40,8 @@ class Encoder:
 
     The tokenizer drops white space and never joins across it, so a text's ids are those
     of its space- and newline-separated chunks in order.  Each chunk is encoded once and
-    cached.  A chunk of letters with at most one full stop or comma behind it is looked up
-    by its lower-cased letters, as the tokenizer lower-cases them too.
+    cached.  A chunk of letters with ASCII marks behind it is two of the tokenizer's words,
+    looked up apart, the letters in lower case as the tokenizer has them.
     """
 
     def __init__(self, path: str):
@@ -50,22 +55,27 @@ class Encoder:
             self.ends[i] = token.endswith("</w>")
         self.chunks: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
-        self.marks = {m: self._plain(m) for m in (".", ",", "")}
+        self.marks: dict[str, bytes] = {"": b""}
 
-    def _plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes()
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, need: set[str]) -> None:
         if len(self.chunks) + len(need) > CHUNKS:
             self.chunks.clear()
         easy, hard = [], []
         for c in need:
-            mark = c[-1:] if c[-1:] in (".", ",") else ""
-            stem = c[:-1] if mark else c
-            if len(stem) < 64 and stem.isalpha() and (stem.isascii() or not ("Σ" in stem or "İ" in stem)):
-                easy.append((c, stem.lower(), mark))
+            letters = c.rstrip(MARKS)
+            if len(letters) < 64 and letters.isalpha() and (letters.isascii() or not ("Σ" in letters or "İ" in letters)):
+                easy.append((c, letters.lower(), c[len(letters):]))
             else:
                 hard.append(c)
+        marks = list({m for _, _, m in easy} - self.marks.keys())
+        if len(self.marks) + len(marks) > CHUNKS:
+            self.marks = {"": b""}
+            marks = list({m for _, _, m in easy if m})
+        self.marks.update(zip(marks, self._plain(marks)))
         new = list({s for _, s, _ in easy} - self.stems.keys())
         if len(self.stems) + len(new) > WORDS:
             self.stems.clear()
@@ -81,14 +91,19 @@ class Encoder:
                     self.stems[word] = raw[at:end]
                     at = end
             else:  # some word was split further: one by one
-                for word in new:
-                    self.stems[word] = self._plain(word)
-        for c, stem, mark in easy:
-            self.chunks[c] = self.stems[stem] + self.marks[mark]
-        for c in hard:
-            self.chunks[c] = self._plain(c)
+                self.stems.update(zip(new, self._plain(new)))
+        stems, after = self.stems, self.marks
+        self.chunks.update([(c, stems[stem] + after[mark]) for c, stem, mark in easy])
+        self.chunks.update(zip(hard, self._plain(hard)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        gc.disable()  # the caches are millions of plain strings; there are no cycles to find
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         need = set().union(*split) - self.chunks.keys()
         if need:
