@@ -61,9 +61,7 @@ class Encoder:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, need: set[str]) -> None:
-        if len(self.chunks) + len(need) > CHUNKS:
-            self.chunks.clear()
+    def _learn(self, need: list[str]) -> dict[str, bytes]:
         easy, hard = [], []
         for c in need:
             letters = c.rstrip(MARKS)
@@ -93,8 +91,12 @@ class Encoder:
             else:  # some word was split further: one by one
                 self.stems.update(zip(new, self._plain(new)))
         stems, after = self.stems, self.marks
-        self.chunks.update([(c, stems[stem] + after[mark]) for c, stem, mark in easy])
-        self.chunks.update(zip(hard, self._plain(hard)))
+        learned = {c: stems[stem] + after[mark] for c, stem, mark in easy}
+        learned.update(zip(hard, self._plain(hard)))
+        if len(self.chunks) + len(learned) > CHUNKS:
+            self.chunks.clear()
+        self.chunks.update(learned)
+        return learned
 
     def encode(self, texts: list[str]) -> list[bytes]:
         gc.disable()  # the caches are millions of plain strings; there are no cycles to find
@@ -105,12 +107,12 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        need = set().union(*split) - self.chunks.keys()
+        own = list(set().union(*split))
+        known = dict(zip(own, map(self.chunks.get, own)))  # a small table for the texts at hand
+        need = [c for c, raw in known.items() if raw is None]
         if need:
-            if len(self.chunks) + len(need) > CHUNKS:
-                need = set().union(*split)
-            self._learn(need)
-        get = self.chunks.__getitem__
+            known.update(self._learn(need))
+        get = known.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
 

@@ -237,10 +237,13 @@ def _tag(model):
 def labelled_sample(docs: DataFrame, limit: int = SAMPLE_DOCS) -> list[str]:
     """At most ``limit`` texts that hold a digit or an ``@``, first in hash order of id and
     text; texts beyond 100,000 characters are no training material."""
-    text = F.col("text").cast("string")
-    rows = docs.select(text.alias("text"), F.xxhash64("doc_id").alias("h")).where(
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("h")).where(
         F.contains("text", F.lit("@")) | F.col("text").rlike(r"[0-9]{2}")).where(F.length("text") <= 100_000)
-    return [r["text"] for r in rows.orderBy("h", "text").limit(limit).collect()]
+    # first the hashes alone, then only the texts below the last of them
+    least = [r["h"] for r in rows.select("h").orderBy("h").limit(limit).collect()]
+    if not least:
+        return []
+    return [r["text"] for r in rows.where(F.col("h") <= least[-1]).orderBy("h", "text").limit(limit).collect()]
 
 
 def train_tagger(texts: list[str], spans: list[list[Span]] | None = None, skip: list[list[Span]] | None = None,
