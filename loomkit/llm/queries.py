@@ -56,7 +56,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.decontamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")) \
+        .drop("n_near_items")
 
 
 @_query
