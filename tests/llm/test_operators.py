@@ -19,7 +19,7 @@ SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, k
 
 def docs_of(spark, texts):
     rows = [(i, t, "en", "s", None if t is None else len(t), "k", 1, "x", 2, "y", 3, 4) for i, t in texts]
-    return spark.createDataFrame(rows, SCHEMA)
+    return spark.createDataFrame(rows, SCHEMA).cache()
 
 
 LONG = " ".join(f"word{i % 977}x{i}" for i in range(60_000))
