@@ -1,8 +1,8 @@
 """Connected components of a link table by contraction, all in DataFrames.
 
-Each round every vertex hooks onto its smallest neighbour (or itself), one pointer jump
-shortens the chains, and links are rewritten to the new labels; links inside one label
-disappear.  Nothing is gathered on the driver but one count per round; every round's
+Each round every vertex hooks onto its smallest neighbour (or itself), pointer jumps lead
+each to its root, and links are rewritten to the new labels; links inside one label
+disappear.  Nothing is gathered on the driver but one count and one test per jump; every round's
 tables are cut off with a reliable checkpoint, so a lost executor costs no recomputation
 of earlier rounds.
 """
@@ -37,8 +37,13 @@ def connected_components(links: DataFrame, rounds: int | None = None) -> DataFra
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         hook = both.groupBy("u").agg(F.min("v").alias("v")).select(
             F.col("u").alias("id"), F.least("u", "v").alias("label"))
-        up = hook.select(F.col("id").alias("label"), F.col("label").alias("above"))
-        jump = cut_lineage(hook.join(up, "label").select("id", F.col("above").alias("label")).coalesce(parts))
+        jump = hook
+        while True:  # pointers double until every one ends at a root
+            up = jump.select(F.col("id").alias("label"), F.col("label").alias("above"))
+            hop = cut_lineage(jump.join(up, "label").select("id", "label", "above").coalesce(parts))
+            jump = hop.select("id", F.col("above").alias("label"))
+            if hop.where("label <> above").isEmpty():
+                break
         if labels is None:
             labels = jump
         else:
