@@ -206,16 +206,17 @@ def vocab_union(base: DataFrame, added: DataFrame) -> DataFrame:
     return base.unionByName(ranked.select("id", "token"))
 
 
-def apply_merges(words: DataFrame, merges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def apply_merges(words: DataFrame, merges: DataFrame) -> DataFrame:
     """T4 on distinct words: repeatedly merge each word's lowest-rank adjacent pair.
 
     ``words(word, symbols)``; ``merges(rank, a, b)`` is bounded by the vocabulary
     size and size-checked before the broadcast. Each round only rewrites words
-    that still have a mergeable pair; rounds are bounded by the longest word.
+    that still have a mergeable pair, and each shortens such a word by a symbol or more,
+    so the rounds end when no word has one.
     """
     m = bounded_broadcast(merges.select("a", "b", "rank"), MAX_BROADCAST_VOCAB)
     state = words.select("word", "symbols")
-    for _ in range(max_rounds):
+    while True:
         pairs = adjacent_pairs(state, ["word"])
         best = (pairs.join(m, ["a", "b"]).groupBy("word")
                 .agg(F.min_by(F.struct("a", "b"), F.col("rank")).alias("best")))
