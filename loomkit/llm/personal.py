@@ -127,7 +127,7 @@ def _plausible(text: str, span: Span) -> bool:
     if kind == 1:
         return own.count(".") == 3 and set(own) <= set("0123456789.") and digits >= 4
     if kind == 2:
-        return 13 <= digits <= 19 and set(own) <= set("0123456789- ")
+        return 13 <= digits <= 19 and set(own) <= set("0123456789- ") and luhn(own.replace("-", "").replace(" ", ""))
     return 10 <= digits <= 15 and own[0] == "+" and set(own) <= set("0123456789+-(). ")
 
 

@@ -358,7 +358,9 @@ def test_personal_tagger_on_held_out_documents(spark):
              .where(F.contains("text", F.lit("@")) | F.col("text").rlike("[0-9]{6}")).orderBy("doc_id").select("text").limit(500).collect()]
     model = personal.train_tagger(texts[:300])
     held = texts[300:]
-    tagged, base = personal.tag_spans(model, held), [personal.base_spans(t)[0] for t in held]
+    # tags that pass the operator's own check, as only those are given out
+    tagged = [[s for s in own if personal._plausible(t, s)] for t, own in zip(held, personal.tag_spans(model, held))]
+    base = [personal.base_spans(t)[0] for t in held]
     both = sum(len(set(a) & set(b)) for a, b in zip(tagged, base))
     assert both >= 0.9 * sum(map(len, base)) and both >= 0.9 * sum(map(len, tagged))
     for own, every in personal.find_spans(model, held):
