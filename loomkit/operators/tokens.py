@@ -116,36 +116,60 @@ def merge_symbols(symbols: Column, a: Column, b: Column) -> Column:
     return F.aggregate(symbols, F.array().cast("array<string>"), step)
 
 
-def train_bpe(hist: DataFrame, n_merges: int, specials: list[str] | None = None,
-              checkpoint_every: int = 8, batch: int = 1) -> tuple[DataFrame, DataFrame]:
+def next_merges(cands, want: int, known: set[str], more: bool) -> list:
+    """The longest safe start of ``cands`` (pairs by count, then text), at most ``want``.
+
+    Merging (a, b) changes only pairs with a or b and makes pairs no more frequent than
+    the pair with a or b that they come from. So pairs of disjoint symbols that are
+    strictly more frequent than the first pair sharing a symbol with them keep their
+    places. A pair of equal symbols, or one whose text is a symbol already, does not
+    follow this bound and goes alone. ``more`` says that pairs beyond ``cands`` exist.
+    """
+    chosen, used, made = [], set(), set(known)
+    bar = cands[-1]["c"] if more else 0
+    for row in cands:
+        a, b = row["a"], row["b"]
+        odd = a == b or a + b in made
+        if chosen and (odd or a in used or b in used):
+            bar = row["c"]
+            break
+        chosen.append(row)
+        if odd:
+            break
+        used |= {a, b}
+        made.add(a + b)
+    return chosen[:1] + [row for row in chosen[1:want] if row["c"] > bar]
+
+
+def train_bpe(hist: DataFrame, n_merges: int | None, specials: list[str] | None = None,
+              checkpoint_every: int = 8, batch: int = 1,
+              vocab_size: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Byte-pair training over the distinct-word table.
 
     Returns ``(merges(rank, a, b, token, c), words)``. Each round: pair counts over
     the distinct-word table, the top pairs (a few rows reach the driver), and a
     rewrite of only the words that contain both symbols of a chosen pair.
 
-    ``batch=1`` (default) is exact: one merge per round. ``batch=k`` is the
-    approximate mode: up to k top pairs whose symbols are pairwise disjoint are
-    applied in one rewrite, in count order. Disjoint pairs do not change each
-    other's counts, but a pair formed in the round could outrank a later pick.
+    ``batch=k`` applies up to k merges in one rewrite and gives the same merges as one
+    per round (see ``next_merges``). Training ends after ``n_merges``, or when base
+    symbols, specials and merges reach ``vocab_size``, or when no pair is left.
     """
     spark = hist.sparkSession
     words = cut_lineage(initial_words(hist, specials))
-    merges = []
+    if vocab_size is not None:
+        room = max(vocab_size - base_vocab(words, specials or []).count(), 0)
+        n_merges = room if n_merges is None else min(n_merges, room)
+    elif n_merges is None:
+        raise ValueError("n_merges or vocab_size is needed")
+    merges, known = [], set()
     rounds = 0
     while len(merges) < n_merges:
         want = min(batch, n_merges - len(merges))
         cands = top_pairs(pair_counts(words), 1 if want == 1 else 4 * want).collect()
         if not cands:
             break
-        chosen, used = [], set()
-        for row in cands:
-            if len(chosen) == want:
-                break
-            if row["a"] in used or row["b"] in used:
-                continue
-            chosen.append(row)
-            used |= {row["a"], row["b"]}
+        chosen = next_merges(cands, want, known, more=want > 1 and len(cands) == 4 * want)
+        known |= {row["a"] + row["b"] for row in chosen}
         rewrite, touched = F.col("symbols"), F.lit(False)
         for row in chosen:
             a, b = row["a"], row["b"]
@@ -262,14 +286,15 @@ def encode_documents(docs: DataFrame, key: str, text_col: str, vocab: DataFrame,
 
     Each *distinct* word is encoded once (merges applied, symbols looked up in the
     count-checked broadcast vocabulary); word occurrences then join the encoded
-    words and are gathered back per document in position order. Hot words are
+    words and are gathered back per document in position order; a document without
+    a token keeps its row with no ids. Hot words are
     handled by the broadcast, or by AQE's skew split when the word table is large.
     """
     toks = (pretokenize_with_specials(F.col(text_col), specials) if specials
             else pretokenize(F.col(text_col)))
-    occ = docs.select(key, F.posexplode(toks).alias("pos", "word"))
+    occ = docs.select(key, F.posexplode_outer(toks).alias("pos", "word"))
     distinct = (distinct_words.select("word") if distinct_words is not None
-                else occ.select("word").distinct())
+                else occ.where(F.col("word").isNotNull()).select("word").distinct())
     words = initial_words(distinct.withColumn("n", F.lit(1)), specials).select("word", "symbols")
     if merges is not None:
         words = apply_merges(words, merges)
@@ -278,13 +303,15 @@ def encode_documents(docs: DataFrame, key: str, text_col: str, vocab: DataFrame,
     ids = encode_words(sym.withColumnRenamed("word", "w").withColumnRenamed("sym", "word"), vocab, unk_id)
     per_word = (ids.groupBy(F.col("w").alias("word"))
                 .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "id"))), lambda s: s["id"]).alias("ids")))
-    joined = occ.join(bounded_broadcast(per_word, MAX_BROADCAST_WORDS), "word")
-    item = F.struct("pos", "ids")
+    joined = occ.join(bounded_broadcast(per_word, MAX_BROADCAST_WORDS), "word", "left")
+    held = F.col("ids").isNotNull()
     if max_tokens is not None:
-        item = F.when(F.col("pos") < max_tokens, item)
+        held = held & (F.col("pos") < max_tokens)
+    item = F.when(held, F.struct("pos", "ids"))
     ids_all = F.flatten(F.transform(F.array_sort(F.collect_list(item)), lambda s: s["ids"]))
     if max_tokens is not None:
         ids_all = F.slice(ids_all, 1, max_tokens)
     id_sum = F.sum(F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x))
-    return joined.groupBy(key).agg(ids_all.alias("input_ids"), F.sum(F.size("ids")).cast("int").alias("n_ids"),
-                                   id_sum.alias("id_sum"))
+    n_ids = F.sum(F.coalesce(F.array_size("ids"), F.lit(0))).cast("int")
+    return joined.groupBy(key).agg(ids_all.alias("input_ids"), n_ids.alias("n_ids"),
+                                   F.coalesce(id_sum, F.lit(0).cast("bigint")).alias("id_sum"))

@@ -84,9 +84,10 @@ vocab AS (
 exploded AS (
   SELECT doc_id, unnest(regexp_extract_all(text, '{_NOSPACE}')) AS ch,
     generate_subscripts(regexp_extract_all(text, '{_NOSPACE}'), 1) AS pos FROM documents),
-enc AS (
+filled AS (
   SELECT e.doc_id, list(coalesce(v.id, 0) ORDER BY e.pos) AS ids
-  FROM exploded e LEFT JOIN vocab v ON v.token = e.ch GROUP BY e.doc_id)"""
+  FROM exploded e LEFT JOIN vocab v ON v.token = e.ch GROUP BY e.doc_id),
+enc AS (SELECT d.doc_id, coalesce(f.ids, []) AS ids FROM documents d LEFT JOIN filled f ON f.doc_id = d.doc_id)"""
 
 
 def encoded_documents(spark, sf, max_tokens=None):
@@ -100,20 +101,18 @@ def encoded_documents(spark, sf, max_tokens=None):
 
 
 @register("encode_lookup", "WITH " + _CHAR_IDS + """
-SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, CAST(list_sum(ids) AS BIGINT) AS id_sum,
-  array_to_string(ids[1:16], ' ') AS ids_head FROM enc""")
+SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, CAST(coalesce(list_sum(ids), 0) AS BIGINT) AS id_sum,
+  array_to_string(ids, ' ') AS ids FROM enc""")
 def encode_lookup(spark, sf):
-    """J3 + T8: token -> id lookup (unknown -> <unk> = 0) over whole documents.
-
-    Count and id sum are plain aggregates over every word; only the first 16
-    words of a document are gathered for the head."""
-    enc = encoded_documents(spark, sf, max_tokens=16)
-    return enc.select("doc_id", "n_ids", "id_sum", F.array_join("input_ids", " ").alias("ids_head"))
+    """J3 + T8: token -> id lookup (unknown -> <unk> = 0) over whole documents,
+    the id sequence in full and in order."""
+    enc = encoded_documents(spark, sf)
+    return enc.select("doc_id", "n_ids", "id_sum", F.array_join("input_ids", " ").alias("ids"))
 
 
 @register("truncate_ids", "WITH " + _CHAR_IDS + f"""
 SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, len(ids) > {MAX_LEN} AS truncated,
-  CAST(least(len(ids), {MAX_LEN}) AS INTEGER) AS n_kept, CAST(list_sum(ids[1:{MAX_LEN}]) AS BIGINT) AS kept_sum FROM enc""")
+  CAST(least(len(ids), {MAX_LEN}) AS INTEGER) AS n_kept, CAST(coalesce(list_sum(ids[1:{MAX_LEN}]), 0) AS BIGINT) AS kept_sum FROM enc""")
 def truncate_ids(spark, sf):
     """T5: ids cut at 2048 (colab-fast cap) and a flag for cut rows; only the
     first 2048 words of a document are gathered."""
@@ -132,7 +131,7 @@ sp AS (SELECT doc_id, ids, CASE WHEN rnk <= ceil(0.05 * n) THEN 'test' ELSE 'tra
 b AS (SELECT *, CAST(floor((pos - 1) / {BATCH}) AS BIGINT) AS batch_id FROM sp),
 m AS (SELECT *, max(len(ids)) OVER (PARTITION BY split, batch_id) AS batch_len FROM b)
 SELECT doc_id, split, batch_id, CAST(batch_len AS INTEGER) AS batch_len, CAST(batch_len - len(ids) AS INTEGER) AS n_pad,
-  CAST(len(ids) AS BIGINT) AS mask_sum, CAST(list_sum(ids) + (-100) * (batch_len - len(ids)) AS BIGINT) AS label_sum
+  CAST(len(ids) AS BIGINT) AS mask_sum, CAST(coalesce(list_sum(ids), 0) + (-100) * (batch_len - len(ids)) AS BIGINT) AS label_sum
 FROM m"""
 
 

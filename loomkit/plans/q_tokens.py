@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomkit.functions import chat
+from loomkit.operators import records as R
 from loomkit.operators import tokens as T
 from loomkit.plans import duck as D
 from loomkit.plans.q_records import record_lines
@@ -14,7 +15,8 @@ from loomkit.sources.jsonl import kept, read_jsonl, vocab_json
 from loomkit.session import cut_lineage
 from loomkit.sources.tables import table
 
-N_MERGES = 12
+N_MERGES = 48        # merges the registered queries learn (the operator trains to any size)
+BATCH = 16
 
 _DOC_WORDS = f"""words AS (SELECT unnest(regexp_extract_all(text, {D.q(T.PRETOKEN)})) AS word FROM documents),
 hist AS (SELECT word, count(*) AS n FROM words GROUP BY word)"""
@@ -80,27 +82,18 @@ def special_split(spark, sf):
                          F.size(plain).alias("n_plain"))
 
 
-_TRAINED: dict = {}
-
-
 def _trained(spark, sf, n_merges=N_MERGES):
-    """Train once per session and scale: the vocabulary queries share the result
-    (the word table is checkpointed, the merges are a small local table)."""
-    key = (id(spark), sf, n_merges)
-    if key not in _TRAINED:
-        corpus = chat_corpus(spark, sf)
-        hist = T.word_histogram(corpus, "text", T.BPE_SPECIALS)
-        merges, words = T.train_bpe(hist, n_merges, T.BPE_SPECIALS)
-        words = cut_lineage(words)
-        base = T.base_vocab(words, T.BPE_SPECIALS)
-        vocab = cut_lineage(T.vocab_from_merges(base, merges, T.VOCAB_SIZES["chat"]))
-        _TRAINED[key] = (merges, vocab, words)
-    return _TRAINED[key]
+    """Merges, vocabulary and encoded word table of the chat corpus."""
+    hist = T.word_histogram(chat_corpus(spark, sf), "text", T.BPE_SPECIALS)
+    merges, words = T.train_bpe(hist, n_merges, T.BPE_SPECIALS, batch=BATCH, vocab_size=T.VOCAB_SIZES["chat"])
+    words = cut_lineage(words)
+    base = T.base_vocab(words, T.BPE_SPECIALS)
+    return merges, cut_lineage(T.vocab_from_merges(base, merges, T.VOCAB_SIZES["chat"])), words
 
 
 @register("train_bpe")
 def train_bpe(spark, sf):
-    """Exact byte-pair merges over the chat corpus (one merge per round)."""
+    """Exact byte-pair merges over the chat corpus (exact, several merges per round)."""
     merges, _, _ = _trained(spark, sf)
     return merges
 
@@ -121,9 +114,9 @@ def vocab_export(spark, sf):
 
 @register("vocab_last_50")
 def vocab_last_50(spark, sf):
-    """L2: the last 50 tokens by id."""
+    """L2: the last 50 of the tokens that pass the length filter, by id."""
     _, vocab, _ = _trained(spark, sf)
-    return T.last_tokens(vocab, 50)
+    return T.last_tokens(T.long_tokens(vocab, T.MIN_TOKEN_CHARS["chat"]), 50)
 
 
 @register("compression_ratio")
@@ -137,7 +130,7 @@ def compression_ratio(spark, sf):
     sizes = words.select("word", F.size("symbols").alias("n_after"),
                          F.when(F.col("word").isin(*T.BPE_SPECIALS), 1)
                          .otherwise(F.size(F.regexp_extract_all("word", F.lit(T.CHAR), 0))).alias("n_before"))
-    per_doc = (toks.join(sizes, "word").groupBy("doc_id")
+    per_doc = (toks.join(R.bounded_broadcast(sizes, T.MAX_BROADCAST_WORDS), "word").groupBy("doc_id")
                .agg(F.sum("n_before").alias("n_before"), F.sum("n_after").alias("n_after")))
     return per_doc.withColumn("ratio", F.round(T.compression(F.col("n_before"), F.col("n_after")), 6))
 

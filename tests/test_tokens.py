@@ -1,7 +1,9 @@
 """Pre-tokens, special tokens, byte-pair merges and encoding against plain loops."""
 
+import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from loomkit.operators import tokens as T
@@ -98,13 +100,69 @@ def test_vocab_ops(spark):
     assert u.where("token = 'zz'").first().id == u.agg(F.max("id")).first()[0]
 
 
-def test_batched_bpe_is_labelled_approximation(spark):
+def test_batched_bpe_equals_one_merge_per_round(spark):
     df = spark.createDataFrame([(t,) for t in TEXT], "text string")
     hist = T.word_histogram(df, "text")
-    exact, _ = T.train_bpe(hist, 6)
-    approx, words = T.train_bpe(hist, 6, batch=3)
-    e = [(r.a, r.b) for r in exact.orderBy("rank").collect()]
-    a = [(r.a, r.b) for r in approx.orderBy("rank").collect()]
-    assert len(a) == 6 and a[0] == e[0]
-    for r in words.collect():  # merges never lose characters
-        assert "".join(r.symbols) == r.word
+    exact, one = T.train_bpe(hist, 10)
+    batched, many = T.train_bpe(hist, 10, batch=4)
+    pick = lambda d: [(r.rank, r.a, r.b, r.c) for r in d.orderBy("rank").collect()]
+    assert pick(batched) == pick(exact)
+    assert {r.word: r.symbols for r in many.collect()} == {r.word: r.symbols for r in one.collect()}
+
+
+def counted_pairs(words):
+    total = {}
+    for syms, n in words:
+        for pair in zip(syms, syms[1:]):
+            total[pair] = total.get(pair, 0) + n
+    return [{"a": a, "b": b, "c": c} for (a, b), c in sorted(total.items(), key=lambda e: (-e[1], e[0]))]
+
+
+def rewritten(syms, a, b):
+    out = []
+    for s in syms:
+        if out and out[-1] == a and s == b:
+            out[-1] = a + b
+        else:
+            out.append(s)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_next_merges_on_random_corpora(seed):
+    """Every batch is the start of what single merges give, ties and repeated symbols included."""
+    rng = random.Random(seed)
+    words = [(list("".join(rng.choices("abcdef"[:rng.randint(1, 6)], k=rng.randint(1, 9)))), rng.randint(1, 4))
+             for _ in range(rng.randint(1, 12))]
+    known = set()
+    want = rng.randint(2, 5)
+    for _ in range(12):
+        pairs = counted_pairs(words)
+        if not pairs:
+            break
+        window = pairs[:4 * want]
+        batch = T.next_merges(window, want, known, more=len(window) == 4 * want)
+        assert 1 <= len(batch) <= want
+        for row in batch:
+            assert counted_pairs(words)[0] == row
+            words = [(rewritten(s, row["a"], row["b"]), n) for s, n in words]
+            known.add(row["a"] + row["b"])
+
+
+def test_vocab_size_ends_training(spark):
+    df = spark.createDataFrame([(t,) for t in TEXT], "text string")
+    hist = T.word_histogram(df, "text")
+    n_base = T.base_vocab(T.initial_words(hist), []).count()
+    assert T.train_bpe(hist, None, vocab_size=n_base + 3, batch=2)[0].count() == 3
+    assert T.train_bpe(hist, None, vocab_size=1)[0].count() == 0
+    merges, words = T.train_bpe(hist, None, vocab_size=10_000, batch=8)  # until no pair is left
+    assert all(len(r.symbols) == 1 for r in words.collect())
+
+
+def test_documents_without_a_token_keep_their_row(spark):
+    docs = spark.createDataFrame([(1, "ab a"), (2, ""), (3, "  "), (4, None)], "doc_id int, text string")
+    vocab = T.base_vocab(T.initial_words(T.word_histogram(docs, "text")), ["<unk>"])
+    for cap in (None, 2):
+        got = {r.doc_id: (list(r.input_ids), r.n_ids, r.id_sum)
+               for r in T.encode_documents(docs, "doc_id", "text", vocab, max_tokens=cap).collect()}
+        assert got == {1: ([1, 2, 1][:cap], 3, 4), 2: ([], 0, 0), 3: ([], 0, 0), 4: ([], 0, 0)}
