@@ -119,8 +119,8 @@ SVGS = """svgs AS (
 
 LINES = SVGS + """,
 docs AS (
-  SELECT d.doc_id, substring(d.text, 1, 40) AS caption, d.source, s.svg
-  FROM documents d LEFT JOIN svgs s ON s.svg_key = d.doc_id % 200 AND s.svg_key < 200),
+  SELECT d.doc_id, d.text AS caption, d.source, s.svg
+  FROM documents d LEFT JOIN svgs s ON s.svg_key = d.doc_id % (SELECT greatest(count(*), 1) FROM part)),
 lines AS (
   SELECT doc_id, CASE
     WHEN doc_id % 11 = 0 THEN ''

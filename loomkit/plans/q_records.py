@@ -145,8 +145,8 @@ def chat_text_multiturn(spark, sf):
 
 
 _PROMPT_SQL = f"""SELECT doc_id,
-  {D.q(chat.IM_START + 'user' + chr(10) + chat.INSTRUCTION)} || substring(text, 1, 40) || {D.q(chat.IM_END + chr(10) + chat.IM_START + 'assistant' + chr(10))} AS prompt,
-  {D.q(chat.IM_START + 'user' + chr(10) + chat.INSTRUCTION)} || substring(text, 1, 40) || {D.q(chat.IM_END + chr(10) + chat.IM_START + 'assistant' + chr(10) + chat.PRIMER)} AS primed
+  {D.q(chat.IM_START + 'user' + chr(10) + chat.INSTRUCTION)} || text || {D.q(chat.IM_END + chr(10) + chat.IM_START + 'assistant' + chr(10))} AS prompt,
+  {D.q(chat.IM_START + 'user' + chr(10) + chat.INSTRUCTION)} || text || {D.q(chat.IM_END + chr(10) + chat.IM_START + 'assistant' + chr(10) + chat.PRIMER)} AS primed
 FROM documents"""
 
 
@@ -154,7 +154,7 @@ FROM documents"""
 def prompt_text_q(spark, sf):
     """Prompt-only text, plain and primed."""
     docs = table(spark, sf, "documents")
-    cap = F.substring("text", 1, FX.CAPTION_CHARS)
+    cap = F.col("text")
     return docs.select("doc_id", chat.prompt_text(cap).alias("prompt"), chat.prompt_text(cap, primer=True).alias("primed"))
 
 
@@ -202,7 +202,7 @@ def filter_nonempty(spark, sf):
 
 _UNION_SQL = "WITH " + D.TRAINER + """,
 u AS (SELECT caption, svg, 'records' AS source FROM trainer
-      UNION ALL SELECT substring(url, 1, 40), html, 'pages' FROM pages)
+      UNION ALL SELECT url, html, 'pages' FROM pages)
 SELECT source, count(*) AS n_rows, CAST(sum(length(svg)) AS BIGINT) AS total_chars FROM u GROUP BY source"""
 
 
@@ -210,7 +210,7 @@ SELECT source, count(*) AS n_rows, CAST(sum(length(svg)) AS BIGINT) AS total_cha
 def union_corpora_q(spark, sf):
     """A second corpus appended to the first (bag union by name)."""
     a = R.project_record(trainer_rows(spark, sf), "records")
-    pages = table(spark, sf, "pages").select(F.substring("url", 1, 40).alias("caption"), F.col("html").alias("svg"))
+    pages = table(spark, sf, "pages").select(F.col("url").alias("caption"), F.col("html").alias("svg"))
     b = R.project_record(pages, "pages")
     u = R.union_corpora(a, b)
     return u.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"),
@@ -260,7 +260,7 @@ def json_default(spark, sf):
 
 
 _COMPLETIONS_SQL = """WITH c AS (
-  SELECT doc_id, substring(text, 1, 40) AS prompt,
+  SELECT doc_id, text AS prompt,
     CASE doc_id % 5
       WHEN 0 THEN '<svg viewBox="0 0 8 8"><path d="M' || CAST(n_chars AS VARCHAR) || ' 1"/>' || '</svg>'
       WHEN 1 THEN '```svg' || chr(10) || '<svg viewBox="0 0 8 8"><path d="M' || CAST(n_chars AS VARCHAR) || ' 1"/>' || '</svg>' || chr(10) || '```'

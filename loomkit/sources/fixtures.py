@@ -1,7 +1,7 @@
 """Inputs derived from the driver tables with Spark (FIXTURES.md, part C).
 
-Every derivation is a narrow projection or a join against a side whose size is
-bounded by a key filter, so the derived inputs scale with the driver tables.
+Every derivation is a narrow projection or a join on an even key over whole tables and
+whole texts, so the derived inputs scale with the driver tables.
 """
 
 from __future__ import annotations
@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomkit.operators.records import small_side
+
 # Fixed values of the derived fixtures (FIXTURES.md C).
-SVG_PART_KEYS = 200          # records take the svg of part p_partkey = doc_id % 200
-CAPTION_CHARS = 40           # caption = first 40 characters of the document
 CUT_AT = 20                  # damaged line: cut after 20 characters
 DAMAGE_ORDER = ((11, "blank"), (13, "cut"), (17, "caption_null"), (19, "no_svg"), (23, "numeric_svg"))
 CANDIDATE_BUDGET = 5120      # 5 KB byte budget of the candidate fixture
@@ -41,17 +41,18 @@ def _json(*fields: Column) -> Column:
 def record_lines(documents: DataFrame, part: DataFrame) -> DataFrame:
     """``(doc_id, line)``: corpus JSONL lines (R1) with the damaged-line rules applied.
 
-    The svg side is ``part`` filtered to ``p_partkey < 200``: at most 200 rows, so it
-    is broadcast whatever the size of ``documents``.
+    The caption is the whole document text; record ``doc_id`` takes the markup of part
+    ``doc_id % count(part)``, so every part row is used and no key is hot. ``part`` is
+    broadcast only behind a size check; beyond it both sides shuffle on the key.
     """
-    svgs = (svg_markup(part.where(F.col("p_partkey") < SVG_PART_KEYS))
-            .withColumnRenamed("p_partkey", "svg_key"))
+    n_parts = max(part.count(), 1)
+    svgs = svg_markup(part).withColumnRenamed("p_partkey", "svg_key")
     docs = documents.select(
         "doc_id",
-        F.substring("text", 1, CAPTION_CHARS).alias("caption"),
+        F.col("text").alias("caption"),
         "source",
-        (F.col("doc_id") % SVG_PART_KEYS).alias("svg_key"))
-    joined = docs.join(F.broadcast(svgs), "svg_key", "left")
+        (F.col("doc_id") % n_parts).alias("svg_key"))
+    joined = docs.join(small_side(svgs), "svg_key", "left")
     caption, svg, source = F.col("caption"), F.col("svg"), F.col("source")
     full = _json(caption.alias("caption"), svg.alias("svg"), source.alias("source"))
     d = F.col("doc_id")
@@ -110,7 +111,7 @@ def tiles(embeddings: DataFrame) -> DataFrame:
 
 def completions(documents: DataFrame) -> DataFrame:
     """``(doc_id, prompt, response)`` model-output shapes (R9), chosen by ``doc_id % 5``."""
-    prompt = F.substring("text", 1, CAPTION_CHARS)
+    prompt = F.col("text")
     body = F.concat(F.lit('<svg viewBox="0 0 8 8"><path d="M'), F.col("n_chars").cast("string"),
                     F.lit(' 1"/>'))
     k = F.col("doc_id") % 5
