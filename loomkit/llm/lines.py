@@ -1,13 +1,14 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-A line of ``MIN_CHARS`` characters or more goes when an earlier line, by doc_id and place,
-is equal to it or within ``EDITS`` edits.
+A line that is not blank goes when an earlier line, by doc_id and place, is equal to it or
+within the allowed edits: one for every ``EDIT_CHARS`` characters of the shorter line, at
+most ``EDITS``.  So lines shorter than ``EDIT_CHARS`` go by equality alone.
 
 1. Equal lines are one: a digest with its first place.  Hot lines fold map-side.
-2. A line is cut into ``EDITS + 1`` segments.  Lines within ``EDITS`` edits of each other
-   share one of them unchanged, shifted by a bounded distance: for each possible length of
-   the shorter line a line looks up its substrings at the places where that length's
-   segments can stand.  Own segments and lookups are 64-bit keys of (length, segment,
+2. A line is cut into one segment more than its allowed edits.  Lines within the edits of the
+   shorter one share one of its segments unchanged, shifted by a bounded distance: for each
+   possible length of the shorter line a line looks up its substrings at the places where
+   that length's segments can stand.  Own segments and lookups are 64-bit keys of (length, segment,
    substring); lookups of the own length at the own place are the own segments.
 3. Members of a key that more than one line has are gathered in blocks of about ``BLOCK``,
    and blocks of one key are verified against each other with the banded bit-parallel
@@ -25,7 +26,9 @@ from loomkit.functions.markup import let
 from loomkit.operators.records import bounded_broadcast
 from loomkit.session import cut_lineage
 
-EDITS, MIN_CHARS, BLOCK = 2, 24, 48
+EDITS, EDIT_CHARS, MIN_CHARS, BLOCK = 2, 10, 1, 48
+#: white space; a line of nothing else is blank
+BLANKS = " \t\n\x0b\x0c\r"
 #: characters of a gram in the count filter before verification
 GRAM = 5
 #: rows of a side that is broadcast; its rows are a key or digest of 16 bytes or less
@@ -50,9 +53,25 @@ def own_keys(line: str = "line", length: str = "length", edits: int = EDITS) ->
     return out
 
 
-def lookup_keys(line: str = "line", length: str = "length", edits: int = EDITS) -> list[Column]:
-    """Keys at which equally long or shorter lines may share a segment, without the own
-    ones; null where no such place is.  With ``d`` characters less on the other side,
+def allowed_edits(length: Column, edits: int = EDITS) -> Column:
+    """Edits within which a line and one of ``length`` characters, not longer, are alike."""
+    return F.least(F.lit(edits), F.floor(length / EDIT_CHARS).cast("int"))
+
+
+def class_keys(edits: int = EDITS) -> tuple[list[Column], list[Column]]:
+    """Own keys and lookups for every number of allowed edits.  The length in a key is that of
+    the shorter line, which alone decides the edits; null where a line has another class."""
+    own, lookups = [], []
+    for e in range(1, edits + 1):
+        low, high = EDIT_CHARS * e, EDIT_CHARS * (e + 1) - 1 if e < edits else 2**31 - 1 - edits
+        own += [F.when(F.col("length").between(low, high), k) for k in own_keys(edits=e)]
+        lookups += [F.when(F.col("length").between(low + d, high + d), k) for d, k in lookup_keys(edits=e)]
+    return own, lookups
+
+
+def lookup_keys(line: str = "line", length: str = "length", edits: int = EDITS) -> list[tuple[int, Column]]:
+    """``(d, key)`` at which equally long or shorter lines may share a segment, without the
+    own ones; null where no such place is.  With ``d`` characters less on the other side,
     segment ``i`` (from 0) can stand ``s`` places further right here only if ``|s| <= i``
     and ``|s - d| <= edits - i``."""
     out = []
@@ -62,8 +81,8 @@ def lookup_keys(line: str = "line", length: str = "length", edits: int = EDITS)
             for s in range(-i, i + 1):
                 if abs(s - d) <= edits - i and (d or s):
                     at = start + s
-                    out.append(F.when((at >= 1) & (at + size - 1 <= F.col(length)), F.xxhash64(
-                        F.col(length) - d, F.lit(i), F.substring(F.col(line), at, size))))
+                    out.append((d, F.when((at >= 1) & (at + size - 1 <= F.col(length)), F.xxhash64(
+                        F.col(length) - d, F.lit(i), F.substring(F.col(line), at, size)))))
     return out
 
 
@@ -118,7 +137,7 @@ def grams(chars: Column) -> Column:
 
 
 def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """``(doc_id, text_key, place, line, length)`` of the lines of ``least`` characters or more.
+    """``(doc_id, text_key, place, line, length)`` of the lines of ``least`` characters or more that are not blank.
 
     The length leaves the Generate with its line, so no later expression counts it again;
     the outer form keeps the optimizer from evaluating the array once more in a filter.
@@ -128,7 +147,8 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
         i.alias("place"), F.length(line).alias("length"), line.alias("line")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"),
                        F.explode_outer(lines).alias("x"))
-    return rows.select("doc_id", "text_key", "x.place", "x.line", "x.length").where(F.col("length") >= least)
+    return rows.select("doc_id", "text_key", "x.place", "x.line", "x.length").where(
+        (F.col("length") >= least) & (F.btrim("line", F.lit(BLANKS)) != ""))
 
 
 def _digest(line: Column) -> Column:
@@ -137,17 +157,18 @@ def _digest(line: Column) -> Column:
 
 def earlier_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
     """``(digest, first, leader)`` of the distinct lines that occur twice or more or have an
-    earlier line within ``edits``: first place, and the earliest such line's first place."""
-    lines = _lines(docs, max(least, edits + 1))
+    earlier line within the allowed edits: first place, and the earliest such line's first place."""
+    lines = _lines(docs, least)
+    own, lookups = class_keys(edits)
     keyed = lines.select(_digest(F.col("line")).alias("digest"), F.struct("doc_id", "place").alias("at"),
-                         F.array(*own_keys(edits=edits), *lookup_keys(edits=edits)).alias("keys"))
+                         F.array(*own, *lookups).alias("keys"))
     distinct = keyed.groupBy("digest").agg(F.min("at").alias("first"), F.count("*").alias("often"),
                                            F.any_value("keys").alias("keys"))
     # the number a line goes by from here on is stable: it is read from the checkpoint
     distinct = cut_lineage(distinct.withColumn("id", F.monotonically_increasing_id()))
     # the lowest bit of a mark says that the key is an own segment
     probes = distinct.select("id", F.posexplode_outer("keys").alias("nth", "key")).where("key IS NOT NULL").select(
-        "key", (F.col("id") * 2 + F.when(F.col("nth") <= edits, 1).otherwise(0)).alias("mark"))
+        "key", (F.col("id") * 2 + F.when(F.col("nth") < len(own), 1).otherwise(0)).alias("mark"))
     # a key is of use when a segment of one line is met by another line
     shared = probes.groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("mark") % 2).alias("owned"),
                                        F.min("mark").alias("low"), F.max("mark").alias("high")) \
@@ -171,7 +192,8 @@ def earlier_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -
         near = F.filter(others, lambda o: (o["first"] < mine["first"])
                         & (F.size(F.array_intersect(mine["grams"], o["grams"]))
                            >= F.greatest(F.size(mine["grams"]), F.size(o["grams"])) - GRAM * edits)
-                        & (edit_distance(mine["chars"], o["chars"], edits) <= edits))
+                        & (edit_distance(mine["chars"], o["chars"], edits) <= allowed_edits(
+                            F.least(F.size(mine["chars"]), F.size(o["chars"])), edits)))
         return F.struct(mine["digest"].alias("digest"), F.array_min(F.transform(near, lambda o: o["first"])).alias("leader"))
 
     def open_lines(block: Column) -> Column:
@@ -196,7 +218,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS)
     """``(doc_id, text_key, removed)``: per document with repeated lines their
     ``(place, exact, leader)``, in order."""
     found = bounded_broadcast(earlier_lines(docs, edits, least), SMALL // 4)  # rows of 48 bytes
-    places = _lines(docs, max(least, edits + 1)).select(
+    places = _lines(docs, least).select(
         "doc_id", "text_key", "place", _digest(F.col("line")).alias("digest"))
     at = F.struct("doc_id", "place")
     gone = places.join(found, "digest").where((at > F.col("first")) | F.col("leader").isNotNull())
@@ -216,8 +238,8 @@ def line_report(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) ->
     """``(doc_id, n_lines, n_exact, n_near, removed)`` for every row of ``docs``.
 
     ``removed`` lists ``place:doc_id:place`` of each removed line and the line it repeats.
-    Null texts have no lines, an empty text one empty line; lines shorter than ``least``
-    stay.  Rows with one doc_id and text are one document.  Equal first places cannot
+    Null texts have no lines, an empty text one empty line; blank lines and lines shorter
+    than ``least`` stay.  Rows with one doc_id and text are one document.  Equal first places cannot
     occur, so every tie is decided by doc_id and place.  An empty table gives an empty
     result; other columns are ignored.
     """
@@ -233,10 +255,12 @@ def line_report(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) ->
                     ":", x["place"], x["leader"]["doc_id"], x["leader"]["place"])), ",").alias("removed"))
 
 
-def drop_repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS,
+                        keep_blank: bool = True) -> DataFrame:
     """``docs`` without the repeated lines; columns as they came, ``n_chars`` counted anew.
 
-    A document of which only white space is left goes: all its words stand in earlier lines.
+    Without ``keep_blank`` a document of which only white space is left goes: all its words
+    stand in earlier lines.
     """
     gone = repeated_lines(docs, edits, least)
     joined = _joined(docs, gone, F.struct(*[f"`{c}`" for c in docs.columns]).alias("__row"))
@@ -245,7 +269,8 @@ def drop_repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CH
     left = F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(places, i)), "\n")
     row = joined.select(F.when(F.col("removed").isNull(), text).otherwise(left).alias("__text"),
                         F.col("removed").isNotNull().alias("__cut"), "__row")
-    row = row.where(~F.col("__cut") | (F.length(F.btrim(F.col("__text"), F.lit(" \t\n\x0b\x0c\r"))) > 0))
+    if not keep_blank:
+        row = row.where(~F.col("__cut") | (F.length(F.btrim(F.col("__text"), F.lit(BLANKS))) > 0))
     new = {"text": F.col("__text"), "n_chars": F.when(F.col("__cut"), F.length("__text").cast("long"))
            .otherwise(F.col("__row.n_chars") if "n_chars" in docs.columns else F.lit(0))}
     return row.select(*[(new[c] if c in new else F.col(f"__row.`{c}`")).cast(docs.schema[c].dataType).alias(c)

@@ -198,6 +198,18 @@ def test_line_dedup_is_exact(spark):
         assert left[i]["n_chars"] == len(left[i]["text"])
 
 
+def test_short_lines_are_deduplicated(spark):
+    texts = [(1, "Les.\n\nAnd the rest of it"), (2, "Les.\n\n \nAnd the test of it"), (3, "Lea.\nLes.\nAnd a test of it"),
+             (4, "exactly nineteen ch\nLes"), (5, "exactly nineteen chr\nA\nB"), (6, "exactly nineteen chrs\nA\nC"), (7, "Les.")]
+    got = by_id(lines.line_report(docs_of(spark, texts)))
+    # equal lines of any length; one edit from 10 characters on, two from 20, of the shorter line
+    assert {i: r["removed"] for i, r in got.items()} == {
+        1: "", 2: "0:1:0,3:1:2", 3: "1:1:0", 4: "", 5: "0:4:0", 6: "0:5:0,1:5:1", 7: "0:1:0"}
+    assert len(by_id(lines.drop_repeated_lines(docs_of(spark, texts)))) == 7
+    left = by_id(lines.drop_repeated_lines(docs_of(spark, texts), keep_blank=False))
+    assert sorted(left) == [1, 3, 4, 5, 6] and left[3]["text"] == "Lea.\nAnd a test of it"
+
+
 def test_pages(spark):
     html = ("<html><head><title>t</title><style>p{}</style></head><body><nav><ul><li>Menu</ul></nav>"
             "<div class='ad'>Buy</div>{}<div id=comments><p>Nice!</div><script>var a='</p>';<!-- </script>"
