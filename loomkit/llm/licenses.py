@@ -1,6 +1,8 @@
 """License notices: phrase places and an exact set-similarity join against templates.
 
-Only DataFrame functions.  A text block is a line; its set is its distinct words.  A
+Only DataFrame functions.  A text block is a line; its set is its distinct words.  With
+``wrapped``, runs of adjacent lines are blocks too, so a hard-wrapped notice matches: around
+every line break the words that a notice of the longest template's size can reach.  A
 template matches a block when at least ``threshold`` of the template's distinct words are
 in the block.  Words are ordered by their number of blocks over the whole table, rarest
 first.  A block and a template that share ``need`` words share one among the first
@@ -104,6 +106,24 @@ def block_words(text: Column, vocabulary: list[str]) -> Column:
     return F.transform(lines, lambda line: F.array_intersect(v, F.split(spaced(line), " ")))
 
 
+def run_words(text: Column, vocabulary: list[str], span: int) -> Column:
+    """``(line, own)`` of every line break between lines with words: the distinct words among
+    ``vocabulary`` of the ``span - 1`` words before it in its line and the ``span - 1`` after it,
+    over as many lines as they take."""
+    v, most = _literal(vocabulary), max(span - 1, 1)
+    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line, i: F.struct(
+        i.alias("line"), F.split(F.btrim(spaced(line)), " ").alias("words"))), lambda x: x["words"][0] != "")
+
+    def run(all_lines: Column, x: Column, i: Column) -> Column:
+        after = F.aggregate(F.slice(all_lines, i + 2, F.lit(most)), F.array().cast("array<string>"), lambda got, y: F.when(
+            F.size(got) < most, F.concat(got, F.slice(y["words"], 1, most))).otherwise(got))
+        size = F.least(F.size(x["words"]), F.lit(most))
+        return F.struct(x["line"].alias("line"), F.array_intersect(
+            v, F.concat(F.slice(x["words"], -size, size), F.slice(after, 1, most))).alias("own"))
+
+    return let(lines, lambda w: F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: run(w, x, i)))
+
+
 def word_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """Blocks per template word over the whole table: one row per word reaches the driver."""
     blocks = docs.select(F.explode(block_words(F.col("text").cast("string"), vocabulary)).alias("own"))
@@ -112,10 +132,11 @@ def word_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 
 def scan_licenses(docs: DataFrame, table=TEMPLATES, threshold: float = THRESHOLD,
-                  phrases=PHRASES) -> DataFrame:
+                  phrases=PHRASES, wrapped: bool = False) -> DataFrame:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks)``.
 
-    ``blocks`` lists the matching ``(line, label, containment)``.  Null and empty texts
+    ``blocks`` lists the matching ``(line, label, containment)``, with ``wrapped`` also those of
+    runs of lines, by the line they begin in.  Null and empty texts
     have no words, no labels and score 0.  ``score`` is 1 with a phrase, else the best
     containment.  Repeated rows give one result row each; ties in frequency go by word;
     an empty table gives an empty result; other columns are ignored.
@@ -133,6 +154,14 @@ def scan_licenses(docs: DataFrame, table=TEMPLATES, threshold: float = THRESHOLD
 
     text = F.col("text").cast("string")
     lines = F.transform(block_words(text, ordered), lambda own, i: F.struct(i.alias("line"), own.alias("own")))
+    if wrapped:
+        longest = max((len([w for w in re.split(BREAK, t.lower()) if w]) for _, t in table), default=1)
+        # a run's words are among the text's: no run matches where the whole text has too few
+        enough = let(F.array_intersect(_literal(ordered), F.split(spaced(text), " ")), lambda own: F.exists(
+            F.array(*[F.struct(_literal(t.words).alias("words"), F.lit(t.need).alias("need")) for t in patterns]),
+            lambda t: F.size(F.array_intersect(t["words"], own)) >= t["need"]))
+        runs = run_words(text, ordered, longest)
+        lines = F.concat(lines, F.when(enough, runs).otherwise(F.slice(lines, 1, 0)) if patterns else runs)
     wanted = F.filter(lines, lambda b: (F.size(b["own"]) >= least) & F.arrays_overlap(
         F.slice(b["own"], F.lit(1), F.size(b["own"]) - (least - 1)), _literal(rare)))
 

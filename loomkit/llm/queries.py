@@ -71,7 +71,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("blocks")
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"), wrapped=True).drop("blocks")
 
 
 @_query

@@ -326,6 +326,20 @@ def test_licenses(spark, odd):
     assert [r[i]["labels"] for i in (1, 2, 3)] == ["mit", "cc-by-nc", ""] and 0.9 <= r[1]["score"] < 1
 
 
+def test_wrapped_notices_match(spark):
+    import textwrap
+    texts, want = [], []
+    for label, notice in licenses.TEMPLATES:
+        for width in (12, 40, 72):
+            for mark in ("", " * "):
+                texts.append((len(texts), "\n".join(["int main() {}", *(mark + x for x in textwrap.wrap("See: " + notice, width, break_long_words=False)), "", "end of it"])))
+                want.append(label)
+    got = by_id(licenses.scan_licenses(docs_of(spark, texts), wrapped=True))
+    assert [i for i, label in enumerate(want) if label not in got[i]["labels"].split(",")] == []
+    apart = "Redistribution and use in source and binary forms" + "\nother words" * 40 + "\nwith or without modification, are permitted"
+    assert by_id(licenses.scan_licenses(docs_of(spark, [(1, apart)]), wrapped=True))[1]["labels"] == ""
+
+
 def test_license_join_is_exact(spark):
     r = random.Random(6)
     vocabulary = [f"t{i}" for i in range(30)]
