@@ -69,4 +69,24 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) A
   coalesce(words.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id"""
 
-ORACLE_SQL: dict[str, str] = {"op1_minhash": OP1, "op5_quality": OP5, "op6_decontamination": OP6}
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP12 = rf"""WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOW}, '{TERM}') AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS item_row, item_id, regexp_extract_all({_LOW}, '{TERM}') AS ws FROM benchmark),
+want AS (SELECT item_row, item_id, unnest(list_distinct(ws)) AS term FROM b),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM d WHERE len(ws) > 0),
+tf AS (SELECT row, doc_id, n, term, count(*) AS tf
+       FROM (SELECT row, doc_id, CAST(len(ws) AS BIGINT) AS n, unnest(ws) AS term FROM d)
+       WHERE term IN (SELECT term FROM want) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+scored AS (SELECT item_row, item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) //
+             (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms))))) AS BIGINT) AS score
+           FROM want JOIN tf USING (term) JOIN w USING (term), total GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id NULLS LAST) AS rank
+           FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+ORACLE_SQL: dict[str, str] = {"op1_minhash": OP1, "op5_quality": OP5, "op6_decontamination": OP6,
+                              "op12_lexical_search": OP12}

@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomkit.llm import captures, decontaminate, licenses, lines, minhash, packing, pages, personal, quality, sharding, warc
+from loomkit.llm import (alignment, captures, decontaminate, licenses, lines, minhash, packing, pages, personal, pieces,
+                         quality, search, sharding, warc)
 from loomkit.llm.oracle import ORACLE_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,9 +25,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @_query
@@ -84,4 +85,20 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.personal_data(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                  tokenizer_path("piece_bpe_32k.model"))
+
+
+@_query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 ORACLE: dict[str, str] = {k: v for k, v in ORACLE_SQL.items() if k in QUERIES}
