@@ -107,6 +107,15 @@ def chat_text(caption: str, svg: str) -> str:
     return f"({head} || {caption} || {mid} || {svg} || {q(IM_END)})"
 
 
+def json_string(e: str) -> str:
+    """A text as a JSON string in ASCII, the way Python's ``dumps`` writes it."""
+    code = "unicode(lm_c)"
+    unit = lambda x: f"'\\u' || lpad(lower(to_hex({x})), 4, '0')"
+    pair = f"{unit(f'55296 + (({code} - 65536) >> 10)')} || {unit(f'56320 + (({code} - 65536) & 1023)')}"
+    return (f"array_to_string(list_transform(regexp_extract_all(CAST(to_json({e}) AS VARCHAR), '(?s).'), lambda lm_c: "
+            f"CASE WHEN {code} < 127 THEN lm_c WHEN {code} < 65536 THEN {unit(code)} ELSE {pair} END), '')")
+
+
 # --- derived fixtures (FIXTURES.md C), same rules as loomkit.sources.fixtures ---
 
 SVGS = """svgs AS (

@@ -10,7 +10,7 @@ from loomkit.operators import records as R
 from loomkit.plans import duck as D
 from loomkit.plans.registry import register
 from loomkit.sources import fixtures as FX
-from loomkit.sources.jsonl import kept, read_jsonl, rejected
+from loomkit.sources.jsonl import kept, read_jsonl, reject_reasons
 from loomkit.sources.tables import table
 
 
@@ -53,21 +53,50 @@ def read_jsonl_trainer(spark, sf):
     return trainer_rows(spark, sf).select("doc_id", "caption", "svg", "source")
 
 
+_RECORD_SQL = f"""'{{' || array_to_string(list_filter([
+    CASE WHEN caption_type <> 'missing' THEN '"caption": ' || coalesce({D.json_string('j_caption')}, 'null') END,
+    CASE WHEN svg_type <> 'missing' THEN '"svg": ' || {D.json_string('svg2')} END,
+    CASE WHEN json_type(line, '$.source') IS NOT NULL THEN '"source": ' || {D.json_string('j_source')} END],
+  lambda x: x IS NOT NULL), ', ') || '}}'"""
+
 _CLEANER_SQL = "WITH " + D.LINES + ",\n" + D.parsed_cte() + f""",
-r1 AS (SELECT *, CASE WHEN kind = 'object' AND svg_type <> 'missing' THEN {D.round_numbers('j_svg')} END AS svg1 FROM parsed)
-SELECT doc_id, kind,
-  CASE WHEN kind = 'object' THEN j_caption END AS caption,
-  CASE WHEN kind = 'object' AND svg_type <> 'missing' THEN {D.sort_attributes('svg1')} END AS svg,
-  CASE WHEN kind = 'object' THEN j_source END AS source
-FROM r1
-WHERE valid AND kind IN ('object', 'array', 'string')
-  AND NOT (kind = 'object' AND svg_type <> 'missing' AND (svg_type <> 'string' OR svg1 IS NULL))"""
+r1 AS (SELECT *, CASE WHEN kind = 'object' AND svg_type <> 'missing' THEN {D.round_numbers('j_svg')} END AS svg1 FROM parsed),
+r2 AS (SELECT *, CASE WHEN kind = 'object' AND svg_type <> 'missing' THEN {D.sort_attributes('svg1')} END AS svg2 FROM r1
+  WHERE valid AND kind IN ('object', 'array', 'string')
+    AND NOT (kind = 'object' AND svg_type <> 'missing' AND (svg_type <> 'string' OR svg1 IS NULL)))
+SELECT doc_id, kind, CASE WHEN kind = 'object' THEN j_caption END AS caption, svg2 AS svg,
+  CASE WHEN kind = 'object' THEN j_source END AS source, {_RECORD_SQL} AS record
+FROM r2"""
 
 
 @register("read_jsonl_cleaner", _CLEANER_SQL)
 def read_jsonl_cleaner(spark, sf):
-    """Entry B: the cleaner keeps records without ``svg``; ``svg`` is rounded then sorted."""
-    return kept(read_jsonl(record_lines(spark, sf), "cleaner")).select("doc_id", "kind", "caption", "svg", "source")
+    """Entry B: the cleaner keeps records without ``svg``; ``svg`` is rounded then sorted,
+    and ``record`` is the whole line around it."""
+    return kept(read_jsonl(record_lines(spark, sf), "cleaner")).select(
+        "doc_id", "kind", "caption", "svg", "source", "record")
+
+
+_ODD_SQL = "WITH " + D.SVGS + f""",
+d AS (SELECT d.doc_id, d.doc_id % 9 AS form, d.source, {D.json_string('d.text')} AS j_text, d.text, s.svg
+  FROM documents d LEFT JOIN svgs s ON s.svg_key = d.doc_id % (SELECT greatest(count(*), 1) FROM part)),
+c AS (SELECT *, {D.json_string(D.sort_attributes(D.round_numbers('svg')))} AS j_svg FROM d)
+SELECT doc_id, CASE form
+    WHEN 0 THEN '{{"id": ' || doc_id || ', "svg": ' || j_svg || ', "tags": ["a", "svg"], "caption": ' || j_text || '}}'
+    WHEN 1 THEN '[' || j_text || ', ["svg"], 1.5]'
+    WHEN 3 THEN j_text
+    WHEN 4 THEN '{{"nested": {{"svg": "1.256", "n": 100000.0}}, "svg": ' || j_svg || ', "m": NaN}}'
+    WHEN 7 THEN '{{"caption": {{"a": [1, 2, null]}}, "svg": ' || j_svg || ', "source": null}}'
+    ELSE '{{"caption": ' || j_text || ', "svg": ' || j_svg || ', "source": "s"}}' END AS record
+FROM c WHERE form NOT IN (2, 5, 6) AND NOT (form = 3 AND contains(text, 'svg'))"""
+
+
+@register("clean_records", _ODD_SQL)
+def clean_records(spark, sf):
+    """S1 + K1 + X10: whole records through the cleaner, among them extra keys, nested
+    objects, lists, strings, NaN, escapes and loose white space."""
+    lines = FX.odd_lines(table(spark, sf, "documents"), table(spark, sf, "part"))
+    return kept(read_jsonl(lines, "cleaner")).select("doc_id", "record")
 
 
 _REJECTS_SQL = "WITH " + D.LINES + ",\n" + D.parsed_cte() + """,
@@ -87,19 +116,14 @@ reasons AS (
   UNION ALL
   SELECT doc_id, 'tokens', CASE
       WHEN NOT valid THEN 'invalid_json' WHEN kind <> 'object' THEN 'not_an_object'
-      WHEN svg_type = 'missing' THEN 'no_svg_key' WHEN svg_type <> 'string' THEN 'svg_not_string' END FROM parsed)
+      WHEN svg_type = 'missing' THEN 'no_svg_key' END FROM parsed)
 SELECT doc_id, policy, reject FROM reasons WHERE reject IS NOT NULL"""
 
 
 @register("read_jsonl_rejects", _REJECTS_SQL)
 def read_jsonl_rejects(spark, sf):
-    """the rejected lines of all four readers with a typed reason."""
-    lines = record_lines(spark, sf)
-    out = None
-    for policy in ("trainer", "cleaner", "bpe", "tokens"):
-        r = rejected(read_jsonl(lines, policy)).select("doc_id", F.lit(policy).alias("policy"), "reject")
-        out = r if out is None else out.unionByName(r)
-    return out
+    """the rejected lines of all four readers with a typed reason, from one parse."""
+    return reject_reasons(record_lines(spark, sf))
 
 
 _BPE_SQL = "WITH " + D.LINES + ",\n" + D.parsed_cte() + """

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from loomkit.plans import duck as D
 from loomkit.plans.q_records import _CLEANER_SQL, record_lines
 from loomkit.plans.registry import register
 from loomkit.streaming import jobs as Z
 
-_CLEAN_SQL = "SELECT kind, caption, svg, source FROM (" + _CLEANER_SQL + ")"
+_CLEAN_SQL = "SELECT record FROM (" + _CLEANER_SQL + ")"
 
 
 @register("stream_clean", _CLEAN_SQL)
 def stream_clean(spark, sf):
-    """Z1 + Z3: the cleaner as a stream over two arrivals; equals the batch rows."""
-    out, _, _ = Z.run_in_two_arrivals(spark, record_lines(spark, sf), "doc_id", Z.clean_stream,
-                                      "clean", Z.CLEAN_SCHEMA)
-    return out
+    """Z1 + Z3: the cleaner as a stream over two arrivals; its lines equal the batch records."""
+    out, _ = Z.run_in_two_arrivals(spark, record_lines(spark, sf), "doc_id", Z.clean_stream, "clean")
+    return spark.read.text(out).select(F.col("value").alias("record"))
 
 
 _CHAT_SQL = "WITH " + D.TRAINER + f"\nSELECT {D.chat_text('caption', 'svg')} AS text FROM trainer"
@@ -25,9 +25,8 @@ _CHAT_SQL = "WITH " + D.TRAINER + f"\nSELECT {D.chat_text('caption', 'svg')} AS
 @register("stream_chat_text", _CHAT_SQL)
 def stream_chat_text(spark, sf):
     """Z2 + Z3: chat text as a stream over two arrivals; equals the batch rows."""
-    out, _, _ = Z.run_in_two_arrivals(spark, record_lines(spark, sf), "doc_id", Z.chat_stream,
-                                      "chat", Z.CHAT_SCHEMA)
-    return out
+    out, _ = Z.run_in_two_arrivals(spark, record_lines(spark, sf), "doc_id", Z.chat_stream, "chat")
+    return spark.read.schema(Z.CHAT_SCHEMA).json(out)
 
 
 _COUNTS_SQL = "WITH " + D.LINES + ",\n" + D.parsed_cte() + f""",
@@ -39,8 +38,7 @@ SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(ok) AS BIGINT) AS kept, CAST(c
 
 @register("stream_counts", _COUNTS_SQL)
 def stream_counts(spark, sf):
-    """Kept / rejected counts observed on the running stream (both arrivals)."""
-    _, runs, _ = Z.run_in_two_arrivals(spark, record_lines(spark, sf), "doc_id", Z.clean_stream,
-                                       "counts", Z.CLEAN_SCHEMA)
-    t = Z.observed_totals(runs, "clean_counts")
+    """Kept / rejected counts of the running stream (both arrivals), added up by the listener."""
+    _, counts = Z.run_in_two_arrivals(spark, record_lines(spark, sf), "doc_id", Z.clean_stream, "counts")
+    t = counts.totals
     return spark.createDataFrame([(t["rows"], t["kept"], t["rejected"])], "rows bigint, kept bigint, rejected bigint")

@@ -66,6 +66,31 @@ def record_lines(documents: DataFrame, part: DataFrame) -> DataFrame:
     return joined.select("doc_id", line.alias("line"))
 
 
+def odd_lines(documents: DataFrame, part: DataFrame) -> DataFrame:
+    """``(doc_id, line)``: records in nine forms by ``doc_id % 9`` that only a reader of whole
+    lines gets right (FIXTURES.md C)."""
+    n_parts = max(part.count(), 1)
+    svgs = svg_markup(part).withColumnRenamed("p_partkey", "svg_key")
+    docs = documents.select("doc_id", "text", (F.col("doc_id") % n_parts).alias("svg_key"))
+    joined = docs.join(small_side(svgs), "svg_key", "left")
+
+    def said(c: str) -> Column:
+        raw = _json(F.col(c).alias("v"))
+        return F.substring(raw, F.lit(6), F.length(raw) - 6)
+    text, svg, d = said("text"), said("svg"), F.col("doc_id").cast("string")
+    forms = [F.concat(F.lit('{"id":'), d, F.lit(', "svg" :'), svg, F.lit(',"tags":["a","svg"],"caption":'), text, F.lit("}")),
+             F.concat(F.lit(" ["), text, F.lit(', ["s\\u0076g"] ,1.50 ]')),
+             F.concat(F.lit('[1, "s\\u0076g", '), text, F.lit("]")),
+             text,
+             F.concat(F.lit('{"nested":{"svg":"1.256","n":1e5},"s\\u0076g":'), svg, F.lit(',"m":NaN}')),
+             d,
+             F.concat(F.lit('{"caption":'), text, F.lit(',"svg":'), svg, F.lit(",}")),
+             F.concat(F.lit('{"caption":{"a":[1,2,null]},\t"svg":'), svg, F.lit(',"source":null }')),
+             F.concat(F.lit('{ "caption" : '), text, F.lit(' , "svg" : '), svg, F.lit(' , "source" : "\\u0073" }'))]
+    line = F.element_at(F.array(*forms), (F.col("doc_id") % 9 + 1).cast("int"))
+    return joined.select("doc_id", line.alias("line"))
+
+
 def candidates(lineitem: DataFrame) -> DataFrame:
     """``(image_id, idx, size, score, svg)`` from ``lineitem``.
 

@@ -53,7 +53,7 @@ def test_bpe_and_tokens_policies(spark):
     assert b[5] == ("a", "") and b[6] == ("a", "5") and b[7] == ("None", "<g/>")
     assert 9 not in b and 13 not in b
     t = {r.id: r.svg for r in kept(scan(spark, "tokens")).collect()}
-    assert sorted(t) == [4, 7, 8, 15]
+    assert sorted(t) == [4, 6, 7, 8, 15] and t[6] == "5"
 
 
 def test_jsonl_sink_append_and_vocab_roundtrip(spark, tmp_path):
