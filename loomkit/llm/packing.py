@@ -20,147 +20,125 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from loomkit.llm import chunks
 from loomkit.session import cut_lineage
 
 CAPACITY, END_ID, GROUP = 4096, 1, 50_000
-#: entries of a worker's two caches, emptied when full (about 0.5 GB then): chunks as they
-#: stand, bare words
-CHUNKS, WORDS = 1_500_000, 1_200_000
+#: bare words that a worker keeps, emptied when full
+WORDS = 400_000
 #: marks that may follow a word; inside a word they join or split others
 MARKS = string.punctuation
 #: words encoded in one call
 RUN = 200
-#: characters of one text worked on at once
-SPAN = 1 << 20
 _TOKENIZERS: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes.
+    """Ids of texts chunk by chunk.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its space- and newline-separated chunks in order.  Each chunk is encoded once and
-    cached.  A chunk of letters with ASCII marks behind it is two of the tokenizer's words,
-    looked up apart, the letters in lower case as the tokenizer has them.
+    of its chunks (``chunks.runs``) in order; each distinct chunk is encoded once and kept
+    by its hash.  A chunk of letters with ASCII marks behind it is two of the tokenizer's
+    words, looked up apart, the letters in lower case as the tokenizer has them.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
-        self.chunks: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, list[int]] = {}
+        self.marks: dict[str, list[int]] = {"": []}
+        self.known = chunks.Known()
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _plain(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, need: list[str]) -> dict[str, bytes]:
+    def _words(self, new: list[str]) -> None:
+        if len(self.stems) + len(new) > WORDS:
+            self.stems.clear()
+        runs = [" ".join(new[i:i + RUN]) for i in range(0, len(new), RUN)]
+        ids = [i for one in self._plain(runs) for i in one]
+        ends = (np.flatnonzero(self.ends[np.array(ids, dtype=np.int64)]) + 1).tolist() if ids else []
+        if len(ends) == len(new):
+            at = 0
+            for word, end in zip(new, ends):
+                self.stems[word] = ids[at:end]
+                at = end
+        else:  # some word was split further: one by one
+            self.stems.update(zip(new, self._plain(new)))
+
+    def encode_chunks(self, texts: list[str]) -> list[list[int]]:
+        """Ids of every chunk."""
+        out: list[list[int] | None] = [None] * len(texts)
         easy, hard = [], []
-        for c in need:
-            letters = c.rstrip(MARKS)
-            if len(letters) < 64 and letters.isalpha() and (letters.isascii() or not ("Σ" in letters or "İ" in letters)):
-                easy.append((c, letters.lower(), c[len(letters):]))
+        for k, chunk in enumerate(texts):
+            chunk = chunk.strip(" \t\n")
+            stem = chunk.rstrip(MARKS)
+            if len(stem) < 64 and stem.isalpha() and (stem.isascii() or not ("Σ" in stem or "İ" in stem)):
+                easy.append((k, stem.lower(), chunk[len(stem):]))
             else:
-                hard.append(c)
+                hard.append(k)
         marks = list({m for _, _, m in easy} - self.marks.keys())
-        if len(self.marks) + len(marks) > CHUNKS:
-            self.marks = {"": b""}
-            marks = list({m for _, _, m in easy if m})
         self.marks.update(zip(marks, self._plain(marks)))
         new = list({s for _, s, _ in easy} - self.stems.keys())
         if len(self.stems) + len(new) > WORDS:
-            self.stems.clear()
             new = list({s for _, s, _ in easy})
         if new:
-            runs = [" ".join(new[i:i + RUN]) for i in range(0, len(new), RUN)]
-            ids = np.array([i for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
-                            for i in e.ids], dtype="<u4")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(cuts) == len(new):
-                raw, at = ids.tobytes(), 0
-                for word, end in zip(new, cuts.tolist()):
-                    self.stems[word] = raw[at:end]
-                    at = end
-            else:  # some word was split further: one by one
-                self.stems.update(zip(new, self._plain(new)))
-        stems, after = self.stems, self.marks
-        learned = {c: stems[stem] + after[mark] for c, stem, mark in easy}
-        learned.update(zip(hard, self._plain(hard)))
-        if len(self.chunks) + len(learned) > CHUNKS:
-            self.chunks.clear()
-        self.chunks.update(learned)
-        return learned
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        gc.disable()  # the caches are millions of plain strings; there are no cycles to find
+            self._words(new)
+        for k, stem, mark in easy:
+            out[k] = self.stems[stem] + self.marks[mark]
+        for k, ids in zip(hard, self._plain([texts[k] for k in hard])):
+            out[k] = ids
+        if len(self.marks) > WORDS:
+            self.marks = {"": []}
+        return out
+
+    def _new_chunks(self, run: chunks.Run, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw, ends = run.chunk_bytes(which), np.cumsum(run.size[which]).tolist()
+        texts, at = [], 0
+        for end in ends:
+            texts.append(raw[at:end].decode())
+            at = end
+        found = self.encode_chunks(texts)
+        return (np.array([len(f) for f in found], dtype=np.int64),
+                np.array([i for f in found for i in f], dtype=np.int32))
+
+    def text_ids(self, run: chunks.Run) -> tuple[np.ndarray, np.ndarray]:
+        """``(counts, ids)`` of the run's texts."""
+        gc.disable()  # many small lists and no cycles to find
         try:
-            return self._encode(texts)
+            return chunks.text_ids(run, *self.known.ids_of(run, self._new_chunks))
         finally:
             gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        own = list(set().union(*split))
-        known = dict(zip(own, map(self.chunks.get, own)))  # a small table for the texts at hand
-        need = [c for c, raw in known.items() if raw is None]
-        if need:
-            known.update(self._learn(need))
-        get = known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
-
-
-def _spans(text: str) -> Iterator[str]:
-    at = 0
-    while len(text) - at > SPAN:
-        end = max(text.rfind(" ", at, at + SPAN), text.rfind("\n", at, at + SPAN))
-        if end <= at:  # one chunk longer than SPAN stays whole
-            ends = [e for e in (text.find(" ", at + SPAN), text.find("\n", at + SPAN)) if e > 0]
-            end = min(ends, default=len(text))
-        yield text[at:end]
-        at = end
-    yield text[at:]
-
 
 def _pieces(path: str, capacity: int, end_id: int):
-    stop = np.array([end_id], dtype="<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _TOKENIZERS.get(path)
         if encoder is None:
             encoder = _TOKENIZERS[path] = Encoder(path)
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            texts = [t or "" for t in texts]
-            at = 0
-            while at < len(texts):
-                to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) <= SPAN):
-                    size += len(texts[to])
-                    to += 1
-                if to == at + 1 and size > SPAN:
-                    coded = [b"".join(encoder.encode([s])[0] for s in _spans(texts[at]))]
-                else:
-                    coded = encoder.encode(texts[at:to])
-                rows = []
-                for doc, raw in zip(ids[at:to], coded):
-                    raw += stop
-                    step = 4 * capacity
-                    for i, b in enumerate(range(0, len(raw), step)):
-                        part = raw[b:b + step]
-                        rows.append((doc, i, b // 4, len(part) // 4, zlib.crc32(part)))
-                cols = list(zip(*rows))
+            doc = batch.column("doc_id")
+            for part in chunks.runs(batch.column("text")):
+                counts, ids = encoder.text_ids(part)
+                at = chunks.offsets_of(counts + 1)
+                whole = np.full(int(at[-1]), end_id, dtype="<u4")
+                whole[chunks.spans(at[:-1], counts)] = ids
+                per = -(-(counts + 1) // capacity)
+                piece = chunks.spans(np.zeros(len(per), dtype=np.int64), per)
+                start = piece * capacity
+                begin = np.repeat(at[:-1], per) + start
+                length = np.minimum(begin + capacity, np.repeat(at[1:], per)) - begin
+                view = memoryview(whole).cast("B")
+                crc = [zlib.crc32(view[4 * b:4 * (b + n)]) for b, n in zip(begin.tolist(), length.tolist())]
+                owner = doc.slice(part.first, part.last - part.first).take(pa.array(np.repeat(np.arange(len(per)), per)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
-                     *(pa.array(c, pa.int64()) for c in cols[2:])],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"])
-                at = to
+                    [owner, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                     pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
     return run
 
 
