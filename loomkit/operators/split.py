@@ -56,18 +56,22 @@ def global_rank(df: DataFrame, order_cols: list[str], name: str = "rank",
     return out.withColumn(name, F.col("_off") + F.col("_local") + 1).drop("_pid", "_local", "_off")
 
 
+def split_positions(keys: DataFrame, key: str, test_share: float = TEST_SHARE, seed: str = "loomkit") -> DataFrame:
+    """W4 on keys alone: ``(key, h, split, pos)``. Only the key and its hash are ranked."""
+    ranked = global_rank(keys.select(key, hash_order(F.col(key), seed).alias("h")), ["h", key], "_rank")
+    n_test = math.ceil(test_share * ranked.count())
+    is_test = F.col("_rank") <= n_test
+    return ranked.select(key, "h", F.when(is_test, "test").otherwise("train").alias("split"),
+                         F.when(is_test, F.col("_rank")).otherwise(F.col("_rank") - n_test).alias("pos"))
+
+
 def split_exact(df: DataFrame, key: str, test_share: float = TEST_SHARE, seed: str = "loomkit") -> DataFrame:
     """W4 + U4: exactly ``ceil(test_share * n)`` rows go to ``test`` (ceiling is our
     rule), the ones first in hash order; the rest is ``train``. Adds ``split``,
-    ``h`` and the 1-based position ``pos`` inside the split."""
-    hashed = df.withColumn("h", hash_order(F.col(key), seed))
-    ranked = global_rank(hashed, ["h", key], "_rank")
-    total = ranked.count()
-    n_test = math.ceil(test_share * total)
-    is_test = F.col("_rank") <= n_test
-    return (ranked.withColumn("split", F.when(is_test, "test").otherwise("train"))
-            .withColumn("pos", F.when(is_test, F.col("_rank")).otherwise(F.col("_rank") - n_test))
-            .drop("_rank"))
+    ``h`` and the 1-based position ``pos`` inside the split. Keys are ranked without their
+    rows, which meet their positions in one join."""
+    places = split_positions(df, key, test_share, seed)
+    return places if df.columns == [key] else df.join(places, key)
 
 
 def split_head(split_df: DataFrame, heads: dict[str, int]) -> DataFrame:

@@ -2,9 +2,7 @@
 and encoding (T1-T4, T8-T10, A2, A4, A5, A9, L1, L2, L8, F7, U2, J3, J4).
 
 Byte-pair training works on ``words(word, n, symbols)``, one row per *distinct*
-word, never on the raw corpus. A round counts adjacent pairs (A5), picks the top
-pair (L8) and rewrites only the words that contain both symbols. Lineage is cut
-with a reliable checkpoint every few rounds.
+word, never on the raw corpus; ``operators/bpe`` keeps the pair counts.
 """
 
 from __future__ import annotations
@@ -13,8 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomkit.functions.text import compute_once
-from loomkit.operators.records import bounded_broadcast
+from loomkit.operators import bpe
 from loomkit.session import cut_lineage
 
 # Unicode White_Space (the pre-tokenizer's \s).
@@ -35,7 +32,7 @@ TRAINER_TOKENS = ["<svg>", "</svg>", "<path", "/>", "<g>", "</g>", "<rect",
                   "m", "l", "c", "s", "q", "t", "z"]
 VOCAB_SIZES = {"chat": 16384, "svg": 3000, "default": 2000}
 MIN_TOKEN_CHARS = {"chat": 1, "svg": 2}   # kept when len(token) > k
-MAX_BROADCAST_VOCAB = 1_000_000          # rows of a vocabulary that may be broadcast
+MAX_VOCAB = 2_000_000                    # tokens that may travel to every worker (code points: 1.1 million)
 
 
 def pretokenize(text: Column) -> Column:
@@ -103,88 +100,27 @@ def top_pairs(counts: DataFrame, k: int = 1) -> DataFrame:
     return counts.orderBy(F.desc("c"), "a", "b").limit(k)
 
 
-def merge_symbols(symbols: Column, a: Column, b: Column) -> Column:
-    """Replace every (a, b) occurrence, left to right and non-overlapping, by a||b.
-
-    A merged symbol (a||b) never equals ``a``, so a symbol just produced is not
-    merged again in the same pass.
-    """
-    def step(acc, s):
-        hit = (F.size(acc) > 0) & (F.element_at(acc, -1) == a) & (s == b)
-        return (F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat(a, b))))
-                .otherwise(F.concat(acc, F.array(s))))
-    return F.aggregate(symbols, F.array().cast("array<string>"), step)
-
-
-def next_merges(cands, want: int, known: set[str], more: bool) -> list:
-    """The longest safe start of ``cands`` (pairs by count, then text), at most ``want``.
-
-    Merging (a, b) changes only pairs with a or b and makes pairs no more frequent than
-    the pair with a or b that they come from. So pairs of disjoint symbols that are
-    strictly more frequent than the first pair sharing a symbol with them keep their
-    places. A pair of equal symbols, or one whose text is a symbol already, does not
-    follow this bound and goes alone. ``more`` says that pairs beyond ``cands`` exist.
-    """
-    chosen, used, made = [], set(), set(known)
-    bar = cands[-1]["c"] if more else 0
-    for row in cands:
-        a, b = row["a"], row["b"]
-        odd = a == b or a + b in made
-        if chosen and (odd or a in used or b in used):
-            bar = row["c"]
-            break
-        chosen.append(row)
-        if odd:
-            break
-        used |= {a, b}
-        made.add(a + b)
-    return chosen[:1] + [row for row in chosen[1:want] if row["c"] > bar]
-
-
 def train_bpe(hist: DataFrame, n_merges: int | None, specials: list[str] | None = None,
-              checkpoint_every: int = 8, batch: int = 1,
-              vocab_size: int | None = None) -> tuple[DataFrame, DataFrame]:
+              vocab_size: int | None = None, steps: int = bpe.STEPS,
+              sample: int = bpe.SAMPLE) -> tuple[DataFrame, DataFrame]:
     """Byte-pair training over the distinct-word table.
 
-    Returns ``(merges(rank, a, b, token, c), words)``. Each round: pair counts over
-    the distinct-word table, the top pairs (a few rows reach the driver), and a
-    rewrite of only the words that contain both symbols of a chosen pair.
-
-    ``batch=k`` applies up to k merges in one rewrite and gives the same merges as one
-    per round (see ``next_merges``). Training ends after ``n_merges``, or when base
-    symbols, specials and merges reach ``vocab_size``, or when no pair is left.
+    Returns ``(merges(rank, a, b, token, c), words)``: always the most frequent pair of the
+    whole corpus, ties by (a, b). Training ends after ``n_merges``, or when base symbols,
+    specials and merged texts reach ``vocab_size``, or when no pair is left. ``steps`` and
+    ``sample`` (see ``operators/bpe``) decide how many merges one job carries, never which.
     """
     spark = hist.sparkSession
     words = cut_lineage(initial_words(hist, specials))
+    room, known = None, set(specials or [])
     if vocab_size is not None:
-        room = max(vocab_size - base_vocab(words, specials or []).count(), 0)
-        n_merges = room if n_merges is None else min(n_merges, room)
+        base = {r["token"] for r in base_vocab(words, specials or []).collect()}  # bounded by the alphabet
+        room, known = max(vocab_size - len(base), 0), base
     elif n_merges is None:
         raise ValueError("n_merges or vocab_size is needed")
-    merges, known = [], set()
-    rounds = 0
-    while len(merges) < n_merges:
-        want = min(batch, n_merges - len(merges))
-        cands = top_pairs(pair_counts(words), 1 if want == 1 else 4 * want).collect()
-        if not cands:
-            break
-        chosen = next_merges(cands, want, known, more=want > 1 and len(cands) == 4 * want)
-        known |= {row["a"] + row["b"] for row in chosen}
-        rewrite, touched = F.col("symbols"), F.lit(False)
-        for row in chosen:
-            a, b = row["a"], row["b"]
-            merges.append((len(merges), a, b, a + b, int(row["c"])))
-            rewrite = merge_symbols(rewrite, F.lit(a), F.lit(b))
-            touched = touched | (F.array_contains("symbols", a) & F.array_contains("symbols", b))
-        # behind a Generate boundary: stacked rewrites must not be collapsed into
-        # one expression that re-evaluates every earlier round several times
-        words = compute_once(words, ["word", "n"],
-                             symbols=F.when(touched, rewrite).otherwise(F.col("symbols")))
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            words = cut_lineage(words)
-    schema = "rank int, a string, b string, token string, c bigint"
-    return spark.createDataFrame(merges, schema), words
+    found, words = bpe.train(words, 2**31 - 1 if n_merges is None else n_merges, known, room, steps, sample)
+    rows = [(i, a, b, a + b, int(c)) for i, (a, b, c) in enumerate(found)]
+    return spark.createDataFrame(rows, "rank int, a string, b string, token string, c bigint"), words
 
 
 def base_vocab(words: DataFrame, specials: list[str]) -> DataFrame:
@@ -202,8 +138,9 @@ def base_vocab(words: DataFrame, specials: list[str]) -> DataFrame:
 def vocab_from_merges(base: DataFrame, merges: DataFrame, vocab_size: int) -> DataFrame:
     """Vocabulary = base + merge tokens in merge order, capped at ``vocab_size``."""
     n_base = base.count()
-    new = (merges.join(base.select("token"), "token", "left_anti")
-           .select("token", "rank"))
+    # two merges may give one text; it has one id, that of the first
+    new = (merges.groupBy("token").agg(F.min("rank").alias("rank"))
+           .join(base.select("token"), "token", "left_anti"))
     ranked = new.select("token", (F.row_number().over(Window.orderBy("rank")) - 1 + n_base).cast("int").alias("id"))
     return base.unionByName(ranked.select("id", "token")).where(F.col("id") < vocab_size)
 
@@ -230,39 +167,17 @@ def vocab_union(base: DataFrame, added: DataFrame) -> DataFrame:
     return base.unionByName(ranked.select("id", "token"))
 
 
-def apply_merges(words: DataFrame, merges: DataFrame) -> DataFrame:
-    """T4 on distinct words: repeatedly merge each word's lowest-rank adjacent pair.
+def merge_ranks(merges: DataFrame) -> dict[bpe.Pair, int]:
+    """Rank of every merge; bounded by the vocabulary."""
+    return {(r["a"], r["b"]): r["rank"] for r in merges.select("a", "b", "rank").collect()}
 
-    ``words(word, symbols)``; ``merges(rank, a, b)`` is bounded by the vocabulary
-    size and size-checked before the broadcast. Each round only rewrites words
-    that still have a mergeable pair, and each shortens such a word by a symbol or more,
-    so the rounds end when no word has one.
-    """
-    m = bounded_broadcast(merges.select("a", "b", "rank"), MAX_BROADCAST_VOCAB)
-    state = words.select("word", "symbols")
-    while True:
-        pairs = adjacent_pairs(state, ["word"])
-        best = (pairs.join(m, ["a", "b"]).groupBy("word")
-                .agg(F.min_by(F.struct("a", "b"), F.col("rank")).alias("best")))
-        if best.limit(1).count() == 0:
-            break
-        state = (state.join(best, "word", "left")
-                 .withColumn("symbols", F.when(F.col("best").isNull(), F.col("symbols"))
-                             .otherwise(merge_symbols(F.col("symbols"), F.col("best.a"), F.col("best.b"))))
-                 .drop("best"))
-        state = cut_lineage(state)
-    return state
-
-
-def encode_words(words: DataFrame, vocab: DataFrame, unk_id: int = 0) -> DataFrame:
-    """J3 + T8: ``(doc_key..., pos, word)`` -> ids by a hash join on the token.
-
-    The vocabulary is bounded by its ``vocab_size``; its row count is checked
-    before it is broadcast, so hot words never meet in one task.
-    """
-    side = bounded_broadcast(vocab.select(F.col("token").alias("word"), "id"), MAX_BROADCAST_VOCAB)
-    joined = words.join(side, "word", "left")
-    return joined.withColumn("id", F.coalesce(F.col("id"), F.lit(unk_id)))
+
+def vocab_ids(vocab: DataFrame) -> dict[str, int]:
+    """Id of every token. A vocabulary beyond ``MAX_VOCAB`` rows is refused, as it travels to every worker."""
+    rows = vocab.select("token", "id").limit(MAX_VOCAB + 1).collect()
+    if len(rows) > MAX_VOCAB:
+        raise ValueError(f"more than {MAX_VOCAB} tokens")
+    return {r["token"]: r["id"] for r in rows}
 
 
 def compression(before: Column, after: Column) -> Column:
@@ -270,48 +185,17 @@ def compression(before: Column, after: Column) -> Column:
     return before.cast("double") / F.greatest(after, F.lit(1)).cast("double")
 
 
-MAX_BROADCAST_WORDS = 2_000_000         # distinct encoded words that may be broadcast
-
-
 def encode_documents(docs: DataFrame, key: str, text_col: str, vocab: DataFrame,
                      merges: DataFrame | None = None, specials: list[str] | None = None,
-                     unk_id: int = 0, distinct_words: DataFrame | None = None,
-                     max_tokens: int | None = None) -> DataFrame:
-    """T4 + J3 + T8: ``(key, input_ids, n_ids)`` for every document.
-
-    With ``max_tokens`` (T5) only the first ``max_tokens`` word occurrences are
-    gathered (every word yields at least one token), so the collected array per
-    document is bounded however long the document is; ``n_ids`` still counts all
-    tokens, from a plain sum.
-
-    Each *distinct* word is encoded once (merges applied, symbols looked up in the
-    count-checked broadcast vocabulary); word occurrences then join the encoded
-    words and are gathered back per document in position order; a document without
-    a token keeps its row with no ids. Hot words are
-    handled by the broadcast, or by AQE's skew split when the word table is large.
+                     unk_id: int = 0, max_tokens: int | None = None) -> DataFrame:
+    """T4 + J3 + T8: ``(key, input_ids, n_ids, id_sum)`` for every document, in one narrow stage.
+
+    Pre-tokens come from the JVM; merges and the vocabulary, bounded by its size, travel
+    to the workers, which look words up inside the row. With ``max_tokens`` (T5) the ids
+    are cut, ``n_ids`` and ``id_sum`` still cover the whole text. A document without a token
+    keeps its row with no ids.
     """
     toks = (pretokenize_with_specials(F.col(text_col), specials) if specials
             else pretokenize(F.col(text_col)))
-    occ = docs.select(key, F.posexplode_outer(toks).alias("pos", "word"))
-    distinct = (distinct_words.select("word") if distinct_words is not None
-                else occ.where(F.col("word").isNotNull()).select("word").distinct())
-    words = initial_words(distinct.withColumn("n", F.lit(1)), specials).select("word", "symbols")
-    if merges is not None:
-        words = apply_merges(words, merges)
-    sym = (words.select("word", F.posexplode_outer("symbols").alias("i", "sym"))
-           .where(F.col("sym").isNotNull()))  # _outer: no inferred filter below the distinct
-    ids = encode_words(sym.withColumnRenamed("word", "w").withColumnRenamed("sym", "word"), vocab, unk_id)
-    per_word = (ids.groupBy(F.col("w").alias("word"))
-                .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "id"))), lambda s: s["id"]).alias("ids")))
-    joined = occ.join(bounded_broadcast(per_word, MAX_BROADCAST_WORDS), "word", "left")
-    held = F.col("ids").isNotNull()
-    if max_tokens is not None:
-        held = held & (F.col("pos") < max_tokens)
-    item = F.when(held, F.struct("pos", "ids"))
-    ids_all = F.flatten(F.transform(F.array_sort(F.collect_list(item)), lambda s: s["ids"]))
-    if max_tokens is not None:
-        ids_all = F.slice(ids_all, 1, max_tokens)
-    id_sum = F.sum(F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x))
-    n_ids = F.sum(F.coalesce(F.array_size("ids"), F.lit(0))).cast("int")
-    return joined.groupBy(key).agg(ids_all.alias("input_ids"), n_ids.alias("n_ids"),
-                                   F.coalesce(id_sum, F.lit(0).cast("bigint")).alias("id_sum"))
+    ranks = merge_ranks(merges) if merges is not None else {}
+    return bpe.encode(docs, key, toks, vocab_ids(vocab), ranks, set(specials or []), unk_id, max_tokens)

@@ -9,7 +9,6 @@ from loomkit.operators import tokens as T
 from loomkit.plans import duck as D
 from loomkit.plans.q_records import trainer_rows
 from loomkit.plans.registry import register
-from loomkit.session import cut_lineage
 from loomkit.sources.tables import table
 
 SEED = "loomkit"
@@ -30,7 +29,7 @@ sp AS (
 
 
 def _split(spark, sf):
-    return SP.split_exact(trainer_rows(spark, sf), "doc_id", seed=SEED)
+    return SP.split_positions(trainer_rows(spark, sf), "doc_id", seed=SEED)
 
 
 @register("split_exact", _SPLIT_CTE + "\nSELECT doc_id, split, CAST(pos AS BIGINT) AS pos FROM sp")
@@ -92,12 +91,10 @@ enc AS (SELECT d.doc_id, coalesce(f.ids, []) AS ids FROM documents d LEFT JOIN f
 
 def encoded_documents(spark, sf, max_tokens=None):
     """``(doc_id, input_ids)``: every non-blank character through the base vocabulary
-    (specials, then characters by code point), encoded once per distinct word and
-    joined back to the word occurrences of each document."""
+    (specials, then characters by code point), looked up inside the row."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    hist = cut_lineage(T.word_histogram(docs, "text"))
-    vocab = T.base_vocab(T.initial_words(hist), T.BPE_SPECIALS)
-    return T.encode_documents(docs, "doc_id", "text", vocab, distinct_words=hist, max_tokens=max_tokens)
+    vocab = T.base_vocab(T.initial_words(T.word_histogram(docs, "text")), T.BPE_SPECIALS)
+    return T.encode_documents(docs, "doc_id", "text", vocab, max_tokens=max_tokens)
 
 
 @register("encode_lookup", "WITH " + _CHAR_IDS + """
@@ -114,8 +111,7 @@ def encode_lookup(spark, sf):
 SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_ids, len(ids) > {MAX_LEN} AS truncated,
   CAST(least(len(ids), {MAX_LEN}) AS INTEGER) AS n_kept, CAST(coalesce(list_sum(ids[1:{MAX_LEN}]), 0) AS BIGINT) AS kept_sum FROM enc""")
 def truncate_ids(spark, sf):
-    """T5: ids cut at 2048 (colab-fast cap) and a flag for cut rows; only the
-    first 2048 words of a document are gathered."""
+    """T5: ids cut at 2048 (colab-fast cap) and a flag for cut rows."""
     enc = encoded_documents(spark, sf, max_tokens=MAX_LEN)
     kept = F.col("input_ids")
     return enc.select("doc_id", "n_ids", (F.col("n_ids") > MAX_LEN).alias("truncated"),
@@ -139,7 +135,8 @@ FROM m"""
 def pad_batch(spark, sf):
     """Documents split and batched by two, padded to the longest row of the batch."""
     enc = encoded_documents(spark, sf, max_tokens=MAX_LEN).select("doc_id", "input_ids")
-    b = SP.batch_ids(SP.split_exact(enc, "doc_id", seed=SEED), BATCH)
+    places = SP.split_positions(table(spark, sf, "documents"), "doc_id", seed=SEED)
+    b = enc.join(SP.batch_ids(places, BATCH), "doc_id")
     p = SP.pad_batches(b)
     s = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
     return p.select("doc_id", "split", "batch_id", "batch_len",

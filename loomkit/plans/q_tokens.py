@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomkit.functions import chat
-from loomkit.operators import records as R
 from loomkit.operators import tokens as T
 from loomkit.plans import duck as D
 from loomkit.plans.q_records import record_lines
@@ -15,9 +14,6 @@ from loomkit.sources.jsonl import kept, read_jsonl, vocab_json
 from loomkit.session import cut_lineage
 from loomkit.sources.tables import table
 
-N_MERGES = 48        # merges the registered queries learn (the operator trains to any size)
-BATCH = 16
-
 _DOC_WORDS = f"""words AS (SELECT unnest(regexp_extract_all(text, {D.q(T.PRETOKEN)})) AS word FROM documents),
 hist AS (SELECT word, count(*) AS n FROM words GROUP BY word)"""
 
@@ -82,20 +78,51 @@ def special_split(spark, sf):
                          F.size(plain).alias("n_plain"))
 
 
-def _trained(spark, sf, n_merges=N_MERGES):
-    """Merges, vocabulary and encoded word table of the chat corpus."""
-    hist = T.word_histogram(chat_corpus(spark, sf), "text", T.BPE_SPECIALS)
-    merges, words = T.train_bpe(hist, n_merges, T.BPE_SPECIALS, batch=BATCH, vocab_size=T.VOCAB_SIZES["chat"])
-    words = cut_lineage(words)
-    base = T.base_vocab(words, T.BPE_SPECIALS)
-    return merges, cut_lineage(T.vocab_from_merges(base, merges, T.VOCAB_SIZES["chat"])), words
+def _trained(spark, sf, job="chat"):
+    """Merges, vocabulary and encoded word table, to the job's vocabulary size."""
+    corpus, specials = (chat_corpus, T.BPE_SPECIALS) if job == "chat" else (svg_corpus, [T.UNK])
+    hist = T.word_histogram(corpus(spark, sf), "text", T.BPE_SPECIALS if job == "chat" else None)
+    merges, words = T.train_bpe(cut_lineage(hist), None, specials, vocab_size=T.VOCAB_SIZES[job])
+    base = T.base_vocab(words, specials)
+    return merges, cut_lineage(T.vocab_from_merges(base, merges, T.VOCAB_SIZES[job])), words
 
 
 @register("train_bpe")
 def train_bpe(spark, sf):
-    """Exact byte-pair merges over the chat corpus (exact, several merges per round)."""
-    merges, _, _ = _trained(spark, sf)
-    return merges
+    """Byte-pair merges over the chat corpus up to 16,384 tokens."""
+    return _trained(spark, sf)[0]
+
+
+@register("train_bpe_svg")
+def train_bpe_svg(spark, sf):
+    """T2 + T9: the token analysis job, byte-pair merges over the markup alone up to 3,000 tokens."""
+    return _trained(spark, sf, "svg")[0]
+
+
+def _unrolled_sql(n):
+    """The first ``n`` merges, each as a few common table expressions: count, top pair, rewrite."""
+    mark = "chr(31)"
+    sql = ["WITH " + _DOC_WORDS + f""",
+w0 AS (SELECT n, {mark} || array_to_string(regexp_extract_all(word, '(?s).'), {mark}) || {mark} AS s FROM hist)"""]
+    for i in range(n):
+        # a doubled mark between symbols lets one left-to-right replace see every pair
+        sql.append(f"""l{i} AS (SELECT n, string_split(s[2:-2], {mark}) AS y FROM w{i}),
+p{i} AS (SELECT y[i] AS a, y[i + 1] AS b, CAST(sum(n) AS BIGINT) AS c
+  FROM (SELECT y, n, unnest(range(1, len(y))) AS i FROM l{i} WHERE len(y) > 1) GROUP BY ALL),
+t{i} AS MATERIALIZED (SELECT a, b, c FROM p{i} ORDER BY c DESC, a, b LIMIT 1),
+w{i + 1} AS MATERIALIZED (SELECT n, replace(replace(replace(s, {mark}, {mark} || {mark}),
+  {mark} || a || {mark} || {mark} || b || {mark}, {mark} || a || b || {mark}), {mark} || {mark}, {mark}) AS s FROM w{i}, t{i})""")
+    rows = "\nUNION ALL ".join(f"SELECT {i} AS rank, a, b, a || b AS token, c FROM t{i}" for i in range(n))
+    return ",\n".join(sql) + "\n" + rows
+
+
+FIRST_MERGES = 6
+
+
+@register("first_merges", _unrolled_sql(FIRST_MERGES))
+def first_merges(spark, sf):
+    """The first six merges over the document words (a top-k report of the trainer)."""
+    return T.train_bpe(cut_lineage(_doc_hist(spark, sf)), FIRST_MERGES)[0]
 
 
 @register("vocab_filter_sort")
@@ -107,32 +134,43 @@ def vocab_filter_sort(spark, sf):
 
 @register("vocab_export")
 def vocab_export(spark, sf):
-    """K3: the filtered vocabulary as one JSON array in id order."""
-    _, vocab, _ = _trained(spark, sf)
-    return vocab_json(T.long_tokens(vocab, T.MIN_TOKEN_CHARS["chat"]))
+    """K3 + T9: the filtered vocabularies of both jobs, each as one JSON array in id order."""
+    out = None
+    for job in ("chat", "svg"):
+        _, vocab, _ = _trained(spark, sf, job)
+        one = vocab_json(T.long_tokens(vocab, T.MIN_TOKEN_CHARS[job])).select(F.lit(job).alias("job"), "value")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @register("vocab_last_50")
 def vocab_last_50(spark, sf):
-    """L2: the last 50 of the tokens that pass the length filter, by id."""
-    _, vocab, _ = _trained(spark, sf)
-    return T.last_tokens(T.long_tokens(vocab, T.MIN_TOKEN_CHARS["chat"]), 50)
+    """L2: the last 50 of the markup job's tokens that pass its length filter, by id."""
+    _, vocab, _ = _trained(spark, sf, "svg")
+    return T.last_tokens(T.long_tokens(vocab, T.MIN_TOKEN_CHARS["svg"]), 50)
 
 
 @register("compression_ratio")
 def compression_ratio(spark, sf):
-    """Characters per token after the learned merges, per row and overall."""
-    merges, vocab, words = _trained(spark, sf)
+    """Tokens per row before and after the learned merges."""
+    merges, vocab, _ = _trained(spark, sf)
     corpus = chat_corpus(spark, sf)
-    toks = corpus.select("doc_id", F.posexplode(T.pretokenize_with_specials(F.col("text"), T.BPE_SPECIALS))
-                         .alias("pos", "word"))
-    # every word of the corpus is in the trained word table (same histogram)
-    sizes = words.select("word", F.size("symbols").alias("n_after"),
-                         F.when(F.col("word").isin(*T.BPE_SPECIALS), 1)
-                         .otherwise(F.size(F.regexp_extract_all("word", F.lit(T.CHAR), 0))).alias("n_before"))
-    per_doc = (toks.join(R.bounded_broadcast(sizes, T.MAX_BROADCAST_WORDS), "word").groupBy("doc_id")
-               .agg(F.sum("n_before").alias("n_before"), F.sum("n_after").alias("n_after")))
-    return per_doc.withColumn("ratio", F.round(T.compression(F.col("n_before"), F.col("n_after")), 6))
+    before = T.encode_documents(corpus, "doc_id", "text", vocab, specials=T.BPE_SPECIALS)
+    after = T.encode_documents(corpus, "doc_id", "text", vocab, merges, T.BPE_SPECIALS)
+    both = before.select("doc_id", F.col("n_ids").alias("n_before")).join(
+        after.select("doc_id", F.col("n_ids").alias("n_after")), "doc_id")
+    return both.withColumn("ratio", F.round(T.compression(F.col("n_before"), F.col("n_after")), 6))
+
+
+@register("encode_bpe")
+def encode_bpe(spark, sf):
+    """T4 + T8: whole documents through the markup vocabulary and its merges. Characters that
+    never occur in markup are unknown to it."""
+    merges, vocab, _ = _trained(spark, sf, "svg")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    enc = T.encode_documents(docs, "doc_id", "text", vocab, merges)
+    return enc.select("doc_id", "n_ids", F.size(F.filter("input_ids", lambda i: i == 0)).alias("n_unknown"),
+                      F.array_join("input_ids", " ").alias("ids"))
 
 
 _ADDED = "added(pos, token) AS (VALUES " + ", ".join(f"({i}, {D.q(t)})" for i, t in enumerate(T.TRAINER_TOKENS)) + ")"
