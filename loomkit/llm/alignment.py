@@ -25,7 +25,9 @@ from loomkit.llm.chunks import Run, offsets_of, spans
 from loomkit.session import cut_lineage
 
 #: text of one block; a longer text is a block of its own
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+#: text aligned at once, and ids of each tokenizer that a worker keeps; two models share its memory
+RUN_BYTES, KNOWN_IDS = 1 << 19, 3_000_000
 #: characters handed to the byte-level tokenizer in one string
 ENCODE_BYTES = 50_000
 
@@ -58,7 +60,7 @@ class ByteModel:
         if self.size > 1 << 17:
             raise ValueError("more ids than a pair's key has room for")
         self.width = np.array([len(token.get(i, b"")) for i in range(self.size)], dtype=np.int64)
-        self.known = chunks.Known()
+        self.known = chunks.Known(KNOWN_IDS)
 
     def _new_chunks(self, run: Run, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Chunks put together are split as each alone, so they are encoded in long strings and cut apart."""
@@ -190,6 +192,7 @@ def _models(path_a: str, path_b: str) -> tuple[ByteModel, pieces.PieceModel, boo
     if path_a not in _MODELS:
         _MODELS[path_a] = ByteModel(path_a)
     second = pieces.model(path_b)
+    second.known.limit = KNOWN_IDS
     return _MODELS[path_a], second, second.cut
 
 
@@ -207,7 +210,7 @@ def aligned_groups(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         first, second, cut = _models(path_a, path_b)
         for batch in batches:
             doc = batch.column("doc_id")
-            for part in chunks.runs(batch.column("text"), cut):
+            for part in chunks.runs(batch.column("text"), cut, RUN_BYTES):
                 x = Aligned(part, first, second)
                 per = x.n_groups
                 yield pa.RecordBatch.from_arrays(
@@ -284,7 +287,7 @@ def _blocks(path_a: str, path_b: str, block_bytes: int):
         block, held = TaskContext.get().partitionId() << 32, _Block()
         for batch in batches:
             doc = batch.column("doc_id")
-            for part in chunks.runs(batch.column("text"), cut):
+            for part in chunks.runs(batch.column("text"), cut, RUN_BYTES):
                 x = Aligned(part, first, second)
                 held.add(doc.slice(part.first, part.last - part.first).to_pylist(), x,
                          x.group_digests(table), len(part.data))

@@ -91,11 +91,13 @@ def _chunk_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix(np.add.reduceat(value, starts))
 
 
-def runs(column: pa.Array, cut: bool = True) -> Iterator[Run]:
+def runs(column: pa.Array, cut: bool = True, size: int | None = None) -> Iterator[Run]:
     """Runs of a string column, every text with a space put before it; null counts as empty.
 
-    An empty text has no chunk.  With ``cut=False`` each text is one chunk.
+    An empty text has no chunk.  With ``cut=False`` each text is one chunk.  ``size`` bytes
+    make a run (RUN_BYTES if not given).
     """
+    size = size or RUN_BYTES
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     column = column.cast(pa.large_string())
     if column.null_count:
@@ -104,7 +106,7 @@ def runs(column: pa.Array, cut: bool = True) -> Iterator[Run]:
     raw = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
     n, row = len(at) - 1, 0
     while row < n:
-        last = min(n, max(row + 1, int(np.searchsorted(at, at[row] + RUN_BYTES, "right")) - 1))
+        last = min(n, max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1))
         lengths = np.diff(at[row:last + 1])
         with_space = lengths + (lengths > 0)
         texts = offsets_of(with_space)
