@@ -31,6 +31,8 @@ EDITS, EDIT_CHARS, MIN_CHARS, BLOCK = 2, 10, 1, 48
 BLANKS = " \t\n\x0b\x0c\r"
 #: characters of a gram in the count filter before verification
 GRAM = 5
+#: words that one edit may take from a line: a space put for a letter parts one, a letter put for a space joins two
+WORDS_PER_EDIT = 2
 #: rows of a side that is broadcast; its rows are a key or digest of 16 bytes or less
 SMALL = 1_000_000
 
@@ -136,6 +138,21 @@ def grams(chars: Column) -> Column:
         lambda i: F.xxhash64(*[F.get(chars, i + j) for j in range(GRAM)])))
 
 
+def words(line: Column) -> Column:
+    """Distinct words between spaces; one edit takes away at most ``WORDS_PER_EDIT`` of them."""
+    return F.array_distinct(F.split(line, " "))
+
+
+def alike(a: Column, b: Column, edits: int) -> Column:
+    """Whether two lines are within the allowed edits; the gram count keeps most pairs from the recurrence."""
+    def check(z: Column) -> Column:
+        return ((F.size(F.array_intersect(z["ga"], z["gb"])) >= F.greatest(F.size(z["ga"]), F.size(z["gb"])) - GRAM * edits)
+                & (edit_distance(z["a"], z["b"], edits) <= allowed_edits(F.least(F.size(z["a"]), F.size(z["b"])), edits)))
+    chars = F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b"))
+    return let(chars, lambda c: let(F.struct(c["a"].alias("a"), c["b"].alias("b"), grams(c["a"]).alias("ga"),
+                                             grams(c["b"]).alias("gb")), check))
+
+
 def _lines(docs: DataFrame, least: int) -> DataFrame:
     """``(doc_id, text_key, place, line, length)`` of the lines of ``least`` characters or more that are not blank.
 
@@ -160,8 +177,10 @@ def earlier_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -
     earlier line within the allowed edits: first place, and the earliest such line's first place."""
     lines = _lines(docs, least)
     own, lookups = class_keys(edits)
-    keyed = lines.select(_digest(F.col("line")).alias("digest"), F.struct("doc_id", "place").alias("at"),
-                         F.array(*own, *lookups).alias("keys"))
+    # the higher-order function keeps this projection out of whole-stage code, where some twenty
+    # substring keys make one method too long for the JIT; alone they are split into short ones
+    at = F.get(F.transform(F.array(F.struct("doc_id", "place")), lambda x: x), 0)
+    keyed = lines.select(_digest(F.col("line")).alias("digest"), at.alias("at"), F.array(*own, *lookups).alias("keys"))
     distinct = keyed.groupBy("digest").agg(F.min("at").alias("first"), F.count("*").alias("often"),
                                            F.any_value("keys").alias("keys"))
     # the number a line goes by from here on is stable: it is read from the checkpoint
@@ -190,18 +209,15 @@ def earlier_lines(docs: DataFrame, edits: int = EDITS, least: int = MIN_CHARS) -
 
     def earliest(mine: Column, others: Column) -> Column:
         near = F.filter(others, lambda o: (o["first"] < mine["first"])
-                        & (F.size(F.array_intersect(mine["grams"], o["grams"]))
-                           >= F.greatest(F.size(mine["grams"]), F.size(o["grams"])) - GRAM * edits)
-                        & (edit_distance(mine["chars"], o["chars"], edits) <= allowed_edits(
-                            F.least(F.size(mine["chars"]), F.size(o["chars"])), edits)))
+                        & (F.size(F.array_intersect(mine["words"], o["words"]))
+                           >= F.greatest(F.size(mine["words"]), F.size(o["words"])) - WORDS_PER_EDIT * edits)
+                        & alike(mine["line"], o["line"], edits))
         return F.struct(mine["digest"].alias("digest"), F.array_min(F.transform(near, lambda o: o["first"])).alias("leader"))
 
     def open_lines(block: Column) -> Column:
-        return F.transform(F.transform(block, lambda m: F.struct(
-            m["first"].alias("first"), m["digest"].alias("digest"), m["own"].alias("own"),
-            F.split(m["line"], "").alias("chars"))), lambda m: F.struct(
-                m["first"].alias("first"), m["digest"].alias("digest"), m["own"].alias("own"),
-                m["chars"].alias("chars"), grams(m["chars"]).alias("grams")))
+        return F.transform(block, lambda m: F.struct(
+            m["first"].alias("first"), m["digest"].alias("digest"), m["own"].alias("own"), m["line"].alias("line"),
+            words(m["line"]).alias("words")))
 
     # a lookup meets a segment in one direction only, two segments meet in both
     opened = F.struct(open_lines(F.col("left")).alias("left"), open_lines(F.col("right")).alias("right"))
