@@ -6,14 +6,17 @@
    each minimum.
 3. A bucket is a band key held by two classes or more.  Every member is paired with the
    bucket's smallest id first.  A pair whose collision-corrected estimate (XOR, fold, bit
-   count on the packed signatures) is high enough is confirmed on the full shingle sets.
-4. Buckets whose members are not all connected by then are compared in blocks: members
-   outside the bucket's largest component against all members, pairs inside one component
-   left out.  A bucket of up to ``SMALL`` members gives its close pairs for confirmation;
-   the blocks of a larger one carry the full sets and confirm in place, so that only links
-   leave it.  So every pair that shares a bucket is either connected or was compared, and
-   a group of many near copies never gives all its pairs.
-5. Components of the confirmed links, carried back from classes to documents.
+   count on the packed signatures) is high enough is confirmed on the full shingle sets:
+   of each member's pairs the closest first, then those between different components.
+4. Buckets whose members are not all connected by then are compared in blocks of packed
+   signatures: members outside the bucket's largest component against all members, pairs inside
+   one component left out.  A bucket of up to ``SMALL`` members gives its close pairs.  In a
+   larger one a member gives its closest partner in each other component for confirmation.
+5. What is still close across components then meets in blocks that hold each document
+   once, with its full set, and is confirmed in place, so that only links leave them.  So
+   every pair that shares a bucket is either connected or was compared, and a group of many
+   near copies never gives all its pairs.
+6. Components of the confirmed links, carried back from classes to documents.
 
 With 48 bands of 5 rows a pair at similarity 0.75 shares a bucket with probability
 1 - 2e-6; the estimate's cut lies 4.5 standard deviations below the threshold.
@@ -33,8 +36,8 @@ from loomkit.llm.words import distinct_per_row, mix, shingles, word_hashes
 from loomkit.session import cut_lineage
 
 BANDS, ROWS, BITS = 48, 5, 4
-#: members of a bucket that may give pairs, and of a block of a larger one
-SMALL, BLOCK = 64, 256
+#: members of a bucket that may give pairs, of a block of a larger one, and of a block with full sets
+SMALL, BLOCK, WIDE = 64, 256, 1024
 HASHES = BANDS * ROWS
 _rng = np.random.default_rng(75)
 _A = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -131,9 +134,9 @@ def _near(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keep = estimate(_lanes(batch.column("sig_a")), _lanes(batch.column("sig_b"))) >= low
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
-                    .filter(pa.array(keep))
+                said = estimate(_lanes(batch.column("sig_a")), _lanes(batch.column("sig_b")))
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(said)],
+                                                 ["a", "b", "said"]).filter(pa.array(said >= low))
     return run
 
 
@@ -176,10 +179,10 @@ class _Members:
         self.at = column.offsets.to_numpy()
         rows = column.values
         self.id, self.comp = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("id", "comp"))
-        keys = rows.field("keys")
-        self.keys = keys.values.to_numpy(zero_copy_only=False)[keys.offsets[0].as_py():].reshape(-1, BANDS)[:len(rows)]
         self.lanes = self._bytes(rows.field("sig"), 0, len(rows)).reshape(len(rows), -1)
-        self.own = rows.field("own")
+        held = [f.name for f in rows.type]
+        self.own = rows.field("own") if "own" in held else None
+        self.wide = rows.field("wide").to_numpy(zero_copy_only=False) if "wide" in held else None
 
     @staticmethod
     def _bytes(column: pa.Array, first: int, last: int) -> np.ndarray:
@@ -191,28 +194,79 @@ class _Members:
         return self._bytes(self.own, i, i + 1)
 
 
+def _closest(threshold: float):
+    """Each left member's closest right member of every other component: ``(a, b, member, comp, said)``."""
+    low = cut(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = _Members(batch.column("left")), _Members(batch.column("right"))
+            out = []
+            for row in range(batch.num_rows):
+                them = slice(right.at[row], right.at[row + 1])
+                ids, comp, lanes = right.id[them], right.comp[them], right.lanes[them]
+                for i in range(left.at[row], left.at[row + 1]):
+                    near = np.flatnonzero(comp != left.comp[i])
+                    said = estimate(left.lanes[i], lanes[near])
+                    near, said = near[said >= low], said[said >= low]
+                    order = np.lexsort((ids[near], -said, comp[near]))
+                    near, said = near[order], said[order]
+                    _, head = np.unique(comp[near], return_index=True)
+                    out += [(min(left.id[i], ids[j]), max(left.id[i], ids[j]), left.id[i], comp[j], x)
+                            for j, x in zip(near[head].tolist(), said[head].tolist())]
+            cols = list(zip(*out)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.float64())],
+                ["a", "b", "member", "comp", "said"])
+    return run
+
+
+def _close_blocks(threshold: float):
+    """``(x, y, id)``: wide blocks that hold a close pair across components, with the ids of such pairs."""
+    low = cut(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = _Members(batch.column("left")), _Members(batch.column("right"))
+            out = [np.empty((0, 3), dtype=np.int64)]
+            for row in range(batch.num_rows):
+                them = slice(right.at[row], right.at[row + 1])
+                ids, comp, lanes, wide = right.id[them], right.comp[them], right.lanes[them], right.wide[them]
+                found = [np.empty((0, 3), dtype=np.int64)]
+                for i in range(left.at[row], left.at[row + 1]):
+                    near = np.flatnonzero(comp != left.comp[i])
+                    near = near[estimate(left.lanes[i], lanes[near]) >= low]
+                    if len(near):
+                        x, y = np.minimum(left.wide[i], wide[near]), np.maximum(left.wide[i], wide[near])
+                        found += [np.column_stack([x, y, ids[near]]),
+                                  np.column_stack([x, y, np.full(len(near), left.id[i])])]
+                out.append(np.unique(np.concatenate(found), axis=0))
+            rows = np.concatenate(out)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, k], pa.int64()) for k in range(3)], ["x", "y", "id"])
+    return run
+
+
 def _links(numerator: int, denominator: int):
-    """Links between two blocks of a large bucket, confirmed on the full sets.
+    """Links between two blocks of documents, confirmed on the full sets.
 
-    A pair is compared in its first shared band.  Components joined by a link are one from
-    then on inside the pair of blocks, so a link between them is not looked for again.
+    Components joined by a link are one from then on inside the pair of blocks, so a link
+    between them is not looked for again.
     """
     low = cut(numerator / denominator)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = _Members(batch.column("left")), _Members(batch.column("right"))
-            for row, key in enumerate(batch.column("key").to_pylist()):
+            for row in range(batch.num_rows):
                 mine = range(left.at[row], left.at[row + 1])
                 them = slice(right.at[row], right.at[row + 1])
-                ids, keys, lanes = right.id[them], right.keys[them], right.lanes[them]
+                ids, lanes = right.id[them], right.lanes[them]
                 joined = {c: c for c in {*left.comp[mine.start:mine.stop].tolist(), *right.comp[them].tolist()}}
                 comp = right.comp[them].copy()
                 a, b = [], []
                 for i in mine:
                     own = joined[int(left.comp[i])]
-                    first = (left.keys[i] == keys).argmax(axis=1) == int((left.keys[i] == key).argmax())
-                    near = np.flatnonzero(first & (comp != own))
+                    near = np.flatnonzero(comp != own)
                     near = near[estimate(left.lanes[i], lanes[near]) >= low]
                     x = left.set(i) if len(near) else None
                     for j in near.tolist():
@@ -261,6 +315,62 @@ def confirmed(docs: DataFrame, pairs: DataFrame, numerator: int = 75, denominato
             .select("a", "b", "set_a", "set_b").mapInArrow(_confirm(numerator, denominator), "a long, b long"))
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of ``pairs(a, b)`` those whose ends are not labelled alike."""
+    la = labels.select(F.col("id").alias("a"), F.col("label").alias("la"))
+    lb = labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
+    return pairs.join(la, "a", "left").join(lb, "b", "left").where(
+        F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members ``(key, id, comp, n, minors, minor)`` of buckets that hold more than one component;
+    ``minor`` are those outside the largest."""
+    placed = members.join(labels, "id", "left").select("key", "id", "n", F.coalesce("label", "id").alias("comp"))
+    sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("major"), F.count("*").alias("comps")) \
+        .where("comps > 1").select("key", F.col("major.comp").alias("major"), F.col("major.size").alias("major_size"))
+    return placed.join(mixed, "key").select(
+        "key", "id", "comp", "n", (F.col("n") - F.col("major_size")).alias("minors"),
+        (F.col("comp") != F.col("major")).alias("minor"))
+
+
+def _in_blocks(mixed: DataFrame, sig: DataFrame, wide: int = 1) -> DataFrame:
+    """``(left, right)``: blocks of minor members against blocks of all members of their buckets."""
+    rows = mixed.join(sig, "id").select(
+        "key", "minor", F.struct("id", "comp", "sig", F.pmod(F.xxhash64("id"), F.lit(wide)).alias("wide")).alias("m"),
+        F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block"),
+        F.pmod(F.xxhash64("id"), F.ceil(F.col("minors") / BLOCK)).alias("from"))
+    left = rows.where("minor").groupBy("key", "from").agg(F.collect_list("m").alias("left"))
+    right = rows.groupBy("key", "block").agg(F.collect_list("m").alias("right"))
+    return left.join(right, "key").select("left", "right")
+
+
+def _closest_pairs(mixed: DataFrame, sig: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: of every minor member its closest partner in each other component that it
+    shares a bucket with."""
+    best = _in_blocks(mixed, sig).mapInArrow(_closest(threshold), "a long, b long, member long, comp long, said double")
+    return best.groupBy("member", "comp").agg(F.max(F.struct("said", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+
+
+def _confirmed_in_blocks(docs: DataFrame, mixed: DataFrame, labels: DataFrame, sig: DataFrame,
+                         numerator: int, denominator: int) -> DataFrame:
+    """Links among the members that are still close across components: each stands once, with its
+    full set, in a block by its id, and blocks that share a close pair are compared."""
+    mixed = cut_lineage(mixed)
+    blocks = max(1, math.ceil(mixed.select("id").distinct().count() / WIDE))
+    close = cut_lineage(_in_blocks(mixed, sig, blocks).mapInArrow(
+        _close_blocks(numerator / denominator), "x long, y long, id long").distinct())
+    sets = full_sets(docs, close.select(F.col("id").alias("doc_id")).distinct())
+    rows = cut_lineage(sets.join(sig, "id").join(labels, "id", "left").select(
+        F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"),
+        F.struct("id", F.coalesce("label", "id").alias("comp"), "own", "sig").alias("m")))
+    held = rows.groupBy("block").agg(F.collect_list("m").alias("m"))
+    return (close.select("x", "y").distinct().join(held.select(F.col("block").alias("x"), F.col("m").alias("left")), "x")
+            .join(held.select(F.col("block").alias("y"), F.col("m").alias("right")), "y")
+            .select("left", "right").mapInArrow(_links(numerator, denominator), "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs(doc_id, text, ..)``.
 
@@ -283,33 +393,24 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
     star = members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     star = (star.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
             .join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
-            .select("a", "b", "sig_a", "sig_b").mapInArrow(_near(threshold), "a long, b long"))
+            .select("a", "b", "sig_a", "sig_b").mapInArrow(_near(threshold), "a long, b long, said double"))
     star = cut_lineage(star)
-    links = cut_lineage(confirmed(docs, star, numerator, denominator))
+    nearest = star.groupBy("b").agg(F.max(F.struct("said", "a")).alias("x")).select("x.a", "b")
+    links = cut_lineage(confirmed(docs, nearest, numerator, denominator))
+    apart = _apart(star, connected_components(links, rounds=2))
+    links = links.unionByName(cut_lineage(confirmed(docs, apart, numerator, denominator)))
     labels = connected_components(links, rounds=2)
 
-    placed = members.join(labels, "id", "left").select("key", "id", "n", F.coalesce("label", "id").alias("comp"))
-    sizes = placed.where("n > 2").groupBy("key", "comp").agg(F.count("*").alias("size"), F.max("n").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("major"), F.count("*").alias("comps")) \
-        .where("comps > 1").select("key", F.col("major.comp").alias("major"), F.col("major.size").alias("major_size"))
-    rest = cut_lineage(placed.join(mixed, "key").select(
-        "key", "id", "comp", "n", (F.col("n") - F.col("major_size")).alias("minors"),
-        (F.col("comp") != F.col("major")).alias("minor")))
+    rest = cut_lineage(_mixed(members.where("n > 2"), labels))
     small = rest.where(F.col("n") <= SMALL).join(sig, "id").groupBy("key").agg(
         F.collect_list(F.struct("id", "comp", "sig")).alias("members"))
     more = small.select("members").mapInArrow(_pairs(threshold), "a long, b long").distinct()
-    more = cut_lineage(more.join(star, ["a", "b"], "left_anti"))
-    large = rest.where(F.col("n") > SMALL)
-    sets = full_sets(docs, large.select(F.col("id").alias("doc_id")).distinct())
-    large = cut_lineage(large.join(sets.join(reps, "id"), "id").select(
-        "key", "minor", F.struct("id", "comp", "own", "sig", "keys").alias("m"),
-        F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block"),
-        F.pmod(F.xxhash64("id"), F.ceil(F.col("minors") / BLOCK)).alias("from")))
-    left = large.where("minor").groupBy("key", "from").agg(F.collect_list("m").alias("left"))
-    right = large.groupBy("key", "block").agg(F.collect_list("m").alias("right"))
-    within = left.join(right, "key").select("key", "left", "right").mapInArrow(
-        _links(numerator, denominator), "a long, b long")
-    links = links.unionByName(confirmed(docs, more, numerator, denominator)).unionByName(within)
+    more = more.join(star, ["a", "b"], "left_anti")
+    more = cut_lineage(more.unionByName(_closest_pairs(rest.where(F.col("n") > SMALL), sig, threshold)).distinct())
+    links = cut_lineage(links.unionByName(confirmed(docs, more, numerator, denominator)))
+    labels = connected_components(links, rounds=2)
+    rest = _mixed(rest.where(F.col("n") > SMALL).select("key", "id", "n"), labels)
+    links = links.unionByName(_confirmed_in_blocks(docs, rest, labels, sig, numerator, denominator))
     of = connected_components(links)
 
     named = classes.join(of.withColumnRenamed("id", "rep"), "rep", "left").select(
@@ -320,6 +421,10 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
 
 
 def drop_near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100) -> DataFrame:
-    """``docs`` with one document, the smallest id, of each component; columns as they came."""
+    """``docs`` with one document, the smallest id, of each component; columns as they came.
+
+    Rows without an id cannot be named as a copy of another and all stay.  Rows that repeat a
+    kept id stay, too.  Null and blank texts are linked with nothing and stay.
+    """
     kept = near_duplicates(docs, numerator, denominator).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -115,6 +115,54 @@ def near_texts():
     return out + [(2000 + i, " ".join(f"z{r.randint(0, 10**6)}" for _ in range(30))) for i in range(20)]
 
 
+def test_dropping_copies_keeps_rows_without_an_id(spark):
+    rows = [(1, "one two three four five six seven"), (2, "one two three four five six seven"), (None, "a clean text"),
+            (None, None), (3, ""), (4, "other words that stand here alone")]
+    left = minhash.drop_near_duplicates(docs_of(spark, rows))
+    assert left.columns == docs_of(spark, rows).columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in left.collect()) == [
+        (0, ""), (0, "a clean text"), (1, rows[0][1]), (3, ""), (4, rows[5][1])]
+
+
+def test_line_dedup_of_every_length_against_brute_force(spark):
+    """Lines of 1 to 40 characters, near copies on both sides of the allowed edits."""
+    r = random.Random(17)
+    base = ["".join(r.choice("ab c") for _ in range(n)) for n in [*range(1, 41), 9, 10, 19, 20, 29, 30]]
+    texts = []
+    for i in range(160):
+        line = list(r.choice(base))
+        for _ in range(r.randint(0, 3)):
+            at, how = r.randrange(len(line) + 1), r.randint(0, 2)
+            if how == 0:
+                line.insert(at, r.choice("abxy "))
+            elif at < len(line) and how == 1:
+                line[at] = r.choice("abxy ")
+            elif at < len(line) and len(line) > 1:
+                del line[at]
+        texts.append("".join(line))
+    rows = [(i, "\n".join(texts[4 * i:4 * i + 4])) for i in range(40)]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+    first, gone = [], {}
+    for i, t in rows:
+        for place, line in enumerate(t.split("\n")):
+            if not line.strip():
+                continue
+            if any(o == line or distance(o, line) <= min(lines.EDITS, min(len(o), len(line)) // lines.EDIT_CHARS)
+                   for o in first):
+                gone.setdefault(i, []).append(place)
+            first.append(line)
+    got = by_id(lines.line_report(docs_of(spark, rows)))
+    assert {i: [int(x.split(":")[0]) for x in got[i]["removed"].split(",") if x] for i, _ in rows} == \
+        {i: gone.get(i, []) for i, _ in rows}
+
+
 def test_minhash_finds_every_component(spark, real):
     for texts in (near_texts(), [(r["doc_id"], r["text"]) for r in real.collect()], [x for x in ODD if x[0] != 4]):
         got = by_id(minhash.near_duplicates(docs_of(spark, texts)))
