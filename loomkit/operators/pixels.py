@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomkit.functions.markup import scaled_size
+from loomkit.operators import regions
+from loomkit.operators.records import small_side
 from loomkit.session import cut_lineage
 
 # Luma weights, cut-out tolerance, SSIM constants (7x7 windows,
@@ -28,8 +30,6 @@ SSIM_C2 = (0.03 * 255) ** 2
 POSTERIZE_LEVELS = 3
 KMEANS_ROUNDS = 10
 
-NEIGHBOURS_8 = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) != (0, 0)]
-
 
 def partition_by_image(px: DataFrame, n: int | None = None) -> DataFrame:
     """Hash-partition once by ``image_id``; later per-image steps reuse it."""
@@ -122,92 +122,53 @@ def posterize_kmeans(px: DataFrame, k: int = POSTERIZE_LEVELS, rounds: int = KME
     return joined.select("image_id", "y", "x", post.alias("r"), post.alias("g"), post.alias("b"), "a")
 
 
-def _flood_image(tolerance: int):
-    """Per-image flood fill from the four corners by repeated 8-neighbour dilation
-    restricted to the pixels within ``tolerance`` of the corner's mean gray."""
-    import numpy as np
-    import pandas as pd
-
-    def run(pdf: "pd.DataFrame") -> "pd.DataFrame":
-        ys, xs = pdf["y"].to_numpy(), pdf["x"].to_numpy()
-        h, w = int(ys.max()) + 1, int(xs.max()) + 1
-        gray = np.full((h, w), np.nan)
-        gray[ys, xs] = (pdf["r"].to_numpy() + pdf["g"].to_numpy() + pdf["b"].to_numpy()) / 3.0
-        mask = np.zeros((h, w), dtype=bool)
-        for sy, sx in ((0, 0), (0, w - 1), (h - 1, 0), (h - 1, w - 1)):
-            if np.isnan(gray[sy, sx]):
-                continue
-            elig = np.abs(gray - gray[sy, sx]) <= tolerance
-            m = np.zeros((h, w), dtype=bool)
-            m[sy, sx] = True
-            while True:
-                d = m.copy()
-                d[1:, :] |= m[:-1, :]
-                d[:-1, :] |= m[1:, :]
-                d[:, 1:] |= m[:, :-1]
-                d[:, :-1] |= m[:, 1:]
-                d[1:, 1:] |= m[:-1, :-1]
-                d[1:, :-1] |= m[:-1, 1:]
-                d[:-1, 1:] |= m[1:, :-1]
-                d[:-1, :-1] |= m[1:, 1:]
-                d &= elig
-                if np.array_equal(d, m):
-                    break
-                m = d
-            mask |= m
-        oy, ox = np.nonzero(mask)
-        return pd.DataFrame({"image_id": np.repeat(pdf["image_id"].iloc[0], len(oy)),
-                             "y": oy.astype("int32"), "x": ox.astype("int32")})
-    return run
-
-
-def cutout_mask(px: DataFrame, tolerance: int = BG_TOLERANCE, method: str = "grouped",
-                checkpoint_every: int = 4) -> DataFrame:
-    """I3 + U3: pixels connected (8 neighbours) to any corner whose mean gray is
-    within ``tolerance`` of *that corner's* value -> ``(image_id, y, x)``.
-
-    ``method="grouped"`` (default): one shuffle by ``image_id``, then a vectorised
-    dilation per image (``applyInPandas``); an image is bounded by its raster
-    size, and the work is linear in its pixels times the flood depth, in one pass.
-    ``method="frontier"``: DataFrame-only frontier expansion; each round joins the
-    frontier's neighbours with the eligible pixels and drops those already
-    reached. One Spark job per round, so it suits shallow floods (small rasters).
+def corner_values(px: DataFrame) -> DataFrame:
+    """``(image_id, seeds)``: mean gray and place of the up to four corner pixels, from one aggregation."""
+    v = (F.col("r") + F.col("g") + F.col("b")) / 3.0
+    left, top = F.when(F.col("x") == 0, F.struct("y", v.alias("v"))), F.when(F.col("y") == 0, F.struct("x", v.alias("v")))
+    per = px.groupBy("image_id").agg(
+        F.max("y").alias("ymax"), F.max("x").alias("xmax"),
+        F.max(F.when((F.col("x") == 0) & (F.col("y") == 0), v)).alias("first"),
+        F.max(top).alias("top"), F.max(left).alias("left"), F.max(F.struct("y", "x", v.alias("v"))).alias("last"))
+    zero = F.lit(0)
+
+    def seed(y: Column, x: Column, value: Column, there: Column) -> Column:
+        return F.when(there, F.struct(y.cast("int").alias("y"), x.cast("int").alias("x"), value.alias("v")))
+    seeds = F.array(
+        seed(zero, zero, F.col("first"), F.col("first").isNotNull()),
+        seed(zero, F.col("xmax"), F.col("top.v"), F.col("top.x") == F.col("xmax")),
+        seed(F.col("ymax"), zero, F.col("left.v"), F.col("left.y") == F.col("ymax")),
+        seed(F.col("ymax"), F.col("xmax"), F.col("last.v"),
+             (F.col("last.y") == F.col("ymax")) & (F.col("last.x") == F.col("xmax"))))
+    return per.select("image_id", "ymax", F.filter(seeds, lambda s: s.isNotNull()).alias("seeds"))
+
+
+def cutout_runs(px: DataFrame, tolerance: int = BG_TOLERANCE, strip: int = regions.STRIP) -> DataFrame:
+    """Runs ``(image_id, y, x0, x1)`` of the background, per seed value (runs of two values may overlap).
+
+    The pixels within ``tolerance`` of a corner's mean gray are one layer per distinct value;
+    a region of the layer is background when it holds a corner of that value.
     """
-    if method == "grouped":
-        id_type = px.schema["image_id"].dataType.simpleString()
-        return (px.select("image_id", "y", "x", "r", "g", "b").groupBy("image_id")
-                .applyInPandas(_flood_image(tolerance), f"image_id {id_type}, y int, x int"))
-    if method != "frontier":
-        raise ValueError(f"unknown method {method!r}")
-    g = px.select("image_id", "y", "x", ((F.col("r") + F.col("g") + F.col("b")) / 3.0).alias("v"))
-    dims = g.groupBy("image_id").agg((F.max("y")).alias("ymax"), (F.max("x")).alias("xmax"))
-    corners = (g.join(dims, "image_id")
-               .where(((F.col("y") == 0) | (F.col("y") == F.col("ymax"))) &
-                      ((F.col("x") == 0) | (F.col("x") == F.col("xmax"))))
-               .select("image_id", (F.col("y") * 2 + F.when(F.col("x") == 0, 0).otherwise(1)).alias("corner"),
-                       F.col("y").alias("sy"), F.col("x").alias("sx"), F.col("v").alias("sv")))
-    eligible = cut_lineage(
-        g.join(corners.select("image_id", "corner", "sv"), "image_id")
-        .where(F.abs(F.col("v") - F.col("sv")) <= tolerance)
-        .select("image_id", "corner", "y", "x"))
-    frontier = cut_lineage(corners.select("image_id", "corner", F.col("sy").alias("y"), F.col("sx").alias("x")))
-    reached = frontier
-    offsets = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in NEIGHBOURS_8])
-    rounds = 0
-    while True:
-        rounds += 1
-        nb = (frontier.select("image_id", "corner", "y", "x", F.explode(offsets).alias("o"))
-              .select("image_id", "corner", (F.col("y") + F.col("o.dy")).alias("y"),
-                      (F.col("x") + F.col("o.dx")).alias("x")).distinct())
-        new = (nb.join(eligible, ["image_id", "corner", "y", "x"], "left_semi")
-               .join(reached, ["image_id", "corner", "y", "x"], "left_anti"))
-        frontier = cut_lineage(new)
-        if frontier.isEmpty():
-            break
-        reached = reached.unionByName(frontier)
-        if rounds % checkpoint_every == 0:
-            reached = cut_lineage(reached)
-    return reached.select("image_id", "y", "x").distinct()
+    corners = cut_lineage(corner_values(px))
+    values = corners.select("image_id", F.array_distinct(F.transform("seeds", lambda s: s["v"])).alias("seed"))
+    gray = px.select("image_id", "y", "x", ((F.col("r") + F.col("g") + F.col("b")) / 3.0).alias("v"))
+    layer = (gray.join(small_side(values), "image_id").select("image_id", "y", "x", "v", F.explode("seed").alias("seed"))
+             .where(F.abs(F.col("v") - F.col("seed")) <= tolerance).drop("v"))
+    low = corners.agg(F.max("ymax")).first()[0]
+    runs_of = cut_lineage(regions.label_regions(layer, ["image_id", "seed"], strip=strip,
+                                                one_strip=low is None or low < strip))
+    at = corners.select("image_id", F.explode("seeds").alias("s")).select(
+        "image_id", F.col("s.v").alias("seed"), F.col("s.y").alias("y"), F.col("s.x").alias("_x"))
+    held = runs_of.join(at, ["image_id", "seed", "y"]).where("_x BETWEEN x0 AND x1") \
+        .select("image_id", "seed", "region").distinct()
+    return runs_of.join(held, ["image_id", "seed", "region"], "left_semi").select("image_id", "y", "x0", "x1")
+
+
+def cutout_mask(px: DataFrame, tolerance: int = BG_TOLERANCE, strip: int = regions.STRIP) -> DataFrame:
+    """I3 + U3: pixels connected (8 neighbours) to any corner whose mean gray is
+    within ``tolerance`` of *that corner's* value -> ``(image_id, y, x)``."""
+    found = cutout_runs(px, tolerance, strip)
+    return found.select("image_id", "y", F.explode(F.sequence("x0", "x1")).alias("x")).distinct()
 
 
 def cutout(px: DataFrame, tolerance: int = BG_TOLERANCE) -> DataFrame:
