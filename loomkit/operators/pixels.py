@@ -10,7 +10,10 @@ is bounded by its raster size, so no group grows with the number of images.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,12 +31,6 @@ SSIM_WIN = 7
 SSIM_C1 = (0.01 * 255) ** 2
 SSIM_C2 = (0.03 * 255) ** 2
 POSTERIZE_LEVELS = 3
-KMEANS_ROUNDS = 10
-
-
-def partition_by_image(px: DataFrame, n: int | None = None) -> DataFrame:
-    """Hash-partition once by ``image_id``; later per-image steps reuse it."""
-    return px.repartition(n, "image_id") if n else px.repartition("image_id")
 
 
 def luma(px: DataFrame) -> DataFrame:
@@ -68,41 +65,53 @@ def _nearest(centroids: Column, v: Column) -> Column:
     return F.array_min(scored)["i"] + 1
 
 
-def _lloyd_round(hist: Column, k: int):
-    def step(cent, _):
-        sums = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda j: F.aggregate(
-            hist, F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("n")),
-            lambda acc, h: F.when(_nearest(cent, h["v"]) == j,
-                                  F.struct((acc["s"] + h["v"] * h["n"]).alias("s"), (acc["n"] + h["n"]).alias("n")))
-            .otherwise(acc)))
-        return F.transform(F.arrays_zip(cent.alias("c"), sums.alias("t")),
-                           lambda z: F.when(z["t"]["n"] > 0, z["t"]["s"] / z["t"]["n"]).otherwise(z["c"]))
-    return step
-
+def lloyd(v: np.ndarray, n: np.ndarray, k: int) -> np.ndarray:
+    """Sorted 1-D centroids of the values ``v`` (ascending) with counts ``n``, moved until they stand still.
 
-def kmeans_centroids(px: DataFrame, k: int = POSTERIZE_LEVELS, rounds: int = KMEANS_ROUNDS,
-                     gray_col: str = "gray") -> DataFrame:
-    """Per-image 1-D k-means on the foreground gray histogram.
+    Start: the weighted (j + 0.5)/k quantiles. A cluster is a stretch of the values, cut halfway
+    between neighbouring centroids (the lower one takes a tie), so its mean is a difference of
+    cumulative sums. Empty clusters keep their centroid.
+    """
+    count = np.concatenate([[0], np.cumsum(n)])
+    total = np.concatenate([[0.0], np.cumsum(v * n)])
+    cent = v[np.searchsorted(count[1:], np.floor((np.arange(k) + 0.5) * count[-1] / k), "right")]
+    while True:
+        gap = np.abs(v[:, None] - cent[None, :])
+        near = gap.argmin(axis=1)
+        cuts = np.searchsorted(near, np.arange(k + 1))
+        size = np.diff(count[cuts])
+        new = np.where(size > 0, np.diff(total[cuts]) / np.maximum(size, 1), cent)
+        if (new == cent).all():
+            return np.sort(cent)
+        cent = new
+
+
+def _centroids(k: int):
+    def run(batches):
+        for batch in batches:
+            out = [lloyd(np.array([e["v"] for e in h], dtype=float), np.array([e["n"] for e in h], dtype=np.int64), k)
+                   for h in batch.column("hist").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("image_id"), batch.column("n_distinct"),
+                 pa.array([c.tolist() for c in out], pa.list_(pa.float64()))], ["image_id", "n_distinct", "centroids"])
+    return run
+
+
+def kmeans_centroids(px: DataFrame, k: int = POSTERIZE_LEVELS, gray_col: str = "gray") -> DataFrame:
+    """Per-image 1-D k-means on the foreground gray histogram, to convergence.
 
     The histogram of one image has at most one entry per gray value, so it is a
-    bounded array per image. Start: the weighted (j + 0.5)/k quantiles; then a
-    fixed number of Lloyd rounds (empty clusters keep their centroid); centroids
-    sorted. Only images with more than ``k`` distinct values are clustered.
+    bounded array per image. ``(image_id, n_distinct, centroids)``, centroids sorted.
     """
     fg = px.where(F.col("a") > 0)
     hist = fg.groupBy("image_id", F.col(gray_col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     per = hist.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("hist"),
-                                       F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_distinct"))
-    h = F.col("hist")
-    cum = F.transform(h, lambda e, i: F.struct(e["v"].alias("v"), F.aggregate(
-        F.slice(h, 1, i + 1), F.lit(0).cast("bigint"), lambda a, x: a + x["n"]).alias("c")))
-    start = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.filter(
-        cum, lambda e: e["c"] > F.floor((j + 0.5) * F.col("total") / k))[0]["v"])
-    cent = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, _lloyd_round(h, k))
-    return per.select("image_id", "n_distinct", F.array_sort(cent).alias("centroids"))
+                                       F.count(F.lit(1)).alias("n_distinct"))
+    kind = dict(px.dtypes)["image_id"]
+    return per.mapInArrow(_centroids(k), f"image_id {kind}, n_distinct bigint, centroids array<double>")
 
 
-def posterize_kmeans(px: DataFrame, k: int = POSTERIZE_LEVELS, rounds: int = KMEANS_ROUNDS) -> DataFrame:
+def posterize_kmeans(px: DataFrame, k: int = POSTERIZE_LEVELS) -> DataFrame:
     """Every pixel takes its nearest centroid (truncated); background becomes 0.
 
     Images with at most ``k`` distinct foreground values keep their gray values.
@@ -112,7 +121,7 @@ def posterize_kmeans(px: DataFrame, k: int = POSTERIZE_LEVELS, rounds: int = KME
     w = [F.lit(v).cast("float") for v in LUMA]
     g = (w[0] * f("r") + w[1] * f("g") + w[2] * f("b")).cast("double")
     base = px.withColumn("gray", g)
-    cents = kmeans_centroids(base, k, rounds)
+    cents = kmeans_centroids(base, k)
     joined = base.join(cents, "image_id", "left")
     clustered = F.col("n_distinct") > k
     near = F.element_at(F.col("centroids"), _nearest(F.col("centroids"), F.col("gray")))
@@ -183,26 +192,23 @@ def image_dims(px: DataFrame) -> DataFrame:
     return px.groupBy("image_id").agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h"))
 
 
-def downscale_box(px: DataFrame, max_dim) -> DataFrame:
+def downscale_box(px: DataFrame, max_dim: int) -> DataFrame:
     """I6 + X14: shrink only; each target pixel is the rounded mean of the source
-    pixels that map onto it (``floor(x * w' / w)``), channel by channel.
-
-    ``max_dim`` is an int or the name of a per-image column (one size per preset).
-    """
+    pixels that map onto it (``floor(x * w' / w)``), channel by channel."""
     d = image_dims(px)
-    if isinstance(max_dim, str):
-        d = d.join(px.select("image_id", max_dim).distinct(), "image_id")
-        md = F.col(max_dim)
-    else:
-        md = F.lit(max_dim)
-    nw, nh = scaled_size(F.col("w"), F.col("h"), md)
-    d = d.select("image_id", "w", "h", nw.alias("nw"), nh.alias("nh"))
-    j = px.select("image_id", "y", "x", "r", "g", "b", "a").join(d, "image_id")
+    nw, nh = scaled_size(F.col("w"), F.col("h"), F.lit(max_dim))
+    return downscale_to(px, d.select("image_id", "w", "h", nw.alias("nw"), nh.alias("nh")))
+
+
+def downscale_to(px: DataFrame, sizes: DataFrame, out_id: str = "image_id") -> DataFrame:
+    """``sizes(image_id, w, h, nw, nh[, out_id])`` names the size of each image, or several
+    sizes under an ``out_id`` of their own."""
+    j = px.select("image_id", "y", "x", "r", "g", "b", "a").join(small_side(sizes), "image_id")
     tx = F.floor(F.col("x") * F.col("nw") / F.col("w")).cast("int")
     ty = F.floor(F.col("y") * F.col("nh") / F.col("h")).cast("int")
-    j = j.withColumn("tx", tx).withColumn("ty", ty)
-    agg = j.groupBy("image_id", "ty", "tx").agg(*[F.floor(F.avg(c) + 0.5).cast("int").alias(c) for c in "rgba"])
-    return agg.select("image_id", F.col("ty").alias("y"), F.col("tx").alias("x"), "r", "g", "b", "a")
+    agg = j.groupBy(F.col(out_id).alias("image_id"), ty.alias("y"), tx.alias("x")).agg(
+        *[F.floor(F.avg(c) + 0.5).cast("int").alias(c) for c in "rgba"])
+    return agg.select("image_id", "y", "x", "r", "g", "b", "a")
 
 
 def gaussian_weights(sigma: float) -> list[tuple[int, float]]:
@@ -212,58 +218,63 @@ def gaussian_weights(sigma: float) -> list[tuple[int, float]]:
 
 
 def _blur_pass(px: DataFrame, weights: list[tuple[int, float]], axis: str, chans: list[str]) -> DataFrame:
-    """One separable pass: every pixel spreads to its neighbours along ``axis``;
-    weights are renormalised over the neighbours that exist (edges)."""
-    offs = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(w).alias("w")) for d, w in weights])
-    e = px.select("image_id", "y", "x", *chans, F.explode(offs).alias("o"))
-    tgt = F.col(axis) + F.col("o.d")
-    e = e.withColumn(axis, tgt)
-    d = image_dims(px)
-    e = e.join(d, "image_id").where((F.col("x") >= 0) & (F.col("x") < F.col("w")) &
-                                   (F.col("y") >= 0) & (F.col("y") < F.col("h")))
-    sums = [(F.sum(F.col(c) * F.col("o.w")) / F.sum("o.w")).alias(c) for c in chans]
-    return e.groupBy("image_id", "y", "x").agg(*sums)
+    """One separable pass: every pixel gathers its neighbours along ``axis``, one range frame per
+    offset; weights are renormalised over the neighbours that exist (edges)."""
+    other = "y" if axis == "x" else "x"
+    w = Window.partitionBy("image_id", other).orderBy(axis)
+    seen = px.select("image_id", "y", "x", *chans, *[
+        F.first(F.struct(*chans)).over(w.rangeBetween(d, d)).alias(f"_{i}") for i, (d, _) in enumerate(weights)])
+    there = [F.when(F.col(f"_{i}").isNotNull(), v).otherwise(0.0) for i, (_, v) in enumerate(weights)]
+    whole = reduce(lambda a, b: a + b, there)
+    sums = [(reduce(lambda a, b: a + b, [F.coalesce(F.col(f"_{i}")[c] * v, F.lit(0.0))
+                                         for i, (_, v) in enumerate(weights)]) / whole).alias(c) for c in chans]
+    return seen.select("image_id", "y", "x", *sums)
 
 
 def blur(px: DataFrame, sigma: float, chans: tuple[str, ...] = ("r", "g", "b")) -> DataFrame:
-    """Separable Gaussian blur (our weights, not the resampler's box passes)."""
+    """Separable Gaussian blur (our weights, not the resampler's box passes). Both passes
+    read one partitioning by image."""
     w = gaussian_weights(sigma)
-    h = _blur_pass(px, w, "x", list(chans))
-    return _blur_pass(h, w, "y", list(chans))
+    own = px.select("image_id", "y", "x", *chans).repartition("image_id")
+    return _blur_pass(_blur_pass(own, w, "x", list(chans)), w, "y", list(chans))
 
 
 def ssim(a: DataFrame, b: DataFrame, chans: tuple[str, ...] = ("r", "g", "b"), win: int = SSIM_WIN) -> DataFrame:
     """I8 (W3 + A8): mean SSIM per image over channels and interior 7x7 windows.
 
-    Window sums are separable: a row pass (``rowsBetween(-3, 3)`` per image, row,
-    channel) and a column pass. Only windows fully inside the image are kept.
+    Channels are columns, and everything reads one partitioning by image: both rasters are
+    brought together by an aggregation, the window sums are a row pass and a column pass.
+    Only windows fully inside the image, with all their pixels in both rasters, are kept.
     """
     half = win // 2
-    la = a.select("image_id", "y", "x", F.explode(F.array(*[F.struct(F.lit(c).alias("ch"), F.col(c).cast("double")
-                                                                       .alias("va")) for c in chans])).alias("p"))
-    la = la.select("image_id", "y", "x", "p.ch", "p.va")
-    lb = b.select("image_id", "y", "x", F.explode(F.array(*[F.struct(F.lit(c).alias("ch"), F.col(c).cast("double")
-                                                                       .alias("vb")) for c in chans])).alias("p"))
-    lb = lb.select("image_id", "y", "x", "p.ch", "p.vb")
-    j = la.join(lb, ["image_id", "y", "x", "ch"])
-    j = j.select("image_id", "y", "x", "ch", "va", "vb", (F.col("va") * F.col("va")).alias("aa"),
-                 (F.col("vb") * F.col("vb")).alias("bb"), (F.col("va") * F.col("vb")).alias("ab"))
-    stats = ["va", "vb", "aa", "bb", "ab"]
-    wr = Window.partitionBy("image_id", "ch", "y").orderBy("x").rowsBetween(-half, half)
-    rowp = j.select("image_id", "ch", "y", "x", *[F.sum(s).over(wr).alias(s) for s in stats],
-                    F.count(F.lit(1)).over(wr).alias("nx"))
-    wc = Window.partitionBy("image_id", "ch", "x").orderBy("y").rowsBetween(-half, half)
-    colp = rowp.select("image_id", "ch", "y", "x", *[F.sum(s).over(wc).alias(s) for s in stats],
-                       F.sum("nx").over(wc).alias("np"))
-    n = float(win * win)
-    full = colp.where(F.col("np") == win * win)
-    ux, uy = F.col("va") / n, F.col("vb") / n
-    cov = n / (n - 1)
-    vx = cov * (F.col("aa") / n - ux * ux)
-    vy = cov * (F.col("bb") / n - uy * uy)
-    vxy = cov * (F.col("ab") / n - ux * uy)
-    s = ((2 * ux * uy + SSIM_C1) * (2 * vxy + SSIM_C2)) / ((ux * ux + uy * uy + SSIM_C1) * (vx + vy + SSIM_C2))
-    return full.groupBy("image_id").agg(F.avg(s).alias("ssim"))
+
+    def tagged(px: DataFrame, side: str) -> DataFrame:
+        return px.select("image_id", "y", "x", *[
+            (F.col(c).cast("double") if s == side else F.lit(None).cast("double")).alias(f"{s}_{c}")
+            for s in ("p", "q") for c in chans])
+    both = tagged(a, "p").unionByName(tagged(b, "q")).repartition("image_id")
+    pairs = both.groupBy("image_id", "y", "x").agg(*[F.max(f"{s}_{c}").alias(f"{s}_{c}") for s in ("p", "q") for c in chans])
+    pairs = pairs.where(reduce(lambda m, n: m & n, [F.col(f"{s}_{c}").isNotNull() for s in ("p", "q") for c in chans]))
+    moments = []
+    for c in chans:
+        p, q = F.col(f"p_{c}"), F.col(f"q_{c}")
+        moments += [(f"p_{c}", p), (f"q_{c}", q), (f"pp_{c}", p * p), (f"qq_{c}", q * q), (f"pq_{c}", p * q)]
+    names = [m for m, _ in moments]
+    rows = Window.partitionBy("image_id", "y").orderBy("x").rangeBetween(-half, half)
+    cols = Window.partitionBy("image_id", "x").orderBy("y").rangeBetween(-half, half)
+    flat = pairs.select("image_id", "y", "x", *[e.alias(m) for m, e in moments])
+    flat = flat.select("image_id", "y", "x", *[F.sum(m).over(rows).alias(m) for m in names],
+                       F.count(F.lit(1)).over(rows).alias("held"))
+    flat = flat.select("image_id", *[F.sum(m).over(cols).alias(m) for m in names], F.sum("held").over(cols).alias("held"))
+    n, cov = float(win * win), win * win / (win * win - 1.0)
+
+    def value(c: str) -> Column:
+        ux, uy = F.col(f"p_{c}") / n, F.col(f"q_{c}") / n
+        vx, vy = cov * (F.col(f"pp_{c}") / n - ux * ux), cov * (F.col(f"qq_{c}") / n - uy * uy)
+        vxy = cov * (F.col(f"pq_{c}") / n - ux * uy)
+        return ((2 * ux * uy + SSIM_C1) * (2 * vxy + SSIM_C2)) / ((ux * ux + uy * uy + SSIM_C1) * (vx + vy + SSIM_C2))
+    per = reduce(lambda m, k: m + k, [value(c) for c in chans]) / len(chans)
+    return flat.where(F.col("held") == win * win).groupBy("image_id").agg(F.avg(per).alias("ssim"))
 
 
 def runs(px: DataFrame, tone_col: str = "r", min_run: int = 1) -> DataFrame:
@@ -290,17 +301,34 @@ def rgb_tone(r: Column, g: Column, b: Column) -> Column:
     return (r * 65536 + g * 256 + b).cast("int")
 
 
+def speckled_runs(px: DataFrame, tone_col: str, speckle: str, strip: int = regions.STRIP,
+                  one_strip: bool | None = None) -> DataFrame:
+    """Runs ``(image_id, y, tone, x0, x1)`` of the foreground without the connected patches of
+    one tone that hold fewer than ``speckle`` squared pixels (a column, one value per image)."""
+    fg = px.where(F.col("a") > 0)
+    found = regions.label_regions(fg.select("image_id", F.col(tone_col).alias("tone"), "y", "x"),
+                                  ["image_id", "tone"], diagonal=False, strip=strip, one_strip=one_strip)
+    least = fg.groupBy("image_id").agg((F.max(speckle) * F.max(speckle)).alias("least"))
+    found = found.join(least, "image_id")
+    return regions.drop_speckles(found, ["image_id", "tone"], "least").select("image_id", "y", "tone", "x0", "x1")
+
+
 def trace_runs(px: DataFrame, tone_col: str = "r", min_run: int = 1, rgb: bool = False) -> DataFrame:
+    """``runs_markup`` of all runs of the foreground."""
+    if rgb:
+        px = px.withColumn("_tone", rgb_tone(F.col("r"), F.col("g"), F.col("b")))
+        tone_col = "_tone"
+    return runs_markup(runs(px, tone_col, min_run), image_dims(px), rgb)
+
+
+def runs_markup(r: DataFrame, dims: DataFrame, rgb: bool = False) -> DataFrame:
     """One ``<path>`` per tone, each run a rectangle ``M x y h n v1 h -n z``;
     tones ascending, runs by (y, x0). Returns ``(image_id, svg, n_runs)``.
 
     With ``rgb=True`` the tone is ``rgb_tone(r, g, b)`` and the fill its six hex
-    digits; otherwise the gray tone is repeated three times.
+    digits; otherwise the gray tone is repeated three times. ``dims(image_id, w, h)``
+    names every image, also those without a run.
     """
-    if rgb:
-        px = px.withColumn("_tone", rgb_tone(F.col("r"), F.col("g"), F.col("b")))
-        tone_col = "_tone"
-    r = runs(px, tone_col, min_run)
     seg = F.concat(F.lit("M"), F.col("x0").cast("string"), F.lit(" "), F.col("y").cast("string"), F.lit("h"),
                    (F.col("x1") - F.col("x0") + 1).cast("string"), F.lit("v1h-"),
                    (F.col("x1") - F.col("x0") + 1).cast("string"), F.lit("z"))
@@ -311,12 +339,11 @@ def trace_runs(px: DataFrame, tone_col: str = "r", min_run: int = 1, rgb: bool =
     t = F.col("tone")
     fill = (F.lpad(F.lower(F.hex(t)), 6, "0") if rgb else F.concat(_hex2(t), _hex2(t), _hex2(t)))
     path = F.concat(F.lit('<path fill="#'), fill, F.lit('" d="'), F.col("d"), F.lit('"/>'))
-    d = image_dims(px)
     per_img = (per_tone.groupBy("image_id")
                .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tone", path.alias("p")))),
                                              lambda s: s["p"]), "").alias("paths"),
                     F.sum("n").alias("n_runs")))
-    j = d.join(per_img, "image_id", "left")
+    j = dims.join(per_img, "image_id", "left")
     svg = F.concat(F.lit('<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 '), F.col("w").cast("string"),
                    F.lit(" "), F.col("h").cast("string"), F.lit('">'), F.coalesce(F.col("paths"), F.lit("")),
                    F.lit("</svg>"))

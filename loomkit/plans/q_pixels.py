@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomkit.operators import pixels as P
+from loomkit.operators import select as S
 from loomkit.plans.registry import register
 from loomkit.sources import fixtures as FX
 from loomkit.sources.tables import table
@@ -60,43 +61,39 @@ def gray_distinct_q(spark, sf):
     return P.gray_distinct(P.luma(tiles(spark, sf)))
 
 
-def _kmeans_sql(k: int = LEVELS, rounds: int = P.KMEANS_ROUNDS) -> str:
-    gray = ("CAST(CAST(CAST(0.299 AS FLOAT) * CAST(r AS FLOAT) + CAST(0.587 AS FLOAT) * CAST(r AS FLOAT)"
-            " + CAST(0.114 AS FLOAT) * CAST(r AS FLOAT) AS FLOAT) AS DOUBLE)")
-    parts = [_LUMA, f"px AS (SELECT image_id, y, x, a, {gray} AS v FROM luma)",
-             "hist AS (SELECT image_id, v, count(*) AS n FROM px WHERE a > 0 GROUP BY image_id, v)",
-             "cum AS (SELECT image_id, v, sum(n) OVER (PARTITION BY image_id ORDER BY v) AS c, "
-             "sum(n) OVER (PARTITION BY image_id) AS total, count(*) OVER (PARTITION BY image_id) AS nd FROM hist)",
-             f"ks AS (SELECT unnest(range(0, {k})) AS j)",
-             "c0 AS (SELECT cum.image_id, ks.j, min(cum.v) AS c FROM cum, ks "
-             f"WHERE cum.c > floor((ks.j + 0.5) * cum.total / {k}) GROUP BY cum.image_id, ks.j)"]
-    for r in range(1, rounds + 1):
-        p = f"c{r - 1}"
-        parts.append(
-            f"a{r} AS (SELECT image_id, v, n, j FROM (SELECT h.image_id, h.v, h.n, c.j, row_number() OVER "
-            f"(PARTITION BY h.image_id, h.v ORDER BY abs(c.c - h.v), c.j) AS rk FROM hist h "
-            f"JOIN {p} c ON c.image_id = h.image_id) WHERE rk = 1)")
-        parts.append(
-            f"c{r} AS (SELECT p.image_id, p.j, CASE WHEN sum(a.n) > 0 THEN sum(a.v * a.n) / sum(a.n) ELSE p.c END AS c "
-            f"FROM {p} p LEFT JOIN a{r} a ON a.image_id = p.image_id AND a.j = p.j GROUP BY p.image_id, p.j, p.c)")
-    return "WITH " + ",\n".join(parts)
-
-
-_KMEANS_SQL = _kmeans_sql() + f""",
-nd AS (SELECT image_id, count(*) AS nd FROM hist GROUP BY image_id),
+_GRAY = ("CAST(CAST(CAST(0.299 AS FLOAT) * CAST(r AS FLOAT) + CAST(0.587 AS FLOAT) * CAST(r AS FLOAT)"
+         " + CAST(0.114 AS FLOAT) * CAST(r AS FLOAT) AS FLOAT) AS DOUBLE)")
+_NEAR = "list_position(list_transform(c, lambda lm_c: abs(lm_c - lm_h.v)), list_min(list_transform(c, lambda lm_c: abs(lm_c - lm_h.v))))"
+
+_KMEANS_SQL = "WITH RECURSIVE " + _LUMA + f""",
+px AS (SELECT image_id, y, x, a, {_GRAY} AS v FROM luma),
+hist AS (SELECT image_id, v, count(*) AS n FROM px WHERE a > 0 GROUP BY image_id, v),
+cum AS (SELECT image_id, v, n, sum(n) OVER (PARTITION BY image_id ORDER BY v) AS cn,
+  sum(n) OVER (PARTITION BY image_id) AS total FROM hist),
+per AS (SELECT image_id, count(*) AS nd, list({{'v': v, 'n': n}} ORDER BY v) AS h,
+  [{", ".join(f"min(v) FILTER (cn > floor(({j} + 0.5) * total / {LEVELS}))" for j in range(LEVELS))}] AS c FROM cum GROUP BY image_id),
+walk(image_id, h, c, was) AS (
+  SELECT image_id, h, c, CAST(NULL AS DOUBLE[]) FROM per
+  UNION ALL
+  SELECT image_id, h, list_transform(range(1, {LEVELS + 1}), lambda lm_j: coalesce(
+    list_sum(list_transform(list_filter(m, lambda lm_m: lm_m.k = lm_j), lambda lm_m: lm_m.v * lm_m.n))
+      / list_sum(list_transform(list_filter(m, lambda lm_m: lm_m.k = lm_j), lambda lm_m: lm_m.n)), c[lm_j])), c
+  FROM (SELECT image_id, h, c, list_transform(h, lambda lm_h: {{'v': lm_h.v, 'n': lm_h.n, 'k': {_NEAR}}}) AS m
+        FROM walk WHERE was IS NULL OR was <> c)),
+still AS (SELECT image_id, list_sort(c) AS c FROM walk WHERE was = c),
 near AS (
   SELECT image_id, y, x, a, v, cc FROM (
-    SELECT px.image_id, px.y, px.x, px.a, px.v, c.c AS cc,
-      row_number() OVER (PARTITION BY px.image_id, px.y, px.x ORDER BY abs(c.c - px.v), c.c) AS rk
-    FROM px JOIN c{P.KMEANS_ROUNDS} c ON c.image_id = px.image_id) WHERE rk = 1)
+    SELECT px.image_id, px.y, px.x, px.a, px.v, e.cc,
+      row_number() OVER (PARTITION BY px.image_id, px.y, px.x ORDER BY abs(e.cc - px.v), e.cc) AS rk
+    FROM px JOIN (SELECT image_id, unnest(c) AS cc FROM still) e ON e.image_id = px.image_id) WHERE rk = 1)
 SELECT near.image_id, near.y, near.x,
-  CAST(CASE WHEN nd.nd > {LEVELS} AND near.a > 0 THEN floor(near.cc) WHEN nd.nd > {LEVELS} THEN 0 ELSE floor(near.v) END AS INTEGER) AS tone
-FROM near JOIN nd ON nd.image_id = near.image_id"""
+  CAST(CASE WHEN per.nd > {LEVELS} AND near.a > 0 THEN floor(near.cc) WHEN per.nd > {LEVELS} THEN 0 ELSE floor(near.v) END AS INTEGER) AS tone
+FROM near JOIN per ON per.image_id = near.image_id"""
 
 
 @register("posterize_kmeans", _KMEANS_SQL)
 def posterize_kmeans_q(spark, sf):
-    """Per-image 1-D k-means (3 levels, quantile start, 10 Lloyd rounds)."""
+    """Per-image 1-D k-means (3 levels, quantile start, Lloyd rounds until nothing moves)."""
     px = P.luma(tiles(spark, sf))
     return P.posterize_kmeans(px, LEVELS).select("image_id", "y", "x", F.col("r").alias("tone"))
 
@@ -230,6 +227,52 @@ def rasterize_runs_q(spark, sf):
                                               F.sum(F.col("x") + 8 * F.col("y")).cast("bigint").alias("pos_sum"))
 
 
+FINE = 16                # gray levels of the speckle query
+_SPECKLE_SQL = "WITH RECURSIVE " + _LUMA + f""",
+fine AS (SELECT image_id, y * 8 + x AS p, CAST(floor(round_even(r / 255.0 * {FINE - 1}, 0) / {FINE - 1} * 255) AS INTEGER) AS tone FROM luma),
+reach(image_id, tone, s, p) AS (
+  SELECT image_id, tone, p, p FROM fine
+  UNION
+  SELECT r.image_id, r.tone, r.s, f.p FROM reach r JOIN fine f ON f.image_id = r.image_id AND f.tone = r.tone
+    AND (abs(f.p - r.p) = 8 OR (abs(f.p - r.p) = 1 AND f.p // 8 = r.p // 8))),
+area AS (SELECT image_id, tone, s AS p, count(*) AS area FROM reach GROUP BY ALL),
+bars(filter_speckle) AS (VALUES {", ".join(f"({b})" for b in sorted({p[1] for p in S.POSTER_PRESETS})[:4])})
+SELECT image_id, filter_speckle, tone, count(*) AS n_pixels, CAST(sum(p) AS BIGINT) AS pos_sum
+FROM area, bars WHERE area >= filter_speckle * filter_speckle GROUP BY ALL"""
+
+
+@register("trace_speckle", _SPECKLE_SQL)
+def trace_speckle(spark, sf):
+    """What the speckle bounds of four presets leave of each tile at 16 gray levels."""
+    px = P.luma(tiles(spark, sf))
+    px = px.select("image_id", "y", "x", P.posterize_uniform(F.col("r"), FINE).alias("r"), "a")
+    bars = sorted({p[1] for p in S.POSTER_PRESETS})[:4]
+    px = px.withColumn("bar", F.explode(F.array(*[F.lit(b) for b in bars])))
+    px = px.withColumn("image_id", F.struct("image_id", "bar"))
+    cells = P.rasterize_runs(P.speckled_runs(px, "r", "bar"))
+    return cells.groupBy(F.col("image_id.image_id").alias("image_id"), F.col("image_id.bar").alias("filter_speckle"), "tone") \
+        .agg(F.count(F.lit(1)).alias("n_pixels"), F.sum(F.col("x") + 8 * F.col("y")).cast("bigint").alias("pos_sum"))
+
+
+@register("convert_mosaics")
+def convert_mosaics(spark, sf):
+    """I11 over images of 400 pixels, which the presets shrink: string ids, presets that differ in
+    size and speckles, scores at the size of the source."""
+    from loomkit.plans.convert import convert
+    out = convert(FX.mosaics(table(spark, sf, "embeddings")), target_kb=20.0)
+    return out.select("image_id", "idx", "size", F.round("score", 6).alias("score"), "fallback",
+                      "n_candidates", "n_considered", "svg")
+
+
+@register("convert_colours")
+def convert_colours(spark, sf):
+    """I11 + I12 with the colour presets (blur, colour precision) and without the cut-out."""
+    from loomkit.plans.convert import convert
+    out = convert(tiles(spark, sf), cutout=False, posterize=None)
+    return out.select("image_id", "idx", "size", F.round("score", 6).alias("score"), "fallback",
+                      "n_candidates", "n_considered", "svg")
+
+
 @register("convert_tiles")
 def convert_tiles(spark, sf):
     """Cut-out, 3-level posterising, tracing, minify and preset choice per tile."""

@@ -134,6 +134,21 @@ def tiles(embeddings: DataFrame) -> DataFrame:
         F.lit(255).alias("a"))
 
 
+def mosaics(embeddings: DataFrame) -> DataFrame:
+    """Pixel table of images ``mosaic/<n>.png``, 400 x 80: 50 x 10 tiles by ``vec_id``, each value of
+    a tile in eight-fold contrast (the last image may be lower)."""
+    wide, per = 50, 500
+    nth = F.col("vec_id") % per
+    px = embeddings.select(
+        F.concat(F.lit("mosaic/"), F.floor(F.col("vec_id") / per).cast("string"), F.lit(".png")).alias("image_id"),
+        (F.floor(nth / wide) * TILE_SIDE).cast("int").alias("top"), (nth % wide * TILE_SIDE).cast("int").alias("left"),
+        F.posexplode("embedding").alias("i", "e"))
+    level = F.least(F.greatest(F.floor((F.col("e").cast("double") * 8 + 0.5) * 255), F.lit(0)), F.lit(255)).cast("int")
+    return px.select("image_id", (F.col("top") + F.floor(F.col("i") / TILE_SIDE)).cast("int").alias("y"),
+                     (F.col("left") + F.col("i") % TILE_SIDE).cast("int").alias("x"),
+                     level.alias("r"), (F.lit(255) - level).alias("g"), (level % 128).alias("b"), F.lit(255).alias("a"))
+
+
 def completions(documents: DataFrame) -> DataFrame:
     """``(doc_id, prompt, response)`` model-output shapes (R9), chosen by ``doc_id % 5``."""
     prompt = F.col("text")

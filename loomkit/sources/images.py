@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,27 +22,31 @@ def read_images(spark: SparkSession, path: str, recursive: bool = False) -> Data
     return reader.load(path)
 
 
-def _byte(data, offset) -> F.Column:
-    return F.conv(F.hex(F.substring(data, offset, 1)), 16, 10).cast("int")
-
-
 def image_pixels(images: DataFrame, id_col: str | None = None) -> DataFrame:
-    """Image rows -> pixel table. ``image_id`` is ``id_col`` or the file path."""
+    """Image rows -> pixel table. ``image_id`` is ``id_col`` or the file path.
+
+    An image is cut into its pixel rows first, one binary slice each, and a pixel is one
+    number read from its place in that row, so no pixel row carries the whole image.
+    """
     img = F.col("image")
     key = F.col(id_col) if id_col else img["origin"]
     base = images.select(key.alias("image_id"), img["height"].alias("h"), img["width"].alias("w"),
                          img["nChannels"].alias("c"), img["data"].alias("data"))
-    px = base.select("image_id", "w", "c", "data",
-                     F.explode(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1)).alias("i"))
-    off = F.col("i") * F.col("c") + 1
-    data, c = F.col("data"), F.col("c")
-    b = _byte(data, off)
-    g = F.when(c >= 3, _byte(data, off + 1)).otherwise(b)
-    r = F.when(c >= 3, _byte(data, off + 2)).otherwise(b)
-    a = F.when(c == 4, _byte(data, off + 3)).otherwise(F.lit(255))
-    return px.select("image_id", F.floor(F.col("i") / F.col("w")).cast("int").alias("y"),
-                     (F.col("i") % F.col("w")).cast("int").alias("x"), r.alias("r"), g.alias("g"),
-                     b.alias("b"), a.alias("a"))
+    rows = base.select("image_id", "w", "c", "data", F.explode(F.sequence(F.lit(0), F.col("h") - 1)).alias("y"))
+    wide = F.col("w") * F.col("c")
+    rows = rows.select("image_id", "w", "c", "y", F.hex(F.substring("data", F.col("y") * wide + 1, wide)).alias("row"))
+    px = rows.select("image_id", "c", "y", "row", F.explode(F.sequence(F.lit(0), F.col("w") - 1)).alias("x"))
+    digits = F.col("c") * 2
+    bits = F.conv(F.substring("row", F.col("x") * digits + 1, digits), 16, 10).cast("bigint")
+    px = px.select("image_id", "c", "y", "x", bits.alias("bits"))
+
+    def byte(n: int) -> Column:
+        """Byte ``n`` of the pixel; the first stands highest."""
+        return F.call_function("shiftright", F.col("bits"), 8 * (F.col("c") - 1 - n)).bitwiseAND(F.lit(255)).cast("int")
+    colour = F.col("c") >= 3
+    return px.select("image_id", "y", "x", F.when(colour, byte(2)).otherwise(byte(0)).alias("r"),
+                     F.when(colour, byte(1)).otherwise(byte(0)).alias("g"), byte(0).alias("b"),
+                     F.when(F.col("c") == 4, byte(3)).otherwise(F.lit(255)).alias("a"))
 
 
 def first_readable(loaders: list[Callable[[], DataFrame]]) -> DataFrame:

@@ -49,3 +49,27 @@ def test_write_files(spark, tmp_path):
     write_files(df, str(tmp_path / "out"))
     assert sorted(os.listdir(tmp_path / "out")) == ["a_cat.svg", "b.svg"]
     assert (tmp_path / "out" / "b.svg").read_text() == "<svg>x</svg>"
+
+
+def test_write_files_to_a_uri_with_long_and_repeated_names(spark, tmp_path):
+    long = "a red cat " * 40
+    rows = [(1, long + "1.svg", "<svg>1</svg>"), (2, long + "2.svg", "<svg>2</svg>"), (3, "é" * 200 + ".svg", "é"),
+            (1, "same.svg", "old"), (9, "same.svg", "new"), (5, "same.svg", "mid"), (4, "x/../up.svg", "u"),
+            (6, "..", "dots"), (7, "none.svg", None)]
+    for turn in (1, 4):
+        df = spark.createDataFrame(rows, "k int, file_name string, svg string").repartition(turn)
+        folder = tmp_path / f"out {turn}"
+        write_files(df, folder.as_uri(), key_col="k")
+        names = sorted(os.listdir(folder))
+        assert len(names) == 6 and all(len(n.encode()) <= 255 for n in names)
+        assert {(folder / n).read_text() for n in names} == {"<svg>1</svg>", "<svg>2</svg>", "é", "new", "u", "dots"}
+        assert (folder / "same.svg").read_text() == "new" and (folder / "up.svg").read_text() == "u"
+
+
+def test_gray_images_and_wide_rows(spark, tmp_path):
+    w, h = 300, 3
+    png(tmp_path / "w.png", w, h, 3, [(7 * i) % 256 for i in range(w * h * 3)])
+    px = image_pixels(read_images(spark, str(tmp_path)))
+    got = {(r.y, r.x): (r.r, r.g, r.b, r.a) for r in px.collect()}
+    assert got == {(y, x): tuple((7 * (3 * (y * w + x) + k)) % 256 for k in range(3)) + (255,)
+                   for y in range(h) for x in range(w)}
