@@ -383,8 +383,8 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
     sigs = cut_lineage(signatures(docs))
     classes = sigs.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = cut_lineage(classes)
-    reps = sigs.select(F.col("doc_id").alias("id"), "sig", "keys").join(
-        classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    reps = cut_lineage(sigs.select(F.col("doc_id").alias("id"), "sig", "keys").join(
+        classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"]))
     bands = reps.select("id", F.explode("keys").alias("key"))
     buckets = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
     members = cut_lineage(bands.join(buckets, "key").select("key", "id", "n", "first"))
@@ -397,18 +397,16 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
     star = cut_lineage(star)
     nearest = star.groupBy("b").agg(F.max(F.struct("said", "a")).alias("x")).select("x.a", "b")
     links = cut_lineage(confirmed(docs, nearest, numerator, denominator))
-    apart = _apart(star, connected_components(links, rounds=2))
-    links = links.unionByName(cut_lineage(confirmed(docs, apart, numerator, denominator)))
-    labels = connected_components(links, rounds=2)
+    labels = connected_components(links, rounds=1)
 
     rest = cut_lineage(_mixed(members.where("n > 2"), labels))
     small = rest.where(F.col("n") <= SMALL).join(sig, "id").groupBy("key").agg(
         F.collect_list(F.struct("id", "comp", "sig")).alias("members"))
-    more = small.select("members").mapInArrow(_pairs(threshold), "a long, b long").distinct()
-    more = more.join(star, ["a", "b"], "left_anti")
-    more = cut_lineage(more.unionByName(_closest_pairs(rest.where(F.col("n") > SMALL), sig, threshold)).distinct())
+    more = _apart(star, labels).unionByName(small.select("members").mapInArrow(_pairs(threshold), "a long, b long")) \
+        .unionByName(_closest_pairs(rest.where(F.col("n") > SMALL), sig, threshold)).distinct()
+    more = cut_lineage(more.join(nearest, ["a", "b"], "left_anti"))
     links = cut_lineage(links.unionByName(confirmed(docs, more, numerator, denominator)))
-    labels = connected_components(links, rounds=2)
+    labels = connected_components(links, rounds=1)
     rest = _mixed(rest.where(F.col("n") > SMALL).select("key", "id", "n"), labels)
     links = links.unionByName(_confirmed_in_blocks(docs, rest, labels, sig, numerator, denominator))
     of = connected_components(links)

@@ -248,9 +248,10 @@ def trace_speckle(spark, sf):
     px = px.select("image_id", "y", "x", P.posterize_uniform(F.col("r"), FINE).alias("r"), "a")
     bars = sorted({p[1] for p in S.POSTER_PRESETS})[:4]
     px = px.withColumn("bar", F.explode(F.array(*[F.lit(b) for b in bars])))
-    px = px.withColumn("image_id", F.struct("image_id", "bar"))
+    px = px.withColumn("image_id", F.col("image_id") * 64 + F.col("bar"))
     cells = P.rasterize_runs(P.speckled_runs(px, "r", "bar"))
-    return cells.groupBy(F.col("image_id.image_id").alias("image_id"), F.col("image_id.bar").alias("filter_speckle"), "tone") \
+    key = F.col("image_id")
+    return cells.groupBy(F.floor(key / 64).alias("image_id"), (key % 64).cast("int").alias("filter_speckle"), "tone") \
         .agg(F.count(F.lit(1)).alias("n_pixels"), F.sum(F.col("x") + 8 * F.col("y")).cast("bigint").alias("pos_sum"))
 
 
