@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomkit.functions.markup import let
+
 # JSON tokens as Python's reader takes them: strict strings, NaN and infinities allowed.
 STRING = r'"[^"\\\x00-\x1f]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f]*+)*+"'
 SCALAR = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?[0-9]++)?+|true|false|null|NaN|-?Infinity"
@@ -81,18 +83,28 @@ def members(texts: Column, between: Column, top: Column, keys: list[str]) -> Col
     start = F.struct(zero.alias("depth"), zero.alias("off"), F.lit(False).alias("element"),
                      *[zero.alias(k) for k in keys], *[zero.alias(f"{k}_at") for k in keys])
 
+    longest = 6 * max(map(len, keys)) + 2     # of a key's token, all characters escaped
+
     def step(s: Column, n: Column) -> Column:
-        token, before, after = F.get(texts, n - 1), F.get(between, n - 1), F.get(between, n)
-        depth = s["depth"] + _count(before, "{[") - _count(before, "}]")
-        off = s["off"] + F.length(before) + F.length(token)
-        name = F.when((depth == 1) & (F.length(token) <= 6 * max(map(len, keys)) + 2), unescape(token))
-        key = (top == "object") & F.ltrim(F.translate(after, "\t\n\r", "   ")).startswith(":")
-        hit = {k: key & F.equal_null(name, F.lit(k)) for k in keys}
+        token, before = F.get(texts, n - 1), F.get(between, n - 1)
+        depth = s["depth"] + F.when(F.length(before) > 0, _count(before, "{[") - _count(before, "}]")).otherwise(0)
+        return let(F.struct(depth.alias("depth"), (s["off"] + F.length(before) + F.length(token)).alias("off"),
+                            token.alias("token"), F.get(between, n).alias("after")), lambda z: named(s, n, z))
+
+    def named(s: Column, n: Column, z: Column) -> Column:
+        may = (z["depth"] == 1) & (F.length(z["token"]) <= longest)
+        key = (top == "object") & F.ltrim(F.translate(z["after"], "\t\n\r", "   ")).startswith(":")
+        name = F.when(may & ((top == "array") | key), unescape(z["token"]))
+        return let(name, lambda m: state(s, n, z, m))
+
+    def state(s: Column, n: Column, z: Column, name: Column) -> Column:
+        is_object = top == "object"
+        at = z["off"] + F.length(z["after"])
         return F.struct(
-            depth.alias("depth"), off.alias("off"),
-            (s["element"] | ((top == "array") & F.equal_null(name, F.lit(keys[0])))).alias("element"),
-            *[F.when(hit[k], n).otherwise(s[k]).alias(k) for k in keys],
-            *[F.when(hit[k], off + F.length(after)).otherwise(s[f"{k}_at"]).alias(f"{k}_at") for k in keys])
+            z["depth"].alias("depth"), z["off"].alias("off"),
+            F.when((top == "array") & (name == keys[0]), True).otherwise(s["element"]).alias("element"),
+            *[F.when(is_object & (name == k), n).otherwise(s[k]).alias(k) for k in keys],
+            *[F.when(is_object & (name == k), at).otherwise(s[f"{k}_at"]).alias(f"{k}_at") for k in keys])
 
     numbers = F.filter(F.sequence(F.lit(0), F.size(texts)), lambda n: n > 0)
     return F.aggregate(numbers, start, step)
@@ -125,8 +137,12 @@ def member_text(line: Column, texts: Column, between: Column, n: Column, key: st
 def ascii_escaped(text: Column) -> Column:
     """Characters outside printable ASCII as ``\\uXXXX`` of their UTF-16 units."""
     odd = r"[^\x20-\x7e]+"
-    runs = F.transform(F.regexp_extract_all(text, F.lit(odd), 0), lambda r: F.regexp_replace(
-        F.lower(F.hex(F.encode(r, "UTF-16BE"))), "(.{4})", r"\\u$1"))
+
+    def units(r: Column) -> Column:
+        return let(F.lower(F.hex(F.encode(r, "UTF-16BE"))), lambda digits: F.when(
+            F.length(digits) == 4, F.concat(F.lit(r"\u"), digits)).otherwise(
+                F.regexp_replace(digits, "(.{4})", r"\\u$1")))
+    runs = F.transform(F.regexp_extract_all(text, F.lit(odd), 0), units)
     parts = F.zip_with(F.split(text, odd, -1), runs, lambda p, r: F.concat(p, F.coalesce(r, F.lit(""))))
     return F.when(text.rlike(odd), F.array_join(parts, "")).otherwise(text)
 
