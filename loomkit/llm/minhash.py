@@ -222,27 +222,23 @@ def _closest(threshold: float):
 
 
 def _close_blocks(threshold: float):
-    """``(x, y, id)``: wide blocks that hold a close pair across components, with the ids of such pairs."""
+    """``(x, y)``: wide blocks that hold a close pair across components, each once per task."""
     low = cut(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[tuple[int, int]] = set()
         for batch in batches:
             left, right = _Members(batch.column("left")), _Members(batch.column("right"))
-            out = [np.empty((0, 3), dtype=np.int64)]
             for row in range(batch.num_rows):
                 them = slice(right.at[row], right.at[row + 1])
-                ids, comp, lanes, wide = right.id[them], right.comp[them], right.lanes[them], right.wide[them]
-                found = [np.empty((0, 3), dtype=np.int64)]
+                comp, lanes, wide = right.comp[them], right.lanes[them], right.wide[them]
                 for i in range(left.at[row], left.at[row + 1]):
                     near = np.flatnonzero(comp != left.comp[i])
                     near = near[estimate(left.lanes[i], lanes[near]) >= low]
-                    if len(near):
-                        x, y = np.minimum(left.wide[i], wide[near]), np.maximum(left.wide[i], wide[near])
-                        found += [np.column_stack([x, y, ids[near]]),
-                                  np.column_stack([x, y, np.full(len(near), left.id[i])])]
-                out.append(np.unique(np.concatenate(found), axis=0))
-            rows = np.concatenate(out)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[:, k], pa.int64()) for k in range(3)], ["x", "y", "id"])
+                    own = int(left.wide[i])
+                    found.update((min(own, w), max(own, w)) for w in np.unique(wide[near]).tolist())
+        cols = list(zip(*sorted(found))) if found else [(), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["x", "y"])
     return run
 
 
@@ -358,15 +354,18 @@ def _confirmed_in_blocks(docs: DataFrame, mixed: DataFrame, labels: DataFrame, s
     """Links among the members that are still close across components: each stands once, with its
     full set, in a block by its id, and blocks that share a close pair are compared."""
     mixed = cut_lineage(mixed)
-    blocks = max(1, math.ceil(mixed.select("id").distinct().count() / WIDE))
+    ids = cut_lineage(mixed.select("id").distinct())
+    blocks = max(1, math.ceil(ids.count() / WIDE))
     close = cut_lineage(_in_blocks(mixed, sig, blocks).mapInArrow(
-        _close_blocks(numerator / denominator), "x long, y long, id long").distinct())
-    sets = full_sets(docs, close.select(F.col("id").alias("doc_id")).distinct())
+        _close_blocks(numerator / denominator), "x long, y long").distinct())
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks))
+    used = close.select(F.explode(F.array("x", "y")).alias("block")).distinct()
+    ids = ids.select("id", block.alias("block")).join(used, "block", "left_semi")
+    sets = full_sets(docs, ids.select(F.col("id").alias("doc_id")))
     rows = cut_lineage(sets.join(sig, "id").join(labels, "id", "left").select(
-        F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"),
-        F.struct("id", F.coalesce("label", "id").alias("comp"), "own", "sig").alias("m")))
+        block.alias("block"), F.struct("id", F.coalesce("label", "id").alias("comp"), "own", "sig").alias("m")))
     held = rows.groupBy("block").agg(F.collect_list("m").alias("m"))
-    return (close.select("x", "y").distinct().join(held.select(F.col("block").alias("x"), F.col("m").alias("left")), "x")
+    return (close.join(held.select(F.col("block").alias("x"), F.col("m").alias("left")), "x")
             .join(held.select(F.col("block").alias("y"), F.col("m").alias("right")), "y")
             .select("left", "right").mapInArrow(_links(numerator, denominator), "a long, b long"))
 
