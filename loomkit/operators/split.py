@@ -75,8 +75,8 @@ def split_exact(df: DataFrame, key: str, test_share: float = TEST_SHARE, seed: s
 
 
 def split_head(split_df: DataFrame, heads: dict[str, int]) -> DataFrame:
-    """L4: the first ``min(n, len)`` rows of each split, in split order."""
-    cond = F.lit(False)
+    """L4: the first ``min(n, len)`` rows of each named split, in split order; other splits stay whole."""
+    cond = ~F.col("split").isin(*heads)
     for name, n in heads.items():
         cond = cond | ((F.col("split") == name) & (F.col("pos") <= n))
     return split_df.where(cond)
@@ -108,20 +108,24 @@ def pad_batches(df: DataFrame, ids_col: str = "input_ids", pad_id: int = 0,
             .withColumn("attention_mask", mask).withColumn("labels", labels))
 
 
-def batch_plan(n_train: Column) -> list[Column]:
-    """Per run mode, rows per optimizer step and the steps over three epochs.
+def batch_plan(n_train: Column, batch_size: int | None = None, grad_accum: int | None = None,
+               max_steps: int | None = None, logging_steps: int | None = None) -> list[Column]:
+    """Per run mode, rows per optimizer step and the steps over three epochs. A value that is
+    given replaces the mode's own.
 
     ``configured_max_steps`` is reported next to the computed steps because the
     configured value is never handed to the training run.
     """
     rows = []
-    for mode, (bs, accum, max_steps, log_steps) in MODES.items():
+    given = (batch_size, grad_accum, max_steps, logging_steps)
+    for mode, own in MODES.items():
+        bs, accum, configured, log_steps = (o if g is None else g for o, g in zip(own, given))
         per_step = bs * accum
         rows.append(F.struct(F.lit(mode).alias("mode"), F.lit(bs).alias("batch_size"),
                              F.lit(accum).alias("grad_accum"), F.lit(per_step).alias("rows_per_step"),
                              F.ceil(n_train / per_step).cast("bigint").alias("steps_per_epoch"),
                              (F.ceil(n_train / per_step) * EPOCHS).cast("bigint").alias("total_steps"),
-                             F.lit(max_steps).alias("configured_max_steps"),
+                             F.lit(configured).alias("configured_max_steps"),
                              F.lit(log_steps).alias("logging_steps"),
                              F.lit(MAX_LEN[mode]).alias("max_len")))
     return rows

@@ -46,6 +46,13 @@ def split_head(spark, sf):
     return SP.split_head(_split(spark, sf), SP.HEAD_QUICK).select("doc_id", "split", "pos")
 
 
+@register("split_head_fast", _SPLIT_CTE + """
+SELECT doc_id, split, CAST(pos AS BIGINT) AS pos FROM sp WHERE split = 'test' OR pos <= 2000""")
+def split_head_fast(spark, sf):
+    """L4: the fast mode's head, min(2000, len) train rows and all test rows."""
+    return SP.split_head(_split(spark, sf), SP.HEAD_FAST).select("doc_id", "split", "pos")
+
+
 @register("batch_ids", _SPLIT_CTE + f"\nSELECT doc_id, split, CAST(floor((pos - 1) / {BATCH}) AS BIGINT) AS batch_id FROM sp")
 def batch_ids_q(spark, sf):
     """Batch number of each row inside its split."""
@@ -69,6 +76,19 @@ def batch_plan_q(spark, sf):
     return n.select(F.explode(F.array(*SP.batch_plan(F.col("n_train")))).alias("m")).select("m.*")
 
 
+_OVERRIDES = dict(batch_size=4, grad_accum=3, max_steps=50, logging_steps=5)
+_OVERRIDE_SQL = (_PLAN_SQL.replace("FROM sp)\n, n AS", "FROM sp), n AS")
+                 .replace("('colab_fast', 2, 8, 200, 1, 2048), ('kaggle', 2, 4, 500, 10, 8192), ('local', 1, 8, 500, 1, 16384)",
+                          "('colab_fast', 4, 3, 50, 5, 2048), ('kaggle', 4, 3, 50, 5, 8192), ('local', 4, 3, 50, 5, 16384)"))
+
+
+@register("batch_plan_overrides", _OVERRIDE_SQL)
+def batch_plan_overrides(spark, sf):
+    """The same plan with batch size, accumulation, step and logging overrides given."""
+    n = _split(spark, sf).where("split = 'train'").agg(F.count(F.lit(1)).alias("n_train"))
+    return n.select(F.explode(F.array(*SP.batch_plan(F.col("n_train"), **_OVERRIDES))).alias("m")).select("m.*")
+
+
 # ---- encoding with the character vocabulary (byte-pair vocabulary before merges)
 
 _NOSPACE = f"[^{T.UNI_SPACE}]"

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomkit.operators import records as R
 from loomkit.plans import duck as D
 from loomkit.plans.q_records import _CLEANER_SQL, record_lines
 from loomkit.plans.registry import register
+from loomkit.sources.jsonl import kept, read_jsonl
 from loomkit.streaming import jobs as Z
 
 _CLEAN_SQL = "SELECT record FROM (" + _CLEANER_SQL + ")"
@@ -42,3 +44,12 @@ def stream_counts(spark, sf):
     _, counts = Z.run_in_two_arrivals(spark, record_lines(spark, sf), "doc_id", Z.clean_stream, "counts")
     t = counts.totals
     return spark.createDataFrame([(t["rows"], t["kept"], t["rejected"])], "rows bigint, kept bigint, rejected bigint")
+
+
+@register("batch_counts", _COUNTS_SQL)
+def batch_counts(spark, sf):
+    """K6: the same counts observed on a batch run of the cleaner, beside its own output."""
+    scanned, seen = R.observe_counts(read_jsonl(record_lines(spark, sf), "cleaner"), "cleaner")
+    kept(scanned).write.format("noop").mode("overwrite").save()
+    t = seen.get
+    return spark.createDataFrame([(t["rows"], t["kept"], t["rejected"])], "rows bigint, kept bigint, rejected bigint")
