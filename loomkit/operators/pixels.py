@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from loomkit.functions.markup import scaled_size
 from loomkit.operators import regions
-from loomkit.operators.records import small_side
+from loomkit.operators.records import bounded_broadcast, small_side
 from loomkit.session import cut_lineage
 
 # Luma weights, cut-out tolerance, SSIM constants (7x7 windows,
@@ -31,6 +31,12 @@ SSIM_WIN = 7
 SSIM_C1 = (0.01 * 255) ** 2
 SSIM_C2 = (0.03 * 255) ** 2
 POSTERIZE_LEVELS = 3
+# Lanczos resampling: lobes of the kernel, and the fixed point that weights are rounded to.
+LANCZOS_LOBES = 3
+WEIGHT_ONE = 1 << 22
+
+#: weights that are broadcast (about 30 MB); beyond it the join shuffles
+MAX_WEIGHTS = 1_000_000
 
 
 def luma(px: DataFrame) -> DataFrame:
@@ -211,6 +217,80 @@ def downscale_to(px: DataFrame, sizes: DataFrame, out_id: str = "image_id") -> D
     return agg.select("image_id", "y", "x", "r", "g", "b", "a")
 
 
+def lanczos_weights(lengths: DataFrame) -> DataFrame:
+    """``lengths(src, dst)`` -> ``(src, dst, at, onto, weight)``, the share of source place ``at``
+    in target place ``onto`` along one axis, in units of 2^-22.
+
+    A target place covers ``src / dst`` source places; its kernel spans three such lobes to each side
+    of its centre and is normalised over the places that exist.
+    """
+    scale = F.col("src") / F.col("dst")
+    wide = F.greatest(scale, F.lit(1.0))
+    reach = wide * LANCZOS_LOBES
+    centre = (F.col("onto") + 0.5) * scale
+    first = F.greatest(F.floor(centre - reach + 0.5), F.lit(0)).cast("int")
+    last = F.least(F.floor(centre + reach + 0.5).cast("int"), F.col("src")) - 1
+    z = (F.col("at") + 0.5 - centre) / wide
+    sinc = lambda v: F.sin(v * math.pi) / (v * math.pi)
+    raw = F.when(z == 0, 1.0).when((z >= -LANCZOS_LOBES) & (z < LANCZOS_LOBES), sinc(z) * sinc(z / LANCZOS_LOBES)) \
+        .otherwise(0.0)
+    places = lengths.distinct().select("src", "dst", F.explode(F.sequence(F.lit(0), F.col("dst") - 1)).alias("onto")) \
+        .select("*", F.explode(F.sequence(first, last)).alias("at")).withColumn("raw", raw)
+    share = F.col("raw") / F.sum("raw").over(Window.partitionBy("src", "dst", "onto"))
+    fixed = F.signum(share) * F.floor(F.abs(share) * WEIGHT_ONE + 0.5)
+    return places.select("src", "dst", "at", "onto", fixed.cast("long").alias("weight")).where("weight <> 0")
+
+
+def _byte(total: Column) -> Column:
+    """A sum of weighted levels, rounded and held within 0-255."""
+    return F.greatest(F.least(F.floor((total + WEIGHT_ONE // 2) / WEIGHT_ONE), F.lit(255)), F.lit(0)).cast("int")
+
+
+def _times_alpha(c: str) -> Column:
+    """c * a / 255, rounded in whole numbers."""
+    v = F.col(c) * F.col("a") + 128
+    return F.shiftright(F.shiftright(v, 8) + v, 8)
+
+
+def resample_to(px: DataFrame, sizes: DataFrame, out_id: str = "image_id") -> DataFrame:
+    """I6 with Lanczos weights; ``sizes(image_id, w, h, nw, nh[, out_id])`` as in :func:`downscale_to`.
+
+    Colours are weighted by their alpha, the rows of pixels are shrunk first, then the columns, and
+    each pass ends in levels 0-255. Weights are whole numbers, so a sum does not depend on the order
+    of its terms. An image that keeps its size is not touched. Both passes read one partitioning.
+    """
+    chans = list("rgba")
+    held = (F.col("nw") == F.col("w")) & (F.col("nh") == F.col("h"))
+    sides = sizes.select(F.col("w").alias("src"), F.col("nw").alias("dst")).unionByName(
+        sizes.select(F.col("h").alias("src"), F.col("nh").alias("dst")))
+    weights = bounded_broadcast(lanczos_weights(sides), MAX_WEIGHTS)
+    key = "_id"
+    named = sizes.select("image_id", F.col(out_id).alias(key), "w", "h", "nw", "nh", held.alias("_held"))
+    flat = px.select("image_id", "y", "x", *chans).join(small_side(named), "image_id").select(
+        key, "h", "nh", "w", "nw", "_held", "y", "x", "a",
+        *[F.when(F.col("_held"), F.col(c)).otherwise(_times_alpha(c)).alias(c) for c in "rgb"])
+
+    def along(df: DataFrame, axis: str, src: str, dst: str, keep: list[str]) -> DataFrame:
+        side = weights.select(F.col("src").alias(src), F.col("dst").alias(dst), F.col("at").alias(axis), "onto", "weight")
+        sums = df.join(side, [src, dst, axis]).groupBy(key, *keep, "onto").agg(
+            *[F.sum(F.col(c).cast("long") * F.col("weight")).alias(c) for c in chans])
+        return sums.select(key, *keep, F.col("onto").alias(axis), *[_byte(F.col(c)).alias(c) for c in chans])
+
+    rows = along(flat.repartition(key), "x", "w", "nw", ["h", "nh", "_held", "y"])
+    cols = along(rows, "y", "h", "nh", ["_held", "x"])
+    plain = F.col("_held") | F.col("a").isin(0, 255)
+    colour = [F.when(plain, F.col(c)).otherwise(F.least(F.floor(F.col(c) * 255 / F.col("a")), F.lit(255))).cast("int")
+              .alias(c) for c in "rgb"]
+    return cols.select(F.col(key).alias("image_id"), "y", "x", *colour, "a")
+
+
+def downscale_lanczos(px: DataFrame, max_dim: int) -> DataFrame:
+    """I6 + X14: shrink only, by Lanczos weights."""
+    d = image_dims(px)
+    nw, nh = scaled_size(F.col("w"), F.col("h"), F.lit(max_dim))
+    return resample_to(px, d.select("image_id", "w", "h", nw.alias("nw"), nh.alias("nh")))
+
+
 def gaussian_weights(sigma: float) -> list[tuple[int, float]]:
     """J6 offset table: exp(-d^2 / 2 sigma^2) for |d| <= ceil(3 sigma), unnormalised."""
     r = max(1, math.ceil(3 * sigma))

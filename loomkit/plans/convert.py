@@ -50,7 +50,7 @@ def preset_grid(images: DataFrame, posterize: bool) -> DataFrame:
 def _rasters(base: DataFrame, grid: DataFrame, posterize: int | None) -> DataFrame:
     """Toned pixels ``(image_id = raster, y, x, r, g, b, a, filter_speckle)`` of every raster in ``grid``."""
     sizes = grid.select(F.col("num").alias("image_id"), "w", "h", "nw", "nh", "size_key").distinct()
-    small = P.downscale_to(base, sizes, "size_key").withColumnRenamed("image_id", "size_key")
+    small = P.resample_to(base, sizes, "size_key").withColumnRenamed("image_id", "size_key")
     shapes = grid.select("size_key", F.col("raster").alias("image_id"), "blur", "color_precision",
                          "filter_speckle").distinct()
     px = cut_lineage(small.join(R.small_side(shapes), "size_key").drop("size_key"))

@@ -136,6 +136,37 @@ def downscale_box_q(spark, sf):
     return P.downscale_box(tiles(spark, sf), SMALL_DIM)
 
 
+_LANCZOS_SQL = "WITH " + _TILES + """,
+s AS (SELECT image_id, 8 AS src, 3 AS dst FROM tiles GROUP BY image_id),
+place AS (SELECT onto, pos, (pos + 0.5 - (onto + 0.5) * 8 / 3.0) / (8 / 3.0) AS z
+  FROM range(3) o(onto), range(8) f(pos)
+  WHERE pos >= floor((onto + 0.5) * 8 / 3.0 - 8 + 0.5) AND pos < floor((onto + 0.5) * 8 / 3.0 + 8 + 0.5)),
+raw AS (SELECT onto, pos, CASE WHEN z = 0 THEN 1.0 WHEN z >= -3 AND z < 3
+  THEN sin(pi() * z) / (pi() * z) * sin(pi() * z / 3) / (pi() * z / 3) ELSE 0.0 END AS v FROM place),
+wt AS (SELECT onto, pos, CAST(round(v / sum(v) OVER (PARTITION BY onto) * 4194304) AS BIGINT) AS k FROM raw),
+pm AS (SELECT image_id, y, x, b AS a, r * b + 128 AS r, g * b + 128 AS g, b * b + 128 AS b FROM tiles),
+mul AS (SELECT image_id, y, x, a, ((r >> 8) + r) >> 8 AS r, ((g >> 8) + g) >> 8 AS g, ((b >> 8) + b) >> 8 AS b FROM pm),
+hor AS (SELECT image_id, y, onto AS x, least(greatest((sum(r * k) + 2097152) >> 22, 0), 255) AS r,
+  least(greatest((sum(g * k) + 2097152) >> 22, 0), 255) AS g, least(greatest((sum(b * k) + 2097152) >> 22, 0), 255) AS b,
+  least(greatest((sum(a * k) + 2097152) >> 22, 0), 255) AS a
+  FROM mul JOIN wt ON wt.pos = mul.x GROUP BY 1, 2, 3),
+ver AS (SELECT image_id, onto AS y, x, least(greatest((sum(r * k) + 2097152) >> 22, 0), 255) AS r,
+  least(greatest((sum(g * k) + 2097152) >> 22, 0), 255) AS g, least(greatest((sum(b * k) + 2097152) >> 22, 0), 255) AS b,
+  least(greatest((sum(a * k) + 2097152) >> 22, 0), 255) AS a
+  FROM hor JOIN wt ON wt.pos = hor.y GROUP BY 1, 2, 3)
+SELECT image_id, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x,
+  CAST(CASE WHEN a IN (0, 255) THEN r ELSE least(r * 255 // a, 255) END AS INTEGER) AS r,
+  CAST(CASE WHEN a IN (0, 255) THEN g ELSE least(g * 255 // a, 255) END AS INTEGER) AS g,
+  CAST(CASE WHEN a IN (0, 255) THEN b ELSE least(b * 255 // a, 255) END AS INTEGER) AS b, CAST(a AS INTEGER) AS a
+FROM ver"""
+
+
+@register("downscale_lanczos", _LANCZOS_SQL)
+def downscale_lanczos_q(spark, sf):
+    """8x8 tiles, their alpha taken from the blue channel, shrunk to 3 pixels per side by Lanczos weights."""
+    return P.downscale_lanczos(tiles(spark, sf).withColumn("a", F.col("b")), SMALL_DIM)
+
+
 def _blur_sql() -> str:
     ws = ", ".join(f"({d}, {w!r})" for d, w in P.gaussian_weights(SIGMA))
     return "WITH " + _TILES + f""",
