@@ -1,18 +1,24 @@
 """Personal data: fixed patterns plus a character BiLSTM-CRF trained from labelled spans.
 
 The base finds e-mail addresses, IP numbers, card numbers and phone numbers by pattern.
-The tagger learns the four kinds from labelled spans of a bounded sample and finds further
-ones, such as a phone number that runs into the next number and so fails the pattern's
-digit count.  Every kind holds a digit or an ``@``, so only windows with one are scored.
-Windows overlap; their scores are blended, and the best tag path is searched over the
-whole run of windows.  Base spans stay; a tagged span is added where it meets none.
+The tagger finds further forms of the four kinds, which the patterns miss: addresses with
+``(at)`` or spaces, IP numbers with ``[.]`` or spaces, card numbers with dots, slashes or a
+line break, phone numbers without a plus; and a fifth kind, keys named as such.  It learns from windows of a bounded sample: as
+they are, labelled by the base, and with such forms and look-alikes (dates, versions, order
+numbers, checksums) written into them by rule.  Every form holds a digit, an ``@`` or an ``(at)``, so
+only windows with one are scored.  Windows overlap; their scores are blended, and the best
+tag path is searched over the whole run of windows.  Base spans stay; a tagged span is added
+where it meets none, ends where its word or number ends, and stands a check of its kind
+once its spelling is undone (IP parts to 255, a card's Luhn digit).
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +26,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from loomkit.llm import tagger
 
-KINDS = ("email", "ip", "card", "phone")
+#: the contract's four, which the base finds, and named keys and passwords, which only the tagger finds
+KINDS = ("email", "ip", "card", "phone", "secret")
+BASE_KINDS = 4
 # Patterns of the contract.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -30,9 +38,14 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WINDOW, STRIDE = 96, 64
 #: bound of the training sample, in documents and in windows
 SAMPLE_DOCS, SAMPLE_WINDOWS = 400, 1200
+#: windows of the sample with a form or a look-alike written into them
+WRITTEN_WINDOWS = 3000
+EPOCHS = 9
+#: characters of the longest span that can be added: a mail address has at most 254, a key 128
+LONGEST = 256
 #: windows scored together, and the longest run searched at once
 BATCH, RUN = 512, 256
-_TRIGGER = re.compile(r"[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]|[(\[{][Aa][Tt][)\]}]")
 _AROUND = re.compile(r"[^\x20\x09-\x0D]*@[^\x20\x09-\x0D]*")
 TAGS = 1 + 2 * len(KINDS)  # 0 outside, 2k + 1 begins and 2k + 2 continues kind k
 ALLOWED = np.ones((TAGS, TAGS), dtype=bool)
@@ -118,17 +131,146 @@ def labelled_windows(texts: list[str], spans: list[list[Span]], skip: list[list[
     return (np.array(x, dtype=np.int16).reshape(-1, WINDOW), np.array(y, dtype=np.int64).reshape(-1, WINDOW))
 
 
+_AT = re.compile(r"\s*[(\[{]\s*(at|AT|At)\s*[)\]}]\s*|\s*@\s*")
+_DOT = re.compile(r"\s*[(\[{]\s*(dot|DOT|Dot|\.)\s*[)\]}]\s*|\s*\.\s*")
+_GAP = re.compile(r"[\s./-]+")
+_LOCAL_PHONE = re.compile(r"[0-9]{3}[\s./-][0-9]{3}[\s./-][0-9]{4}")
+_DIGITS = frozenset("0123456789")
+_SECRET = re.compile(r"[A-Za-z0-9_+/=-]{16,128}")
+_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-")
+_KEY = _NAME | {"_"}
+
+
 def _plausible(text: str, span: Span) -> bool:
+    """Whether a span, its spelling undone, is of its kind."""
     a, b, kind = span
+    if b - a > LONGEST:
+        return False
     own = text[a:b]
-    digits = sum(c in "0123456789" for c in own)
     if kind == 0:
-        return own.count("@") == 1 and "." in own.partition("@")[2] and len(own) >= 6
+        return EMAIL.fullmatch(_DOT.sub(".", _AT.sub("@", own))) is not None
+    if kind == 1:
+        flat = _DOT.sub(".", own)
+        return IP.fullmatch(flat) is not None and all(len(p) <= 3 and int(p) <= 255 for p in flat.split("."))
+    if kind == 2:
+        flat = _GAP.sub("", own)
+        return 14 <= len(flat) <= 19 and set(flat) <= _DIGITS and luhn(flat)
+    digits = "".join(c for c in own if c in _DIGITS)
+    if kind == 4:
+        return _SECRET.fullmatch(own) is not None and len(digits) >= 3 and sum(c.isalpha() for c in own) >= 3
+    if not 10 <= len(digits) <= 15 or _GAP.sub("", own).strip("+").replace("(", "").replace(")", "") != digits:
+        return False
+    return own[0] in "+(" or own.startswith("00") and own[2:3] in " .-/" or _LOCAL_PHONE.fullmatch(own) is not None
+
+
+def _whole(text: str, span: Span) -> Span:
+    """The span to the ends of its word or number, or beyond ``LONGEST``."""
+    a, b, kind = span
+    while b > a and text[b - 1] not in _NAME:
+        b -= 1
+    while a < b and text[a] not in _NAME and not (kind == 3 and text[a] in "+("):
+        a += 1
+    left = _NAME | set("._%+") if kind == 0 else _KEY if kind == 4 else _DIGITS
+    right = _NAME if kind == 0 else _KEY if kind == 4 else _DIGITS
+    while a > 0 and b - a <= LONGEST and text[a - 1] in left:
+        a -= 1
+    while 0 < b < len(text) and b - a <= LONGEST and text[b] in right:
+        b += 1
+    if kind == 3:
+        opened = text.count("(", a, b) - text.count(")", a, b)
+        if a > 0 and (text[a - 1] == "+" or text[a - 1] == "(" and opened < 0):
+            a -= 1
+        while a < b and text[a] == "(" and opened > 0:
+            a, opened = a + 1, opened - 1
+    return a, b, kind
+
+
+def _number(rng: np.random.Generator, n: int) -> str:
+    return "".join(map(str, rng.integers(0, 10, n)))
+
+
+def key_like(text: str) -> list[Span]:
+    """Long strings of letters and digits: they may be keys or checksums, only their place tells."""
+    return [(m.start(), m.end(), 4) for m in _SECRET.finditer(text) if _plausible(text, (m.start(), m.end(), 4))]
+
+
+def _key(rng: np.random.Generator) -> str:
+    """A string of letters and digits as keys and checksums are."""
+    signs = "0123456789abcdef" if rng.random() < 0.6 else "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    while True:
+        own = "".join(signs[i] for i in rng.integers(0, len(signs), int(rng.choice([20, 24, 32, 32, 40, 40, 48, 64]))))
+        if key_like(own):
+            return own
+
+
+def written_form(rng: np.random.Generator, word: str) -> tuple[str, str, int | None]:
+    """What introduces it, a form of a random kind that the base misses or (kind None) a look-alike."""
+    pick = lambda *c: c[int(rng.integers(len(c)))]
+    kind = int(rng.integers(8))
+    if kind == 0:
+        name = word + pick("", ".", "_", "-") + pick("", _number(rng, 2)) if rng.random() < 0.7 else "user" + _number(rng, 3)
+        host = pick("mail", "example", "host", word) + pick("", _number(rng, 1))
+        at, dot = pick((" (at) ", " (dot) "), (" [at] ", " [dot] "), (" @ ", "."), ("(at)", "."), (" (at) ", "."),
+                       ("[at]", "[dot]"), ("@", " . "), (" {at} ", " {dot} "), ("@", "[.]"), (" [AT] ", " [DOT] "))
+        parts = [host, *pick((), ("mail",)), pick("com", "org", "net", "de", "io", "edu")]
+        return "", name.strip("._-") + at + dot.join(parts), 0
     if kind == 1:
-        return own.count(".") == 3 and set(own) <= set("0123456789.") and digits >= 4
+        return "", pick(" . ", "[.]", "(.)", " .", ". ", "[dot]").join(str(v) for v in rng.integers(0, 256, 4)), 1
     if kind == 2:
-        return 13 <= digits <= 19 and set(own) <= set("0123456789- ") and luhn(own.replace("-", "").replace(" ", ""))
-    return 10 <= digits <= 15 and own[0] == "+" and set(own) <= set("0123456789+-(). ")
+        n = int(pick(16, 16, 16, 15, 14, 19))
+        body = pick("4", "5", "3", "6") + _number(rng, n - 2)
+        full = next(body + d for d in "0123456789" if luhn(body + d))
+        gap, turn = pick(".", "/", "  ", "\n", " - ", " / "), int(rng.integers(1, 4))
+        groups = [full[i:i + 4] for i in range(0, n, 4)]
+        if gap == "\n":
+            return "", " ".join(groups[:turn]) + "\n" + " ".join(groups[turn:]), 2
+        return "", gap.join(groups), 2
+    if kind == 3:
+        area, mid, end = _number(rng, 3), pick("555", _number(rng, 3)), _number(rng, 4)
+        return "", pick(f"({area}) {mid}-{end}", f"{area}-{mid}-{end}", f"{area}.{mid}.{end}", f"{area} {mid} {end}",
+                        f"00 {pick('1', '44', '49')} {area} {mid} {end}", f"+1\n({area}) {mid}-{end}",
+                        f"({area}) {mid} {end}", f"+1/{area}/{mid}/{end}", f"({area}){mid}-{end}"), 3
+    if kind == 4:
+        named = pick("token", "secret", "api_key", "password", "apikey", "access_key", "auth_token", "API_KEY", "Token")
+        return named + pick(" = \"", "=\"", ": \"", "=", ": ", " = ", " = '", "\": \""), _key(rng), 4
+    if kind == 5:
+        named = pick("commit", "sha256", "md5", "checksum", "file", "etag", "image", "hash", word, "page")
+        return named + pick(" ", ": ", "=", ":", "/", " = ", "-"), _key(rng), None
+    year, day = int(rng.integers(1950, 2040)), int(rng.integers(10, 29))
+    part = lambda: str(int(rng.integers(0, 30)))
+    n = _number
+    form = pick(f"{year}-{day % 12 + 1:02d}-{day}", f"{day}.{day % 12 + 1}.{year}", f"{part()}.{part()}.{part()}",
+                f"{part()}.{part()}.{part()}.{rng.integers(256, 9999)}", n(rng, int(rng.integers(2, 13))),
+                f"{n(rng, 3)}-{n(rng, 7)}-{n(rng, 7)}", f"978-{part()}-{n(rng, 5)}-{n(rng, 3)}-1",
+                f"{day % 24}:{day + 20}:{day + 30}", f"{n(rng, 2)},{n(rng, 3)}.{n(rng, 2)}", f"@{word}",
+                f"{word} @ {n(rng, 2)}", f"({n(rng, 2)}) {n(rng, 4)}-{n(rng, 2)}", f"{n(rng, 4)} {n(rng, 4)}",
+                f"#{n(rng, 6)}", f"{word}(at){part()}", f"token = {n(rng, 3)}", f"password: \"{word}\"")
+    return "", form, None
+
+
+def written_texts(texts: list[str], count: int, seed: int = 10) -> tuple[list[str], list[list[Span]]]:
+    """At most ``count`` pieces of ``texts`` with one written form each, and their spans (a look-alike has none)."""
+    rng = np.random.default_rng(seed)
+    out, spans = [], []
+    for n in range(count if texts else 0):
+        text = texts[n % len(texts)]
+        at = int(rng.integers(0, len(text) + 1))
+        left, right = text[max(0, at - int(rng.integers(0, 90))):at], text[at:at + int(rng.integers(0, 90))]
+        words = re.findall(r"[a-z]{3,9}", left + " " + right) or ["name"]
+        named, form, kind = written_form(rng, words[int(rng.integers(len(words)))])
+        left += (" ", " ", " ", "\n", ": ", " (")[int(rng.integers(6))] if left else ""
+        left += named
+        form_end = named[-1] if named.endswith(("\"", "'")) else ""
+        right = (" ", " ", " ", "\n", ". ", ", ", ") ")[int(rng.integers(7))] + right
+        own = [] if kind is None else [(len(left), len(left) + len(form), kind)]
+        whole = left + form + form_end + right
+        low, high = len(left), len(left) + len(form)
+        own += [s for s in base_spans(whole)[0] if s[1] <= low or s[0] >= high]
+        if any(s[1] <= low or s[0] >= high for s in key_like(whole)):
+            continue  # the text has such a string of its own, of unknown kind
+        out.append(whole)
+        spans.append(own)
+    return out, spans
 
 
 _BLEND = (np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1.0).astype(np.float32)
@@ -199,15 +341,14 @@ def find_spans(model: dict | None, texts: list[str]) -> list[tuple[list[Span], l
     tagged = tag_spans(model, texts) if model else [[] for _ in texts]
     out = []
     for text, own, more in zip(texts, base, tagged):
-        every = list(own)
-        for a, b, k in sorted(set(more)):
-            while b > a and text[b - 1] in " .-(":
-                b -= 1
-            while a < b and text[a] == " ":
-                a += 1
-            if _plausible(text, (a, b, k)) and all(b <= s or e <= a for s, e, _ in every):
-                every.append((a, b, k))
-        out.append((own, sorted(every, key=lambda s: (s[0], s[2], s[1]))))
+        starts, reach = [s for s, _, _ in own], list(accumulate((e for _, e, _ in own), max))
+        added: list[Span] = []
+        for a, b, k in sorted({_whole(text, s) for s in more}):
+            before = bisect_left(starts, b)  # base spans that start before this one ends
+            free = not (before and reach[before - 1] > a) and not (added and added[-1][1] > a)
+            if b > a and free and _plausible(text, (a, b, k)):
+                added.append((a, b, k))
+        out.append((own, sorted(own + added, key=lambda s: (s[0], s[2], s[1]))))
     return out
 
 
@@ -223,7 +364,7 @@ def _tag(model):
             ids = batch.column("doc_id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for i, (own, every) in zip(ids, find_spans(weights, texts)):
-                count = [sum(k == kind for _, _, k in own) for kind in range(len(KINDS))]
+                count = [sum(k == kind for _, _, k in own) for kind in range(BASE_KINDS)]
                 rows.append((i, *count, hashlib.sha256(_said(own).encode()).hexdigest(), _said(every),
                              len(every) - len(own)))
             cols = list(zip(*rows)) if rows else [()] * 8
@@ -238,7 +379,7 @@ def labelled_sample(docs: DataFrame, limit: int = SAMPLE_DOCS) -> list[str]:
     """At most ``limit`` texts that hold a digit or an ``@``, first in hash order of id and
     text; texts beyond 100,000 characters are no training material."""
     rows = docs.select(F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("h")).where(
-        F.contains("text", F.lit("@")) | F.col("text").rlike(r"[0-9]{2}")).where(F.length("text") <= 100_000)
+        F.contains("text", F.lit("@")) | F.col("text").rlike(r"[0-9]{2}|[(\[{][Aa][Tt][)\]}]")).where(F.length("text") <= 100_000)
     # first the hashes alone, then only the texts below the last of them
     least = [r["h"] for r in rows.select("h").orderBy("h").limit(limit).collect()]
     if not least:
@@ -248,15 +389,20 @@ def labelled_sample(docs: DataFrame, limit: int = SAMPLE_DOCS) -> list[str]:
 
 def train_tagger(texts: list[str], spans: list[list[Span]] | None = None, skip: list[list[Span]] | None = None,
                  limit: int = SAMPLE_WINDOWS) -> dict | None:
-    """A model from labelled spans (the base's where none are given); None without any."""
-    if spans is None:
+    """A model from labelled spans; where none are given, from the base's and from written forms.
+    None without texts or spans."""
+    own = spans is None
+    if own:
         both = [base_spans(t) for t in texts]
-        spans, skip = [b[0] for b in both], [b[1] for b in both]
+        spans, skip = [b[0] for b in both], [b[1] + key_like(t) for b, t in zip(both, texts)]
     x, y = labelled_windows(texts, spans, skip or [[] for _ in texts], limit)
+    if own:
+        more, marks = written_texts([t for t in texts if t], WRITTEN_WINDOWS)
+        wx, wy = labelled_windows(more, marks, [[] for _ in more], WRITTEN_WINDOWS)
+        x, y = np.concatenate([x, wx]), np.concatenate([y, wy])
     if len(x) < 16 or not y.any():
         return None
-    epochs = min(40, max(6, 6 * SAMPLE_WINDOWS // (4 * len(x))))
-    return tagger.train(x, y, TAGS, epochs=epochs)
+    return tagger.train(x, y, TAGS, epochs=min(40, max(EPOCHS, 1800 // len(x))))
 
 
 def personal_data(docs: DataFrame, model: dict | None = None) -> DataFrame:
