@@ -52,7 +52,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   n_lines, n_distinct_words, n_stop_words, n_capital_words
 FROM f"""
 
-OP6 = rf"""WITH b AS (
+OP6 = rf"""WITH RECURSIVE b AS (
   SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({_LOW}, '{ALNUM_WORD}') AS ws FROM benchmark),
 q AS (SELECT DISTINCT item_id, least(len(ws), 10) AS size, array_to_string(ws[i:i + 9], ' ') AS win
       FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
@@ -63,11 +63,22 @@ spot AS (SELECT doc_id, size, i, array_to_string(ws[i:i + size - 1], ' ') AS win
 hit AS (SELECT doc_id, i, spot.size, item_id FROM spot JOIN q ON q.win = spot.win AND q.size = spot.size),
 words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS said
-          FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+          FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id),
+dw AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d),
+seek AS (SELECT DISTINCT win, size, string_split(win, ' ') AS qs FROM q),
+walk(win, size, qs, doc_id, start, p, step) AS (
+  SELECT win, size, qs, doc_id, p, p, 1 FROM seek JOIN dw ON dw.w = qs[1]
+  UNION
+  SELECT win, size, qs, t.doc_id, start, dw.p, step + 1
+  FROM (SELECT walk.*, unnest(range(p + 1, start + step + 3)) AS next, qs[step + 1] AS want FROM walk WHERE step < size) t
+  JOIN dw ON dw.doc_id = t.doc_id AND dw.p = t.next AND dw.w = t.want),
+near AS (SELECT doc_id, count(DISTINCT item_id) AS n FROM (SELECT DISTINCT doc_id, win, size FROM walk WHERE step = size) f
+         JOIN q ON q.win = f.win AND q.size = f.size GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items.said, '')) AS items_sha256,
-  coalesce(words.n, 0) > 0 AS contaminated
-FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id"""
+  coalesce(words.n, 0) > 0 AS contaminated, CAST(coalesce(near.n, 0) AS BIGINT) AS n_near_items
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+LEFT JOIN near ON near.doc_id = d.doc_id"""
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 

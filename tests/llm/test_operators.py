@@ -359,6 +359,41 @@ def test_decontamination(spark, real):
     assert [by_id(decontaminate.find_passages(near, extra))[i]["near"] for i in (1, 2)] == [["900"], []]
 
 
+def ordered_within(words, wanted, slop):
+    """Whether ``wanted`` stands in order within ``len(wanted) + slop`` words."""
+    for start in (i for i, w in enumerate(words) if w == wanted[0]):
+        at, left = 1, words[start + 1:start + len(wanted) + slop]
+        for w in left:
+            if at < len(wanted) and w == wanted[at]:
+                at += 1
+        if at == len(wanted):
+            return True
+    return False
+
+
+def test_proximity_against_brute_force(spark):
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(6)]
+    items = {str(i): r.choices(words, k=r.choice((3, 4, 7, 12))) for i in range(60)}
+    texts = {i: r.choices(words + ["other"], k=r.choice((0, 2, 5, 15, 40))) for i in range(120)}
+    for i in range(60):                     # items with words put between
+        own = list(items[str(i)])
+        for _ in range(r.randrange(4)):
+            own.insert(r.randrange(1, len(own)), "between")
+        texts[200 + i] = ["x"] * r.randrange(3) + own
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id string, text string")
+    for options in ({}, {"slop": 0, "windows": 9}, {"slop": 1}):
+        got = by_id(decontaminate.find_passages(docs, bench, **options))
+        far = 0
+        for i, own in texts.items():
+            want = {k for k, w in items.items() for j in range(max(1, len(w) - 9))
+                    if ordered_within(own, w[j:j + 10], options.get("slop", 2))}
+            assert set(got[i]["near"]) == want and set(got[i]["items"]) <= want
+            far += len(want) - len(got[i]["items"])
+        assert far > 20 if options.get("slop", 2) else far == 0
+
+
 def test_quality_counts(spark, odd):
     rep = "one two three four five six " * 2 + "seven"
     got = by_id(quality.quality(docs_of(spark, [(1, rep), (2, "a b\na b\n\n \na b#$"), (3, None)])))
@@ -409,6 +444,89 @@ def test_license_join_is_exact(spark):
         assert got[i]["labels"] == ",".join(sorted(want))
 
 
+def test_wrapped_license_join_and_base_against_brute_force(spark):
+    r = random.Random(8)
+    vocabulary = [f"t{i}" for i in range(24)] + ["MIT", "mit", "License", "apache", "general public license", "GNU"]
+    table = [(f"l{i}", " ".join(r.sample([v for v in vocabulary if v.startswith("t")], r.randint(3, 8)))) for i in range(10)]
+    longest = max(len(t.split()) for _, t in table)
+    seps = (" ", " ", " ", "\n", "\n", ", ", "\n\n", "--")
+    texts = [(i, "".join(r.choice(vocabulary) + r.choice(seps) for _ in range(r.randint(0, 60)))) for i in range(150)]
+    got = by_id(licenses.scan_licenses(docs_of(spark, texts), table, 0.6, wrapped=True))
+    joined = 0
+    for i, text in texts:
+        by_line = [alnum_words(line) for line in text.split("\n")]
+        words = [w for line in by_line for w in line]
+        blocks, at = [set(line) for line in by_line], 0
+        for line in by_line:                # a run: the end of one line, and the words after it
+            at += len(line)
+            if line and at < len(words):
+                blocks.append(set(line[-(longest - 1):] + words[at:at + longest - 1]))
+        fits = lambda b, t: len(b & set(t.split())) >= 0.6 * len(set(t.split())) - 1e-9
+        want = {label for label, t in table if any(fits(b, t) for b in blocks)}
+        joined += len(want) - len({label for label, t in table if any(fits(b, t) for b in blocks[:len(by_line)])})
+        places = []
+        for phrase, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")):
+            own = phrase.split()
+            places += [(k, label) for k in range(len(words)) if words[k:k + len(own)] == own]
+        base = {label for _, label in places}
+        g = got[i]
+        assert (g["n_words"], g["n_base"], g["base_labels"]) == (len(words), len(places), ",".join(sorted(base)))
+        assert (g["first_word"], g["last_word"]) == ((min(places)[0], max(places)[0]) if places else (None, None))
+        assert g["labels"] == ",".join(sorted(base | want)), text
+    assert joined > 20
+
+
+def test_shards_equal_plain_scheduling_where_nothing_is_bundled(spark):
+    r = random.Random(9)
+    texts = [(i, "x" * r.randint(50, 400) + r.choice("ab")) for i in range(300)]
+    texts += [(300 + i, r.choice(texts)[1]) for i in range(80)] + [(400, None), (401, "")]
+    got = by_id(sharding.balanced_shards(docs_of(spark, texts), shards=7))
+    groups = {}
+    for _, t in texts:
+        groups[t or ""] = groups.get(t or "", 0) + len(t or "") + 16
+    loads = [0] * 7
+    for size in sorted(groups.values(), reverse=True):
+        loads[loads.index(min(loads))] += size
+    mine = [0] * 7
+    for row in got.values():
+        mine[row["shard"]] += row["size"]
+    assert sorted(mine) == sorted(loads) and {row["law"] for row in got.values()} == {"bytes"}
+
+
+def test_revisits_against_brute_force(spark):
+    r = random.Random(7)
+    rows = []
+    for i in range(1500):
+        kind = r.choice(("response", "revisit"))
+        head = {k: r.choice("12") for k in ("etag", "last-modified", "x") if r.random() < 0.5}
+        url = None if r.random() < 0.02 else "a.com/hot" if r.random() < 0.4 else f"a.com/p{r.randrange(60)}"
+        rows.append((i, url, None if r.random() < 0.03 else r.randrange(300), kind, r.choice((200, 200, 404)),
+                     head if r.random() < 0.9 else None, r.choice(("d1", "d2", None)), r.randrange(9)))
+    got = {g["record_id"]: g for g in warc.resolve_revisits(spark.createDataFrame(rows, warc.RECORD)).collect()}
+    assert len(got) == sum(k[3] == "revisit" for k in rows)
+    outcomes = set()
+    for i, url, ts, kind, _, head, digest, _ in rows:
+        if kind != "revisit":
+            continue
+        old = [k for k in rows if k[3] == "response" and k[4] == 200 and k[6] is not None and None not in (url, ts, k[2])
+               and k[1] == url and (k[2], k[0]) < (ts, i)]
+        best = max(old, key=lambda k: (k[2], k[0])) if old else None
+        outcome = "missing"
+        if best:
+            mine, theirs = dict(head or {}), dict(best[5] or {})
+            mine["digest"], theirs["digest"] = digest, best[6]
+            both = [k for k in ("etag", "last-modified", "digest") if mine.get(k) is not None and theirs.get(k) is not None]
+            outcome = "unchecked" if not both else "resolved" if mine[both[0]] == theirs[both[0]] else "mismatch"
+        outcomes.add(outcome)
+        assert (got[i]["response_id"], got[i]["outcome"]) == (best and best[0], outcome)
+        if outcome in ("resolved", "unchecked"):
+            renewed = {k: v for k, v in (head or {}).items() if k == "etag"}
+            if head is not None and best[5] is not None:
+                assert got[i]["headers"] == {**best[5], **renewed}
+            assert (got[i]["digest"], got[i]["length"]) == (best[6], best[7])
+    assert outcomes == {"missing", "mismatch", "unchecked", "resolved"}
+
+
 def test_sharding(spark, real, odd):
     for df in (real, odd):
         got = sharding.balanced_shards(df, shards=4).collect()
