@@ -278,6 +278,20 @@ def test_pages(spark):
     assert text[5] == text[6] == "" and all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+def test_copies_in_a_row_do_not_hide_the_template(spark):
+    def page(body):
+        return f"<body><div><p>Site motto of the house</p><p>{body}</p><p>Subscribe to the letter</p></div></body>"
+    bodies = ["first text about rivers and hills", "second text about towns and roads"]
+    rows = [(i, f"http://h/{i:03d}", page(bodies[0])) for i in range(40)]
+    rows += [(100 + i, f"http://h/{i:03d}x", page(bodies[1])) for i in range(20, 30)]
+    rows += [(200 + i, "http://other/a", page(bodies[0])) for i in range(3)]      # only copies: nothing to compare with
+    got = {r["page_id"]: r["text"] for r in pages.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    assert {got[i] for i in range(40)} == {bodies[0]} and {got[100 + i] for i in range(20, 30)} == {bodies[1]}
+    assert all(got[200 + i].startswith("Site motto") for i in range(3))
+
+
 def test_common_subsequence_is_longest():
     r = random.Random(4)
     for _ in range(200):
