@@ -278,7 +278,10 @@ def test_pages(spark):
     assert text[5] == text[6] == "" and all(r["n_chars"] == len(r["text"]) for r in got)
 
 
-def test_copies_in_a_row_do_not_hide_the_template(spark):
+@pytest.mark.parametrize("limit", [pages.CUTS_BYTES, -1])
+def test_copies_in_a_row_do_not_hide_the_template(spark, monkeypatch, limit):
+    monkeypatch.setattr(pages, "CUTS_BYTES", limit)   # with the cuts broadcast, and with the texts shuffled to them
+
     def page(body):
         return f"<body><div><p>Site motto of the house</p><p>{body}</p><p>Subscribe to the letter</p></div></body>"
     bodies = ["first text about rivers and hills", "second text about towns and roads"]
