@@ -9,6 +9,8 @@ links are as few as the runs. They are contracted in rounds with pointer jumping
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,43 +20,83 @@ from pyspark.sql.window import Window
 from loomkit.session import cut_lineage
 
 STRIP = 64
+AT_ONCE = 100_000        # pixels that a task labels at a time (a strip of more is never cut)
 _SPAN = 1 << 31          # a run's label is y * _SPAN + x0 of the first run of its region
 
 
-def _strip_regions(keys: list[str], reach: int):
-    """Runs of one strip with the labels of its regions."""
-    def run(table: pa.Table) -> pa.Table:
-        y, x = table["y"].to_numpy().astype(np.int64), table["x"].to_numpy().astype(np.int64)
-        order = np.lexsort((x, y))
-        y, x = y[order], x[order]
-        head = np.ones(len(y), dtype=bool)
-        head[1:] = (y[1:] != y[:-1]) | (x[1:] > x[:-1] + 1)
-        start = np.flatnonzero(head)
-        stop = np.append(start[1:], len(y)) - 1
-        ry, x0, x1 = y[start], x[start], x[stop]
-        # the partner above: the last run of the row before that starts no later than x1 + reach ...
-        rank = ry * _SPAN + x0
-        above = np.searchsorted(rank, (ry - 1) * _SPAN + x1 + reach, "right") - 1
-        first = np.searchsorted(rank, (ry - 1) * _SPAN, "left")
-        label = np.arange(len(ry))
-
-        def root(i: int) -> int:
-            while label[i] != i:
-                label[i] = label[label[i]]
-                i = label[i]
-            return i
-        for i in np.flatnonzero(above >= first).tolist():
-            j = int(above[i])
-            # ... and those before it, as long as they reach this run
-            while j >= first[i] and x1[j] + reach >= x0[i]:
-                a, b = root(i), root(j)
-                label[max(a, b)] = min(a, b)
-                j -= 1
-        roots = np.array([root(i) for i in range(len(ry))], dtype=np.int64)
-        out = [pa.array([table[k][0].as_py()] * len(ry), table.schema.field(k).type) for k in keys]
-        return pa.Table.from_arrays(
-            out + [pa.array(ry, pa.int32()), pa.array(x0, pa.int32()), pa.array(x1, pa.int32()),
-                   pa.array(rank[roots] if len(ry) else rank, pa.int64())], [*keys, "y", "x0", "x1", "region"])
+def _group_numbers(table: pa.Table, cols: list[str]) -> np.ndarray:
+    """0, 1, .. per stretch of rows with equal ``cols``."""
+    new = np.zeros(table.num_rows, dtype=bool)
+    for c in cols:
+        codes = table[c].combine_chunks().dictionary_encode("encode").indices.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.cumsum(new)
+
+
+def _regions(table: pa.Table, group: np.ndarray, keys: list[str], reach: int, strip: int) -> pa.Table:
+    """Runs of whole strips with the labels of their regions; ``group`` numbers the strips."""
+    y, x = table["y"].to_numpy().astype(np.int64), table["x"].to_numpy().astype(np.int64)
+    order = np.lexsort((x, y, group))
+    y, x, group = y[order], x[order], group[order]
+    # rows of all strips on one axis, with an empty row between strips
+    line = group * (strip + 1) + y % strip
+    head = np.ones(len(y), dtype=bool)
+    head[1:] = (line[1:] != line[:-1]) | (x[1:] > x[:-1] + 1)
+    start = np.flatnonzero(head)
+    stop = np.append(start[1:], len(y)) - 1
+    line, ry, x0, x1 = line[start], y[start], x[start], x[stop]
+    # the partner above: the last run of the row before that starts no later than x1 + reach ...
+    rank = line * _SPAN + x0
+    above = np.searchsorted(rank, (line - 1) * _SPAN + x1 + reach, "right") - 1
+    first = np.searchsorted(rank, (line - 1) * _SPAN, "left")
+    label = list(range(len(ry)))
+
+    def root(i: int) -> int:
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+    touched = np.flatnonzero(above >= first)
+    starts, ends = x0.tolist(), x1.tolist()
+    for i, j, low in zip(touched.tolist(), above[touched].tolist(), first[touched].tolist()):
+        # ... and those before it, as long as they reach this run
+        while j >= low and ends[j] + reach >= starts[i]:
+            a, b = root(i), root(j)
+            label[max(a, b)] = min(a, b)
+            j -= 1
+    roots = np.array([root(i) for i in range(len(ry))], dtype=np.int64)
+    region = (ry * _SPAN + x0)[roots] if len(ry) else ry
+    out = table.select(keys).take(pa.array(order[start]))
+    for name, values, kind in (("y", ry, pa.int32()), ("x0", x0, pa.int32()), ("x1", x1, pa.int32()),
+                               ("region", region, pa.int64())):
+        out = out.append_column(name, pa.array(values, kind))
+    return out
+
+
+def _strip_regions(keys: list[str], reach: int, strip: int):
+    """``_regions`` over batches that are sorted by strip: many small strips at once, and a strip is never cut."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, enough = [], 0, AT_ONCE
+
+        def labelled(table: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+            if table.num_rows:
+                yield from _regions(table, group, keys, reach, strip).to_batches()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < enough:
+                continue
+            table = pa.Table.from_batches(held)
+            group = _group_numbers(table, [*keys, "_strip"])
+            cut = int(np.searchsorted(group, group[-1], "left"))  # the last strip may go on
+            yield from labelled(table.slice(0, cut), group[:cut])
+            held, rows = table.slice(cut).to_batches(), table.num_rows - cut
+            enough = max(AT_ONCE, 2 * rows)
+        if held:
+            table = pa.Table.from_batches(held)
+            yield from labelled(table, _group_numbers(table, [*keys, "_strip"]))
     return run
 
 
@@ -121,7 +163,8 @@ def label_regions(px: DataFrame, keys: list[str], diagonal: bool = True, strip:
     kinds = dict(px.dtypes)
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "y int, x0 int, x1 int, region bigint"])
     cells = px.select(*keys, "y", "x", F.floor(F.col("y") / strip).cast("int").alias("_strip"))
-    rows = cells.groupBy(*keys, "_strip").applyInArrow(_strip_regions(keys, reach), schema)
+    by = [*keys, "_strip"]
+    rows = cells.repartition(*by).sortWithinPartitions(*by).mapInArrow(_strip_regions(keys, reach, strip), schema)
     if one_strip is None:
         one_strip = px.where(F.col("y") >= strip).isEmpty()
     if one_strip:
