@@ -8,9 +8,10 @@ One Spark job carries many merges. A bounded sample of the most frequent words p
 the next merges; every task applies them to its own words and logs, per step, how its pair
 counts changed. The summed log gives the exact counts before each step, and the longest
 start of the proposal in which each merge is the most frequent pair of the whole corpus is
-accepted. The exact counts then correct the next proposal. So the merges are those of
-one exact merge after another, however the sample is drawn; it only decides how many are
-accepted at once (all of them where it holds every word).
+accepted. The exact counts then correct the next proposal, and so do the exact changes of the
+merges that were not accepted: a proposal that was out of order is put right by its own log. So
+the merges are those of one exact merge after another, however the sample is drawn; it only
+decides how many are accepted at once (all of them where it holds every word).
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 from loomkit.session import cut_lineage
 
 STEPS = 2000          # merges proposed per job
-SAMPLE = 100_000      # most frequent words that propose
+SAMPLE = 300_000      # most frequent words that propose
 MAX_LOGGED = 2_000_000  # rows of counts and changes that may reach the driver
-CACHED_WORDS = 500_000  # encoded words a worker keeps, emptied when full
+CACHED_WORDS = 200_000  # encoded words a worker keeps, emptied when full
+AT_ONCE = 1_000_000     # characters that a worker encodes at a time
 
 Pair = tuple[str, str]
 
@@ -60,6 +62,13 @@ class PairIndex:
                 self.total[pair] += n
                 self.words[pair].add(w)
 
+    def copy(self) -> PairIndex:
+        """An index that merges on its own; symbol lists are replaced, never changed, so they are shared."""
+        out = PairIndex((), ())
+        out.symbols, out.counts, out.total = list(self.symbols), self.counts, self.total.copy()
+        out.words = defaultdict(set, {pair: set(held) for pair, held in self.words.items()})
+        return out
+
     def merge(self, a: str, b: str) -> dict[Pair, int]:
         """Apply one merge; the signed differences of the counts, zeros left out."""
         change: Counter[Pair] = Counter()
@@ -110,42 +119,63 @@ class _Ranked:
                 heapq.heappush(self.heap, (-c, *pair))
 
 
-def propose(index: PairIndex, exact: dict[Pair, int], steps: int) -> list[Pair]:
-    """Likely next merges: exact counts where they are known, carried on with the sample's changes."""
-    ranked = _Ranked({**index.total, **exact})
+class Learned:
+    """What the last log says of merges that were not accepted: the exact changes of their counts,
+    complete for the pairs ``sure``."""
+
+    def __init__(self, sure: set[Pair] = frozenset(), changes: dict[Pair, list[tuple[Pair, int]]] | None = None):
+        self.sure, self.changes = sure, changes or {}
+
+    def correct(self, pair: Pair, guess: dict[Pair, int]) -> dict[Pair, int]:
+        if pair not in self.changes:
+            return guess
+        return {p: d for p, d in guess.items() if p not in self.sure} | dict(self.changes[pair])
+
+
+def propose(index: PairIndex, exact: dict[Pair, int], steps: int, learned: Learned | None = None) -> list[Pair]:
+    """Likely next merges: exact counts where they are known, carried on with the last log's changes,
+    and with the sample's for merges that it does not hold."""
+    ranked, learned = _Ranked({**index.total, **exact}), learned or Learned()
     out = []
     for _ in range(steps):
         best = ranked.top()
         if best is None:
             break
-        a, b, _ = best
+        a, b, c = best
         out.append((a, b))
-        changes = index.merge(a, b)
-        changes.setdefault((a, b), 0)
+        # the sample's changes in the measure in which it holds the pair
+        share = index.total.get((a, b), 0) / c
+        guess = {pair: round(d / share) for pair, d in index.merge(a, b).items()}
+        changes = learned.correct((a, b), guess)
         ranked.change([(pair, d) for pair, d in changes.items() if pair != (a, b)])
         ranked.counts[a, b] = 0
     return out
 
 
+def _indexes(batches: Iterator[pa.RecordBatch], done: list[Pair]) -> Iterator[tuple[pa.RecordBatch, PairIndex]]:
+    """Each batch with the index of its words after the merges ``done``."""
+    for batch in batches:
+        index = PairIndex(batch.column("symbols").to_pylist(), batch.column("n").to_pylist())
+        for a, b in done:
+            index.merge(a, b)
+        yield batch, index
+
+
 def _apply(merges: list[Pair]):
     """``(word, n, symbols)`` after the merges."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            index = PairIndex(batch.column("symbols").to_pylist(), batch.column("n").to_pylist())
-            for a, b in merges:
-                index.merge(a, b)
+        for batch, index in _indexes(batches, merges):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), batch.column("n"), pa.array(index.symbols, pa.list_(pa.string()))],
                 ["word", "n", "symbols"])
     return run
 
 
-def _log(merges: list[Pair]):
-    """``(step, a, b, d)``: a task's pair counts (step -1) and their change by each merge."""
+def _log(done: list[Pair], merges: list[Pair]):
+    """``(step, a, b, d)``: a task's pair counts after ``done`` (step -1) and their change by each merge."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[tuple[int, str, str]] = Counter()
-        for batch in batches:
-            index = PairIndex(batch.column("symbols").to_pylist(), batch.column("n").to_pylist())
+        for _, index in _indexes(batches, done):
             for (a, b), c in index.total.items():
                 total[-1, a, b] += c
             for step, (a, b) in enumerate(merges):
@@ -159,6 +189,9 @@ def _log(merges: list[Pair]):
     return run
 
 
+_LOGGED = "step int, a string, b string, d bigint"
+
+
 def accepted(merges: list[Pair], counts: dict[Pair, int], changes: dict[int, list[tuple[Pair, int]]],
              floor: int) -> tuple[list[tuple[str, str, int]], dict[Pair, int]]:
     """The longest start of ``merges`` in which each is the most frequent pair, with its count,
@@ -174,38 +207,60 @@ def accepted(merges: list[Pair], counts: dict[Pair, int], changes: dict[int, lis
     return out, ranked.counts
 
 
-def _verify(words: DataFrame, merges: list[Pair]) -> tuple[list[tuple[str, str, int]], dict[Pair, int]]:
-    """``accepted`` over the whole word table."""
-    log = cut_lineage(words.select("symbols", "n").mapInArrow(_log(merges), "step int, a string, b string, d bigint")
-                      .groupBy("step", "a", "b").agg(F.sum("d").alias("d")))
+def _verify(words: DataFrame, done: list[Pair],
+            merges: list[Pair]) -> tuple[list[tuple[str, str, int]], dict[Pair, int], Learned]:
+    """``accepted`` over the whole word table after ``done``, and what the log says of the rest."""
+    log = words.select("symbols", "n").mapInArrow(_log(done, merges), _LOGGED)
+    # one row per pair: its changes by step, and a bound of the count it ever reaches
+    pairs = cut_lineage(log.repartition("a", "b").groupBy("step", "a", "b").agg(F.sum("d").alias("d"))
+                        .groupBy("a", "b").agg(F.collect_list(F.struct("step", "d")).alias("series"),
+                                               F.sum(F.greatest("d", F.lit(0))).alias("peak")))
+    parts = ["a", "b", F.col("series.step").alias("step"), F.col("series.d").alias("d")]
     proposed = log.sparkSession.createDataFrame(list(dict.fromkeys(merges)), "a string, b string")
-    mine = defaultdict(list)
-    for r in log.join(F.broadcast(proposed), ["a", "b"], "left_semi").collect():
-        mine[r["a"], r["b"]].append((r["step"], r["d"]))
+    mine = {(a, b): (steps, ds) for a, b, steps, ds in
+            _tuples(pairs.join(F.broadcast(proposed), ["a", "b"], "left_semi").select(*parts))}
     # the count of each proposed merge before its step; the smallest is the floor
     reached = []
     for step, pair in enumerate(merges):
-        c = sum(d for s, d in mine[pair] if s < step)
+        c = sum(d for s, d in zip(*mine.get(pair, ((), ()))) if s < step)
         if c <= 0:
             break
         reached.append(c)
-    if not reached:
-        reached = [1]
-    peak = log.groupBy("a", "b").agg(F.sum(F.greatest("d", F.lit(0))).alias("peak"))
-    floor = min(reached)
-    while True:
-        kept = peak.where(F.col("peak") >= floor).select("a", "b")
-        rows = log.join(kept, ["a", "b"], "left_semi")
-        if floor == max(reached) or rows.limit(MAX_LOGGED + 1).count() <= MAX_LOGGED:
-            break
-        floor = min(c for c in reached if c > floor)  # decide fewer steps rather than carry more rows
-    counts, changes = {}, defaultdict(list)
-    for r in rows.toLocalIterator():
-        if r["step"] < 0:
-            counts[r["a"], r["b"]] = r["d"]
+    floors = sorted(set(reached)) or [1]
+    low, high = 0, len(floors) - 1
+    while low < high:  # decide fewer steps rather than carry more rows
+        middle = low if low == 0 and high == len(floors) - 1 else (low + high) // 2
+        size = pairs.where(F.col("peak") >= floors[middle]).agg(F.sum(F.size("series"))).first()[0]
+        if (size or 0) <= MAX_LOGGED:
+            high = middle
         else:
-            changes[r["step"]].append(((r["a"], r["b"]), r["d"]))
-    return accepted(merges, counts, changes, floor)
+            low = middle + 1
+    floor = floors[low]
+    counts, changes = {}, defaultdict(list)
+    for a, b, steps, ds in _tuples(pairs.where(F.col("peak") >= floor).select(*parts)):
+        for step, d in zip(steps, ds):
+            if step < 0:
+                counts[a, b] = d
+            else:
+                changes[step].append(((a, b), d))
+    good, exact = accepted(merges, counts, changes, floor)
+    rest = {}
+    for step in range(len(good), len(merges)):
+        rest.setdefault(merges[step], changes.get(step, []))
+    return good, exact, Learned(set(exact), rest)
+
+
+def _tuples(df: DataFrame) -> Iterator[tuple]:
+    """The rows of a bounded result."""
+    for batch in df.toArrow().to_batches():
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def _sampled(words: DataFrame, sample: int) -> PairIndex:
+    """The most frequent words that still have a pair."""
+    top = words.where(F.size("symbols") > 1).orderBy(F.desc("n"), "word").limit(sample).select("symbols", "n")
+    rows = list(_tuples(top))
+    return PairIndex([list(s) for s, _ in rows], [n for _, n in rows])
 
 
 def train(words: DataFrame, n_merges: int, known: set[str], room: int | None = None, steps: int = STEPS,
@@ -214,22 +269,28 @@ def train(words: DataFrame, n_merges: int, known: set[str], room: int | None = N
 
     ``words(word, n, symbols)``. Ends after ``n_merges``, when no pair is left, or when the
     merges have given ``room`` texts that are not in ``known`` (a merge whose text exists
-    already takes no room).
+    already takes no room). The words are rewritten, and the sample is drawn anew, once ``steps``
+    merges have been accepted; until then each job applies those to its words first.
     """
-    words = cut_lineage(words)
+    def applied(done: list[Pair]) -> DataFrame:
+        return cut_lineage(words.select("word", "n", "symbols").mapInArrow(
+            _apply(done), "word string, n bigint, symbols array<string>"))
+
+    # the work is in Python: as many even parts as there are cores, however small the table
+    words = cut_lineage(words.repartition(2 * words.sparkSession.sparkContext.defaultParallelism, "word"))
     merges: list[tuple[str, str, int]] = []
     seen = set(known)
     exact: dict[Pair, int] = {}
+    learned, done, held, ahead = Learned(), [], None, steps
     while len(merges) < n_merges and (room is None or room > 0):
-        top = words.where(F.size("symbols") > 1).orderBy(F.desc("n"), "word").limit(sample).select("symbols", "n")
+        held = held or _sampled(words, sample)
         if not exact:  # the first proposal knows the exact counts of the most frequent pairs
-            exact = _top_counts(words, steps)
-        rows = top.collect()
-        index = PairIndex([list(r["symbols"]) for r in rows], [r["n"] for r in rows])
-        wanted = propose(index, exact, min(steps, n_merges - len(merges)))
+            exact = _top_counts(words, done, steps)
+        most = min(ahead, n_merges - len(merges), room if room is not None else ahead)
+        wanted = propose(held.copy(), exact, most, learned)
         if not wanted:
             break
-        good, exact = _verify(words, wanted)
+        good, exact, learned = _verify(words, done, wanted)
         taken = []
         for a, b, c in good:
             if room is not None and room <= 0:
@@ -239,21 +300,25 @@ def train(words: DataFrame, n_merges: int, known: set[str], room: int | None = N
             seen.add(a + b)
             taken.append((a, b, c))
         if len(taken) < len(good):
-            exact = {}
+            exact, learned = {}, Learned()
         merges += taken
-        pairs = [(a, b) for a, b, _ in taken]
-        words = cut_lineage(words.select("word", "n", "symbols").mapInArrow(
-            _apply(pairs), "word string, n bigint, symbols array<string>"))
-        if not taken:
-            exact = _top_counts(words, steps)
+        for a, b, _ in taken:
+            held.merge(a, b)
+            done.append((a, b))
+        exact = {pair: c for pair, c in exact.items() if c > 0}
+        if not taken or not exact:
+            exact = _top_counts(words, done, steps)
             if not exact:
                 break
-        exact = {pair: c for pair, c in exact.items() if c > 0}
-    return merges, words
+        # a log of merges that are not accepted is worth less than it costs
+        ahead = min(steps, max(steps // 5, 4 * len(taken)))
+        if len(done) >= steps:
+            words, done, held = applied(done), [], None
+    return merges, applied(done) if done else words
 
 
-def _top_counts(words: DataFrame, n: int) -> dict[Pair, int]:
-    log = words.select("symbols", "n").mapInArrow(_log([]), "step int, a string, b string, d bigint")
+def _top_counts(words: DataFrame, done: list[Pair], n: int) -> dict[Pair, int]:
+    log = words.select("symbols", "n").mapInArrow(_log(done, []), _LOGGED)
     best = log.groupBy("a", "b").agg(F.sum("d").alias("c")).orderBy(F.desc("c"), "a", "b").limit(n)
     return {(r["a"], r["b"]): r["c"] for r in best.collect()}
 
@@ -288,10 +353,24 @@ class WordEncoder:
         return got
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in stretches of rows with about ``AT_ONCE`` characters of words each (one row at least)."""
+    lists = batch.column("words")
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    chars = pc.fill_null(pc.utf8_length(lists.flatten()), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(chars)])[np.cumsum(size)]
+    at, n = 0, batch.num_rows
+    while at < n:
+        begin = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, begin + AT_ONCE, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _encode(vocab: dict[str, int], ranks: dict[Pair, int], whole: set[str], unk_id: int, max_tokens: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(vocab, ranks, whole, unk_id)
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in _slices(whole_batch)):
             lists = batch.column("words")
             per_doc = np.array([n or 0 for n in pc.list_value_length(lists).to_pylist()], dtype=np.int64)
             coded = lists.flatten().dictionary_encode()
