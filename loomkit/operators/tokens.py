@@ -7,6 +7,8 @@ word, never on the raw corpus; ``operators/bpe`` keeps the pair counts.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,6 +21,7 @@ UNI_SPACE = r"\t\n\x{0b}\x{0c}\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x
 WORD_CLASS = r"\p{L}\p{M}\p{N}_"
 PRETOKEN = f"[{WORD_CLASS}]+|[^{WORD_CLASS}{UNI_SPACE}]+"
 CHAR = r"(?s)."
+ANY_CHAR = r"\x{0}-\x{10ffff}"
 
 # Special tokens of vocabulary training (29) and of the trainer (26).
 UNK = "<unk>"
@@ -41,28 +44,43 @@ def pretokenize(text: Column) -> Column:
 
 
 def _special_alternation(specials: list[str]) -> str:
-    import re
     return "|".join(re.escape(s) for s in sorted(set(specials), key=lambda s: (-len(s), s)))
 
 
+def _one_special(specials: list[str]) -> str:
+    """``_special_alternation``, tried only where a special token can begin; those of one character as a class."""
+    longer, single, firsts = _by_length(specials)
+    either = "|".join(p for p in (_special_alternation(longer) if longer else "", single) if p)
+    return f"(?=[{firsts}])(?:{either})"
+
+
+def _by_length(specials: list[str]) -> tuple[list[str], str, str]:
+    """Specials of several characters, the class of the others, the class body of all first characters."""
+    single = "".join(sorted({re.escape(s) for s in specials if len(s) == 1}))
+    return ([s for s in specials if len(s) > 1], f"[{single}]" if single else "",
+            "".join(sorted({re.escape(s[0]) for s in specials})))
+
+
+def _between_specials(specials: list[str], chars: str) -> str:
+    """A run of ``chars`` (a class body) that ends before the next special token."""
+    longer, single, firsts = _by_length(specials)
+    ends = "|".join(p for p in (single, _special_alternation(longer) if longer else "") if p)
+    return f"(?:[[{chars}]&&[^{firsts}]]++|(?!{ends})[{chars}])++"
+
+
 def special_split(text: Column, specials: list[str]) -> Column:
     """``array<struct<special: boolean, piece: string>>`` in text order; special
     tokens are matched longest first and kept atomic."""
-    alt = _special_alternation(specials)
-    pieces = F.split(text, alt, -1)
-    found = F.regexp_extract_all(text, F.lit(f"({alt})"), 1)
-    spec = F.transform(found, lambda s: F.struct(F.lit(True).alias("special"), s.alias("piece")))
-    plain = F.transform(pieces, lambda s: F.struct(F.lit(False).alias("special"), s.alias("piece")))
-    pad = F.concat(spec, F.array(F.struct(F.lit(True).alias("special"), F.lit("").alias("piece"))))
-    both = F.flatten(F.zip_with(plain, pad, lambda p, s: F.array(p, s)))
-    return F.filter(both, lambda x: x["piece"] != "")
+    piece = f"{_one_special(specials)}|{_between_specials(specials, ANY_CHAR)}"
+    # a piece between special tokens holds none, so it equals none
+    return F.transform(F.regexp_extract_all(text, F.lit(piece), 0),
+                       lambda p: F.struct(p.isin(*specials).alias("special"), p.alias("piece")))
 
 
 def pretokenize_with_specials(text: Column, specials: list[str]) -> Column:
-    """T3 + T1: specials stay whole, the text between them is pre-tokenised."""
-    parts = special_split(text, specials)
-    return F.flatten(F.transform(parts, lambda p: F.when(p["special"], F.array(p["piece"]))
-                                 .otherwise(pretokenize(p["piece"]))))
+    """T3 + T1: specials stay whole, the text between them is pre-tokenised, in one pass."""
+    runs = [_between_specials(specials, c) for c in (WORD_CLASS, f"^{WORD_CLASS}{UNI_SPACE}")]
+    return F.regexp_extract_all(text, F.lit("|".join([_one_special(specials), *runs])), 0)
 
 
 def word_histogram(df: DataFrame, text_col: str, specials: list[str] | None = None) -> DataFrame:
