@@ -38,8 +38,11 @@ def _count(text: Column, chars: str) -> Column:
 
 def skeleton(line: Column) -> Column:
     """The line with strings and scalars as single marks and no white space."""
-    bare = F.regexp_replace(F.regexp_replace(line, STRING, _S), SCALAR, _V)
-    return F.translate(bare, SPACE, "")
+    return _skeleton(F.regexp_replace(line, STRING, _S))
+
+
+def _skeleton(bare: Column) -> Column:
+    return F.translate(F.regexp_replace(bare, SCALAR, _V), SPACE, "")
 
 
 def is_valid(line: Column) -> Column:
@@ -48,11 +51,14 @@ def is_valid(line: Column) -> Column:
     Innermost containers of the skeleton become one mark, level by level, until a single
     mark is left. Raw control characters are no JSON, so they cannot pass for marks.
     """
-    sk = skeleton(line)
+    return let(F.regexp_replace(line, STRING, _S), lambda bare: let(_skeleton(bare), lambda sk: _balanced(line, bare, sk)))
+
+
+def _balanced(line: Column, bare: Column, sk: Column) -> Column:
     levels = F.sequence(F.lit(0), _count(sk, "{["))
     left = F.aggregate(levels, sk, lambda s, i: F.when(F.length(s) == 1, s)
                        .otherwise(F.regexp_replace(s, _CLOSED, _C)))
-    long_int = F.regexp_replace(line, STRING, _S).rlike(
+    long_int = (F.length(bare) > _MAX_DIGITS) & bare.rlike(
         rf"(?<![0-9.eE+-])-?[0-9]{{{_MAX_DIGITS + 1},}}(?![0-9.eE])")
     return ~line.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]") & left.rlike(rf"^{_VALUE}$") & ~long_int
 

@@ -57,8 +57,10 @@ def global_rank(df: DataFrame, order_cols: list[str], name: str = "rank",
 
 
 def split_positions(keys: DataFrame, key: str, test_share: float = TEST_SHARE, seed: str = "loomkit") -> DataFrame:
-    """W4 on keys alone: ``(key, h, split, pos)``. Only the key and its hash are ranked."""
-    ranked = global_rank(keys.select(key, hash_order(F.col(key), seed).alias("h")), ["h", key], "_rank")
+    """W4 on keys alone: ``(key, h, split, pos)``. Only the key and its hash are ranked; they are kept
+    first, as the ranges are drawn from one reading of the rows and filled by another."""
+    narrow = cut_lineage(keys.select(key, hash_order(F.col(key), seed).alias("h")).repartition("h"))
+    ranked = global_rank(narrow, ["h", key], "_rank")
     n_test = math.ceil(test_share * ranked.count())
     is_test = F.col("_rank") <= n_test
     return ranked.select(key, "h", F.when(is_test, "test").otherwise("train").alias("split"),
