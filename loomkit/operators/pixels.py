@@ -35,10 +35,22 @@ POSTERIZE_LEVELS = 3
 LANCZOS_LOBES = 3
 WEIGHT_ONE = 1 << 22
 
+#: pixels of one task, where a stage holds them with their window sums
+PART_PIXELS = 250_000
+
 #: weights that are broadcast (about 30 MB); beyond it the join shuffles
 MAX_WEIGHTS = 1_000_000
 
 
+def spread(px: DataFrame, pixels: int | None, *keys: str) -> DataFrame:
+    """``px`` by ``keys`` in parts of about ``PART_PIXELS``, so that a task's memory does not grow with the
+    table. Few or unknown ``pixels`` are left to the engine, which then has a part per core at least."""
+    parts = math.ceil((pixels or 0) / PART_PIXELS)
+    if parts <= px.sparkSession.sparkContext.defaultParallelism:
+        return px.repartition(*keys)
+    return px.repartition(parts, *keys)
+
+
 def luma(px: DataFrame) -> DataFrame:
     """gray = trunc(0.299 r + 0.587 g + 0.114 b) in single precision; alpha kept."""
     f = lambda c: F.col(c).cast("float")
@@ -276,7 +288,8 @@ def resample_to(px: DataFrame, sizes: DataFrame, out_id: str = "image_id") -> Da
             *[F.sum(F.col(c).cast("long") * F.col("weight")).alias(c) for c in chans])
         return sums.select(key, *keep, F.col("onto").alias(axis), *[_byte(F.col(c)).alias(c) for c in chans])
 
-    rows = along(flat.repartition(key), "x", "w", "nw", ["h", "nh", "_held", "y"])
+    pixels = sizes.agg(F.sum(F.col("w").cast("long") * F.col("h"))).first()[0]
+    rows = along(spread(flat, pixels, key), "x", "w", "nw", ["h", "nh", "_held", "y"])
     cols = along(rows, "y", "h", "nh", ["_held", "x"])
     plain = F.col("_held") | F.col("a").isin(0, 255)
     colour = [F.when(plain, F.col(c)).otherwise(F.least(F.floor(F.col(c) * 255 / F.col("a")), F.lit(255))).cast("int")
@@ -311,20 +324,22 @@ def _blur_pass(px: DataFrame, weights: list[tuple[int, float]], axis: str, chans
     return seen.select("image_id", "y", "x", *sums)
 
 
-def blur(px: DataFrame, sigma: float, chans: tuple[str, ...] = ("r", "g", "b")) -> DataFrame:
+def blur(px: DataFrame, sigma: float, chans: tuple[str, ...] = ("r", "g", "b"), pixels: int | None = None) -> DataFrame:
     """Separable Gaussian blur (our weights, not the resampler's box passes). Both passes
-    read one partitioning by image."""
+    read one partitioning by image, by the number of ``pixels`` if given."""
     w = gaussian_weights(sigma)
-    own = px.select("image_id", "y", "x", *chans).repartition("image_id")
+    own = spread(px.select("image_id", "y", "x", *chans), pixels, "image_id")
     return _blur_pass(_blur_pass(own, w, "x", list(chans)), w, "y", list(chans))
 
 
-def ssim(a: DataFrame, b: DataFrame, chans: tuple[str, ...] = ("r", "g", "b"), win: int = SSIM_WIN) -> DataFrame:
+def ssim(a: DataFrame, b: DataFrame, chans: tuple[str, ...] = ("r", "g", "b"), win: int = SSIM_WIN,
+         pixels: int | None = None) -> DataFrame:
     """I8 (W3 + A8): mean SSIM per image over channels and interior 7x7 windows.
 
     Channels are columns, and everything reads one partitioning by image: both rasters are
     brought together by an aggregation, the window sums are a row pass and a column pass.
-    Only windows fully inside the image, with all their pixels in both rasters, are kept.
+    Only windows fully inside the image, with all their pixels in both rasters, are kept. ``pixels``
+    of one raster, if known, decide the number of parts.
     """
     half = win // 2
 
@@ -332,7 +347,7 @@ def ssim(a: DataFrame, b: DataFrame, chans: tuple[str, ...] = ("r", "g", "b"), w
         return px.select("image_id", "y", "x", *[
             (F.col(c).cast("double") if s == side else F.lit(None).cast("double")).alias(f"{s}_{c}")
             for s in ("p", "q") for c in chans])
-    both = tagged(a, "p").unionByName(tagged(b, "q")).repartition("image_id")
+    both = spread(tagged(a, "p").unionByName(tagged(b, "q")), 2 * pixels if pixels else None, "image_id")
     pairs = both.groupBy("image_id", "y", "x").agg(*[F.max(f"{s}_{c}").alias(f"{s}_{c}") for s in ("p", "q") for c in chans])
     pairs = pairs.where(reduce(lambda m, n: m & n, [F.col(f"{s}_{c}").isNotNull() for s in ("p", "q") for c in chans]))
     moments = []

@@ -56,10 +56,11 @@ def _rasters(base: DataFrame, grid: DataFrame, posterize: int | None) -> DataFra
     px = cut_lineage(small.join(R.small_side(shapes), "size_key").drop("size_key"))
     sigmas = [b for (b,) in shapes.select("blur").distinct().collect() if b and b > 0]
     if sigmas:
+        pixels = px.count()
         parts = [px.where(F.col("blur") == 0)]
         for sigma in sigmas:
             own = px.where(F.col("blur") == sigma)
-            soft = P.blur(own, sigma)
+            soft = P.blur(own, sigma, pixels=pixels)
             parts.append(own.drop("r", "g", "b").join(soft, ["image_id", "y", "x"]).select(
                 "image_id", "y", "x", *[F.floor(F.col(c) + 0.5).cast("int").alias(c) for c in "rgb"], "a",
                 "blur", "color_precision", "filter_speckle"))
@@ -98,7 +99,9 @@ def drawn(runs: DataFrame, reference: DataFrame, grid: DataFrame, posterize: int
                                           F.col("x").alias("tx"), "tone")
     t = F.col("tone")
     bands = [t, t, t] if posterize else [F.shiftright(t, 16), F.shiftright(t, 8) % 256, t % 256]
-    out = px.join(cells, ["raster", "ty", "tx"], "left")
+    pixels = sizes.agg(F.sum(F.col("w").cast("long") * F.col("h"))).first()[0]
+    at = ["raster", "ty", "tx"]
+    out = P.spread(px, pixels, *at).join(P.spread(cells, pixels, *at), at, "left")
     return out.select("raster", "num", "y", "x", "r", "g", "b", "a",
                       *[F.coalesce(v, F.lit(0)).cast("int").alias(f"d{c}") for v, c in zip(bands, "rgb")],
                       F.when(t.isNull(), 0).otherwise(255).alias("da"))
@@ -108,8 +111,9 @@ def _score(runs: DataFrame, reference: DataFrame, grid: DataFrame, posterize: in
     """``(raster, score)``: SSIM over r, g, b and alpha at the size of the source image. Rounded, so
     that rasters drawn alike tie exactly; ties then go to the lower preset."""
     both = cut_lineage(drawn(runs, reference, grid, posterize)).withColumnRenamed("raster", "image_id")
+    pixels = both.count()
     drawn_px = both.select("image_id", "y", "x", *[F.col(f"d{c}").alias(c) for c in "rgba"])
-    out = P.ssim(both, drawn_px, chans=("r", "g", "b", "a"))
+    out = P.ssim(both, drawn_px, chans=("r", "g", "b", "a"), pixels=pixels)
     return out.select(F.col("image_id").alias("raster"), F.round("ssim", 9).alias("score"))
 
 
