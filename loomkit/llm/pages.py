@@ -5,8 +5,9 @@ the same blocks stand as one), each is paired with its neighbours, and the block
 subsequence; blocks on the common subsequence belong to the site's template and are deleted.
 
 Two things the alignment alone gets wrong are decided by the markup: a copied article
-shares its own lines with its copy, so blocks inside ``<article>``/``<main>`` are not
-deleted, nor is a neighbour used that holds nearly the whole page; and what stands in
+shares its own lines with its copy, and common sentences stand in many articles, so blocks inside
+``<article>``/``<main>`` are not deleted (blocks beside them stay where no neighbour has them), nor
+is a neighbour used that holds nearly the whole page; and what stands in
 navigation, footer, form, comment, advert and similar elements is never main text, also
 where the neighbour has other words there.
 
@@ -155,11 +156,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
 
 
 def candidates(found: list[tuple[int, str]]) -> tuple[list[str], list[int]]:
-    """Blocks of the article element if the page has one (without places: none of them goes), else
-    the others that may be main text, with their places among all blocks."""
-    if any(kind == MAIN for kind, _ in found):
-        return [t for kind, t in found if kind == MAIN], []
-    own = [(t, i) for i, (kind, t) in enumerate(found) if kind == PLAIN]
+    """Blocks that may be main text, with their places among all blocks."""
+    own = [(t, i) for i, (kind, t) in enumerate(found) if kind != FURNITURE]
     return [t for t, _ in own], [i for _, i in own]
 
 
@@ -218,14 +216,18 @@ def _outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_blocks(lines: list[int], sizes: list[int], kinds: list[int], others: list[list[int]]) -> list[int]:
-    """Indexes of the blocks that the template shared with a neighbour accounts for."""
+    """Indexes of the blocks that the template shared with a neighbour accounts for. Beside an
+    article, a block stays only where a neighbour shows that it is the page's own."""
     drop: set[int] = set()
-    plain = [i for i, k in enumerate(kinds) if k == PLAIN]
-    whole = sum(sizes[i] for i in plain)
+    body = [i for i, k in enumerate(kinds) if k != FURNITURE]
+    whole, compared = sum(sizes[i] for i in body), False
     for other in others:
         common = common_subsequence(lines, other)
-        if whole and sum(sizes[i] for i in plain if i in common) < COPY_SHARE * whole:
+        if whole and sum(sizes[i] for i in body if i in common) < COPY_SHARE * whole:
+            compared = True
             drop |= {i for i in common if kinds[i] == PLAIN}
+    if not compared and MAIN in kinds:
+        drop = {i for i in body if kinds[i] == PLAIN}
     return sorted(drop)
 
 
@@ -282,15 +284,15 @@ def main_text(pages: DataFrame) -> DataFrame:
     paired = neighbour(neighbour(ranked, "before", -1), "after", 1)
     dropped = paired.select("outline", "lines", "sizes", "kinds", "before", "after").mapInArrow(
         _differences, "outline long, dropped array<int>")
-    # an article's blocks all stay, so only pages without one have cuts
-    open_pages = outline.where(~F.array_contains("kinds", MAIN)).select("page_key", "outline").dropDuplicates(["page_key"])
+    # an article's blocks all stay, so only pages with others have cuts
+    open_pages = outline.where(F.array_contains("kinds", PLAIN)).select("page_key", "outline").dropDuplicates(["page_key"])
     cuts = cut_lineage(open_pages.join(dropped.where(F.size("dropped") > 0), "outline").select("page_key", "dropped"))
     n, cells = cuts.agg(F.count("*"), F.coalesce(F.sum(F.size("dropped")), F.lit(0))).first()
     if 48 * n + 4 * cells <= CUTS_BYTES:
         cuts = F.broadcast(cuts)  # beyond it the pages' texts are shuffled to their cuts
     read = rows.select("page_id", "url", "page_key", "html").mapInArrow(
         _candidates, "page_id long, url string, page_key long, texts array<string>, places array<int>")
-    left = F.when(F.col("dropped").isNull() | (F.size("places") == 0), F.col("texts")).otherwise(
+    left = F.when(F.col("dropped").isNull(), F.col("texts")).otherwise(
         F.filter("texts", lambda _, i: ~F.array_contains("dropped", F.get("places", i))))
     out = read.join(cuts, "page_key", "left").select("page_id", "url", F.array_join(left, "\n").alias("text"))
     return out.select("*", F.length("text").cast("long").alias("n_chars"))
