@@ -113,3 +113,19 @@ def test_large_rasters_go_to_many_parts(spark):
     px = spark.range(10).select(F.col("id").alias("image_id"))
     many = P.PART_PIXELS * (spark.sparkContext.defaultParallelism + 3)
     assert P.spread(px, many, "image_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism + 3
+
+
+def test_alignment_decides_what_stands_beside_an_article(spark):
+    from loomkit.llm import pages
+
+    def page(own, said):
+        return (f"<body><div>Site motto of the house</div><div>{own}</div><article><p>{said}</p><p>A sentence of many "
+                "articles.</p></article><div>All rights are with the house</div><nav>home</nav></body>")
+    rows = [(1, "http://h/a", page("Own words of the first page", "about rivers and hills")),
+            (2, "http://h/b", page("Quite other words on the second", "about towns and roads")),
+            (3, "http://alone/", page("Nobody to compare with", "about seas"))]
+    got = {r["page_id"]: r["text"] for r in pages.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "Own words of the first page\nabout rivers and hills\nA sentence of many articles.",
+                   2: "Quite other words on the second\nabout towns and roads\nA sentence of many articles.",
+                   3: "about seas\nA sentence of many articles."}
