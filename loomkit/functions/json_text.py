@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from loomkit.functions.markup import let
 
 # JSON tokens as Python's reader takes them: strict strings, NaN and infinities allowed.
-STRING = r'"[^"\\\x00-\x1f]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f]*+)*+"'
+# Runs are atomic groups around a greedy class: the same matches as possessive ones, in a tighter loop.
+STRING = r'"(?>[^"\\\x00-\x1f]*)(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})(?>[^"\\\x00-\x1f]*))*+"'
 SCALAR = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?[0-9]++)?+|true|false|null|NaN|-?Infinity"
 SPACE = " \t\n\r"
 _S, _V, _C = "\x01", "\x02", "\x03"      # a string, a scalar, a container
@@ -36,36 +37,40 @@ def _count(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
-def skeleton(line: Column) -> Column:
-    """The line with strings and scalars as single marks and no white space."""
-    return _skeleton(F.regexp_replace(line, STRING, _S))
-
-
 def _skeleton(bare: Column) -> Column:
+    """The line with strings and scalars as single marks and no white space."""
     return F.translate(F.regexp_replace(bare, SCALAR, _V), SPACE, "")
 
 
-def is_valid(line: Column) -> Column:
-    """Whether Python's ``json.loads`` takes the line.
+def is_valid(line: Column, between: Column | None = None) -> Column:
+    """Whether Python's ``json.loads`` takes the line; ``between`` are its ``pieces``, if they are at hand.
 
     Innermost containers of the skeleton become one mark, level by level, until a single
-    mark is left. Raw control characters are no JSON, so they cannot pass for marks.
+    mark is left. A string holds no raw control character, so the pieces alone tell whether the
+    line has one; such a line is no JSON, and none can pass for a mark.
     """
-    return let(F.regexp_replace(line, STRING, _S), lambda bare: let(_skeleton(bare), lambda sk: _balanced(line, bare, sk)))
+    if between is None:
+        return let(pieces(line), lambda p: is_valid(line, p))
+    return let(F.array_join(between, _S), lambda bare: let(_skeleton(bare), lambda sk: _balanced(between, bare, sk)))
 
 
-def _balanced(line: Column, bare: Column, sk: Column) -> Column:
+def _balanced(between: Column, bare: Column, sk: Column) -> Column:
     levels = F.sequence(F.lit(0), _count(sk, "{["))
     left = F.aggregate(levels, sk, lambda s, i: F.when(F.length(s) == 1, s)
                        .otherwise(F.regexp_replace(s, _CLOSED, _C)))
     long_int = (F.length(bare) > _MAX_DIGITS) & bare.rlike(
         rf"(?<![0-9.eE+-])-?[0-9]{{{_MAX_DIGITS + 1},}}(?![0-9.eE])")
-    return ~line.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]") & left.rlike(rf"^{_VALUE}$") & ~long_int
+    control = F.array_join(between, "").rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]")
+    return ~control & left.rlike(rf"^{_VALUE}$") & ~long_int
 
 
 def kind(line: Column) -> Column:
     """Type of the top-level value of a valid line."""
-    first = F.substring(F.ltrim(F.translate(line, "\t\n\r", "   ")), 1, 1)
+    first = F.substring(F.ltrim(line, F.lit(SPACE)), 1, 1)
+    return let(first, _kind)
+
+
+def _kind(first: Column) -> Column:
     return (F.when(first == "{", "object").when(first == "[", "array")
             .when(first == '"', "string").when(first == "n", "null")
             .when(first.isin("t", "f"), "boolean").otherwise("number"))
@@ -123,9 +128,12 @@ def _after_colon(between: Column, n: Column) -> Column:
 def member_type(between: Column, n: Column) -> Column:
     """'missing', 'null', 'string', 'boolean', 'number', 'array' or 'object' of the member whose
     key is string ``n``."""
-    rest = _after_colon(between, n)
+    return F.when(n == 0, "missing").otherwise(let(_after_colon(between, n), _type_of))
+
+
+def _type_of(rest: Column) -> Column:
     first = F.substring(rest, 1, 1)
-    return (F.when(n == 0, "missing").when(rest == "", "string").when(first == "{", "object")
+    return (F.when(rest == "", "string").when(first == "{", "object")
             .when(first == "[", "array").when(first == "n", "null").when(first.isin("t", "f"), "boolean")
             .otherwise("number"))
 

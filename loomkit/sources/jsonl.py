@@ -41,10 +41,11 @@ def parse(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Adds ``blank``, ``valid``, ``kind``, the line's strings and pieces, its members and their
     types, once per line. All but ``blank`` and ``valid`` are NULL where the line is no JSON."""
     line = F.col(line_col)
-    base = compute_once(lines, lines.columns, blank=is_blank(line), valid=J.is_valid(line))
-    split = compute_once(base, base.columns, kind=F.when(F.col("valid"), J.kind(line)),
+    cut = compute_once(lines, lines.columns, blank=is_blank(line), cut=J.pieces(line))
+    base = compute_once(cut, cut.columns, valid=J.is_valid(line, F.col("cut")))
+    split = compute_once(base, [*lines.columns, "blank", "valid"], kind=F.when(F.col("valid"), J.kind(line)),
                          texts=F.when(F.col("valid"), J.strings(line)),
-                         between=F.when(F.col("valid"), J.pieces(line)))
+                         between=F.when(F.col("valid"), F.col("cut")))
     found = compute_once(split, split.columns,
                          at=J.members(F.col("texts"), F.col("between"), F.col("kind"), KEYS))
     obj = F.col("kind") == "object"
