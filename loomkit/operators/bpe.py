@@ -50,6 +50,16 @@ def merge_list(symbols: list[str], a: str, b: str) -> list[str]:
     return out
 
 
+def _find(symbols: list[str], a: str, b: str) -> int:
+    """Where (a, b) first stands, or -1."""
+    i, last = -1, len(symbols) - 1
+    while a in symbols[i + 1:last]:
+        i = symbols.index(a, i + 1)
+        if symbols[i + 1] == b:
+            return i
+    return -1
+
+
 class PairIndex:
     """Words as symbol lists, with pair counts and the words of each pair kept up to date."""
 
@@ -71,23 +81,43 @@ class PairIndex:
 
     def merge(self, a: str, b: str) -> dict[Pair, int]:
         """Apply one merge; the signed differences of the counts, zeros left out."""
-        change: Counter[Pair] = Counter()
-        for w in self.words.pop((a, b), ()):
-            old, n = self.symbols[w], self.counts[w]
-            new = merge_list(old, a, b)
-            if len(new) == len(old):
+        change: dict[Pair, int] = defaultdict(int)
+        words, symbols, ab = self.words, self.symbols, a + b
+        for w in words.pop((a, b), ()):
+            old, n = symbols[w], self.counts[w]
+            i, end = _find(old, a, b), len(old)
+            if i < 0:
                 continue
-            self.symbols[w] = new
-            before, after = list(zip(old, old[1:])), list(zip(new, new[1:]))
-            for pair in before:
-                change[pair] -= n
-            for pair in after:
-                change[pair] += n
-            held = set(after)
-            for pair in set(before) - held:
-                self.words[pair].discard(w)
-            for pair in held:
-                self.words[pair].add(w)
+            if a in old[i + 2:]:
+                new = symbols[w] = merge_list(old, a, b)
+                before, after = list(zip(old, old[1:])), list(zip(new, new[1:]))
+                for pair in before:
+                    change[pair] -= n
+                for pair in after:
+                    change[pair] += n
+                held = set(after)
+                for pair in set(before) - held:
+                    words[pair].discard(w)
+                for pair in held:
+                    words[pair].add(w)
+                continue
+            # the pair stands here alone, so only its neighbours change
+            new = symbols[w] = [*old[:i], ab, *old[i + 2:]]
+            change[a, b] -= n
+            if i:
+                left = old[i - 1]
+                change[left, a] -= n
+                change[left, ab] += n
+                words[left, ab].add(w)
+                if _find(new, left, a) < 0:
+                    words[left, a].discard(w)
+            if i + 2 < end:
+                right = old[i + 2]
+                change[b, right] -= n
+                change[ab, right] += n
+                words[ab, right].add(w)
+                if _find(new, b, right) < 0:
+                    words[b, right].discard(w)
         change = {pair: d for pair, d in change.items() if d}
         for pair, d in change.items():
             self.total[pair] += d
@@ -269,8 +299,8 @@ def train(words: DataFrame, n_merges: int, known: set[str], room: int | None = N
 
     ``words(word, n, symbols)``. Ends after ``n_merges``, when no pair is left, or when the
     merges have given ``room`` texts that are not in ``known`` (a merge whose text exists
-    already takes no room). The words are rewritten, and the sample is drawn anew, once ``steps``
-    merges have been accepted; until then each job applies those to its words first.
+    already takes no room). The words are rewritten, and a sample that lacks words is drawn anew, once
+    ``steps`` merges have been accepted; until then each job applies those to its words first.
     """
     def applied(done: list[Pair]) -> DataFrame:
         return cut_lineage(words.select("word", "n", "symbols").mapInArrow(
@@ -287,7 +317,8 @@ def train(words: DataFrame, n_merges: int, known: set[str], room: int | None = N
         if not exact:  # the first proposal knows the exact counts of the most frequent pairs
             exact = _top_counts(words, done, steps)
         most = min(ahead, n_merges - len(merges), room if room is not None else ahead)
-        wanted = propose(held.copy(), exact, most, learned)
+        trial = held.copy()
+        wanted = propose(trial, exact, most, learned)
         if not wanted:
             break
         good, exact, learned = _verify(words, done, wanted)
@@ -302,9 +333,14 @@ def train(words: DataFrame, n_merges: int, known: set[str], room: int | None = N
         if len(taken) < len(good):
             exact, learned = {}, Learned()
         merges += taken
-        for a, b, _ in taken:
-            held.merge(a, b)
-            done.append((a, b))
+        done += [(a, b) for a, b, _ in taken]
+        full = len(done) >= steps
+        whole = len(held.symbols) < sample  # every word with a pair is in it, so it need not be drawn anew
+        if len(taken) == len(wanted):
+            held = trial
+        elif whole or not full:
+            for a, b, _ in taken:
+                held.merge(a, b)
         exact = {pair: c for pair, c in exact.items() if c > 0}
         if not taken or not exact:
             exact = _top_counts(words, done, steps)
@@ -312,8 +348,8 @@ def train(words: DataFrame, n_merges: int, known: set[str], room: int | None = N
                 break
         # a log of merges that are not accepted is worth less than it costs
         ahead = min(steps, max(steps // 5, 4 * len(taken)))
-        if len(done) >= steps:
-            words, done, held = applied(done), [], None
+        if full:
+            words, done, held = applied(done), [], held if whole else None
     return merges, applied(done) if done else words
 
 
