@@ -1,8 +1,9 @@
 """Byte-pair training with kept pair counts (T2) and encoding inside the row.
 
-Training keeps, next to the distinct words, an index from each adjacent pair to the words
-that hold it. A merge rewrites only those words and changes the counts by the signed
-differences of their pairs, so no round counts all pairs again.
+Training keeps, next to the distinct words, an index from each adjacent pair to the places
+where it stands. A merge rewrites only those places and changes the counts by the signed
+differences of the pairs beside them, so no round counts all pairs again. The words of a task
+(and of the sample) lie in flat arrays, so a merge costs as much as it changes.
 
 One Spark job carries many merges. A bounded sample of the most frequent words proposes
 the next merges; every task applies them to its own words and logs, per step, how its pair
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 from loomkit.session import cut_lineage
 
 STEPS = 2000          # merges proposed per job
-SAMPLE = 300_000      # most frequent words that propose
+SAMPLE = 2_000_000    # most frequent words that propose
+SAMPLE_SYMBOLS = 10_000_000  # symbols that they may hold together (about 45 bytes each while proposing)
+TASK_SYMBOLS = 4_000_000     # symbols that a worker indexes at a time
 MAX_LOGGED = 2_000_000  # rows of counts and changes that may reach the driver
 CACHED_WORDS = 200_000  # encoded words a worker keeps, emptied when full
 AT_ONCE = 1_000_000     # characters that a worker encodes at a time
@@ -61,7 +64,8 @@ def _find(symbols: list[str], a: str, b: str) -> int:
 
 
 class PairIndex:
-    """Words as symbol lists, with pair counts and the words of each pair kept up to date."""
+    """Words as symbol lists, with pair counts and the words of each pair kept up to date: the plain form
+    of ``SymbolIndex``, which the tests hold it against."""
 
     def __init__(self, symbols: Iterable[list[str]], counts: Iterable[int]):
         self.symbols, self.counts = list(symbols), list(counts)
@@ -126,6 +130,141 @@ class PairIndex:
         return change
 
 
+class SymbolIndex:
+    """``PairIndex`` on flat arrays: the symbols of all words side by side, each with the places beside it.
+
+    A pair at a place is never there twice, as symbols only grow. So the places of a pair are those found
+    at the start or when one of its symbols was made, less those that were rewritten since.
+    """
+
+    def __init__(self, symbols: pa.Array, counts: np.ndarray):
+        coded = symbols.flatten().dictionary_encode()
+        self.names: list[str] = coded.dictionary.to_pylist()
+        self.ids = {name: i for i, name in enumerate(self.names)}
+        self.sym = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+        size = pc.fill_null(pc.list_value_length(symbols), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.ends = np.cumsum(size)
+        at = np.arange(len(self.sym), dtype=np.int32)
+        self.right, self.left = at + 1, at - 1
+        self.right[self.ends[size > 0] - 1] = -1
+        self.left[(self.ends - size)[size > 0]] = -1
+        self.weight = np.repeat(np.asarray(counts, dtype=np.int64), size)
+        # the places found at the start, and those found when a symbol was made
+        self.first = self._filed(np.flatnonzero(self.right >= 0).astype(np.int32))
+        self.made: dict[int, list[tuple]] = {}
+
+    def copy(self) -> SymbolIndex:
+        out = object.__new__(SymbolIndex)
+        out.names, out.ids, out.ends, out.weight, out.first = list(self.names), dict(self.ids), self.ends, self.weight, self.first
+        out.sym, out.right, out.left = self.sym.copy(), self.right.copy(), self.left.copy()
+        out.made = {s: list(filed) for s, filed in self.made.items()}
+        return out
+
+    def _keys(self, at: np.ndarray) -> np.ndarray:
+        """The pair at each place, as one number."""
+        return self.sym[at].astype(np.int64) << 32 | self.sym[self.right[at]]
+
+    def _filed(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places by pair: the pairs, where each begins, the places."""
+        keys = self._keys(at)
+        order = np.argsort(keys, kind="stable")
+        keys, begin = _runs(keys[order])
+        return keys, np.append(begin, len(at)), at[order]
+
+    def places(self, a: int, b: int) -> np.ndarray:
+        """Where (a, b) stands, in order."""
+        key, found = a << 32 | b, []
+        for keys, begin, at in (self.first, *self.made.get(a, ()), *(self.made.get(b, ()) if a != b else ())):
+            i = int(np.searchsorted(keys, key))
+            if i < len(keys) and keys[i] == key:
+                found.append(at[begin[i]:begin[i + 1]])
+        if not found:
+            return np.empty(0, dtype=np.int32)
+        at = np.concatenate(found)
+        at = at[(self.sym[at] == a) & (self.right[at] >= 0)]
+        at = at[self.sym[self.right[at]] == b]
+        at.sort()
+        return at
+
+    def merge_ids(self, a: str, b: str) -> tuple[int, np.ndarray, np.ndarray]:
+        """Apply one merge: how often the pair stood there, the pairs whose count changed, and by how much."""
+        none = np.empty(0, dtype=np.int64)
+        if a not in self.ids or b not in self.ids:
+            return 0, none, none
+        at = self.places(self.ids[a], self.ids[b])
+        if not len(at):
+            return 0, none, none
+        held = int(self.weight[at].sum())
+        sym, left, right = self.sym, self.left, self.right
+        if a == b:  # of a run of one symbol every second pair, from its left end
+            n = np.arange(len(at))
+            begins = np.concatenate([[True], right[at[:-1]] != at[1:]])
+            at = at[(n - np.maximum.accumulate(np.where(begins, n, 0))) % 2 == 0]
+        second, before = right[at], left[at]
+        alone = before >= 0
+        alone[1:] &= before[1:] != second[:-1]      # two merged pairs side by side have one place between
+        beside = before[alone]
+        old = np.concatenate([at, second[right[second] >= 0], beside])
+        old_keys = self._keys(old)
+        ab = self.ids.setdefault(a + b, len(self.names))
+        if ab == len(self.names):
+            self.names.append(a + b)
+        after = right[second]
+        sym[at], sym[second], right[at] = ab, -1, after
+        left[after[after >= 0]] = at[after >= 0]
+        new = np.concatenate([at[after >= 0], beside])
+        filed = self._filed(new)
+        self.made.setdefault(ab, []).append(filed)
+        keys, change = _summed(np.concatenate([old_keys, self._keys(new)]),
+                               np.concatenate([-self.weight[old], self.weight[new]]))
+        return held, keys[change != 0], change[change != 0]
+
+    def pair(self, key: int) -> Pair:
+        return self.names[key >> 32], self.names[key & 0xffffffff]
+
+    def merge(self, a: str, b: str) -> dict[Pair, int]:
+        """``merge_ids`` as ``PairIndex`` gives it."""
+        _, keys, change = self.merge_ids(a, b)
+        return {self.pair(k): d for k, d in zip(keys.tolist(), change.tolist())}
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every pair and its count."""
+        at = np.flatnonzero((self.sym >= 0) & (self.right >= 0))
+        return _summed(self._keys(at), self.weight[at])
+
+    def most_frequent(self, n: int) -> dict[Pair, int]:
+        """The ``n`` most frequent pairs, and those as frequent as the last."""
+        keys, count = self.counted()
+        if len(count) > n:
+            keep = count >= np.partition(count, len(count) - n)[len(count) - n]
+            keys, count = keys[keep], count[keep]
+        return {self.pair(k): c for k, c in zip(keys.tolist(), count.tolist())}
+
+    def symbols(self) -> pa.Array:
+        """The words as lists of symbols."""
+        live = self.sym >= 0
+        ends = np.concatenate([[0], np.cumsum(live)])[np.concatenate([[0], self.ends])]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.texts(self.sym[live]))
+
+    def texts(self, ids: np.ndarray) -> pa.Array:
+        return pa.array(self.names, pa.string()).take(pa.array(ids))
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of an ordered array and where each begins."""
+    if not len(ordered):
+        return ordered, np.empty(0, dtype=np.int64)
+    begin = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
+    return ordered[begin], begin
+
+
+def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sum of each one's values."""
+    order = np.argsort(keys, kind="stable")
+    keys, begin = _runs(keys[order])
+    return keys, np.add.reduceat(values[order], begin) if len(keys) else values[:0]
+
+
 class _Ranked:
     """The most frequent pair of changing counts, ties by (a, b)."""
 
@@ -137,15 +276,18 @@ class _Ranked:
     def top(self) -> tuple[str, str, int] | None:
         while self.heap:
             c, a, b = self.heap[0]
-            if self.counts.get((a, b), 0) == -c:
-                return a, b, -c
+            now = self.counts.get((a, b), 0)
+            if now == -c:
+                return a, b, now
             heapq.heappop(self.heap)
+            if 0 < now < -c:  # it fell since; a rise is entered when it happens
+                heapq.heappush(self.heap, (-now, a, b))
         return None
 
     def change(self, by: Iterable[tuple[Pair, int]]) -> None:
         for pair, d in by:
             c = self.counts[pair] = self.counts.get(pair, 0) + d
-            if c > 0:
+            if d > 0 and c > 0:
                 heapq.heappush(self.heap, (-c, *pair))
 
 
@@ -162,10 +304,10 @@ class Learned:
         return {p: d for p, d in guess.items() if p not in self.sure} | dict(self.changes[pair])
 
 
-def propose(index: PairIndex, exact: dict[Pair, int], steps: int, learned: Learned | None = None) -> list[Pair]:
+def propose(index: SymbolIndex, exact: dict[Pair, int], steps: int, learned: Learned | None = None) -> list[Pair]:
     """Likely next merges: exact counts where they are known, carried on with the last log's changes,
     and with the sample's for merges that it does not hold."""
-    ranked, learned = _Ranked({**index.total, **exact}), learned or Learned()
+    ranked, learned = _Ranked({**index.most_frequent(max(100_000, 8 * steps)), **exact}), learned or Learned()
     out = []
     for _ in range(steps):
         best = ranked.top()
@@ -174,48 +316,62 @@ def propose(index: PairIndex, exact: dict[Pair, int], steps: int, learned: Learn
         a, b, c = best
         out.append((a, b))
         # the sample's changes in the measure in which it holds the pair
-        share = index.total.get((a, b), 0) / c
-        guess = {pair: round(d / share) for pair, d in index.merge(a, b).items()}
+        held, keys, change = index.merge_ids(a, b)
+        if held and held != c:
+            change = np.rint(change * (c / held)).astype(np.int64)
+        guess = {index.pair(k): d for k, d in zip(keys.tolist(), change.tolist())}
         changes = learned.correct((a, b), guess)
         ranked.change([(pair, d) for pair, d in changes.items() if pair != (a, b)])
         ranked.counts[a, b] = 0
     return out
 
 
-def _indexes(batches: Iterator[pa.RecordBatch], done: list[Pair]) -> Iterator[tuple[pa.RecordBatch, PairIndex]]:
-    """Each batch with the index of its words after the merges ``done``."""
-    for batch in batches:
-        index = PairIndex(batch.column("symbols").to_pylist(), batch.column("n").to_pylist())
+def _indexes(batches: Iterator[pa.RecordBatch], done: list[Pair]) -> Iterator[tuple[pa.Table, SymbolIndex]]:
+    """Batches up to ``TASK_SYMBOLS`` symbols with the index of their words after the merges ``done``."""
+    def indexed(held: list[pa.RecordBatch]) -> tuple[pa.Table, SymbolIndex]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        index = SymbolIndex(_one(table.column("symbols")), _one(table.column("n")).to_numpy(zero_copy_only=False))
         for a, b in done:
-            index.merge(a, b)
-        yield batch, index
+            index.merge_ids(a, b)
+        return table, index
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch.column("symbols").flatten())
+        if size >= TASK_SYMBOLS:
+            yield indexed(held)
+            held, size = [], 0
+    if held:
+        yield indexed(held)
+
+
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks) if column.num_chunks else \
+        pa.array([], column.type)
 
 
 def _apply(merges: list[Pair]):
     """``(word, n, symbols)`` after the merges."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, index in _indexes(batches, merges):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("n"), pa.array(index.symbols, pa.list_(pa.string()))],
-                ["word", "n", "symbols"])
+        for table, index in _indexes(batches, merges):
+            yield pa.RecordBatch.from_arrays([_one(table.column("word")), _one(table.column("n")), index.symbols()],
+                                             ["word", "n", "symbols"])
     return run
 
 
 def _log(done: list[Pair], merges: list[Pair]):
     """``(step, a, b, d)``: a task's pair counts after ``done`` (step -1) and their change by each merge."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[tuple[int, str, str]] = Counter()
         for _, index in _indexes(batches, done):
-            for (a, b), c in index.total.items():
-                total[-1, a, b] += c
+            parts = [(-1, *index.counted())]
             for step, (a, b) in enumerate(merges):
-                for (x, y), d in index.merge(a, b).items():
-                    total[step, x, y] += d
-        rows = [(*k, d) for k, d in total.items() if d]
-        cols = list(zip(*rows)) if rows else [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()),
-             pa.array(cols[3], pa.int64())], ["step", "a", "b", "d"])
+                parts.append((step, *index.merge_ids(a, b)[1:]))
+            keys = np.concatenate([k for _, k, _ in parts])
+            steps = np.repeat(np.array([i for i, _, _ in parts], dtype=np.int32), [len(k) for _, k, _ in parts])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(steps), index.texts(keys >> 32), index.texts(keys & 0xffffffff),
+                 pa.array(np.concatenate([d for _, _, d in parts]), pa.int64())], ["step", "a", "b", "d"])
     return run
 
 
@@ -286,11 +442,15 @@ def _tuples(df: DataFrame) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in batch.columns))
 
 
-def _sampled(words: DataFrame, sample: int) -> PairIndex:
-    """The most frequent words that still have a pair."""
-    top = words.where(F.size("symbols") > 1).orderBy(F.desc("n"), "word").limit(sample).select("symbols", "n")
-    rows = list(_tuples(top))
-    return PairIndex([list(s) for s, _ in rows], [n for _, n in rows])
+def _sampled(words: DataFrame, sample: int) -> tuple[SymbolIndex, bool]:
+    """The most frequent words that still have a pair, no more than ``sample`` and ``SAMPLE_SYMBOLS`` allow,
+    and whether they are all of them."""
+    paired = words.where(F.size("symbols") > 1)
+    n, size = paired.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("symbols")), F.lit(0))).first()
+    room = min(sample, n, n * SAMPLE_SYMBOLS // max(size, 1))
+    top = paired if room == n else paired.orderBy(F.desc("n"), "word").limit(room)
+    held = top.select("symbols", "n").toArrow().combine_chunks()
+    return SymbolIndex(_one(held.column("symbols")), _one(held.column("n")).to_numpy(zero_copy_only=False)), room == n
 
 
 def train(words: DataFrame, n_merges: int, known: set[str], room: int | None = None, steps: int = STEPS,
@@ -311,10 +471,11 @@ def train(words: DataFrame, n_merges: int, known: set[str], room: int | None = N
     merges: list[tuple[str, str, int]] = []
     seen = set(known)
     exact: dict[Pair, int] = {}
-    learned, done, held, ahead = Learned(), [], None, steps
+    learned, done, held, whole, ahead = Learned(), [], None, False, steps
     while len(merges) < n_merges and (room is None or room > 0):
-        held = held or _sampled(words, sample)
-        if not exact:  # the first proposal knows the exact counts of the most frequent pairs
+        if held is None:
+            held, whole = _sampled(words, sample)
+        if not exact and not whole:  # the first proposal knows the exact counts of the most frequent pairs
             exact = _top_counts(words, done, steps)
         most = min(ahead, n_merges - len(merges), room if room is not None else ahead)
         trial = held.copy()
@@ -335,14 +496,13 @@ def train(words: DataFrame, n_merges: int, known: set[str], room: int | None = N
         merges += taken
         done += [(a, b) for a, b, _ in taken]
         full = len(done) >= steps
-        whole = len(held.symbols) < sample  # every word with a pair is in it, so it need not be drawn anew
         if len(taken) == len(wanted):
             held = trial
         elif whole or not full:
             for a, b, _ in taken:
-                held.merge(a, b)
+                held.merge_ids(a, b)
         exact = {pair: c for pair, c in exact.items() if c > 0}
-        if not taken or not exact:
+        if not whole and (not taken or not exact):
             exact = _top_counts(words, done, steps)
             if not exact:
                 break
