@@ -20,6 +20,8 @@ from loomkit.session import cut_lineage
 UNI_SPACE = r"\t\n\x{0b}\x{0c}\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WORD_CLASS = r"\p{L}\p{M}\p{N}_"
 PRETOKEN = f"[{WORD_CLASS}]+|[^{WORD_CLASS}{UNI_SPACE}]+"
+SPACES = " \t\n\x0b\f\r"  # what stretches of text are counted between; Java's \s, far quicker than a class of all white space
+STRETCH = r"\S++"
 CHAR = r"(?s)."
 ANY_CHAR = r"\x{0}-\x{10ffff}"
 
@@ -84,9 +86,21 @@ def pretokenize_with_specials(text: Column, specials: list[str]) -> Column:
 
 
 def word_histogram(df: DataFrame, text_col: str, specials: list[str] | None = None) -> DataFrame:
-    """A4: ``(word, n)``; partial aggregation before the shuffle absorbs hot words."""
-    toks = pretokenize_with_specials(F.col(text_col), specials) if specials else pretokenize(F.col(text_col))
-    return df.select(F.explode(toks).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """A4: ``(word, n)``; partial aggregation before the shuffle absorbs hot words.
+
+    Without white space in a special token no word reaches over it, so texts are counted by their stretches
+    between (ASCII) white space first, and each distinct stretch is cut at special tokens once."""
+    if not specials:
+        words = df.select(F.explode(pretokenize(F.col(text_col))).alias("word"))
+        return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    if any(c in SPACES for s in specials for c in s):
+        toks = pretokenize_with_specials(F.col(text_col), specials)
+        return df.select(F.explode(toks).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    stretches = df.select(F.explode(F.regexp_extract_all(text_col, F.lit(STRETCH), 0)).alias("stretch"))
+    counted = stretches.groupBy("stretch").agg(F.count(F.lit(1)).alias("n"))
+    # explode_outer: of a plain explode a filter would be inferred and pushed below the count of the stretches
+    words = counted.select(F.explode_outer(pretokenize_with_specials(F.col("stretch"), specials)).alias("word"), "n")
+    return words.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def initial_words(hist: DataFrame, specials: list[str] | None = None) -> DataFrame:

@@ -56,3 +56,18 @@ def test_a_sample_is_bounded_in_symbols(spark, monkeypatch):
     index, whole = bpe._sampled(words, 1000)
     assert not whole and 0 < len(index.sym) < 120
     assert bpe.train(words, 10, set())[0] == want
+
+
+def test_special_tokens_are_cut_from_distinct_stretches(spark):
+    """The same words and counts as one text after another; a repeated stretch is cut once."""
+    texts = ['<svg d="M1 2"/> <path d= fill=x</svg>\u3000<|im_start|>user\nM1 M1', "", None, "stroke=\u00a0cat cat\tcat", "é_ñ ... z"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "i int, text string")
+    words = df.select(F.explode(T.pretokenize_with_specials(F.col("text"), T.BPE_SPECIALS)).alias("word"))
+    want = dict(words.groupBy("word").count().collect())
+    hist = T.word_histogram(df, "text", T.BPE_SPECIALS)
+    assert dict(hist.collect()) == want and dict(hist.dtypes) == {"word": "string", "n": "bigint"}
+    plan = hist._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2 and "im_start" not in plan.split("Aggregate")[-1]
+    spaced = T.word_histogram(df, "text", ["cat cat", "<svg"])
+    words = df.select(F.explode(T.pretokenize_with_specials(F.col("text"), ["cat cat", "<svg"])).alias("word"))
+    assert dict(spaced.collect()) == dict(words.groupBy("word").count().collect())
