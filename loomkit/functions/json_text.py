@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomkit.functions.markup import let
+from loomkit.functions.text import let
 
 # JSON tokens as Python's reader takes them: strict strings, NaN and infinities allowed.
 # Runs are atomic groups around a greedy class: the same matches as possessive ones, in a tighter loop.
@@ -85,37 +85,35 @@ def unescape(token: Column) -> Column:
 
 def members(texts: Column, between: Column, top: Column, keys: list[str]) -> Column:
     """Where the last top-level member of each key stands: a struct ``{key: n}``, ``n`` the
-    number of its key string (from 1; 0: no such member), ``{key}_at`` the characters before
-    its value's string, and ``element``: a top-level list holds the first key as an element.
+    number of its key string (from 1; 0: no such member), and ``element``: a top-level list
+    holds the first key as an element.
 
     ``texts`` and ``between`` are ``strings`` and ``pieces`` of a valid line, ``top`` its kind.
     """
     zero = F.lit(0)
-    start = F.struct(zero.alias("depth"), zero.alias("off"), F.lit(False).alias("element"),
-                     *[zero.alias(k) for k in keys], *[zero.alias(f"{k}_at") for k in keys])
+    start = F.struct(zero.alias("depth"), F.lit(False).alias("element"), *[zero.alias(k) for k in keys])
 
-    longest = 6 * max(map(len, keys)) + 2     # of a key's token, all characters escaped
+    # bytes of a key's token, all UTF-16 units escaped; counted without a walk over the token
+    longest = 6 * max(len(k.encode("utf-16-le")) // 2 for k in keys) + 2
 
     def step(s: Column, n: Column) -> Column:
         token, before = F.get(texts, n - 1), F.get(between, n - 1)
         depth = s["depth"] + F.when(F.length(before) > 0, _count(before, "{[") - _count(before, "}]")).otherwise(0)
-        return let(F.struct(depth.alias("depth"), (s["off"] + F.length(before) + F.length(token)).alias("off"),
-                            token.alias("token"), F.get(between, n).alias("after")), lambda z: named(s, n, z))
+        return let(F.struct(depth.alias("depth"), token.alias("token"), F.get(between, n).alias("after")),
+                   lambda z: named(s, n, z))
 
     def named(s: Column, n: Column, z: Column) -> Column:
-        may = (z["depth"] == 1) & (F.length(z["token"]) <= longest)
+        may = (z["depth"] == 1) & (F.octet_length(z["token"]) <= longest)
         key = (top == "object") & F.ltrim(F.translate(z["after"], "\t\n\r", "   ")).startswith(":")
         name = F.when(may & ((top == "array") | key), unescape(z["token"]))
         return let(name, lambda m: state(s, n, z, m))
 
     def state(s: Column, n: Column, z: Column, name: Column) -> Column:
         is_object = top == "object"
-        at = z["off"] + F.length(z["after"])
         return F.struct(
-            z["depth"].alias("depth"), z["off"].alias("off"),
+            z["depth"].alias("depth"),
             F.when((top == "array") & (name == keys[0]), True).otherwise(s["element"]).alias("element"),
-            *[F.when(is_object & (name == k), n).otherwise(s[k]).alias(k) for k in keys],
-            *[F.when(is_object & (name == k), at).otherwise(s[f"{k}_at"]).alias(f"{k}_at") for k in keys])
+            *[F.when(is_object & (name == k), n).otherwise(s[k]).alias(k) for k in keys])
 
     numbers = F.filter(F.sequence(F.lit(0), F.size(texts)), lambda n: n > 0)
     return F.aggregate(numbers, start, step)
@@ -138,10 +136,11 @@ def _type_of(rest: Column) -> Column:
             .otherwise("number"))
 
 
-def member_text(line: Column, texts: Column, between: Column, n: Column, key: str) -> Column:
+def member_text(line: Column, texts: Column, between: Column, n: Column, key: str,
+                member: Column | None = None) -> Column:
     """A string member's text; a scalar member's raw text; a container's JSON (of the first
-    such key). NULL when missing or null."""
-    t = member_type(between, n)
+    such key). NULL when missing or null. ``member`` is its ``member_type``, if at hand."""
+    t = member_type(between, n) if member is None else member
     return (F.when(t.isin("missing", "null"), F.lit(None).cast("string"))
             .when(t == "string", unescape(F.get(texts, n)))
             .when(t.isin("object", "array"), F.get_json_object(line, f"$.{key}"))

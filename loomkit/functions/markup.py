@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomkit.functions.text import PY_SPACE, py_strip
+from loomkit.functions.text import PY_SPACE, let, py_strip
 
 # Number patterns. Python's \d also takes non-ASCII digits; the ASCII class is
 # used here (no such digits occur in markup).
@@ -32,16 +32,6 @@ OTHER_PRIORITY = 100
 _DEC = "decimal(38,18)"
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
-
-    A one-element ``transform`` is a let-binding inside an expression: a column
-    function that reads its input several times (split + extract + extract)
-    would otherwise re-evaluate a costly input expression for every reference.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _pow2(k: Column) -> Column:
     """2^k as an exact decimal(38,0) for 0 <= k <= 124."""
     one = F.lit(1).cast("bigint")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,9 +20,25 @@ PY_SPACES = "".join(chr(c) for c in (*range(0x09, 0x0e), *range(0x1c, 0x21), 0x8
 _LSTRIP_RE = f"^{PY_SPACE}+"
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    A one-element ``transform`` is a let-binding inside an expression: a column
+    function that reads its input several times (split + extract + extract)
+    would otherwise re-evaluate a costly input expression for every reference.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _ends_in_space(text: Column) -> Column:
+    return reduce(or_, [F.endswith(text, F.lit(c)) for c in PY_SPACES])
+
+
 def py_strip(col: Column) -> Column:
-    """``str.strip()``: removes every Unicode whitespace character at both ends, and reads no more than those."""
-    return F.btrim(col, F.lit(PY_SPACES))
+    """``str.strip()``: removes every Unicode whitespace character at both ends. Trimming the right end
+    walks the whole text, so that is done only where the text ends in one."""
+    return let(col, lambda t: F.when(_ends_in_space(t), F.btrim(t, F.lit(PY_SPACES)))
+               .otherwise(F.ltrim(t, F.lit(PY_SPACES))))
 
 
 def py_lstrip(col: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomkit.operators.records import small_side
+from loomkit.operators.records import BROADCAST_LIMIT
 
 # Fixed values of the derived fixtures (FIXTURES.md C).
 CUT_AT = 20                  # damaged line: cut after 20 characters
@@ -18,6 +18,7 @@ DAMAGE_ORDER = ((11, "blank"), (13, "cut"), (17, "caption_null"), (19, "no_svg")
 CANDIDATE_BUDGET = 5120      # 5 KB byte budget of the candidate fixture
 TILE_SIDE = 8                # an embedding of 64 values seen as an 8x8 tile
 LABEL_SHIFT = 20             # labelled rows: label + 20 joined to nation keys
+MARKUP_BYTES = 256           # a markup string with its key as a row in memory
 
 _NO_NULL_DROP = {"ignoreNullFields": "false"}
 
@@ -34,6 +35,18 @@ def svg_markup(part: DataFrame) -> DataFrame:
     return part.select("p_partkey", svg.alias("svg"))
 
 
+def with_markup(docs: DataFrame, part: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``docs`` with the markup of part ``doc_id % count(part)``; every part row is used and no key is hot.
+
+    The markup is built from columns a tenth its size, compressed on disk, so its bytes are told from the
+    number of parts. Up to ``limit`` it is broadcast; beyond, both sides shuffle on the key.
+    """
+    n_parts = max(part.count(), 1)
+    svgs = svg_markup(part).withColumnRenamed("p_partkey", "svg_key")
+    side = F.broadcast(svgs) if n_parts * MARKUP_BYTES <= limit else svgs.hint("merge")
+    return docs.withColumn("svg_key", F.col("doc_id") % n_parts).join(side, "svg_key", "left")
+
+
 def _json(*fields: Column) -> Column:
     return F.to_json(F.struct(*fields), _NO_NULL_DROP)
 
@@ -41,18 +54,9 @@ def _json(*fields: Column) -> Column:
 def record_lines(documents: DataFrame, part: DataFrame) -> DataFrame:
     """``(doc_id, line)``: corpus JSONL lines (R1) with the damaged-line rules applied.
 
-    The caption is the whole document text; record ``doc_id`` takes the markup of part
-    ``doc_id % count(part)``, so every part row is used and no key is hot. ``part`` is
-    broadcast only behind a size check; beyond it both sides shuffle on the key.
+    The caption is the whole document text, the markup a part's (``with_markup``).
     """
-    n_parts = max(part.count(), 1)
-    svgs = svg_markup(part).withColumnRenamed("p_partkey", "svg_key")
-    docs = documents.select(
-        "doc_id",
-        F.col("text").alias("caption"),
-        "source",
-        (F.col("doc_id") % n_parts).alias("svg_key"))
-    joined = docs.join(small_side(svgs), "svg_key", "left")
+    joined = with_markup(documents.select("doc_id", F.col("text").alias("caption"), "source"), part)
     caption, svg, source = F.col("caption"), F.col("svg"), F.col("source")
     full = _json(caption.alias("caption"), svg.alias("svg"), source.alias("source"))
     d = F.col("doc_id")
@@ -69,10 +73,7 @@ def record_lines(documents: DataFrame, part: DataFrame) -> DataFrame:
 def odd_lines(documents: DataFrame, part: DataFrame) -> DataFrame:
     """``(doc_id, line)``: records in nine forms by ``doc_id % 9`` that only a reader of whole
     lines gets right (FIXTURES.md C)."""
-    n_parts = max(part.count(), 1)
-    svgs = svg_markup(part).withColumnRenamed("p_partkey", "svg_key")
-    docs = documents.select("doc_id", "text", (F.col("doc_id") % n_parts).alias("svg_key"))
-    joined = docs.join(small_side(svgs), "svg_key", "left")
+    joined = with_markup(documents.select("doc_id", "text"), part)
 
     def said(c: str) -> Column:
         raw = _json(F.col(c).alias("v"))

@@ -55,7 +55,7 @@ def parse(lines: DataFrame, line_col: str = "line") -> DataFrame:
 
 def _get_string(key: str, line_col: str) -> Column:
     return F.when(F.col("kind") == "object", J.member_text(
-        F.col(line_col), F.col("texts"), F.col("between"), F.col(f"at.{key}"), key))
+        F.col(line_col), F.col("texts"), F.col("between"), F.col(f"at.{key}"), key, F.col(f"{key}_type")))
 
 
 def _as_text(key: str, line_col: str) -> Column:
